@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.operators.scan import last_seen, scan
+from tidepool.operators.scan import HEAVY_ROWS, MINUTE_US, last_seen, scan, time_chunk
 from tidepool.tables import micros
 
 TINY_BYTES = 64 * 1024 * 1024
@@ -84,15 +84,15 @@ def asof_join(
     on: Sequence[str],
     left_time: str,
     right_time: str,
-    chunk_unit: str = "day",
+    chunk_us: int = MINUTE_US,
     tie_break: Sequence[str] = (),
-    left_id: Sequence[str] = (),
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Left join to the version of ``right`` valid at ``left_time`` (latest ``right_time`` not after it).
 
     Both sides are unioned on the key and scanned in time order for the last version seen, so no
     left row is ever paired with more than one version.  ``tie_break`` orders versions that share a
-    time; ``left_id`` makes the order total for equal left times (any order gives the same result).
+    time; left rows need no tie-break, as any order among them gives the same result.
     """
     payload_cols = [c for c in right.columns if c not in on]
     left_rows = left.select(
@@ -110,7 +110,8 @@ def asof_join(
     )
     events = left_rows.unionByName(right_rows, allowMissingColumns=True)
     order = ["__t", "__side", *(["__tie"] if tie_break else [])]
-    found = scan(events, on, order, F.date_trunc(chunk_unit, "__t"), {"__hit": last_seen(F.col("__right"))})
+    found = scan(events, on, order, time_chunk("__t", chunk_us), {"__hit": last_seen(F.col("__right"))},
+                 heavy_rows=heavy_rows)
     return found.where("__side = 1").select(
         "__left.*", *[F.col("__hit")[c].alias(c) for c in payload_cols]
     )

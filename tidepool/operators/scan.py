@@ -1,15 +1,17 @@
 """Ordered scans per key that stay parallel when one key holds most of the rows.
 
 A plain ``OVER (PARTITION BY key ORDER BY t)`` sends a whole key to one task.  Every measure below
-is an associative prefix, so it is evaluated in two levels:
+is an associative prefix, so heavy keys are evaluated in two levels:
 
-1. rows are split by ``(key, chunk)`` where ``chunk`` is a monotone function of the order (a day, a
-   range of sequence numbers); chunk totals are a partial + final aggregation;
-2. the totals - one row per key and chunk - are scanned per key to get each chunk's carry-in;
-3. rows are scanned inside ``(key, chunk)`` and combined with the carry.
+1. keys with more than ``heavy_rows`` rows are found by a partial + final count (at most
+   total rows / ``heavy_rows`` of them, so the list is safe to broadcast);
+2. rows of heavy keys are split by ``chunk``, a monotone function of the order (a minute, a range
+   of sequence numbers); their chunk totals are a partial + final aggregation;
+3. the totals - one row per heavy key and chunk - are scanned per key for each chunk's carry-in;
+4. rows are scanned inside ``(key, chunk)`` and combined with the carry.
 
-The join in step 3 uses the same ``(key, chunk)`` partitioning as the window, so the rows are
-shuffled once.
+Other keys are one chunk each and have no carry.  The join in step 4 uses the same ``(key, chunk)``
+partitioning as the window, so the rows are shuffled once.
 """
 
 from __future__ import annotations
@@ -20,6 +22,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepool.tables import micros
+
+HEAVY_ROWS = 2_000_000
+MINUTE_US = 60_000_000
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -49,6 +56,14 @@ def last_seen(value: Column, inclusive: bool = True) -> Measure:
     return Measure("last", value, inclusive)
 
 
+def time_chunk(ts: str | Column, width_us: int) -> Column:
+    return F.floor(micros(ts) / F.lit(width_us)).cast("bigint")
+
+
+def seq_chunk(seq: str | Column, width: int) -> Column:
+    return F.floor((F.col(seq) if isinstance(seq, str) else seq) / F.lit(width)).cast("bigint")
+
+
 def scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -56,19 +71,29 @@ def scan(
     chunk: Column,
     measures: dict[str, Measure],
     descending: bool = False,
-    null_safe: bool = False,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Add one column per measure: its prefix value per key in the given order.
 
-    ``order`` must be a total order inside a key and ``chunk`` must not decrease along it.
-    ``descending`` scans from the end, so ``last_seen`` then finds the next value.  With
-    ``null_safe`` null keys and chunks form a group of their own (costs one more shuffle).
+    ``order`` must be a total order inside a key and ``chunk`` (BIGINT, not null) must not decrease
+    along it.  ``descending`` scans from the end, so ``last_seen`` then finds the next value.  An
+    empty ``keys`` scans the whole input as one heavy key.
     """
+    names = list(measures)
     group = [*keys, "__chunk"]
-    inputs = df.withColumns({"__chunk": chunk, **{f"__v_{n}": m.value for n, m in measures.items()}})
+    valued = df.withColumns({f"__v_{n}": m.value for n, m in measures.items()})
+    if keys:
+        heavy = (
+            df.groupBy(*keys).agg(F.count("*").alias("__rows")).where(F.col("__rows") > heavy_rows)
+            .select(*keys, F.lit(True).alias("__heavy"))
+        )
+        inputs = valued.join(F.broadcast(heavy), list(keys), "left")
+    else:
+        inputs = valued.withColumn("__heavy", F.lit(True))
+    inputs = inputs.withColumn("__chunk", F.when(F.col("__heavy"), chunk).otherwise(F.lit(0).cast("bigint")))
 
     order_key = F.struct(*order)
-    totals = inputs.groupBy(*group).agg(*[
+    totals = inputs.where("__heavy").groupBy(*group).agg(*[
         _total(m, F.col(f"__v_{n}"), order_key, descending).alias(f"__t_{n}") for n, m in measures.items()
     ])
     direction = F.desc if descending else F.asc
@@ -78,22 +103,16 @@ def scan(
     carry = totals.select(*group, *[
         _prefix(m, F.col(f"__t_{n}")).over(before).alias(f"__c_{n}") for n, m in measures.items()
     ])
-    if null_safe:
-        renamed = carry.select(*[F.col(g).alias(f"__k{i}") for i, g in enumerate(group)],
-                               *[f"__c_{n}" for n in measures])
-        on = [F.col(g).eqNullSafe(F.col(f"__k{i}")) for i, g in enumerate(group)]
-        joined = inputs.join(renamed, on, "left").drop(*[f"__k{i}" for i in range(len(group))])
-    else:
-        joined = inputs.join(carry, group, "left")
+    joined = inputs.join(carry, group, "left")
 
     inside = Window.partitionBy(*group).orderBy(*[direction(o) for o in order])
     out = {}
     for n, m in measures.items():
         frame = inside.rowsBetween(Window.unboundedPreceding, 0 if m.inclusive else -1)
-        local = _prefix(Measure(m.kind, m.value), F.col(f"__v_{n}"), rows=True).over(frame)
+        local = _prefix(m, F.col(f"__v_{n}"), rows=True).over(frame)
         out[n] = _combine(m, F.col(f"__c_{n}"), local)
-    helper = ["__chunk", *[f"__v_{n}" for n in measures], *[f"__c_{n}" for n in measures]]
-    return joined.withColumns(out).drop(*helper)
+    helpers = ["__chunk", "__heavy", *[f"__v_{n}" for n in names], *[f"__c_{n}" for n in names]]
+    return joined.withColumns(out).drop(*helpers)
 
 
 def _total(m: Measure, value: Column, order_key: Column, descending: bool) -> Column:

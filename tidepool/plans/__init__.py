@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tidepool.plans.registry import REGISTRY, Query
 
-MODULES = ("relational",)
+MODULES = ("relational", "temporal", "measures", "patterns")
 
 
 def all_queries() -> dict[str, Query]:
