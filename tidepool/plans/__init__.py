@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tidepool.plans.registry import REGISTRY, Query
 
-MODULES = ("relational", "temporal", "measures", "patterns")
+MODULES = ("relational", "temporal", "measures", "patterns", "iterative")
 
 
 def all_queries() -> dict[str, Query]:
