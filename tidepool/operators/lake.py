@@ -37,8 +37,11 @@ class KeyTable:
         """Every row written, with its ``commit``; columns added by later commits are null in earlier ones."""
         return self.spark.read.option("mergeSchema", "true").parquet(self.path)
 
+    def _order(self) -> list[str]:
+        return list(dict.fromkeys([self.seq, "commit"]))
+
     def read(self) -> DataFrame:
-        latest = latest_per_key(self.log(), self.keys, [self.seq, "commit"], op=None)
+        latest = latest_per_key(self.log(), self.keys, self._order(), op=None)
         return latest.drop("commit", "bucket")
 
     def lookup(self, **key) -> DataFrame:
@@ -50,7 +53,7 @@ class KeyTable:
             rows = rows.where(F.col("bucket") == probe.first()[0])
         for k in self.keys:
             rows = rows.where(F.col(k) == key[k])
-        return latest_per_key(rows, self.keys, [self.seq, "commit"], op=None).drop("commit", "bucket")
+        return latest_per_key(rows, self.keys, self._order(), op=None).drop("commit", "bucket")
 
     def compact_to(self, path: str) -> KeyTable:
         """Rewrite the latest rows as the first commit of a new table; readers switch by path."""

@@ -9,17 +9,24 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_CENTROIDS = 10_000
+UNROLLED_CENTROIDS = 64
 
 
 def nearest(x: str, y: str, centroids: Sequence[tuple[int, float, float]]) -> Column:
-    """Id of the closest centroid; the first one listed wins a tie."""
-    options = [
-        F.struct(((F.col(x) - cx) * (F.col(x) - cx) + (F.col(y) - cy) * (F.col(y) - cy)).alias("d"),
-                 F.lit(at).alias("at"), F.lit(cid).alias("id"))
-        for at, (cid, cx, cy) in enumerate(centroids)
-    ]
-    return F.array_min(F.array(*options))["id"]
+    """Id of the closest centroid; the first one listed wins a tie.
+
+    A few centroids become one generated expression each, many travel as a single array literal.
+    """
+    def option(at: Column, cid: Column, cx: Column, cy: Column) -> Column:
+        dx, dy = F.col(x) - cx, F.col(y) - cy
+        return F.struct((dx * dx + dy * dy).alias("d"), at.alias("at"), cid.alias("id"))
+
+    if len(centroids) <= UNROLLED_CENTROIDS:
+        options = F.array(*[option(*map(F.lit, (at, *c))) for at, c in enumerate(centroids)])
+    else:
+        ids, xs, ys = (F.lit(list(column)) for column in zip(*centroids, strict=True))
+        options = F.transform(ids, lambda cid, at: option(at, cid, F.get(xs, at), F.get(ys, at)))
+    return F.array_min(options)["id"]
 
 
 def kmeans(
@@ -27,11 +34,9 @@ def kmeans(
 ) -> list[tuple[int, float, float]]:
     """Centroids after ``rounds`` steps; those that attract no point disappear.
 
-    Centroids travel as literals (their number is checked), points stay where they are, and a step is
-    one partial + final aggregation over fixed-point sums, so the result does not depend on order.
+    Centroids, which the caller holds anyway, travel as literals; points stay where they are, and a
+    step is one partial + final aggregation over fixed-point sums, whose result is independent of order.
     """
-    if len(centroids) > MAX_CENTROIDS:
-        raise ValueError(f"more than {MAX_CENTROIDS} centroids")
     current = sorted(centroids)
     for _ in range(rounds):
         means = points.groupBy(nearest(x, y, current).alias("id")).agg(*[

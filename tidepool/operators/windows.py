@@ -58,18 +58,19 @@ def slide_panes(
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, *aggs)
 
 
-def sessions(df: DataFrame, ts: str, gap_us: int, keys: Sequence[str], **aggs: Agg) -> DataFrame:
-    """Sessions per key: rows at most ``gap_us`` apart belong together.
+def session_slots(df: DataFrame, ts: str, gap_us: int, keys: Sequence[str], **aggs: Agg) -> DataFrame:
+    """One row per key and slot of gap width: rows of a slot always share a session.
 
-    Rows in one slot of gap width are always one session, so the input is reduced to one row per key
-    and slot by an ordinary partial aggregation; only slots are ordered per key.  A key has at most
-    (time span / gap) slots however many rows it holds.
+    An ordinary partial aggregation, on batch or on a stream in update mode.
     """
-    t = micros(ts)
-    slots = df.groupBy(*keys, F.floor(t / F.lit(gap_us)).alias("__slot")).agg(
+    return df.groupBy(*keys, F.floor(micros(ts) / F.lit(gap_us)).alias("__slot")).agg(
         F.min(ts).alias("__from"), F.max(ts).alias("__to"),
         *[a.partial().alias(f"__{n}") for n, a in aggs.items()],
     )
+
+
+def stitch_sessions(slots: DataFrame, gap_us: int, keys: Sequence[str], **aggs: Agg) -> DataFrame:
+    """Slots at most ``gap_us`` apart become one session; a key has at most (time span / gap) slots."""
     w = Window.partitionBy(*keys).orderBy("__slot")
     apart = micros(F.col("__from")) - micros(F.lag("__to").over(w))
     opened = slots.withColumn("__new", F.when(apart <= gap_us, 0).otherwise(1))
@@ -81,6 +82,14 @@ def sessions(df: DataFrame, ts: str, gap_us: int, keys: Sequence[str], **aggs: A
     return out.drop("__session")
 
 
+def sessions(df: DataFrame, ts: str, gap_us: int, keys: Sequence[str], **aggs: Agg) -> DataFrame:
+    """Sessions per key: rows at most ``gap_us`` apart belong together.
+
+    Only slots are ordered per key, however many rows the key holds.
+    """
+    return stitch_sessions(session_slots(df, ts, gap_us, keys, **aggs), gap_us, keys, **aggs)
+
+
 def count_windows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, size: int, step: int,
     heavy_rows: int = HEAVY_ROWS, **aggs: Agg
