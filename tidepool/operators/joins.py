@@ -14,11 +14,9 @@ TINY_BYTES = 64 * 1024 * 1024
 
 
 def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df``; None where the session does not expose plans."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # a remote session has no local plan
-        return None
+    """Catalyst's size estimate of ``df``; None on a remote session, which exposes no plan."""
+    plan = getattr(df, "_jdf", None)
+    return None if plan is None else int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def tiny(df: DataFrame, max_bytes: int = TINY_BYTES) -> DataFrame:

@@ -93,23 +93,31 @@ def matrix_vector(matrix: Sequence[Sequence[float]]) -> Callable[[str], Column]:
 
 
 def iterate_rows(
-    df: DataFrame, state: Column, step: Callable[[Column], Column], active: Callable[[Column], Column],
-    max_rounds: int = 1000, out: str = "state",
+    df: DataFrame, start: Column, step: Callable[[Column], Column], again: Callable[[Column], Column],
+    test: str = "before", max_rounds: int = 1000, out: str = "state",
 ) -> DataFrame:
-    """Feed each row's state back through ``step`` while ``active``; rows never leave their partition."""
-    rounds = F.sequence(F.lit(1), F.lit(max_rounds))
-    return df.withColumn(out, F.aggregate(rounds, state, lambda s, _: F.when(active(s), step(s)).otherwise(s)))
+    """Feed each row's state through ``step`` and back for another round while ``again`` holds.
 
+    A step is always made; ``test`` says whether ``again`` looks at the values ``before`` or ``after``
+    it.  Rows never leave their partition.  ``out`` gets the last state, null for a row still going
+    after ``max_rounds``.
+    """
+    def one_round(acc: Column, _: Column) -> Column:
+        new = step(acc["s"])
+        going = again(acc["s"] if test == "before" else new)
+        return F.when(acc["going"], F.struct(new.alias("s"), going.alias("going"))).otherwise(acc)
 
-def fibonacci_steps(df: DataFrame, first: str, second: str, bound: int = 100, test: str = "before", max_rounds: int = 200) -> DataFrame:
-    """Adds ``steps``: rounds of (x, y) -> (y, x + y) made while both are below ``bound``.
+    first = F.struct(start.alias("s"), F.lit(True).alias("going"))
+    last = F.aggregate(F.sequence(F.lit(1), F.lit(max_rounds)), first, one_round)
+    return df.withColumn("__last", last).withColumn(
+        out, F.when(~F.col("__last.going"), F.col("__last.s"))).drop("__last")
 
-    ``test`` says whether a step is counted by the values ``before`` it or ``after`` it.
-    """
+
+def fibonacci_steps(df: DataFrame, first: str, second: str, bound: int = 100, test: str = "before", max_rounds: int = 200) -> DataFrame:
+    """Adds ``steps``: how often (x, y) -> (y, x + y) was made until the pair passed ``bound``."""
     start = F.struct(F.col(first).cast("bigint").alias("x"), F.col(second).cast("bigint").alias("y"),
                      F.lit(0).cast("bigint").alias("c"))
     move = lambda s: F.struct(s["y"].alias("x"), (s["x"] + s["y"]).alias("y"), (s["c"] + 1).alias("c"))
     below = lambda s: (s["x"] < bound) & (s["y"] < bound)
-    after = lambda s: (s["y"] < bound) & (s["x"] + s["y"] < bound)
-    done = iterate_rows(df, start, move, below if test == "before" else after, max_rounds, "__s")
+    done = iterate_rows(df, start, move, below, test, max_rounds, "__s")
     return done.withColumn("steps", F.col("__s.c")).drop("__s")

@@ -214,11 +214,11 @@ def matrix_vector_query(spark, folder):
 
 @query("fibonacci_iterate", """
     WITH RECURSIVE r AS (
-        SELECT p_partkey, p_size::BIGINT AS x, p_partkey % 50 + 1 AS y, 0::BIGINT AS c FROM part
-        UNION ALL SELECT p_partkey, y, x + y, c + 1 FROM r WHERE x < 100 AND y < 100)
+        SELECT p_partkey, p_size::BIGINT AS x, p_partkey % 50 + 1 AS y, 0::BIGINT AS c, true AS going FROM part
+        UNION ALL SELECT p_partkey, y, x + y, c + 1, x < 100 AND y < 100 FROM r WHERE going)
     SELECT p_partkey, max(c) AS steps FROM r GROUP BY p_partkey
 """)
 def fibonacci_query(spark, folder):
-    """Pairs fed back through (x, y) -> (y, x + y) while both stay below 100."""
+    """Pairs fed back through (x, y) -> (y, x + y) until they pass 100."""
     pairs = load(spark, folder, "part").select("p_partkey", "p_size", (F.col("p_partkey") % 50 + 1).alias("second"))
     return fibonacci_steps(pairs, "p_size", "second").select("p_partkey", "steps")
