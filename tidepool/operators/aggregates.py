@@ -8,6 +8,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepool.operators.joins import join_groups
 from tidepool.operators.scan import HEAVY_ROWS, running_sum, scan
 
 # Shares of the total, counted from the top, for the lines 50 75 90 95 99 99.9 99.99.
@@ -54,8 +55,7 @@ def exact_percentiles(
         )
         for i, p in enumerate(exact)
     ])
-    placed = (counted.join(sketch, list(keys)) if keys else counted.crossJoin(F.broadcast(sketch))).withColumn(
-        "__targets", targets)
+    placed = join_groups(counted, sketch, keys).withColumn("__targets", targets)
     base = placed.groupBy(*keys).agg(*[
         F.sum(F.when(F.col("__v") < F.col("__targets")[i]["lo"], F.col("__n")).otherwise(0)).alias(f"__b{i}")
         for i in range(len(exact))
@@ -65,8 +65,7 @@ def exact_percentiles(
     chunk = F.floor(F.coalesce(step, F.lit(0.0))).cast("bigint")
     ranked = scan(near, [*keys, "i"], ["__v"], chunk, {"__upto": running_sum(F.col("__n"))}, heavy_rows=heavy_rows)
     offset = F.element_at(F.array(*[F.col(f"__b{i}") for i in range(len(exact))]), F.col("i") + 1)
-    ranked = (ranked.join(base, list(keys)) if keys else ranked.crossJoin(F.broadcast(base))).withColumn(
-        "__upto", F.col("__upto") + offset)
+    ranked = join_groups(ranked, base, keys).withColumn("__upto", F.col("__upto") + offset)
     covers = lambda rank: (F.col("__upto") - F.col("__n") <= rank) & (rank < F.col("__upto"))
     upper_rank = F.col("below") + F.when(F.col("rest") > 0, 1).otherwise(0)
     picked = ranked.groupBy(*keys, "i").agg(
@@ -78,7 +77,7 @@ def exact_percentiles(
     found = picked.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("i", F.round(mixed, digits).cast("double").alias("p")))).alias("__ps")
     ).withColumn("percentiles", F.col("__ps")["p"]).drop("__ps")
-    return df.select(*keys).distinct().join(found, list(keys), "left") if keys else found
+    return join_groups(df.select(*keys).distinct(), found, keys, "left") if keys else found
 
 
 def latency_bucket(value: str) -> Column:
@@ -130,7 +129,7 @@ def bounded_lists(
     (an integer unique to the row), so no list grows with its group and no row is left out.
     """
     sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / max_items).alias("__parts"))
-    parts = df.join(sizes, list(keys)).withColumn("part", F.pmod(F.col(item_order), F.col("__parts")))
+    parts = join_groups(df, sizes, keys).withColumn("part", F.pmod(F.col(item_order), F.col("__parts")))
     listed = parts.groupBy(*keys, "part").agg(
         F.sort_array(F.collect_list(F.struct(F.col(item_order).alias("o"), item.alias("v")))).alias("__l"))
     return listed.select(*keys, "part", F.transform("__l", lambda s: s["v"]).alias(out))
@@ -150,4 +149,4 @@ def smallest_per_group(df: DataFrame, keys: Sequence[str], delta: str, tie_break
     )
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.asc(delta), *[F.asc(t) for t in tie_break]))
     lowest = df.withColumn("rank", rank).where(F.col("rank") <= n)
-    return lowest.join(stats, list(keys))
+    return join_groups(lowest, stats, keys)

@@ -65,12 +65,13 @@ def upsert_to_retract(
 
 def emit_sum_changes(
     df: DataFrame, keys: Sequence[str], value: str, seq: Sequence[str], out: str = "total", op: str = "op",
-    chunk: Column | None = None, heavy_rows: int = HEAVY_ROWS,
+    chunk: Column | None = None, heavy_rows: int = HEAVY_ROWS, start: DataFrame | None = None,
 ) -> DataFrame:
     """Changelog of ``SUM(value) GROUP BY keys``: what each input row makes the aggregate emit.
 
     First value +I; a changed one -U then +U; an unchanged one nothing; the last retraction -D.
     The state before and after a row are two prefix sums, so the replay is one chunked scan.
+    ``start`` (keys, total, n) continues from earlier rows.
     """
     chunk = seq_chunk(seq[0], 1_000_000) if chunk is None else chunk
     delta = F.coalesce(F.col(value) * sign(op), F.col(value) * 0, F.lit(0))
@@ -80,8 +81,14 @@ def emit_sum_changes(
          "__sum0": running_sum(delta, inclusive=False), "__n0": running_sum(sign(op), inclusive=False)},
         heavy_rows=heavy_rows,
     )
-    had, has = F.coalesce(F.col("__n0"), F.lit(0)) > 0, F.col("__n") > 0
-    before, after = F.col("__sum0"), F.col("__sum")
+    offset_sum = offset_n = F.lit(0)
+    if start is not None:
+        runs = runs.join(start.select(*keys, F.col("total").alias("__from"), F.col("n").alias("__fromn")), list(keys), "left")
+        offset_sum, offset_n = F.coalesce("__from", F.lit(0)), F.coalesce("__fromn", F.lit(0))
+    had = F.coalesce(F.col("__n0"), F.lit(0)) + offset_n > 0
+    has = F.col("__n") + offset_n > 0
+    before = F.coalesce(F.col("__sum0"), F.lit(0)) + offset_sum
+    after = F.col("__sum") + offset_sum
     change = lambda kind, total: F.struct(F.lit(kind).alias("op"), total.alias("total"))
     changes = (
         F.when(had & has & (before == after), F.slice(F.array(change("+U", after)), 1, 0))
@@ -93,6 +100,12 @@ def emit_sum_changes(
         *keys, *seq, "pos", F.col("__c.op").alias("op"), F.col("__c.total").alias(out))
 
 
+def sum_state(df: DataFrame, keys: Sequence[str], value: str, op: str = "op") -> DataFrame:
+    """(keys, total, n): what the rows of a changelog add up to, for continuing later."""
+    return df.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.col(value) * sign(op)), F.lit(0)).alias("total"), F.sum(sign(op)).alias("n"))
+
+
 def upsert_only(changes: DataFrame, op: str = "op") -> DataFrame:
     """Upsert form of a changelog: the old-value rows are left out."""
     return changes.where(F.col(op) != "-U")

@@ -34,6 +34,15 @@ def join_huge(left: DataFrame, right: DataFrame, on, how: str = "inner") -> Data
     return left.join(right.hint("merge"), on, how)
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join per-group values back by group key; null keys are a group like any other."""
+    if not keys:
+        return left.crossJoin(F.broadcast(right))  # right is the single row of a global aggregate
+    renamed = right.withColumnsRenamed({k: f"__g_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__g_{k}")) for k in keys]
+    return left.join(renamed, same, how).drop(*[f"__g_{k}" for k in keys])
+
+
 def semi_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str) -> DataFrame:
     return left.join(right.select(F.col(right_col).alias(left_col)), left_col, "left_semi")
 

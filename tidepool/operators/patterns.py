@@ -47,25 +47,26 @@ def any_sequences_within(
 
 def next_then_followed_by(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, row_id: str,
-    first: Column, second: Column, third: Column, heavy_rows: int = HEAVY_ROWS,
+    first: Column, second: Column, third: Column, heavy_rows: int = HEAVY_ROWS, keep_open: bool = False,
 ) -> DataFrame:
     """``first`` immediately followed by ``second``, then the earliest later ``third``.
 
     One forward look per row: the next row of the key and the next closing row, both found by a
-    backward scan, so the result has at most one match per start row.
+    backward scan, so the result has at most one match per start row.  With ``keep_open`` pairs still
+    waiting for their closing row are returned too, with a null ``end_id``.
     """
-    seen = scan(
-        df.withColumns({"__second": F.coalesce(second, F.lit(False)), "__third": F.coalesce(third, F.lit(False))}),
-        keys, order, chunk,
-        {"__next": last_seen(F.struct(F.col(row_id).alias("id"), F.col("__second").alias("hit")), inclusive=False),
-         "__end": last_seen(F.when(F.col("__third"), F.col(row_id)), inclusive=False)},
-        descending=True, heavy_rows=heavy_rows,
-    )
-    # The closing row must come after the second one: the end seen from the second row's position.
-    ends = scan(seen, keys, order, chunk, {"__after": last_seen(F.struct(F.col("__end").alias("id")), inclusive=False)},
+    flags = {"__second": F.coalesce(second, F.lit(False)), "__third": F.coalesce(third, F.lit(False))}
+    seen = scan(df.withColumns(flags), keys, order, chunk,
+                {"__end": last_seen(F.when(F.col("__third"), F.col(row_id)), inclusive=False)},
                 descending=True, heavy_rows=heavy_rows)
-    return ends.where(F.coalesce(first, F.lit(False)) & F.col("__next.hit") & F.col("__after.id").isNotNull()).select(
-        *keys, F.col(row_id).alias("start_id"), F.col("__next.id").alias("next_id"), F.col("__after.id").alias("end_id"))
+    # The closing row must come after the second one, so the second row's own view of it counts.
+    follower = F.struct(F.col(row_id).alias("id"), F.col("__second").alias("hit"), F.col("__end").alias("end"))
+    looked = scan(seen, keys, order, chunk, {"__next": last_seen(follower, inclusive=False)},
+                  descending=True, heavy_rows=heavy_rows)
+    pairs = looked.where(F.coalesce(first, F.lit(False)) & F.col("__next.hit"))
+    out = pairs.select(*keys, F.col(row_id).alias("start_id"), F.col("__next.id").alias("next_id"),
+                       F.col("__next.end").alias("end_id"))
+    return out if keep_open else out.where("end_id IS NOT NULL")
 
 
 def match_map(matches: DataFrame, stages: dict[str, str]) -> DataFrame:
@@ -104,14 +105,15 @@ def step_function(event: Column) -> Column:
 
 def fold_states(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, step: Column, n_states: int,
-    fan_in: int = 256, heavy_rows: int = HEAVY_ROWS,
-) -> DataFrame:
-    """Add ``state INT``: the machine state before each row, starting at 0, without walking a whole key.
+    fan_in: int = 256, heavy_rows: int = HEAVY_ROWS, start: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Machine states without walking a whole key: (rows with ``state`` before each, last state per key).
 
     Steps are functions on a small set of states and composing functions is associative.  Rows are
     numbered per key; ``fan_in`` neighbouring rows compose into one function, those again, until
     every key is a single group.  Going back down, each group's start state gives those of its
-    members.  No array is longer than ``fan_in`` and the work is linear in the rows.
+    members.  No array is longer than ``fan_in`` and the work is linear in the rows.  Keys, which must
+    not be null, begin in state 0 or in their state in ``start`` (keys, state).
     """
     longest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     payload = [c for c in df.columns if c not in keys]
@@ -126,18 +128,23 @@ def fold_states(
         return up.withColumn("__f", composed)
 
     rows = numbered.withColumn("__n", F.col("__n") - 1)
-    levels = [grouped(rows, F.struct(*payload).alias("row"))]
-    if longest > fan_in:  # read twice below: once for the functions, once for the rows
-        levels[0] = stage_table(levels[0], "fold")
+    # Read several times below: for the functions, for the rows and for the last states.
+    levels = [stage_table(grouped(rows, F.struct(*payload).alias("row")), "fold")]
     size = -(-longest // fan_in)
     while size > 1:
         levels.append(grouped(levels[-1].select(*keys, F.col("__g").alias("__n"), "__f")))
         size = -(-size // fan_in)
 
-    starts = levels[-1].select(*keys, "__g", F.lit(0).alias("__s"))
-    for depth in range(len(levels) - 1, -1, -1):
-        opened = levels[depth].select(*keys, "__g", "__m")
-        opened = opened.join(starts, [*keys, "__g"]) if depth < len(levels) - 1 else opened.withColumn("__s", F.lit(0))
+    top = levels[-1].select(*keys, "__g", "__f")
+    if start is None:
+        top = top.withColumn("__s", F.lit(0))
+    else:
+        known = start.select(*keys, F.col("state").cast("int").alias("__s"))
+        top = top.join(known, list(keys), "left").withColumn("__s", F.coalesce("__s", F.lit(0)))
+    last = top.select(*keys, F.col("__f")[F.col("__s")].alias("state"))
+    starts = top.drop("__f")
+    for level in reversed(levels):
+        opened = level.select(*keys, "__g", "__m").join(starts, [*keys, "__g"])
         # Start state of each member: fold the members before it from the group's start state.
         before = F.aggregate(
             "__m", F.struct(F.col("__s").alias("s"), F.array().cast("array<int>").alias("out")),
@@ -145,7 +152,7 @@ def fold_states(
         )["out"]
         flat = opened.select(*keys, F.explode(F.arrays_zip(F.col("__m").alias("m"), before.alias("s"))).alias("__z"))
         starts = flat.select(*keys, F.col("__z.m.n").alias("__g"), F.col("__z.s").alias("__s"))
-    return flat.select(*keys, "__z.m.row.*", F.col("__z.s").alias("state"))
+    return flat.select(*keys, "__z.m.row.*", F.col("__z.s").alias("state")), last
 
 
 def protocol_alerts(
@@ -153,7 +160,12 @@ def protocol_alerts(
     fan_in: int = 256, heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Events the protocol does not allow in the state its key was in: adds ``state`` by name."""
-    folded = fold_states(df, keys, order, chunk, step_function(F.col(event)), len(STATES) - 1, fan_in, heavy_rows)
+    folded, _ = fold_states(df, keys, order, chunk, step_function(F.col(event)), len(STATES) - 1, fan_in, heavy_rows)
+    return not_allowed(folded, event)
+
+
+def not_allowed(folded: DataFrame, event: str) -> DataFrame:
+    """Rows whose event has no transition from their ``state``, with the state's name."""
     allowed = F.lit(False)
     for source, symbol, _ in TRANSITIONS:
         allowed = allowed | ((F.col("state") == STATES.index(source)) & (F.col(event) == symbol))

@@ -77,7 +77,7 @@ def scan(
 
     ``order`` must be a total order inside a key and ``chunk`` (BIGINT, not null) must not decrease
     along it.  ``descending`` scans from the end, so ``last_seen`` then finds the next value.  An
-    empty ``keys`` scans the whole input as one heavy key.
+    empty ``keys`` scans the whole input as one heavy key.  Rows with a null key form one light group.
     """
     names = list(measures)
     group = [*keys, "__chunk"]

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepool.operators.joins import join_groups
 from tidepool.operators.scan import HEAVY_ROWS, last_seen, running_count, running_max, scan
 from tidepool.tables import micros
 
@@ -102,16 +103,22 @@ def count_windows(
     if size % step:
         raise ValueError("size must be a multiple of step")
     numbered = scan(df, keys, order, chunk, {"__n": running_count()}, heavy_rows=heavy_rows)
+    return fire_count_windows(numbered, keys, size, step, **aggs)
+
+
+def fire_count_windows(numbered: DataFrame, keys: Sequence[str], size: int, step: int, **aggs: Agg) -> DataFrame:
+    """Count windows of rows that carry their number within the key as ``__n`` (from 1)."""
     panes = numbered.groupBy(*keys, F.floor((F.col("__n") - 1) / step).alias("__pane")).agg(
-        F.count("*").alias("__rows"), *[a.partial().alias(f"__{n}") for n, a in aggs.items()]
+        F.max("__n").alias("__last"), *[a.partial().alias(f"__{n}") for n, a in aggs.items()]
     )
     ends = F.sequence(F.col("__pane"), F.col("__pane") + (size // step - 1))
     spread = panes.select("*", F.explode(ends).alias("__end"))
-    out = spread.groupBy(*keys, ((F.col("__end") + 1) * step).alias("fired_at")).agg(
-        F.max(F.when(F.col("__pane") == F.col("__end"), F.col("__rows"))).alias("__closing"),
+    fired_at = (F.col("__end") + 1) * step
+    out = spread.groupBy(*keys, fired_at.alias("fired_at")).agg(
+        F.max("__last").alias("__reached"),
         *[a.merged(F.col(f"__{n}")).alias(n) for n, a in aggs.items()],
     )
-    return out.where(F.col("__closing") == step).drop("__closing")
+    return out.where("__reached = fired_at").drop("__reached")
 
 
 def evict_before_last(df: DataFrame, ts: str, size: str, keys: Sequence[str], keep_us: int) -> DataFrame:
@@ -121,7 +128,7 @@ def evict_before_last(df: DataFrame, ts: str, size: str, keys: Sequence[str], ke
     """
     rows = df.withColumn("window_start", F.window(ts, size)["start"])
     latest = rows.groupBy(*keys, "window_start").agg(F.max(ts).alias("__last"))
-    return rows.join(latest, [*keys, "window_start"]).where(
+    return join_groups(rows, latest, [*keys, "window_start"]).where(
         micros(ts) > micros(F.col("__last")) - F.lit(keep_us)
     ).drop("__last")
 

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepool.operators.joins import lookup_join
+from tidepool.operators.scan import MINUTE_US, seq_chunk, time_chunk
 from tidepool.operators.windows import Agg, session_slots, slide, stitch_sessions, tumble
 from tidepool.plans import iterative, measures, patterns, temporal  # noqa: F401  (their SQL is reused)
 from tidepool.plans.patterns import lettered
 from tidepool.plans.registry import REGISTRY, query
 from tidepool.plans.temporal import HOUR, INTERVAL_SQL
+from tidepool.streaming.carried import (
+    PAIR_STATE, alerts_step, count_windows_step, next_then_followed_by_step, run_carried, running_sum_step, sum_changes_step,
+)
 from tidepool.streaming.joins import stream_interval_join
 from tidepool.streaming.runs import land, land_latest, stream_table
-from tidepool.streaming.stateful import (
-    CountWindow, NextThenFollowedBy, ProtocolAlerts, RunningSum, SumChanges, run_processor,
-)
 from tidepool.tables import fixed, load, with_event_time, zoneless
 
 # How far a replayed table's rows may lie apart in arrival: longer than the table, so none is dropped.
@@ -112,45 +113,47 @@ def stream_cascade(spark, folder):
                   "w", "1 day", ["event_type"], n=F.sum("m"), hours=F.count("*")).drop("window_end")
 
 
-@query("stream_running_sum", REGISTRY["running_sum"].sql.replace(
-    "SELECT event_id, user_id,", "SELECT event_id AS seq, user_id AS key,").split("count(*) OVER w")[0].rstrip().rstrip(",")
-    .replace("running_total", "total") + " FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)")
+@query("stream_running_sum", """
+    SELECT event_id AS seq, user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS DOUBLE) AS total
+    FROM events
+""")
 def stream_running_sum(spark, folder):
-    rows = stream_table(spark, folder, "events").select("user_id", F.col("event_id").alias("seq"), _cents("value").alias("value"))
-    out = land(run_processor(rows, ["user_id"], RunningSum(), RunningSum.schema), "update")
-    return out.withColumn("total", F.col("total") / 100)
+    rows = stream_table(spark, folder, "events").select("user_id", "ts", F.col("event_id").alias("seq"), _cents("value").alias("value"))
+    step = running_sum_step(["user_id"], ["ts", "seq"], time_chunk("ts", MINUTE_US), "value")
+    out = run_carried(rows, step, "user_id bigint, total bigint")
+    return out.select("seq", "user_id", (F.col("total") / 100).alias("total"))
 
 
-@query("stream_count_window", REGISTRY["count_window"].sql.replace("SELECT user_id, fired_at,", "SELECT user_id AS key, fired_at,"))
+@query("stream_count_window", REGISTRY["count_window"].sql)
 def stream_count_window(spark, folder):
-    """Ten-event windows every five events; event ids arrive in time order."""
-    rows = stream_table(spark, folder, "events").select("user_id", F.col("event_id").alias("seq"), _cents("value").alias("value"))
-    out = land(run_processor(rows, ["user_id"], CountWindow(10, 5), CountWindow.schema), "update")
+    rows = stream_table(spark, folder, "events").select("user_id", "ts", "event_id", _cents("value").alias("value"))
+    step = count_windows_step(["user_id"], ["ts", "event_id"], time_chunk("ts", MINUTE_US), "value", 10, 5)
+    out = run_carried(rows, step, "user_id bigint, __n bigint, value bigint")
     return out.withColumn("total", F.col("total") / 100)
 
 
-@query("stream_state_machine", REGISTRY["state_machine_alerts"].sql.replace(
-    "SELECT user_id, event_id, letter, before AS state FROM r", "SELECT user_id AS key, event_id AS seq, letter, before AS state FROM r"))
+@query("stream_state_machine", REGISTRY["state_machine_alerts"].sql)
 def stream_state_machine(spark, folder):
-    rows = lettered(stream_table(spark, folder, "events")).select(
-        "user_id", F.col("event_id").alias("seq"), F.col("ts").alias("t"), "letter")
-    return land(run_processor(rows, ["user_id"], ProtocolAlerts(), ProtocolAlerts.schema), "update")
+    rows = lettered(stream_table(spark, folder, "events")).select("user_id", "ts", "event_id", "letter")
+    step = alerts_step(["user_id"], ["ts", "event_id"], time_chunk("ts", MINUTE_US), "letter")
+    return run_carried(rows, step, "user_id bigint, state int").select("user_id", "event_id", "letter", "state")
 
 
-@query("stream_cep", REGISTRY["cep_next_followed_by"].sql.replace("SELECT s.user_id,", "SELECT s.user_id AS key,"))
+@query("stream_cep", REGISTRY["cep_next_followed_by"].sql)
 def stream_cep(spark, folder):
     is_kind = lambda kind: F.col("event_type") == kind
     rows = stream_table(spark, folder, "events").select(
         "user_id", F.col("event_id").alias("seq"), F.col("ts").alias("t"),
         is_kind("signup").alias("first"), is_kind("view").alias("second"), is_kind("purchase").alias("third"))
-    return land(run_processor(rows, ["user_id"], NextThenFollowedBy(), NextThenFollowedBy.schema), "update")
+    step = next_then_followed_by_step(["user_id"], time_chunk("t", MINUTE_US))
+    return run_carried(rows, step, "user_id bigint, " + PAIR_STATE)
 
 
-@query("stream_changelog", REGISTRY["changelog_emit"].sql.replace("SELECT o_custkey, seq, pos, op, total FROM e",
-                                                                  "SELECT o_custkey AS key, seq, pos, op, total FROM e"))
+@query("stream_changelog", REGISTRY["changelog_emit"].sql)
 def stream_changelog(spark, folder):
     op = F.when(F.col("o_orderstatus") == "F", "-U").when(F.col("o_orderstatus") == "P", "+U").otherwise("+I")
     rows = stream_table(spark, folder, "orders").select(
         "o_custkey", F.col("o_orderkey").alias("seq"), op.alias("op"), _cents("o_totalprice").alias("value"))
-    out = land(run_processor(rows, ["o_custkey"], SumChanges(), SumChanges.schema), "update")
+    step = sum_changes_step(["o_custkey"], ["seq"], seq_chunk("seq", 1_000_000), "value")
+    out = run_carried(rows, step, "o_custkey bigint, total bigint, n bigint")
     return out.withColumn("total", F.col("total") / 100)
