@@ -22,7 +22,7 @@ from tidepool.streaming.carried import (
     PAIR_STATE, alerts_step, count_windows_step, next_then_followed_by_step, run_carried, running_sum_step, sum_changes_step,
 )
 from tidepool.streaming.joins import async_enrich, model_sink, prediction_sink, stream_interval_join, versions_as_of_sink
-from tidepool.streaming.runs import append_sink, fan_out, land, land_latest, run_all, split_sink
+from tidepool.streaming.runs import append_sink, fan_out, land, land_latest, run_all, split_sink, start
 from tidepool.tables import from_micros, with_event_time
 
 
@@ -74,9 +74,9 @@ def test_tumbling_increments_and_final_rows(spark, feed):
 
 def test_late_rows_update_until_dropped(spark, feed):
     """Watermark = out-of-orderness + lateness keeps a window updatable; beyond it rows are dropped."""
-    src = feed("s bigint", [(0,)], [(70,)], [(50,)], [(200,)], [(55,)]).withColumn("ts", F.timestamp_seconds("s")).withWatermark("ts", "65 seconds")
+    src = feed("s bigint", [(0,)], [(70,)], [(50,)], [(200,)], [(210,)], [(55,)]).withColumn("ts", F.timestamp_seconds("s")).withWatermark("ts", "65 seconds")
     out = land_latest(tumble(src, "ts", "1 minute", [], n=F.count("*")), ["window_start", "window_end"])
-    assert [r.n for r in out.orderBy("window_start").collect()] == [2, 1, 1]
+    assert [r.n for r in out.orderBy("window_start").collect()] == [2, 1, 2]
 
 
 def test_distinct_count_in_windows(spark, feed):
@@ -124,13 +124,26 @@ def test_running_sum_both_ways(spark, feed):
     schema = "k bigint, seq bigint, value bigint"
     state = land(ST.run_processor(feed(schema, *batched(data, 40)), ["k"], ST.RunningSum(), ST.RunningSum.schema), "update")
     assert rows(state) == sorted(want, key=str)
-    ttl = land(ST.run_processor(feed(schema, data[:40]), ["k"], ST.RunningSum(ttl_ms=60_000), ST.RunningSum.schema, "ProcessingTime"), "update")
-    assert rows(ttl) == sorted(want[:40], key=str)
     step = running_sum_step(["k"], ["seq"], seq_chunk("seq", 7), "value", heavy_rows=3)
     out = run_carried(feed(schema, *batched(data, 40)), step, "k bigint, total bigint")
     assert rows(out.select("k", "seq", "total")) == sorted(want, key=str)
 
 
+def test_state_with_time_to_live(spark, feed, tmp_path):
+    """Expiry runs on processing time, so the stream has no natural end and is stopped from outside."""
+    out = str(tmp_path / "out")
+    src = ST.run_processor(feed("k bigint, seq bigint, value bigint", [(1, 1, 5), (1, 2, 6)]), ["k"],
+                           ST.RunningSum(ttl_ms=60_000), ST.RunningSum.schema, "ProcessingTime")
+    query = start(src, append_sink(out), "update", every="1 second")
+    try:
+        deadline = time.time() + 40
+        while not query.recentProgress and query.isActive and time.time() < deadline:
+            time.sleep(0.3)
+    finally:
+        query.stop()
+    assert rows(spark.read.parquet(out).select("key", "seq", "total")) == [(1, 1, 5), (1, 2, 11)]
+
+
 def test_count_windows_both_ways(spark, feed):
     data = [(i % 3, i, i * i % 17) for i in range(100)]
     want = []
@@ -173,9 +186,11 @@ def test_delta_window(spark, feed):
 @pytest.mark.parametrize("purge", [True, False])
 def test_count_or_time_window(spark, feed, purge):
     data = [[(1, i, i * 100, 1) for i in range(7)], [(1, 7, 1500, 1), (1, 8, 3000, 1)], [(1, 9, 9000, 1)], [(1, 10, 20000, 1)], [(1, 11, 30000, 1)]]
-    src = feed("k bigint, seq bigint, t bigint, value bigint", *data).withColumn("ts", F.timestamp_millis("t")).withWatermark("ts", "0 seconds")
+    base = 86_400_000  # away from the epoch, where a fresh watermark starts
+    src = feed("k bigint, seq bigint, t bigint, value bigint", *data).withColumn("t", F.col("t") + base).withColumn(
+        "ts", F.timestamp_millis("t")).withWatermark("ts", "0 seconds")
     out = land(ST.run_processor(src, ["k"], ST.CountOrTimeWindow(1000, 3, purge), ST.CountOrTimeWindow.schema, "EventTime"), "update")
-    got = [r[1:] for r in rows(out) if r[1] < 4000]
+    got = [(r[1] - base, *r[2:]) for r in rows(out) if r[1] < base + 4000]
     if purge:
         assert sorted(got) == [(0, "count", 3, 3), (0, "count", 3, 3), (0, "time", 1, 1), (1000, "time", 1, 1), (3000, "time", 1, 1)]
     else:

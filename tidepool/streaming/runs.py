@@ -25,7 +25,10 @@ def stream_table(spark: SparkSession, folder: str, name: str, max_files: int | N
 def start(
     stream: DataFrame, sink: Sink, mode: str = "append", checkpoint: str | None = None, every: str | None = None
 ) -> StreamingQuery:
-    """Run ``sink`` for each micro-batch; without ``every`` all available input is read, then it stops."""
+    """Run ``sink`` for each micro-batch; without ``every`` all available input is read, then it stops.
+
+    Processors in processing-time mode always ask for another batch, so they need ``every``.
+    """
     spark = stream.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     writer = stream.writeStream.outputMode(mode).foreachBatch(sink).option(
