@@ -133,6 +133,22 @@ def window_join(
     return lw.join(rw, [*on, "window_start"])
 
 
+def window_join_totals(
+    left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, size: str,
+    right_sums: dict[str, Column],
+) -> DataFrame:
+    """``pairs`` of the window join per key and window, and sums of right-hand values over them.
+
+    Each side is aggregated before the join, so the work stays linear however many pairs there are.
+    """
+    n_left = left.groupBy(*on, F.window(left_time, size)["start"].alias("window_start")).agg(F.count("*").alias("__l"))
+    n_right = right.groupBy(*on, F.window(right_time, size)["start"].alias("window_start")).agg(
+        F.count("*").alias("__r"), *[F.sum(c).alias(n) for n, c in right_sums.items()])
+    both = n_left.join(n_right, [*on, "window_start"])
+    return both.select(*on, "window_start", (F.col("__l") * F.col("__r")).alias("pairs"),
+                       *[(F.col("__l") * F.col(n)).alias(n) for n in right_sums])
+
+
 def lookup_join(facts: DataFrame, current: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join to the dimension as it is now; works with a stream on the left."""
     return facts.join(tiny(current), list(on), "left")

@@ -19,11 +19,14 @@ class KeyTable:
     A commit is one folder, written in overwrite mode, so repeating a commit after a lost executor
     or a restarted stream leaves the same rows.  ``seq`` decides which row of a key is latest, the
     commit number breaks ties.  With ``buckets`` every commit is split by a hash of the key, so that
-    a lookup or a rewrite of some keys reads only their buckets.
+    a lookup or a rewrite of some keys reads only their buckets.  Unless ``evolving``, all commits have
+    the same columns and the read skips merging their schemas.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], seq: str, buckets: int = 0):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], seq: str, buckets: int = 0,
+                 evolving: bool = True):
         self.spark, self.path, self.keys, self.seq, self.buckets = spark, path, list(keys), seq, buckets
+        self.evolving = evolving
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
@@ -35,7 +38,7 @@ class KeyTable:
 
     def log(self) -> DataFrame:
         """Every row written, with its ``commit``; columns added by later commits are null in earlier ones."""
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+        return self.spark.read.option("mergeSchema", str(self.evolving).lower()).parquet(self.path)
 
     def _order(self) -> list[str]:
         return list(dict.fromkeys([self.seq, "commit"]))
@@ -57,7 +60,7 @@ class KeyTable:
 
     def compact_to(self, path: str) -> KeyTable:
         """Rewrite the latest rows as the first commit of a new table; readers switch by path."""
-        out = KeyTable(self.spark, path, self.keys, self.seq, self.buckets)
+        out = KeyTable(self.spark, path, self.keys, self.seq, self.buckets, self.evolving)
         out.append(self.read(), commit=0)
         return out
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions.parsing import json_elements, json_or_line, known_and_others, trade_message
+from tidepool.operators.aggregates import bounded_lists
 from tidepool.operators.expand import hash_salt
 from tidepool.operators.windows import tumble
 from tidepool.tables import exact_avg
@@ -44,13 +45,14 @@ def gateway_records(lines: DataFrame, line: str = "value") -> DataFrame:
 
 
 def gateway_latency(records: DataFrame, window: str = "10 seconds") -> DataFrame:
-    """Per window and sequence id: rows, messages with their types, largest latency."""
-    return tumble(
-        records, "event_time", window, ["agw_seq_id"],
-        cnt=F.count("*"),
-        messages=F.sort_array(F.collect_list(F.struct("message", "msg_type"))),
-        max_latency=F.max("collect_latency"),
-    )
+    """Per window and sequence id: rows and largest latency."""
+    return tumble(records, "event_time", window, ["agw_seq_id"], cnt=F.count("*"), max_latency=F.max("collect_latency"))
+
+
+def gateway_messages(records: DataFrame, window: str = "10 seconds", max_items: int = 10_000) -> DataFrame:
+    """The messages of each window and sequence id with their types, in lists of bounded length."""
+    placed = records.withColumn("window_start", F.window("event_time", window)["start"])
+    return bounded_lists(placed, ["window_start", "agw_seq_id"], F.struct("message", "msg_type"), "offset", max_items, "messages")
 
 
 def keyed_log_counts(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepool.operators.patterns import (
-    any_sequence_counts, any_sequences_within, next_then_followed_by, protocol_alerts,
+    any_sequence_counts, next_then_followed_by, protocol_alerts,
 )
 from tidepool.operators.scan import MINUTE_US, time_chunk
 from tidepool.plans.registry import query
@@ -60,18 +60,6 @@ def cep_followed_by_any(spark, folder):
     return found.select("user_id", F.col("event_id").alias("end_id"), "matches")
 
 
-@query("cep_any_within", """
-    SELECT a.user_id, a.event_id AS start_id, b.event_id AS middle_id, c.event_id AS end_id
-    FROM events a JOIN events b ON a.user_id = b.user_id AND b.ts > a.ts AND b.ts <= a.ts + INTERVAL 12 HOUR
-    JOIN events c ON a.user_id = c.user_id AND c.ts > b.ts AND c.ts <= a.ts + INTERVAL 12 HOUR
-    WHERE a.event_type = 'signup' AND b.event_type = 'view' AND c.event_type = 'purchase'
-""")
-def cep_any_within(spark, folder):
-    """The sequences themselves, when they complete within twelve hours."""
-    found = any_sequences_within(load(spark, folder, "events"), ["user_id"], "ts", "event_id", *_kinds(), 12 * 60 * MINUTE_US)
-    return found.select("user_id", "start_id", "middle_id", "end_id")
-
-
 @query("cep_next_followed_by", """
     WITH n AS (SELECT *, lead(event_id) OVER w AS next_id, lead(event_type) OVER w AS next_type, lead(ts) OVER w AS next_ts
                FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),

@@ -59,12 +59,12 @@ def stream_session(spark, folder):
     return stitch_sessions(kept, 6 * HOUR, ["user_id"], **aggs).withColumn("total", F.col("total").cast("double"))
 
 
-@query("stream_interval_join", INTERVAL_SQL.format(how="", before="2 HOUR", after="0 HOUR"))
+@query("stream_interval_join", INTERVAL_SQL.format(how="", before="10 MINUTE", after="0 MINUTE"))
 def stream_interval(spark, folder):
     side = lambda kind, name: with_event_time(
         stream_table(spark, folder, "events").where(F.col("event_type") == kind).select(
             "user_id", F.col("event_id").alias(f"{name}_id"), F.col("ts").alias(f"{name}_ts")), f"{name}_ts", REPLAY_DELAY)
-    joined = stream_interval_join(side("click", "click"), side("view", "show"), ["user_id"], "click_ts", "show_ts", -2 * HOUR, 0)
+    joined = stream_interval_join(side("click", "click"), side("view", "show"), ["user_id"], "click_ts", "show_ts", -10 * MINUTE_US, 0)
     lag = (F.unix_micros("click_ts") - F.unix_micros("show_ts")).alias("lag_us")
     return land(joined.select("user_id", "click_id", "show_id", lag))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepool.operators.joins import asof_join, interval_join, lookup_join, window_join
+from tidepool.operators.joins import asof_join, interval_join, lookup_join, window_join, window_join_totals
 from tidepool.operators.scan import MINUTE_US, running_count, running_sum, scan, seq_chunk, time_chunk
 from tidepool.operators.windows import (
     Agg, classify_late, count_windows, evict_before_last, sessions, slide_panes, tumble,
@@ -177,17 +177,17 @@ def _with_lag(joined):
     return joined.select("user_id", "click_id", "show_id", lag.alias("lag_us"))
 
 
-@query("interval_join_inner", INTERVAL_SQL.format(how="", before="2 HOUR", after="0 HOUR"))
+@query("interval_join_inner", INTERVAL_SQL.format(how="", before="10 MINUTE", after="0 MINUTE"))
 def interval_join_inner(spark, folder):
     clicks, shows = _shows_and_clicks(spark, folder)
-    return _with_lag(interval_join(clicks, shows, ["user_id"], "click_ts", "show_ts", -2 * HOUR, 0))
+    return _with_lag(interval_join(clicks, shows, ["user_id"], "click_ts", "show_ts", -10 * MINUTE_US, 0))
 
 
-@query("interval_join_left", INTERVAL_SQL.format(how="LEFT", before="40 MINUTE", after="20 MINUTE"))
+@query("interval_join_left", INTERVAL_SQL.format(how="LEFT", before="40 SECOND", after="20 SECOND"))
 def interval_join_left(spark, folder):
     clicks, shows = _shows_and_clicks(spark, folder)
     return _with_lag(interval_join(clicks, shows, ["user_id"], "click_ts", "show_ts",
-                                   -40 * HOUR // 60, 20 * HOUR // 60, "left"))
+                                   -40_000_000, 20_000_000, "left"))
 
 
 @query("asof_join", """
@@ -216,21 +216,37 @@ def lookup_join_query(spark, folder):
     return lookup_join(load(spark, folder, "events").select("event_id", "user_id"), profiles, ["user_id"])
 
 
-@query("window_join", """
-    SELECT v.user_id, time_bucket(INTERVAL 4 HOUR, v.ts, TIMESTAMP '1970-01-01') AS window_start,
-           v.event_id AS view_id, c.event_id AS click_id
-    FROM (SELECT * FROM events WHERE event_type = 'view') v
-    JOIN (SELECT * FROM events WHERE event_type = 'click') c
-      ON v.user_id = c.user_id
-     AND time_bucket(INTERVAL 4 HOUR, v.ts, TIMESTAMP '1970-01-01') = time_bucket(INTERVAL 4 HOUR, c.ts, TIMESTAMP '1970-01-01')
+BUCKET_10MIN = "time_bucket(INTERVAL 10 MINUTE, ts, TIMESTAMP '1970-01-01')"
+
+
+@query("window_join", f"""
+    SELECT v.user_id, v.w AS window_start, v.event_id AS view_id, c.event_id AS click_id
+    FROM (SELECT *, {BUCKET_10MIN} AS w FROM events WHERE event_type = 'view') v
+    JOIN (SELECT *, {BUCKET_10MIN} AS w FROM events WHERE event_type = 'click') c ON v.user_id = c.user_id AND v.w = c.w
 """)
 def window_join_query(spark, folder):
     views = _typed(spark, folder, "view", view_id="event_id", view_ts="ts")
     clicks = _typed(spark, folder, "click", click_id="event_id", click_ts="ts")
-    return window_join(views, clicks, ["user_id"], "view_ts", "click_ts", "4 hours").select(
+    return window_join(views, clicks, ["user_id"], "view_ts", "click_ts", "10 minutes").select(
         "user_id", "window_start", "view_id", "click_id")
 
 
+@query("window_join_totals", """
+    SELECT v.user_id, time_bucket(INTERVAL 1 DAY, v.ts, TIMESTAMP '1970-01-01') AS window_start, count(*) AS pairs,
+           CAST(sum(CAST(c.value AS DECIMAL(18,2))) AS DOUBLE) AS click_value
+    FROM (SELECT * FROM events WHERE event_type = 'view') v
+    JOIN (SELECT * FROM events WHERE event_type = 'click') c ON v.user_id = c.user_id
+     AND time_bucket(INTERVAL 1 DAY, v.ts, TIMESTAMP '1970-01-01') = time_bucket(INTERVAL 1 DAY, c.ts, TIMESTAMP '1970-01-01')
+    GROUP BY ALL
+""")
+def window_join_totals_query(spark, folder):
+    """Totals over the pairs of a one-day windowed join, without forming the pairs."""
+    views = _typed(spark, folder, "view", ts="ts")
+    clicks = _typed(spark, folder, "click", ts="ts", value="value").withColumn("value", fixed("value"))
+    out = window_join_totals(views, clicks, ["user_id"], "ts", "ts", "1 day", {"click_value": F.col("value")})
+    return out.withColumn("click_value", F.col("click_value").cast("double"))
+
+
 @query("running_sum", """
     SELECT event_id, user_id,
            CAST(sum(CAST(value AS DECIMAL(18,2))) OVER w AS DOUBLE) AS running_total,

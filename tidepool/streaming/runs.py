@@ -57,7 +57,7 @@ def land(stream: DataFrame, mode: str = "append", checkpoint: str | None = None)
 def land_latest(stream: DataFrame, keys: Sequence[str], checkpoint: str | None = None) -> DataFrame:
     """Final row per key of a stream in update mode: increments are upserted, the read takes the last."""
     spark = stream.sparkSession
-    table = KeyTable(spark, run_dir(spark, "upserted"), keys, "commit")
+    table = KeyTable(spark, run_dir(spark, "upserted"), keys, "commit", evolving=False)
     run_all(stream, table.append, "update", checkpoint)
     return table.read()
 
