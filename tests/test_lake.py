@@ -24,6 +24,7 @@ def test_key_table(spark, tmp_path, buckets):
     assert rows(t.read()) == [("Alice", 100, 3), ("Bob", 5, 2)]
     assert rows(t.lookup(name="Alice")) == [("Alice", 100, 3)]
     assert t.log().count() == 4
+    assert rows(t.changes().select("op", "name", "seq")) == [("+I", "Alice", 1), ("+I", "Bob", 0), ("+U", "Alice", 3), ("+U", "Bob", 2)]
     assert rows(t.compact_to(str(tmp_path / "c")).read()) == rows(t.read())
 
 

@@ -72,17 +72,18 @@ def interval_join(
     if how not in ("inner", "left"):
         raise ValueError("interval_join supports inner and left")
     width = max(upper_us - lower_us, 1)
-    lt, rt = micros(left_time), micros(right_time)
-    left_b = left.withColumn("__b", F.floor(lt / F.lit(width)))
+    # Times as plain numbers once per row: the pair test below runs once per candidate pair.
+    left_b = left.withColumn("__lt", micros(left_time)).withColumn("__b", F.floor(F.col("__lt") / F.lit(width)))
+    rt = F.col("__rt")
     first = F.floor((rt - F.lit(upper_us)) / F.lit(width))
     last = F.floor((rt - F.lit(lower_us)) / F.lit(width))
-    right_b = right.select(
-        *[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns],
+    right_b = right.withColumn("__rt", micros(right_time)).select(
+        *[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns], rt,
         F.explode(F.sequence(first, last)).alias("__rb"),
     )
-    within = (micros(F.col(right_time)) - micros(F.col(left_time))).between(lower_us, upper_us)
+    within = (rt - F.col("__lt")).between(lower_us, upper_us)
     condition = [F.col(c) == F.col(f"__r_{c}") for c in on] + [F.col("__b") == F.col("__rb"), within]
-    return left_b.join(right_b, condition, how).drop("__b", "__rb", *[f"__r_{c}" for c in on])
+    return left_b.join(right_b, condition, how).drop("__b", "__rb", "__lt", "__rt", *[f"__r_{c}" for c in on])
 
 
 def asof_join(

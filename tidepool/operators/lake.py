@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.operators.changelog import latest_per_key
+from tidepool.operators.joins import join_groups
 
 
 class KeyTable:
@@ -47,6 +48,13 @@ class KeyTable:
         latest = latest_per_key(self.log(), self.keys, self._order(), op=None)
         return latest.drop("commit", "bucket")
 
+    def changes(self) -> DataFrame:
+        """The log read as an upsert changelog: ``op`` is +I for a key's first row and +U afterwards."""
+        first = self.log().groupBy(*self.keys).agg(F.min(F.struct(*self._order())).alias("__first"))
+        rows = join_groups(self.log(), first, self.keys)
+        op = F.when(F.struct(*self._order()) == F.col("__first"), "+I").otherwise("+U")
+        return rows.select(op.alias("op"), *[c for c in rows.columns if c not in ("__first", "bucket")])
+
     def lookup(self, **key) -> DataFrame:
         """Latest row of one key; reads a single bucket per commit when the table has buckets."""
         rows = self.log()

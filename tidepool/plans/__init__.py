@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tidepool.plans.registry import REGISTRY, Query
 
-MODULES = ("relational", "temporal", "measures", "patterns", "iterative", "streams")
+MODULES = ("relational", "expressions", "temporal", "measures", "patterns", "iterative", "streams")
 
 
 def all_queries() -> dict[str, Query]:
