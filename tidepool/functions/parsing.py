@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STRING_MAP = "map<string,string>"
@@ -54,10 +54,10 @@ def best_effort(text: str | Column) -> Column:
 
 
 def last_wins_map(entries: Column) -> Column:
-    """Map from an array of (key, value) structs in which a later key replaces an earlier one."""
-    last = F.filter(entries, lambda e, i: ~F.exists(
-        F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
-    return F.map_from_entries(last)
+    """Map<string,string> from an array of (key, value) structs in which a later key replaces an earlier one."""
+    empty = F.map_from_entries(F.array().cast("array<struct<key:string,value:string>>"))
+    return F.aggregate(entries, empty, lambda m, e: F.map_concat(
+        F.map_filter(m, lambda k, v: k != e["key"]), F.create_map(e["key"], e["value"])))
 
 
 def pairs_map(text: str | Column, pair_sep: str = r"\|", kv_sep: str = "=") -> Column:
@@ -77,26 +77,31 @@ TIME_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 INSTANT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def trade_message(json: str | Column) -> Column:
-    """Struct of a securities gateway record.
+PACKET_PATTERN = r"(?s).*>(Pkt[^:]*):<(.*)>[^>]*$"
+
+
+def trade_messages(df: DataFrame, json: str) -> DataFrame:
+    """Securities gateway records: one JSON object per row to its parts and all ``fields``.
 
     ``message`` starts with the trade time, then ``msg :``, and ends with a packet segment
-    ``>PktName:<k=v|k=v|>`` whose pairs are merged into the record's fields.
+    ``>PktName:<k=v|k=v|>`` whose pairs are merged into the record's fields.  Each step is its own
+    projection, so that the parsed record is computed once and not once per derived column.
     """
-    fields = F.from_json(_col(json), STRING_MAP)
-    message = fields["message"]
-    trade_time = F.substring_index(message, " msg :", 1)
-    packet = r"(?s).*>(Pkt[^:]*):<(.*)>[^>]*$"
-    pairs = pairs_map(F.regexp_extract(message, packet, 2))
-    trade_us = F.unix_micros(F.try_to_timestamp(trade_time, F.lit(TIME_PATTERN)))
-    collect_us = F.unix_micros(F.try_to_timestamp(fields["@timestamp"], F.lit(INSTANT_PATTERN)))
-    return F.struct(
-        F.regexp_extract(message, packet, 1).alias("msg_type"),
-        trade_time.alias("trade_time"),
-        trade_us.alias("trade_us"),
-        collect_us.alias("collect_us"),
-        (collect_us - trade_us).alias("collect_latency"),
-        merge_maps(fields, pairs).alias("fields"),
+    parsed = df.select(F.from_json(F.col(json), STRING_MAP).alias("raw"))
+    message = F.col("raw")["message"]
+    split = parsed.select(
+        "raw", F.substring_index(message, " msg :", 1).alias("trade_time"),
+        F.regexp_extract(message, PACKET_PATTERN, 1).alias("msg_type"),
+        pairs_map(F.regexp_extract(message, PACKET_PATTERN, 2)).alias("pairs"),
+    )
+    timed = split.withColumns({
+        "trade_us": F.unix_micros(F.try_to_timestamp("trade_time", F.lit(TIME_PATTERN))),
+        "collect_us": F.unix_micros(F.try_to_timestamp(F.col("raw")["@timestamp"], F.lit(INSTANT_PATTERN))),
+    })
+    return timed.select(
+        "msg_type", "trade_time", "trade_us", "collect_us",
+        (F.col("collect_us") - F.col("trade_us")).alias("collect_latency"),
+        merge_maps(F.col("raw"), F.col("pairs")).alias("fields"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.functions.parsing import json_elements, json_or_line, known_and_others, trade_message
+from tidepool.functions.parsing import json_elements, json_or_line, known_and_others, trade_messages
 from tidepool.operators.aggregates import bounded_lists
 from tidepool.operators.expand import hash_salt
 from tidepool.operators.windows import tumble
@@ -36,11 +36,11 @@ GATEWAY_FIELDS = {"agw_seq_id": "string", "message": "string", "offset": "int",
 
 def gateway_records(lines: DataFrame, line: str = "value") -> DataFrame:
     """Lines of JSON objects or arrays to typed gateway records."""
-    parsed = lines.select(F.explode(json_elements(line)).alias("json")).select(trade_message("json").alias("r"))
+    parsed = trade_messages(lines.select(F.explode(json_elements(line)).alias("json")), "json")
     return parsed.select(
-        "r.msg_type", "r.trade_time", "r.trade_us", "r.collect_us", "r.collect_latency",
-        F.timestamp_micros("r.trade_us").alias("event_time"),
-        *known_and_others(F.col("r.fields"), GATEWAY_FIELDS),
+        "msg_type", "trade_time", "trade_us", "collect_us", "collect_latency",
+        F.timestamp_micros("trade_us").alias("event_time"),
+        *known_and_others(F.col("fields"), GATEWAY_FIELDS),
     )
 
 
