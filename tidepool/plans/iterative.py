@@ -12,6 +12,7 @@ from tidepool.operators.models import (
     fibonacci_steps, kmeans, linear_regression, matrix_vector, nearest, pi_from_points,
 )
 from tidepool.plans.registry import query
+from tidepool.session import stage_table
 from tidepool.tables import load
 
 PAGERANK_ROUNDS = 4
@@ -42,7 +43,7 @@ PAGERANK_SQL = "WITH " + TRADES + ", r0 AS (SELECT src AS page, 1.0::DOUBLE / n
 
 @query("pagerank", PAGERANK_SQL)
 def pagerank_query(spark, folder):
-    edges = undirected(_trades(spark, folder))
+    edges = stage_table(undirected(_trades(spark, folder)), "trades")
     pages = edges.select(F.col("src").alias("page")).distinct()
     return pagerank(pages, edges, max_rounds=PAGERANK_ROUNDS, epsilon=0.0).select(
         "page", F.round("rank", 10).alias("rank"))
@@ -64,7 +65,7 @@ DELTA_SQL = "WITH " + TRADES + """,
 
 @query("delta_pagerank", DELTA_SQL)
 def delta_pagerank_query(spark, folder):
-    edges = undirected(_trades(spark, folder))
+    edges = stage_table(undirected(_trades(spark, folder)), "trades")
     n = edges.select("src").distinct().count()
     return delta_pagerank(edges, n, max_rounds=DELTA_ROUNDS).select("page", F.round("rank", 10).alias("rank"))
 
