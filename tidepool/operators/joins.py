@@ -36,8 +36,9 @@ def join_huge(left: DataFrame, right: DataFrame, on, how: str = "inner") -> Data
 
 def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join per-group values back by group key; null keys are a group like any other."""
-    if not keys:
-        return left.crossJoin(F.broadcast(right))  # right is the single row of a global aggregate
+    if not keys:  # right is the single row of a global aggregate
+        one = F.lit(1).alias("__one")
+        return left.select("*", one).join(F.broadcast(right.select("*", one)), "__one").drop("__one")
     renamed = right.withColumnsRenamed({k: f"__g_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"__g_{k}")) for k in keys]
     return left.join(renamed, same, how).drop(*[f"__g_{k}" for k in keys])

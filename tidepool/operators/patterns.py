@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.operators.joins import interval_join
-from tidepool.operators.scan import HEAVY_ROWS, last_seen, running_count, running_sum, scan
+from tidepool.operators.scan import HEAVY_ROWS, heavy_keys, last_seen, running_count, running_sum, scan
 from tidepool.session import stage_table
 
 
@@ -21,11 +21,12 @@ def any_sequence_counts(
     Skip-till-any lets any rows lie between the stages, so matches can be cubic in a key's rows.
     Counting needs no pairs: starts seen so far, then the sum of those over the middle rows.
     """
+    heavy = heavy_keys(df, keys, heavy_rows)
     starts = scan(df, keys, order, chunk,
-                  {"__starts": running_count(F.when(first, F.lit(1)), inclusive=False)}, heavy_rows=heavy_rows)
+                  {"__starts": running_count(F.when(first, F.lit(1)), inclusive=False)}, heavy=heavy)
     middles = scan(starts, keys, order, chunk,
                    {"matches": running_sum(F.when(second, F.col("__starts")).otherwise(F.lit(0)), inclusive=False)},
-                   heavy_rows=heavy_rows)
+                   heavy=heavy)
     return middles.where(third & (F.col("matches") > 0)).drop("__starts")
 
 
@@ -55,14 +56,15 @@ def next_then_followed_by(
     backward scan, so the result has at most one match per start row.  With ``keep_open`` pairs still
     waiting for their closing row are returned too, with a null ``end_id``.
     """
+    heavy = heavy_keys(df, keys, heavy_rows)
     flags = {"__second": F.coalesce(second, F.lit(False)), "__third": F.coalesce(third, F.lit(False))}
     seen = scan(df.withColumns(flags), keys, order, chunk,
                 {"__end": last_seen(F.when(F.col("__third"), F.col(row_id)), inclusive=False)},
-                descending=True, heavy_rows=heavy_rows)
+                descending=True, heavy=heavy)
     # The closing row must come after the second one, so the second row's own view of it counts.
     follower = F.struct(F.col(row_id).alias("id"), F.col("__second").alias("hit"), F.col("__end").alias("end"))
     looked = scan(seen, keys, order, chunk, {"__next": last_seen(follower, inclusive=False)},
-                  descending=True, heavy_rows=heavy_rows)
+                  descending=True, heavy=heavy)
     pairs = looked.where(F.coalesce(first, F.lit(False)) & F.col("__next.hit"))
     out = pairs.select(*keys, F.col(row_id).alias("start_id"), F.col("__next.id").alias("next_id"),
                        F.col("__next.end").alias("end_id"))

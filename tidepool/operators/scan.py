@@ -64,6 +64,12 @@ def seq_chunk(seq: str | Column, width: int) -> Column:
     return F.floor((F.col(seq) if isinstance(seq, str) else seq) / F.lit(width)).cast("bigint")
 
 
+def heavy_keys(df: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Keys with more than ``heavy_rows`` rows; there are at most total rows / ``heavy_rows`` of them."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("__rows")).where(F.col("__rows") > heavy_rows)
+    return counts.select(*keys, F.lit(True).alias("__heavy"))
+
+
 def scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -72,21 +78,20 @@ def scan(
     measures: dict[str, Measure],
     descending: bool = False,
     heavy_rows: int = HEAVY_ROWS,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Add one column per measure: its prefix value per key in the given order.
 
     ``order`` must be a total order inside a key and ``chunk`` (BIGINT, not null) must not decrease
     along it.  ``descending`` scans from the end, so ``last_seen`` then finds the next value.  An
     empty ``keys`` scans the whole input as one heavy key.  Rows with a null key form one light group.
+    A caller that scans the same keys repeatedly passes their ``heavy_keys`` once.
     """
     names = list(measures)
     group = [*keys, "__chunk"]
     valued = df.withColumns({f"__v_{n}": m.value for n, m in measures.items()})
     if keys:
-        heavy = (
-            df.groupBy(*keys).agg(F.count("*").alias("__rows")).where(F.col("__rows") > heavy_rows)
-            .select(*keys, F.lit(True).alias("__heavy"))
-        )
+        heavy = heavy_keys(df, keys, heavy_rows) if heavy is None else heavy
         inputs = valued.join(F.broadcast(heavy), list(keys), "left")
     else:
         inputs = valued.withColumn("__heavy", F.lit(True))

@@ -29,6 +29,9 @@ def build_session(app: str = "tidepool", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir``.
 
@@ -41,9 +44,9 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = "file://" + tempfile.mkdtemp(prefix="tidepool-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if sc.applicationId not in _local_dirs:
+        _local_dirs[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="tidepool-")
+    return _local_dirs[sc.applicationId]
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

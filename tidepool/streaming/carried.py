@@ -17,7 +17,7 @@ from tidepool.operators.changelog import emit_sum_changes, latest_per_key, sum_s
 from tidepool.operators.patterns import STATES, fold_states, next_then_followed_by, not_allowed, step_function
 from tidepool.operators.scan import HEAVY_ROWS, running_count, running_sum, scan
 from tidepool.operators.windows import Agg, fire_count_windows
-from tidepool.session import run_dir
+from tidepool.session import run_dir, stage_table
 from tidepool.streaming.runs import run_all
 
 Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
@@ -39,19 +39,19 @@ class StateTable:
 
 
 def run_carried(stream: DataFrame, step: Step, state_schema: str, checkpoint: str | None = None) -> DataFrame:
-    """Rows that ``step(batch, state) -> (rows, new state)`` gives over all available micro-batches."""
+    """Rows that ``step(batch, state) -> (rows, new state)`` gives over all available micro-batches.
+
+    ``stream`` is a stateless projection of a replayable source.
+    """
     spark = stream.sparkSession
     folder = run_dir(spark, "carried")
     table = StateTable(spark, f"{folder}/state", state_schema)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            out, state = step(batch, table.before(batch_id))
-            out.write.mode("overwrite").parquet(f"{folder}/out/commit={batch_id}")
-            table.save(state, batch_id)
-        finally:
-            batch.unpersist()
+        # Not persisted: a batch is a scan of its files, and each pass reads only the columns it needs.
+        out, state = step(batch, table.before(batch_id))
+        out.write.mode("overwrite").parquet(f"{folder}/out/commit={batch_id}")
+        table.save(state, batch_id)
 
     run_all(stream, sink, checkpoint=checkpoint)
     return spark.read.parquet(f"{folder}/out").drop("commit")
@@ -99,7 +99,7 @@ def count_windows_step(
         numbered = scan(batch, keys, order, chunk, {"__i": running_count()}, heavy_rows=heavy_rows)
         placed = numbered.join(seen, list(keys), "left").select(
             *keys, (F.col("__i") + F.coalesce("__seen", F.lit(0))).alias("__n"), F.col(value).alias("value"))
-        rows = state.unionByName(placed)
+        rows = stage_table(state.unionByName(placed), "numbered")
         fired = fire_count_windows(rows, keys, size, step_rows, total=Agg("sum", F.col("value")), n=Agg("count"))
         fresh = fired.join(seen, list(keys), "left").where("fired_at > coalesce(__seen, 0)").drop("__seen")
         reach = rows.groupBy(*keys).agg(F.max("__n").alias("__reach"))
@@ -124,6 +124,7 @@ def next_then_followed_by_step(keys: Sequence[str], chunk: Column, heavy_rows: i
         rows = batch.select(*keys, "t", "seq", "first", "second", "third").unionByName(last)
         pairs = next_then_followed_by(rows, keys, ["t", "seq"], chunk, "seq", F.col("first"), F.col("second"), F.col("third"),
                                       heavy_rows=heavy_rows, keep_open=True)
+        pairs = stage_table(pairs, "pairs")
         closing = batch.where("third").groupBy(*keys).agg(F.min_by("seq", F.struct("t", "seq")).alias("end_id"))
         closed = waiting.join(closing, list(keys)).unionByName(pairs.where("end_id IS NOT NULL"))
         still = waiting.join(closing, list(keys), "left_anti").unionByName(pairs.where("end_id IS NULL").drop("end_id"))
