@@ -18,6 +18,11 @@ def tokens(text: str | Column) -> Column:
     return F.filter(F.split(F.lower(_col(text)), r"\W+"), lambda w: w != "")
 
 
+def token_rows(df: DataFrame, text: str, out: str = "word") -> DataFrame:
+    """One row per word of ``text``; the empties go in a plain filter, inside generated code."""
+    return df.select(F.explode(F.split(F.lower(F.col(text)), r"\W+")).alias(out)).where(F.col(out) != "")
+
+
 def drop_trailing_empties(parts: Column) -> Column:
     """Remove empty strings at the end only, keeping inner ones."""
     last = F.array_max(F.transform(parts, lambda p, i: F.when(p != "", i + 1).otherwise(0)))

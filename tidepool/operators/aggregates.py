@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidepool.operators.joins import join_groups
 from tidepool.operators.scan import HEAVY_ROWS, running_sum, scan
+from tidepool.session import stage_table
 
 # Shares of the total, counted from the top, for the lines 50 75 90 95 99 99.9 99.99.
 LINE_SHARES = (0.5, 0.25, 0.1, 0.05, 0.01, 0.001, 0.0001)
@@ -37,12 +38,14 @@ def exact_percentiles(
     exact = [Fraction(str(p)) / 100 for p in percents]
     margin = 2.0 / accuracy
     probes = [min(max(float(p) + s * margin, 0.0), 1.0) for p in exact for s in (-1, 1)]
-    present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
-    counted = present.groupBy(*keys, "__v").agg(F.count("*").alias("__n"))
-    sketch = present.groupBy(*keys).agg(
-        F.count("*").alias("__total"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
+    valued = df.select(*keys, F.col(value).cast("double").alias("__v"))
+    counted = valued.where("__v IS NOT NULL").groupBy(*keys, "__v").agg(F.count("*").alias("__n"))
+    sketch = valued.groupBy(*keys).agg(
+        F.count("__v").alias("__total"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
         F.percentile_approx("__v", probes, accuracy).alias("__probe"),
     )
+    # One row per group, written so that its real size decides whether the joins below broadcast it.
+    sketch = stage_table(sketch, "sketch")
     small = F.col("__total") <= 4 * accuracy
     targets = F.array(*[
         F.struct(
@@ -77,7 +80,7 @@ def exact_percentiles(
     found = picked.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("i", F.round(mixed, digits).cast("double").alias("p")))).alias("__ps")
     ).withColumn("percentiles", F.col("__ps")["p"]).drop("__ps")
-    return join_groups(df.select(*keys).distinct(), found, keys, "left") if keys else found
+    return join_groups(sketch.select(*keys), found, keys, "left") if keys else found
 
 
 def latency_bucket(value: str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepool.functions.text import contains_all, tokens
+from tidepool.functions.text import contains_all, token_rows
 from tidepool.operators.expand import blank_counts, column_range, nonblank_rows
 from tidepool.operators.joins import anti, join_huge, join_tiny, semi_in
 from tidepool.operators.ranking import top_n, top_share
@@ -97,7 +97,7 @@ WORDS_SQL = """
 
 @query("word_count", WORDS_SQL + " GROUP BY word")
 def word_count(spark, folder):
-    words = load(spark, folder, "documents").select(F.explode(tokens("text")).alias("word"))
+    words = token_rows(load(spark, folder, "documents"), "text")
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -119,7 +119,7 @@ def json_filter_tokenize(spark, folder):
     )
     parsed = messages.select(F.from_json("message", "sender struct<role:string>, text string").alias("m"))
     kept = parsed.where("m.sender.role = 'user' AND m.text IS NOT NULL").select("m.text")
-    return kept.select(F.explode(tokens("text")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return token_rows(kept, "text").groupBy("word").agg(F.count("*").alias("n"))
 
 
 @query("column_range_select", "SELECT o_custkey, o_orderstatus, o_totalprice FROM orders")

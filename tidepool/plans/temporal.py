@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidepool.functions.text import token_rows
 from tidepool.operators.joins import asof_join, interval_join, lookup_join, window_join, window_join_totals
 from tidepool.operators.scan import MINUTE_US, running_count, running_sum, scan, seq_chunk, time_chunk
 from tidepool.operators.windows import (
@@ -150,9 +151,7 @@ def lateness_window(spark, folder):
 """)
 def side_output_split(spark, folder):
     """Words longer than five letters leave by the side output; both outputs share one pass."""
-    from tidepool.functions.text import tokens
-
-    words = load(spark, folder, "documents").select(F.explode(tokens("text")).alias("word"))
+    words = token_rows(load(spark, folder, "documents"), "text")
     output = F.when(F.length("word") > 5, "rejected").otherwise("counted")
     return words.groupBy("word").agg(F.count("*").alias("n")).select("word", output.alias("output"), "n")
 
