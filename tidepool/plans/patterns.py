@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepool.operators.patterns import (
-    any_sequence_counts, next_then_followed_by, protocol_alerts,
+    any_sequence_counts, match_map, next_then_followed_by, protocol_alerts,
 )
 from tidepool.operators.scan import MINUTE_US, time_chunk
-from tidepool.plans.registry import query
+from tidepool.plans.registry import REGISTRY, query
 from tidepool.tables import load
 
 LETTERS = {"signup": "a", "view": "b", "click": "c", "error": "e", "purchase": "g"}
@@ -72,3 +72,13 @@ def cep_next_followed_by(spark, folder):
     """signup directly followed by view, then the next purchase."""
     return next_then_followed_by(load(spark, folder, "events"), ["user_id"], ["ts", "event_id"],
                                  time_chunk("ts", MINUTE_US), "event_id", *_kinds())
+
+
+@query("cep_match_map", REGISTRY["cep_next_followed_by"].sql.replace(
+    "SELECT s.user_id, s.event_id AS start_id, s.next_id, p.event_id AS end_id",
+    "SELECT s.user_id, 3 AS stages, 'end,next,start' AS names, s.event_id AS start_id, p.event_id AS end_id"))
+def cep_match_map(spark, folder):
+    """The same matches processed as maps of stage to event: size, key set, members."""
+    matched = match_map(cep_next_followed_by(spark, folder), {"start": "start_id", "next": "next_id", "end": "end_id"})
+    return matched.select("user_id", "stages", F.array_join(F.sort_array("names"), ",").alias("names"),
+                          F.col("match")["start"].alias("start_id"), F.col("match")["end"].alias("end_id"))

@@ -8,10 +8,11 @@ from tidepool.functions.text import token_rows
 from tidepool.operators.joins import asof_join, interval_join, lookup_join, window_join, window_join_totals
 from tidepool.operators.scan import MINUTE_US, running_count, running_sum, scan, seq_chunk, time_chunk
 from tidepool.operators.windows import (
-    Agg, classify_late, count_windows, evict_before_last, sessions, slide_panes, tumble,
+    Agg, classify_late, count_windows, delta_fires, evict_before_last, sessions, slide_panes, tumble,
 )
 from tidepool.plans.registry import query
-from tidepool.tables import exact_sum, fixed, load
+from tidepool.streaming.joins import async_enrich
+from tidepool.tables import exact_avg, exact_sum, fixed, load
 
 HOUR = 3_600_000_000
 DAY = 24 * HOUR
@@ -282,3 +283,66 @@ def object_key_window(spark, folder):
     """Window grouped by a whole object: the struct is the key."""
     device = load(spark, folder, "events").withColumn("device", F.struct("user_id", "event_type"))
     return tumble(device, "ts", "10 minutes", ["device"], n=F.count("*")).select("device.*", "window_start", "n")
+
+
+COUNT_TRIGGER = """
+    WITH r AS (SELECT user_id, time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') AS window_start, CAST(value AS DECIMAL(18,2)) AS v,
+                      row_number() OVER w AS fired_at,
+                      sum(CAST(value AS DECIMAL(18,2))) OVER (w ROWS BETWEEN {frame} AND CURRENT ROW) AS total
+               FROM events WINDOW w AS (PARTITION BY user_id, time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') ORDER BY ts, event_id))
+    SELECT user_id, window_start, fired_at, CAST(total AS DOUBLE) AS total FROM r WHERE fired_at % 2 = 0
+"""
+
+
+def _daily(spark, folder):
+    return load(spark, folder, "events").withColumn("window_start", F.window("ts", "1 day")["start"])
+
+
+@query("count_trigger_purging", COUNT_TRIGGER.format(frame="1 PRECEDING"))
+def count_trigger_purging(spark, folder):
+    """A window fires at every second row and is emptied by firing."""
+    out = count_windows(_daily(spark, folder), ["user_id", "window_start"], ["ts", "event_id"], time_chunk("ts", MINUTE_US),
+                        2, 2, total=Agg("sum", fixed("value")))
+    return out.withColumn("total", F.col("total").cast("double"))
+
+
+@query("count_trigger_running", COUNT_TRIGGER.format(frame="UNBOUNDED PRECEDING"))
+def count_trigger_running(spark, folder):
+    """A window fires at every second row and keeps what it holds."""
+    out = scan(_daily(spark, folder), ["user_id", "window_start"], ["ts", "event_id"], time_chunk("ts", MINUTE_US),
+               {"fired_at": running_count(), "total": running_sum(fixed("value"))})
+    return out.where("fired_at % 2 = 0").select("user_id", "window_start", "fired_at", F.col("total").cast("double").alias("total"))
+
+
+@query("delta_trigger_grid", """
+    WITH p AS (SELECT user_id, event_id, ts, sum(CAST(value AS DECIMAL(18,2))) OVER w AS position FROM events
+               WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
+    l AS (SELECT *, lag(floor(position::DOUBLE / 500)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM p)
+    SELECT user_id, event_id, CAST(position AS DOUBLE) AS position FROM l WHERE floor(position::DOUBLE / 500) > before
+""")
+def delta_trigger_grid(spark, folder):
+    """Events at which a user's running value passes another multiple of 500."""
+    chunk = time_chunk("ts", MINUTE_US)
+    positions = scan(load(spark, folder, "events"), ["user_id"], ["ts", "event_id"], chunk, {"position": running_sum(fixed("value"))})
+    moved = positions.withColumn("position", F.col("position").cast("double"))
+    return delta_fires(moved, ["user_id"], ["ts", "event_id"], chunk, "position", 500.0).select("user_id", "event_id", "position")
+
+
+@query("incremental_model", """
+    WITH m AS (SELECT time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') + INTERVAL 1 HOUR AS trained_at,
+                      CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS mean FROM events GROUP BY 1)
+    SELECT e.event_id, m.mean AS prediction FROM events e ASOF LEFT JOIN m ON e.ts >= m.trained_at
+""")
+def incremental_model(spark, folder):
+    """Each event is scored with the model of the last window closed before it; windows span the whole stream."""
+    events = load(spark, folder, "events")
+    models = tumble(events, "ts", "1 hour", [], mean=exact_avg("value")).select(F.col("window_end").alias("trained_at"), "mean")
+    scored = asof_join(events.select("event_id", "ts"), models, [], "ts", "trained_at")
+    return scored.select("event_id", F.col("mean").alias("prediction"))
+
+
+@query("async_enrichment", "SELECT event_id, user_id, 'profile-' || user_id::VARCHAR AS found, NULL::VARCHAR AS error FROM events")
+def async_enrichment(spark, folder):
+    """Every event looked up through a bounded pool of concurrent calls per task; order is kept."""
+    keys = load(spark, folder, "events").select("event_id", "user_id")
+    return async_enrich(keys, lambda user: f"profile-{user}", "user_id", "string", capacity=20)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from concurrent.futures import TimeoutError as LookupTimeout
@@ -46,7 +45,7 @@ def versions_as_of_sink(
 
 def async_enrich(
     df: DataFrame, lookup: Callable[[object], object], key: str, out_type: str, capacity: int = 20,
-    timeout_s: float = 10.0, out: str = "found", clock: Callable[[], float] = time.monotonic,
+    timeout_s: float = 10.0, out: str = "found",
 ) -> DataFrame:
     """Call an outside service for each row, at most ``capacity`` calls at a time per task.
 
@@ -63,9 +62,8 @@ def async_enrich(
                 found, errors = [], []
                 calls = [pool.submit(lookup, k) for k in pdf[key]]
                 for call in calls:
-                    deadline = clock() + timeout_s
                     try:
-                        found.append(call.result(timeout=max(deadline - clock(), 0)))
+                        found.append(call.result(timeout=timeout_s))
                         errors.append(None)
                     except LookupTimeout:
                         call.cancel()
