@@ -75,3 +75,8 @@ def test_decode_text(spark):
 def test_computed_column_round_trip(spark):
     df = spark.createDataFrame([("usd", 1)], "currency string, rate int").withColumn("capital_currency", F.upper("currency"))
     assert tuple(df.first()) == ("usd", 1, "USD")
+
+
+def test_materialise_in_blocks(spark):
+    df = spark.range(200_000).select(F.lit("+I").alias("op"), F.when(F.col("id") < 150_000, "hot").otherwise("cold").alias("k"))
+    assert sorted(tuple(r) for r in materialise(df).groupBy("k").count().collect()) == [("cold", 50_000), ("hot", 150_000)]

@@ -14,6 +14,8 @@ from tidepool.operators.scan import (
 # Spelled-out row kinds and their short forms.
 ROW_KINDS = {"INSERT": "+I", "UPDATE_BEFORE": "-U", "UPDATE_AFTER": "+U", "DELETE": "-D"}
 
+REPEAT_BLOCK = 65_536
+
 
 def is_addition(op: str | Column = "op") -> Column:
     return (F.col(op) if isinstance(op, str) else op).isin("+I", "+U")
@@ -116,7 +118,14 @@ def add_retract_flag(df: DataFrame, op: str = "op") -> DataFrame:
 
 
 def materialise(df: DataFrame, op: str = "op", drop: Sequence[str] = ()) -> DataFrame:
-    """Final rows of a changelog without a key: each full row as often as it is still present."""
+    """Final rows of a changelog without a key: each full row as often as it is still present.
+
+    A row present very often is written out in blocks that are spread over the cluster first.
+    """
     columns = [c for c in df.columns if c != op and c not in drop]
     net = df.groupBy(*columns).agg(F.sum(sign(op)).alias("__n")).where("__n > 0")
-    return net.select(*columns, F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))).alias("__i")).drop("__i")
+    last_block = F.ceil(F.col("__n") / REPEAT_BLOCK) - 1
+    blocks = net.select(*columns, "__n", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)).alias("__b"))
+    size = F.least(F.lit(REPEAT_BLOCK), F.col("__n") - F.col("__b") * REPEAT_BLOCK).cast("int")
+    spread = blocks.repartition("__b", *columns)
+    return spread.select(*columns, F.explode(F.sequence(F.lit(1), size)).alias("__i")).drop("__i")
