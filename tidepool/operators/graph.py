@@ -21,27 +21,36 @@ def adjacency(edges: DataFrame, max_items: int = LIST_LIMIT) -> DataFrame:
     return lists.join(degrees, "src")
 
 
+def _shares(ranks: DataFrame, lists: DataFrame, value: str) -> DataFrame:
+    """(page, share): each vertex hands ``value`` in equal parts to its out-neighbours."""
+    return ranks.join(lists, ranks["page"] == lists["src"]).select(
+        F.explode("neighbours").alias("page"), (F.col(value) / F.col("degree")).alias("share"))
+
+
 def _spread(ranks: DataFrame, lists: DataFrame, value: str) -> DataFrame:
-    """Each vertex hands ``value`` in equal shares to its out-neighbours: (page, total received)."""
-    shares = ranks.join(lists, ranks["page"] == lists["src"]).select(
-        F.explode("neighbours").alias("page"), (F.col(value) / F.col("degree")).alias("__share"))
-    return shares.groupBy("page").agg(F.sum("__share").alias("__got"))
+    return _shares(ranks, lists, value).groupBy("page").agg(F.sum("share").alias("__got"))
 
 
 def pagerank(
     pages: DataFrame, edges: DataFrame, damping: float = 0.85, max_rounds: int = 10, epsilon: float = 1e-4
 ) -> DataFrame:
-    """(page, rank).  Pages without in-links leave after the first round; stops when no rank moves by epsilon."""
+    """(page, rank).  Pages without in-links leave after the first round; stops when no rank moves by epsilon.
+
+    A page's former rank travels to its new one as one more row of the same aggregation, so
+    measuring the movement needs no further join.
+    """
     n = pages.count()
     lists = stage_table(adjacency(edges), "adjacency")
     ranks = pages.select("page", F.lit(1.0 / n).alias("rank"))
     for _ in range(max_rounds):
-        new = _spread(ranks, lists, "rank").select(
-            "page", (F.col("__got") * damping + (1 - damping) / n).alias("rank"))
-        moved = new.join(ranks.withColumnRenamed("rank", "__old"), "page", "left")
-        ranks = cut_lineage(moved.withColumn("__moved", F.abs(F.col("rank") - F.col("__old"))).drop("__old"))
-        largest = ranks.agg(F.max("__moved")).first()[0]
-        ranks = ranks.drop("__moved")
+        shares = _shares(ranks, lists, "rank")
+        former = ranks.select("page", F.col("rank").alias("former"))
+        summed = shares.unionByName(former, allowMissingColumns=True).groupBy("page").agg(
+            F.sum("share").alias("__got"), F.max("former").alias("__former")).where("__got IS NOT NULL")
+        new = summed.select("page", (F.col("__got") * damping + (1 - damping) / n).alias("rank"), "__former")
+        moved = cut_lineage(new.withColumn("__moved", F.abs(F.col("rank") - F.col("__former"))).drop("__former"))
+        largest = moved.agg(F.max("__moved")).first()[0]
+        ranks = moved.drop("__moved")
         if largest is None or largest <= epsilon:
             break
     return ranks
