@@ -17,7 +17,7 @@ from tidepool.session import run_dir
 from tidepool.sources.broker import decode_json, upsert_records
 from tidepool.sources.files import delimited
 from tidepool.sources.sinks import write_delimited
-from tidepool.tables import load
+from tidepool.tables import load, micros
 
 
 @query("csv_mask_scan", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders")
@@ -83,7 +83,7 @@ def event_time_and_window(spark, folder):
 def scalar_functions(spark, folder):
     return load(spark, folder, "events").select(
         "event_id", F.date_format("ts", "yyyy/MM/dd HH:mm").alias("at"),
-        F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).alias("sec"),
+        F.floor(micros("ts") / 1_000_000).alias("sec"),
         F.date_format(F.expr("ts - INTERVAL '3' SECOND"), "mm:ss").alias("earlier"),
         F.upper("event_type").alias("up"), F.substring("event_type", 2, 3).alias("mid"), F.md5("props").alias("digest"),
         F.concat_ws("/", "event_type", F.col("user_id").cast("string")).alias("pk"),

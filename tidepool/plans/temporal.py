@@ -12,7 +12,7 @@ from tidepool.operators.windows import (
 )
 from tidepool.plans.registry import query
 from tidepool.streaming.joins import async_enrich
-from tidepool.tables import exact_avg, exact_sum, fixed, load
+from tidepool.tables import exact_avg, exact_sum, fixed, load, micros
 
 HOUR = 3_600_000_000
 DAY = 24 * HOUR
@@ -173,7 +173,7 @@ def _shows_and_clicks(spark, folder):
 
 
 def _with_lag(joined):
-    lag = F.timestamp_diff("MICROSECOND", F.col("show_ts"), F.col("click_ts"))
+    lag = micros("click_ts") - micros("show_ts")
     return joined.select("user_id", "click_id", "show_id", lag.alias("lag_us"))
 
 

@@ -11,6 +11,7 @@ TABLES = (
 ).split()
 
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,8 +20,15 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def micros(ts: str | Column) -> Column:
     """Microseconds since 1970-01-01 of a zone-less timestamp, independent of the session zone."""
-    name = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("MICROSECOND", F.expr(EPOCH), name)
+    t = F.col(ts) if isinstance(ts, str) else ts
+    session = SparkSession.getActiveSession()
+    zone = session.conf.get("spark.sql.session.timeZone") if session else "UTC"
+    if zone in UTC_NAMES:
+        return F.timestamp_diff("MICROSECOND", F.expr(EPOCH), t)
+    # The difference function reads its arguments in the session zone, whose clock changes would show.
+    seconds = F.hour(t) * 3600 + F.minute(t) * 60
+    fraction = (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+    return F.unix_date(t.cast("date")).cast("bigint") * 86_400_000_000 + seconds.cast("bigint") * 1_000_000 + fraction
 
 
 def from_micros(us: Column) -> Column:
