@@ -320,22 +320,6 @@ def changelog_materialise(spark, folder):
     return materialise(rows)
 
 
-@query("upsert_table_latest", """
-    SELECT o_custkey, o_orderkey AS seq, o_orderstatus, o_totalprice FROM (
-        SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders) WHERE rn = 1
-""")
-def upsert_table_latest(spark, folder):
-    """Written to a key table in two commits, read back as the latest row per key."""
-    from tidepool.operators.lake import KeyTable
-    from tidepool.session import run_dir
-
-    orders = load(spark, folder, "orders").select("o_custkey", F.col("o_orderkey").alias("seq"), "o_orderstatus", "o_totalprice")
-    table = KeyTable(spark, run_dir(spark, "orders-by-customer"), ["o_custkey"], "seq")
-    table.append(orders.where("o_orderstatus = 'F'"), commit=1)
-    table.append(orders.where("o_orderstatus <> 'F'"), commit=2)
-    return table.read()
-
-
 @query("item_lists", """
     WITH s AS (SELECT o_custkey, CAST(ceil(count(*) / 8) AS BIGINT) AS parts FROM orders GROUP BY 1)
     SELECT o_custkey, o_orderkey % parts AS part, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS order_ids
