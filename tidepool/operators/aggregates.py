@@ -141,7 +141,8 @@ def bounded_lists(
 def signed_average(value: str, sign: Column) -> Column:
     """Average over a changelog: additions count +1, retractions -1; null when nothing is left."""
     used = F.when(F.col(value).isNotNull(), sign)
-    return F.try_divide(F.sum(F.col(value) * sign), F.nullif(F.sum(used), F.lit(0)))
+    total, left = F.sum(F.col(value) * sign), F.sum(used)
+    return F.try_divide(total.cast("double"), F.nullif(left, F.lit(0)).cast("double"))
 
 
 def smallest_per_group(df: DataFrame, keys: Sequence[str], delta: str, tie_break: Sequence[str], n: int = 3) -> DataFrame:

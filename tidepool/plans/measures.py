@@ -253,10 +253,8 @@ def changelog_retract_sum(spark, folder):
     FROM c GROUP BY o_custkey
 """)
 def changelog_signed_average(spark, folder):
-    changes = _order_changes(spark, folder)
-    n = F.sum(sign())
-    total = F.sum(fixed("o_totalprice") * sign()).cast("double")
-    return changes.groupBy("o_custkey").agg(F.try_divide(total, F.nullif(n, F.lit(0)).cast("double")).alias("mean"))
+    changes = _order_changes(spark, folder).withColumn("o_totalprice", fixed("o_totalprice"))
+    return changes.groupBy("o_custkey").agg(signed_average("o_totalprice", sign()).alias("mean"))
 
 
 @query("changelog_upsert_latest", CHANGES + """

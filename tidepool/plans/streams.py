@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidepool.operators.joins import lookup_join
 from tidepool.operators.scan import MINUTE_US, seq_chunk, time_chunk
 from tidepool.operators.windows import Agg, session_slots, slide, stitch_sessions, tumble
-from tidepool.plans import iterative, measures, patterns, temporal  # noqa: F401  (their SQL is reused)
+from tidepool.plans import measures, patterns, temporal  # noqa: F401  (registered first: their SQL is reused)
 from tidepool.plans.patterns import lettered
 from tidepool.plans.registry import REGISTRY, query
 from tidepool.plans.temporal import HOUR, INTERVAL_SQL
