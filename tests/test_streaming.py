@@ -360,3 +360,14 @@ def test_ingestion_time(spark, feed):
     src = with_event_time(feed("v int", [(1,), (2,)]).withColumn("ts", F.current_timestamp()), "ts", "0 seconds")
     out = land_latest(tumble(src, "ts", "1 day", [], n=F.count("*")), ["window_start", "window_end"])
     assert sum(r.n for r in out.collect()) == 2
+
+
+def test_streams_without_input(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    src = watch_text(spark, str(tmp_path / "none"))
+    assert land(src).count() == 0
+    assert land_latest(src.groupBy("value").count(), ["value"]).count() == 0
+    rows_ = src.select(F.length("value").cast("bigint").alias("k"), F.lit(1).cast("bigint").alias("seq"), F.lit(1).cast("bigint").alias("value"))
+    step = running_sum_step(["k"], ["seq"], seq_chunk("seq", 7), "value")
+    out = run_carried(rows_, step, "k bigint, total bigint")
+    assert out.count() == 0 and "total" in out.columns

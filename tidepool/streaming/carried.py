@@ -18,7 +18,7 @@ from tidepool.operators.patterns import STATES, fold_states, next_then_followed_
 from tidepool.operators.scan import HEAVY_ROWS, running_count, running_sum, scan
 from tidepool.operators.windows import Agg, fire_count_windows
 from tidepool.session import run_dir, stage_table
-from tidepool.streaming.runs import run_all
+from tidepool.streaming.runs import counted, run_all
 
 Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
@@ -53,7 +53,9 @@ def run_carried(stream: DataFrame, step: Step, state_schema: str, checkpoint: st
         out.write.mode("overwrite").parquet(f"{folder}/out/commit={batch_id}")
         table.save(state, batch_id)
 
-    run_all(stream, sink, checkpoint=checkpoint)
+    run_all(stream, counted(sink, batches := []), checkpoint=checkpoint)
+    if not batches:  # the source had nothing to read
+        return step(spark.createDataFrame([], stream.schema), table.before(0))[0]
     return spark.read.parquet(f"{folder}/out").drop("commit")
 
 

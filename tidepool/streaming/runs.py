@@ -46,11 +46,22 @@ def append_sink(path: str) -> Sink:
     return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/commit={batch_id}")
 
 
+def counted(sink: Sink, batches: list[int]) -> Sink:
+    """Note the ids of the micro-batches a sink has written."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sink(batch, batch_id)
+        batches.append(batch_id)
+
+    return write
+
+
 def land(stream: DataFrame, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
     """All rows a stream emits, as a table."""
     spark = stream.sparkSession
     path = run_dir(spark, "landed")
-    run_all(stream, append_sink(path), mode, checkpoint)
+    run_all(stream, counted(append_sink(path), batches := []), mode, checkpoint)
+    if not batches:  # the source had nothing to read
+        return spark.createDataFrame([], stream.schema)
     return spark.read.schema(stream.schema).parquet(path).select(*stream.columns)
 
 
@@ -58,8 +69,8 @@ def land_latest(stream: DataFrame, keys: Sequence[str], checkpoint: str | None =
     """Final row per key of a stream in update mode: increments are upserted, the read takes the last."""
     spark = stream.sparkSession
     table = KeyTable(spark, run_dir(spark, "upserted"), keys, "commit", evolving=False)
-    run_all(stream, table.append, "update", checkpoint)
-    return table.read()
+    run_all(stream, counted(table.append, batches := []), "update", checkpoint)
+    return table.read() if batches else spark.createDataFrame([], stream.schema)
 
 
 def fan_out(*sinks: Sink) -> Sink:
