@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, secret_scan
+from tidepool.llm import bpe, language_id, quality_gam, quality_rules, secret_scan, token_counts
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -16,14 +16,30 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(_table(spark, folder, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents"), VOCABULARY)
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, folder, "documents"), VOCABULARY)
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan_secrets(_table(spark, folder, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.apply_rules(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_gam.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
