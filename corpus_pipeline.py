@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, secret_scan
+from tidepool.llm import bpe, decontaminate, secret_scan
 from tidepool.llm.queries import VOCABULARY
 from tidepool.session import stage_table
 
 
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by a mark; all documents stay."""
-    return secret_scan.redact_secrets(docs)
+    clean = secret_scan.redact_secrets(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +26,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, VOCABULARY)
 
 
-STAGES = [("secret scans", secrets), ("byte-level BPE", tokens)]
+STAGES = [("benchmark decontamination", leaks), ("secret scans", secrets), ("byte-level BPE", tokens)]
 
 #: Learned rules, randomised joins and token merges have no SQL form; the tests hold them against brute force.
 ORACLE_SQL = None
