@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, language_id, quality_gam, quality_rules, secret_scan, token_counts
+from tidepool.llm import bpe, decontaminate, html_wrappers, language_id, quality_gam, quality_rules, secret_scan, token_counts
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -20,6 +20,10 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(_table(spark, folder, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_wrappers.extract_text(_table(spark, folder, "pages"))
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents"), VOCABULARY)
 
@@ -32,6 +36,10 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan_secrets(_table(spark, folder, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.apply_rules(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
