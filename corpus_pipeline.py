@@ -5,11 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, decontaminate, secret_scan
+from tidepool.llm import bpe, decontaminate, jaccard_join, quality_rules, secret_scan
 from tidepool.llm.queries import VOCABULARY
 from tidepool.session import stage_table
 
 
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the learned decision list rejects go."""
+    return quality_rules.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies, the document with the smallest id stays."""
+    return jaccard_join.keep_one(docs)
+
+
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of a benchmark item go."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -26,7 +36,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, VOCABULARY)
 
 
-STAGES = [("benchmark decontamination", leaks), ("secret scans", secrets), ("byte-level BPE", tokens)]
+STAGES = [("quality rules", rules), ("n-gram Jaccard join", near_copies), ("benchmark decontamination", leaks), ("secret scans", secrets), ("byte-level BPE", tokens)]
 
 #: Learned rules, randomised joins and token merges have no SQL form; the tests hold them against brute force.
 ORACLE_SQL = None
