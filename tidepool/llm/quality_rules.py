@@ -179,3 +179,11 @@ def apply_rules(docs: DataFrame, labels: DataFrame, key: str = "doc_id", sample_
     """Learn on the labels and judge every document."""
     features, quality = labelled_sample(docs, labels, sample_rows, key)
     return judge(docs, learn_rules(features, quality == 0), key)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+              sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The documents that pass the base rules and the learned list, with all their columns."""
+    features, quality = labelled_sample(docs, labels, sample_rows, key)
+    judged = judge(docs.withColumn("__row", F.struct(*docs.columns)), learn_rules(features, quality == 0), "__row")
+    return judged.where("kept").select("__row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, decontaminate, html_wrappers, language_id, quality_gam, quality_rules, secret_scan, token_counts
+from tidepool.llm import bpe, decontaminate, html_wrappers, jaccard_join, language_id, quality_gam, quality_rules, secret_scan, token_counts
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -20,6 +20,10 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(_table(spark, folder, "documents"))
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.link_classes(_table(spark, folder, "documents"))
+
+
 def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_wrappers.extract_text(_table(spark, folder, "pages"))
 
