@@ -36,7 +36,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, VOCABULARY)
 
 
-STAGES = [("quality rules", rules), ("n-gram Jaccard join", near_copies), ("benchmark decontamination", leaks), ("secret scans", secrets), ("byte-level BPE", tokens)]
+STAGES = [
+    ("quality rules", rules),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", leaks),
+    ("secret scans", secrets),
+    ("byte-level BPE", tokens),
+]
 
 #: Learned rules, randomised joins and token merges have no SQL form; the tests hold them against brute force.
 ORACLE_SQL = None
