@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, decontaminate, html_wrappers, jaccard_join, language_id, quality_gam, quality_rules, secret_scan, token_counts
+from tidepool.llm import (
+    bpe,
+    decontaminate,
+    html_wrappers,
+    jaccard_join,
+    language_id,
+    quality_gam,
+    quality_rules,
+    secret_scan,
+    substring_dedup,
+    token_counts,
+)
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -28,6 +39,10 @@ def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_wrappers.extract_text(_table(spark, folder, "pages"))
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, folder, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents"), VOCABULARY)
 
