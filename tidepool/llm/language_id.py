@@ -45,14 +45,14 @@ def _fold() -> np.ndarray:
 
 
 def grams(text: str) -> Iterator[np.ndarray]:
-    """Hashed n-grams of a text, block by block; blocks overlap so that every n-gram comes once."""
+    """Hashed n-grams of a text, block by block; a block border counts as a blank."""
     for start in range(0, len(text), BLOCK):
         points = _fold()[np.frombuffer(text[start:start + BLOCK].encode("utf-32-le", "surrogatepass"), np.uint32)]
+        points = np.concatenate([[BLANK], points, [BLANK]]).astype(np.uint32)
         blank = points == BLANK
-        points = points[~(blank & np.concatenate([[False], blank[:-1]]))]
-        if (points == BLANK).all():
+        if blank.all():
             continue
-        points = np.concatenate([[BLANK], points, [BLANK]]).astype(np.uint32)
+        points = points[~(blank & np.concatenate([[False], blank[:-1]]))]
         code = np.zeros(len(points), dtype=np.uint32)
         out = []
         for order in range(1, max(ORDERS) + 1):
