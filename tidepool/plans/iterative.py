@@ -15,8 +15,9 @@ from tidepool.plans.registry import query
 from tidepool.session import stage_table
 from tidepool.tables import load
 
-PAGERANK_ROUNDS = 4
-DELTA_ROUNDS = 3
+# Limits and stop rules of the iterative jobs.
+PAGERANK_ROUNDS, PAGERANK_EPSILON = 10, 0.0001
+DELTA_ROUNDS = 100
 
 
 def _trades(spark, folder):
@@ -37,74 +38,74 @@ TRADES = """
 
 PAGERANK_SQL = "WITH " + TRADES + ", r0 AS (SELECT src AS page, 1.0::DOUBLE / n AS rank FROM d, n)" + "".join(f""",
     r{i} AS MATERIALIZED (SELECT dst AS page, sum(rank / deg) * 0.85::DOUBLE + (1.0::DOUBLE - 0.85::DOUBLE) / any_value(n) AS rank
-           FROM r{i - 1} JOIN e ON page = e.src JOIN d ON d.src = e.src, n GROUP BY dst)"""
-    for i in range(1, PAGERANK_ROUNDS + 1)) + f" SELECT page, round(rank, 10) AS rank FROM r{PAGERANK_ROUNDS}"
+           FROM r{i - 1} JOIN e ON page = e.src JOIN d ON d.src = e.src, n GROUP BY dst),
+    m{i} AS (SELECT max(abs(a.rank - b.rank)) AS moved FROM r{i} a JOIN r{i - 1} b USING (page))"""
+    for i in range(1, PAGERANK_ROUNDS + 1)) + f""",
+    s AS (SELECT coalesce(min(i), {PAGERANK_ROUNDS}) AS stop FROM (""" + " UNION ALL ".join(
+    f"SELECT {i} AS i, moved FROM m{i}" for i in range(1, PAGERANK_ROUNDS + 1)) + f""") WHERE moved <= {PAGERANK_EPSILON}::DOUBLE)
+    SELECT page, round(rank, 10) AS rank FROM (""" + " UNION ALL ".join(
+    f"SELECT {i} AS i, page, rank FROM r{i}" for i in range(1, PAGERANK_ROUNDS + 1)) + ") JOIN s ON i = stop"
 
 
 @query("pagerank", PAGERANK_SQL)
 def pagerank_query(spark, folder):
     edges = stage_table(undirected(_trades(spark, folder)), "trades")
     pages = edges.select(F.col("src").alias("page")).distinct()
-    return pagerank(pages, edges, max_rounds=PAGERANK_ROUNDS, epsilon=0.0).select(
+    return pagerank(pages, edges, max_rounds=PAGERANK_ROUNDS, epsilon=PAGERANK_EPSILON).select(
         "page", F.round("rank", 10).alias("rank"))
 
 
-DELTA_SQL = "WITH " + TRADES + """,
+DELTA_SQL = "WITH RECURSIVE " + TRADES + f""",
     i AS MATERIALIZED (SELECT page, sum(v) AS rank FROM (
              SELECT dst AS page, (1.0::DOUBLE / n) * 0.85::DOUBLE / deg AS v FROM e JOIN d USING (src), n
              UNION ALL SELECT src, (1.0::DOUBLE - 0.85::DOUBLE) / n FROM d, n) GROUP BY page),
-    w0 AS MATERIALIZED (SELECT page, rank - 1.0::DOUBLE / n AS delta FROM i, n)""" + "".join(f""",
-    w{k} AS MATERIALIZED (SELECT dst AS page, sum(delta * 0.85::DOUBLE / deg) AS delta
-           FROM w{k - 1} JOIN e ON page = e.src JOIN d ON d.src = e.src, n GROUP BY dst
-           HAVING abs(sum(delta * 0.85::DOUBLE / deg)) > 0.0001::DOUBLE / any_value(n))"""
-    for k in range(1, DELTA_ROUNDS + 1)) + """
-    SELECT page, round(rank + coalesce(x, 0), 10) AS rank FROM i LEFT JOIN (
-        SELECT page, sum(delta) AS x FROM (""" + " UNION ALL ".join(
-    f"SELECT * FROM w{k}" for k in range(1, DELTA_ROUNDS + 1)) + ") GROUP BY page) USING (page)"
+    w(k, page, delta) AS (
+        SELECT 0, page, rank - 1.0::DOUBLE / n FROM i, n
+        UNION ALL
+        SELECT any_value(k) + 1, dst, sum(delta * 0.85::DOUBLE / deg)
+        FROM w JOIN e ON page = e.src JOIN d ON d.src = e.src, n WHERE k < {DELTA_ROUNDS} GROUP BY dst
+        HAVING abs(sum(delta * 0.85::DOUBLE / deg)) > 0.0001::DOUBLE / any_value(n))
+    SELECT page, round(rank + coalesce(x, 0), 8) AS rank
+    FROM i LEFT JOIN (SELECT page, sum(delta) AS x FROM w WHERE k > 0 GROUP BY page) USING (page)
+"""
 
 
 @query("delta_pagerank", DELTA_SQL)
 def delta_pagerank_query(spark, folder):
     edges = stage_table(undirected(_trades(spark, folder)), "trades")
     n = edges.select("src").distinct().count()
-    return delta_pagerank(edges, n, max_rounds=DELTA_ROUNDS).select("page", F.round("rank", 10).alias("rank"))
+    return delta_pagerank(edges, n, max_rounds=DELTA_ROUNDS).select("page", F.round("rank", 8).alias("rank"))
 
 
-def _large_returns(spark, folder):
-    """Trade pairs of large, undiscounted returns: a sparse graph over customers and suppliers."""
-    items = load(spark, folder, "lineitem").where("l_returnflag = 'R' AND l_discount = 0 AND l_quantity >= 45").select(
-        F.col("l_orderkey").alias("o_orderkey"), "l_suppkey")
-    orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    return items.join(orders, "o_orderkey").select(
-        (F.col("o_custkey") * 2).alias("src"), (F.col("l_suppkey") * 2 + 1).alias("dst")).distinct()
-
-
-@query("connected_components", """
-    WITH RECURSIVE t AS (SELECT DISTINCT o_custkey * 2 AS c, l_suppkey * 2 + 1 AS s
-                         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-                         WHERE l_returnflag = 'R' AND l_discount = 0 AND l_quantity >= 45),
-    e AS (SELECT c AS a, s AS b FROM t UNION SELECT s, c FROM t),
-    v AS (SELECT c_custkey * 2 AS id FROM customer UNION ALL SELECT s_suppkey * 2 + 1 FROM supplier),
-    r AS (SELECT id, id AS label FROM v UNION SELECT b, label FROM r JOIN e ON id = a)
-    SELECT id, min(label) AS component FROM r GROUP BY id
-""")
+COMPONENT_ROUNDS = 12  # of the SQL twin only; more than the trade graph's diameter
+
+COMPONENTS_SQL = """
+    WITH t AS MATERIALIZED (SELECT DISTINCT o_custkey * 2 AS c, l_suppkey * 2 + 1 AS s FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+    e AS MATERIALIZED (SELECT c AS a, s AS b FROM t UNION ALL SELECT s, c FROM t),
+    r0 AS (SELECT c_custkey * 2 AS id, c_custkey * 2 AS label FROM customer UNION ALL SELECT s_suppkey * 2 + 1, s_suppkey * 2 + 1 FROM supplier)
+""" + "".join(f""",
+    r{i} AS MATERIALIZED (SELECT r.id, least(any_value(r.label), coalesce(min(q.label), any_value(r.label))) AS label
+           FROM r{i - 1} r LEFT JOIN e ON r.id = a LEFT JOIN r{i - 1} q ON q.id = b GROUP BY r.id)"""
+    for i in range(1, COMPONENT_ROUNDS + 1)) + f" SELECT id, label AS component FROM r{COMPONENT_ROUNDS}"
+
+
+@query("connected_components", COMPONENTS_SQL)
 def connected_components_query(spark, folder):
     vertices = load(spark, folder, "customer").select((F.col("c_custkey") * 2).alias("id")).unionByName(
         load(spark, folder, "supplier").select((F.col("s_suppkey") * 2 + 1).alias("id")))
-    return connected_components(vertices, _large_returns(spark, folder))
+    return connected_components(vertices, _trades(spark, folder))
 
 
 @query("transitive_closure", """
     WITH RECURSIVE e AS (
         SELECT DISTINCT c_nationkey AS src, s_nationkey AS dst FROM lineitem
-        JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
-        WHERE l_returnflag = 'R' AND l_discount = 0 AND l_quantity >= 45),
+        JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey),
     p AS (SELECT src, dst FROM e UNION SELECT p.src, e.dst FROM p JOIN e ON p.dst = e.src)
     SELECT src, dst FROM p
 """)
 def transitive_closure_query(spark, folder):
-    """Which nations reach which through large returns; nations bound the closure, not the rows."""
-    pairs = _large_returns(spark, folder)
+    """Which nations reach which through trade; nations bound the closure, not the rows."""
+    pairs = _trades(spark, folder)
     customers = load(spark, folder, "customer").select((F.col("c_custkey") * 2).alias("src"), F.col("c_nationkey").alias("a"))
     suppliers = load(spark, folder, "supplier").select((F.col("s_suppkey") * 2 + 1).alias("dst"), F.col("s_nationkey").alias("b"))
     edges = pairs.join(customers, "src").join(suppliers, "dst").select(F.col("a").alias("src"), F.col("b").alias("dst"))
@@ -143,7 +144,7 @@ def adjacency_lists(spark, folder):
 
 # Starting centroids (id, part size, price in tens) and the number of steps.
 CENTROIDS = ((1, 5.0, 95.0), (2, 20.0, 100.0), (3, 35.0, 105.0), (4, 48.0, 110.0))
-KMEANS_ROUNDS = 3
+KMEANS_ROUNDS = 10
 
 KMEANS_SQL = """
     WITH p AS (SELECT p_partkey, p_size::DOUBLE AS x, round(p_retailprice / 10, 2) AS y FROM part),
