@@ -8,9 +8,12 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidepool.operators.aggregates import bounded_lists
+from tidepool.operators.graph import adjacency
 from tidepool.operators.scan import (
-    last_seen, running_count, running_max, running_min, running_sum, scan, seq_chunk,
+    _split_overfull, last_seen, running_count, running_max, running_min, running_sum, scan, seq_chunk,
 )
+from tidepool.operators.windows import Agg, sessions
 
 
 @pytest.fixture(scope="module")
@@ -54,3 +57,35 @@ def test_scan_equals_window(rows, heavy_rows, descending):
 def test_scan_without_keys(rows):
     got = scan(rows, [], ["seq"], seq_chunk("seq", 50), {"n": running_count()})
     assert [r.n for r in got.orderBy("seq").collect()] == list(range(1, 601))
+
+
+def test_busy_chunk_is_split(spark):
+    """All rows of a hot key inside one chunk: no window gets more than a few times heavy_rows."""
+    rows = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("seq"), (F.col("id") % 7).alias("v"))
+    got = scan(rows, ["k"], ["seq"], F.lit(0).cast("bigint"), {"total": running_sum(F.col("v"))}, heavy_rows=100)
+    want, total = [], 0
+    for i in range(4000):
+        total += i % 7
+        want.append(total)
+    assert [r.total for r in got.orderBy("seq").collect()] == want
+    inputs = rows.withColumns({"__heavy": F.lit(True), "__chunk": F.lit(0).cast("bigint")})
+    sizes = [r["count"] for r in _split_overfull(inputs, ["k", "__chunk"], ["seq"], 100).groupBy("__sub").count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) <= 300
+
+
+def test_lists_never_exceed_their_bound(spark):
+    strided = spark.range(4000).select(F.lit(1).alias("k"), (F.col("id") * 40).alias("id"))
+    repeated = spark.range(5000).select(F.lit(1).alias("k"), F.lit(9).cast("bigint").alias("id"))
+    for rows, heavy in ((strided, 100), (strided, 2_000_000), (repeated, 2_000_000), (repeated, 100)):
+        out = bounded_lists(rows, ["k"], F.col("id"), "id", 100, heavy_rows=heavy).collect()
+        assert max(len(r["items"]) for r in out) <= 100 and len(out) == rows.count() // 100
+        assert sorted(i for r in out for i in r["items"]) == sorted(r.id for r in rows.collect())
+    assert max(len(r.neighbours) for r in adjacency(repeated.select(F.col("k").alias("src"), F.col("id").alias("dst")), 100).collect()) <= 100
+
+
+def test_sessions_with_a_short_gap_and_one_key(spark):
+    rows = spark.range(3000).select(
+        F.lit("hot").alias("k"), F.timestamp_micros(F.col("id") * 1000 + F.floor(F.col("id") / 10) * 50_000).cast("timestamp_ntz").alias("ts"))
+    for heavy in (50, 2_000_000):
+        got = sessions(rows, "ts", 3_000, ["k"], heavy, n=Agg("count")).collect()
+        assert sorted(r.n for r in got) == [10] * 300

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.operators.joins import join_groups
-from tidepool.operators.scan import HEAVY_ROWS, running_sum, scan
+from tidepool.operators.scan import HEAVY_ROWS, running_count, running_sum, scan
 from tidepool.session import stage_table
 
 # Shares of the total, counted from the top, for the lines 50 75 90 95 99 99.9 99.99.
@@ -124,17 +124,19 @@ def first_last(value: str, seq: Sequence[str]) -> tuple[Column, Column]:
 
 
 def bounded_lists(
-    df: DataFrame, keys: Sequence[str], item: Column, item_order: str, max_items: int, out: str = "items"
+    df: DataFrame, keys: Sequence[str], item: Column, item_order: str, max_items: int, out: str = "items",
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Originals of each group as sorted lists of about ``max_items``: (keys, part, items).
+    """Originals of each group as sorted lists of at most ``max_items``: (keys, part, items).
 
-    A group larger than ``max_items`` is dealt into several parts by a remainder of ``item_order``
-    (an integer unique to the row), so no list grows with its group and no row is left out.
+    The rows of a group are numbered in the order of ``item_order`` by the chunked scan and cut after
+    every ``max_items`` numbers, so the bound holds whatever the ids look like, repeats included.
     """
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / max_items).alias("__parts"))
-    parts = join_groups(df, sizes, keys).withColumn("part", F.pmod(F.col(item_order), F.col("__parts")))
+    rows = df.select(*keys, F.col(item_order).alias("__o"), item.alias("__item"))
+    numbered = scan(rows, keys, ["__o"], F.lit(0).cast("bigint"), {"__n": running_count()}, heavy_rows=heavy_rows)
+    parts = numbered.withColumn("part", F.floor((F.col("__n") - 1) / max_items).cast("bigint"))
     listed = parts.groupBy(*keys, "part").agg(
-        F.sort_array(F.collect_list(F.struct(F.col(item_order).alias("o"), item.alias("v")))).alias("__l"))
+        F.sort_array(F.collect_list(F.struct(F.col("__n").alias("n"), F.col("__item").alias("v")))).alias("__l"))
     return listed.select(*keys, "part", F.transform("__l", lambda s: s["v"]).alias(out))
 
 

@@ -3,10 +3,12 @@
 A plain ``OVER (PARTITION BY key ORDER BY t)`` sends a whole key to one task.  Every measure below
 is an associative prefix, so heavy keys are evaluated in two levels:
 
-1. keys with more than ``heavy_rows`` rows are found by a partial + final count (at most
-   total rows / ``heavy_rows`` of them, so the list is safe to broadcast);
+1. keys with more than ``heavy_rows`` rows are found by a partial + final count; the list is cut to
+   the ``MAX_HEAVY`` largest and broadcast (a key beyond them has at most rows / ``MAX_HEAVY`` rows);
 2. rows of heavy keys are split by ``chunk``, a monotone function of the order (a minute, a range
-   of sequence numbers); their chunk totals are a partial + final aggregation;
+   of sequence numbers); a chunk that itself has more than ``heavy_rows`` rows is split further at
+   the places of a hash sample of its rows, so that a busy minute does not stay in one task;
+   the totals of chunks are a partial + final aggregation;
 3. the totals - one row per heavy key and chunk - are scanned per key for each chunk's carry-in;
 4. rows are scanned inside ``(key, chunk)`` and combined with the carry.
 
@@ -25,6 +27,9 @@ from pyspark.sql import functions as F
 from tidepool.tables import micros
 
 HEAVY_ROWS = 2_000_000
+MAX_HEAVY = 10_000
+#: Sampled cuts per ``heavy_rows`` rows of an overfull chunk.
+CUTS = 4
 MINUTE_US = 60_000_000
 
 
@@ -65,9 +70,23 @@ def seq_chunk(seq: str | Column, width: int) -> Column:
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Keys with more than ``heavy_rows`` rows; there are at most total rows / ``heavy_rows`` of them."""
+    """Keys with more than ``heavy_rows`` rows, the ``MAX_HEAVY`` largest at most."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("__rows")).where(F.col("__rows") > heavy_rows)
-    return counts.select(*keys, F.lit(True).alias("__heavy"))
+    largest = counts.orderBy(F.desc("__rows")).limit(MAX_HEAVY)
+    return largest.select(*keys, F.lit(True).alias("__heavy"))
+
+
+def _split_overfull(inputs: DataFrame, group: Sequence[str], order: Sequence[str], heavy_rows: int) -> DataFrame:
+    """Adds ``__sub``: the part of an overfull chunk that a row is in, 0 elsewhere; monotone in the order."""
+    order_key, per_rows = F.struct(*order), max(heavy_rows, CUTS)
+    sampled = F.when(F.pmod(F.xxhash64(*order), F.lit(per_rows)) < CUTS, order_key)
+    full = inputs.where("__heavy").groupBy(*group).agg(
+        F.count("*").alias("__rows"), F.array_sort(F.collect_set(sampled)).alias("__cuts")
+    ).where(F.col("__rows") > heavy_rows)
+    cuts = full.orderBy(F.desc("__rows")).limit(MAX_HEAVY).select(*group, "__cuts")
+    placed = inputs.join(F.broadcast(cuts), list(group), "left")
+    passed = F.size(F.filter("__cuts", lambda cut: cut <= order_key))
+    return placed.withColumn("__sub", F.when(F.col("__cuts").isNull(), 0).otherwise(passed)).drop("__cuts")
 
 
 def scan(
@@ -88,7 +107,7 @@ def scan(
     A caller that scans the same keys repeatedly passes their ``heavy_keys`` once.
     """
     names = list(measures)
-    group = [*keys, "__chunk"]
+    group = [*keys, "__chunk", "__sub"]
     valued = df.withColumns({f"__v_{n}": m.value for n, m in measures.items()})
     if keys:
         heavy = heavy_keys(df, keys, heavy_rows) if heavy is None else heavy
@@ -96,13 +115,14 @@ def scan(
     else:
         inputs = valued.withColumn("__heavy", F.lit(True))
     inputs = inputs.withColumn("__chunk", F.when(F.col("__heavy"), chunk).otherwise(F.lit(0).cast("bigint")))
+    inputs = _split_overfull(inputs, [*keys, "__chunk"], order, heavy_rows)
 
     order_key = F.struct(*order)
     totals = inputs.where("__heavy").groupBy(*group).agg(*[
         _total(m, F.col(f"__v_{n}"), order_key, descending).alias(f"__t_{n}") for n, m in measures.items()
     ])
     direction = F.desc if descending else F.asc
-    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(direction("__chunk")).rowsBetween(
+    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(direction("__chunk"), direction("__sub")).rowsBetween(
         Window.unboundedPreceding, -1
     )
     carry = totals.select(*group, *[
@@ -116,7 +136,7 @@ def scan(
         frame = inside.rowsBetween(Window.unboundedPreceding, 0 if m.inclusive else -1)
         local = _prefix(m, F.col(f"__v_{n}"), rows=True).over(frame)
         out[n] = _combine(m, F.col(f"__c_{n}"), local)
-    helpers = ["__chunk", "__heavy", *[f"__v_{n}" for n in names], *[f"__c_{n}" for n in names]]
+    helpers = ["__chunk", "__sub", "__heavy", *[f"__v_{n}" for n in names], *[f"__c_{n}" for n in names]]
     return joined.withColumns(out).drop(*helpers)
 
 

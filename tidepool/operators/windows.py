@@ -9,9 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.operators.joins import join_groups
-from tidepool.operators.scan import HEAVY_ROWS, last_seen, running_count, running_max, scan
+from tidepool.operators.scan import (
+    HEAVY_ROWS, last_seen, running_count, running_max, running_sum, scan, seq_chunk,
+)
 from tidepool.tables import micros
 
+SLOTS_PER_CHUNK = 100_000
+
 
 @dataclass(frozen=True)
 class Agg:
@@ -70,12 +74,19 @@ def session_slots(df: DataFrame, ts: str, gap_us: int, keys: Sequence[str], **ag
     )
 
 
-def stitch_sessions(slots: DataFrame, gap_us: int, keys: Sequence[str], **aggs: Agg) -> DataFrame:
-    """Slots at most ``gap_us`` apart become one session; a key has at most (time span / gap) slots."""
-    w = Window.partitionBy(*keys).orderBy("__slot")
-    apart = micros(F.col("__from")) - micros(F.lag("__to").over(w))
-    opened = slots.withColumn("__new", F.when(apart <= gap_us, 0).otherwise(1))
-    numbered = opened.withColumn("__session", F.sum("__new").over(w))
+def stitch_sessions(
+    slots: DataFrame, gap_us: int, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS, **aggs: Agg
+) -> DataFrame:
+    """Slots at most ``gap_us`` apart become one session.
+
+    A key has at most (time span / gap) slots; where the gap is short that can be most of the rows, so
+    both passes over a key's slots are chunked scans.
+    """
+    chunk = seq_chunk("__slot", SLOTS_PER_CHUNK)
+    lagged = scan(slots, keys, ["__slot"], chunk, {"__before": last_seen(F.col("__to"), inclusive=False)}, heavy_rows=heavy_rows)
+    apart = micros(F.col("__from")) - micros(F.col("__before"))
+    opened = lagged.withColumn("__new", F.when(apart <= gap_us, 0).otherwise(1)).drop("__before")
+    numbered = scan(opened, keys, ["__slot"], chunk, {"__session": running_sum(F.col("__new"))}, heavy_rows=heavy_rows)
     out = numbered.groupBy(*keys, "__session").agg(
         F.min("__from").alias("session_start"), F.max("__to").alias("last_event"),
         *[a.merged(F.col(f"__{n}")).alias(n) for n, a in aggs.items()],
@@ -83,12 +94,14 @@ def stitch_sessions(slots: DataFrame, gap_us: int, keys: Sequence[str], **aggs:
     return out.drop("__session")
 
 
-def sessions(df: DataFrame, ts: str, gap_us: int, keys: Sequence[str], **aggs: Agg) -> DataFrame:
+def sessions(
+    df: DataFrame, ts: str, gap_us: int, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS, **aggs: Agg
+) -> DataFrame:
     """Sessions per key: rows at most ``gap_us`` apart belong together.
 
     Only slots are ordered per key, however many rows the key holds.
     """
-    return stitch_sessions(session_slots(df, ts, gap_us, keys, **aggs), gap_us, keys, **aggs)
+    return stitch_sessions(session_slots(df, ts, gap_us, keys, **aggs), gap_us, keys, heavy_rows, **aggs)
 
 
 def count_windows(

@@ -130,9 +130,9 @@ def triangles_query(spark, folder):
 
 @query("adjacency_lists", """
     WITH e AS (SELECT DISTINCT o_custkey AS src, l_suppkey AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-    d AS (SELECT src, count(*) AS degree, CAST(ceil(count(*) / 16) AS BIGINT) AS parts FROM e GROUP BY src)
-    SELECT src, degree, string_agg(dst::VARCHAR, ' ' ORDER BY dst) AS neighbours
-    FROM e JOIN d USING (src) GROUP BY src, degree, dst % parts
+    d AS (SELECT src, dst, count(*) OVER (PARTITION BY src) AS degree,
+                 (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // 16 AS part FROM e)
+    SELECT src, degree, string_agg(dst::VARCHAR, ' ' ORDER BY dst) AS neighbours FROM d GROUP BY src, degree, part
 """)
 def adjacency_lists(spark, folder):
     """Out-neighbours per customer in lists of bounded length (shown joined)."""

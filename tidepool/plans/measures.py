@@ -319,9 +319,8 @@ def changelog_materialise(spark, folder):
 
 
 @query("item_lists", """
-    WITH s AS (SELECT o_custkey, CAST(ceil(count(*) / 8) AS BIGINT) AS parts FROM orders GROUP BY 1)
-    SELECT o_custkey, o_orderkey % parts AS part, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS order_ids
-    FROM orders JOIN s USING (o_custkey) GROUP BY ALL
+    WITH s AS (SELECT o_custkey, o_orderkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 8 AS part FROM orders)
+    SELECT o_custkey, part, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS order_ids FROM s GROUP BY ALL
 """)
 def item_lists(spark, folder):
     """Originals collected per customer, in lists of bounded length (shown joined)."""
@@ -330,10 +329,9 @@ def item_lists(spark, folder):
 
 
 @query("record_lists", """
-    WITH s AS (SELECT user_id, CAST(ceil(count(*) / 100) AS BIGINT) AS parts FROM events GROUP BY 1)
-    SELECT user_id, event_id % parts AS part,
-           string_agg(event_type || '@' || event_id::VARCHAR, ',' ORDER BY event_id) AS records
-    FROM events JOIN s USING (user_id) GROUP BY ALL
+    WITH s AS (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 100 AS part FROM events)
+    SELECT user_id, part, string_agg(event_type || '@' || event_id::VARCHAR, ',' ORDER BY event_id) AS records
+    FROM s GROUP BY ALL
 """)
 def record_lists(spark, folder):
     """Chosen fields of each row as a list of records (shown joined)."""
