@@ -315,6 +315,62 @@ def test_async_enrichment(spark, feed):
     assert rows(streamed.select("k", "found")) == [(1, "v1"), (2, "v2")]
 
 
+def test_async_enrichment_keeps_keys_and_times_each_call(spark):
+    big = 9007199254740993
+
+    def lookup(k):
+        time.sleep(0.2)
+        return str(k)
+
+    df = spark.createDataFrame([(big,), (None,), (7,)], "k bigint").coalesce(1)
+    assert [tuple(r) for r in async_enrich(df, lookup, "k", "string").collect()] == [
+        (big, str(big), None), (None, None, None), (7, "7", None)]
+    many = spark.range(40).coalesce(1)
+    for ordered in (True, False):
+        late = async_enrich(many, lookup, "id", "string", capacity=10, timeout_s=0.1, ordered=ordered).collect()
+        assert {r.error for r in late} == {"timeout"} and sorted(r.id for r in late) == list(range(40))
+        fine = async_enrich(many, lookup, "id", "string", capacity=10, timeout_s=2.0, ordered=ordered).collect()
+        assert {r.error for r in fine} == {None} and all(r.found == str(r.id) for r in fine)
+
+
+def test_restart_goes_on(spark, feed, tmp_path):
+    """With one checkpoint a second run adds to the first, in each kind of landing."""
+    schema = "k bigint, seq bigint, value bigint"
+    first, second = [(1, 1, 5), (2, 2, 6)], [(1, 3, 7), (2, 4, 1)]
+    src = feed(schema, first)
+    folder = next(tmp_path.glob("in0"))
+    step = running_sum_step(["k"], ["seq"], seq_chunk("seq", 7), "value")
+    checks = [str(tmp_path / f"check{i}") for i in range(3)]
+
+    def all_runs():
+        return (rows(land(src, checkpoint=checks[0])),
+                rows(land_latest(src.groupBy("k").agg(F.sum("value").alias("s")), ["k"], checkpoint=checks[1])),
+                rows(run_carried(src, step, "k bigint, total bigint", checks[2]).select("k", "seq", "total")))
+
+    assert all_runs() == (first, [(1, 5), (2, 6)], [(1, 1, 5), (2, 2, 6)])
+    part = tmp_path / "later"
+    spark.createDataFrame(second, schema).coalesce(1).write.parquet(str(part))
+    (folder / "0009.parquet").write_bytes(next(part.glob("part-*.parquet")).read_bytes())
+    both = (sorted(first + second, key=str), [(1, 12), (2, 7)], [(1, 1, 5), (1, 3, 12), (2, 2, 6), (2, 4, 7)])
+    assert all_runs() == both
+    assert all_runs() == both  # nothing new to read
+
+
+def test_replayed_table_comes_in_ordered_batches(spark):
+    from tidepool.streaming.runs import replay_table
+
+    seen = []
+
+    def note(batch, batch_id):
+        r = batch.agg(F.min("ts"), F.max("ts"), F.count("*")).first()
+        seen.append(tuple(r))
+
+    folder = "/root/testdata/sf0.001"
+    run_all(replay_table(spark, folder, "events", "ts", parts=4), note)
+    assert len(seen) == 4 and sum(s[2] for s in seen) == spark.read.parquet(f"{folder}/events.parquet").count()
+    assert all(a[1] < b[0] for a, b in zip(seen, seen[1:]))
+
+
 def test_incremental_learning(spark, feed, tmp_path):
     """The model is the mean seen so far; predictions use the newest one stored."""
     folder, out = str(tmp_path / "model"), str(tmp_path / "out")

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,16 +76,15 @@ def pi_estimate(spark, samples: int, seed: int = 42) -> DataFrame:
 
 
 def matrix_vector(matrix: Sequence[Sequence[float]]) -> Callable[[str], Column]:
-    """Column function: constant matrix times the vector column, one numpy product per Arrow batch."""
-    m = np.asarray(matrix, dtype="float64")
+    """Column function: constant matrix times the vector column, as built-in array functions."""
+    rows = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in matrix])
 
-    @F.pandas_udf("array<double>")
-    def product(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for vectors in batches:
-            if len(vectors):
-                yield pd.Series(list(np.stack(vectors.to_numpy()).astype("float64") @ m.T))
-            else:
-                yield pd.Series([], dtype=object)
+    def product(vector: str) -> Column:
+        def dot(row: Column) -> Column:
+            terms = F.zip_with(F.col(vector), row, lambda a, b: a.cast("double") * b)
+            return F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
+
+        return F.transform(rows, dot)
 
     return product
 
@@ -99,8 +96,8 @@ def iterate_rows(
     """Feed each row's state through ``step`` and back for another round while ``again`` holds.
 
     A step is always made; ``test`` says whether ``again`` looks at the values ``before`` or ``after``
-    it.  Rows never leave their partition.  ``out`` gets the last state, null for a row still going
-    after ``max_rounds``.
+    it.  Rows never leave their partition.  ``out`` gets the last state; a row still going after
+    ``max_rounds`` is an error.
     """
     def one_round(acc: Column, _: Column) -> Column:
         new = step(acc["s"])
@@ -110,7 +107,8 @@ def iterate_rows(
     first = F.struct(start.alias("s"), F.lit(True).alias("going"))
     last = F.aggregate(F.sequence(F.lit(1), F.lit(max_rounds)), first, one_round)
     return df.withColumn("__last", last).withColumn(
-        out, F.when(~F.col("__last.going"), F.col("__last.s"))).drop("__last")
+        out, F.when(F.col("__last.going"), F.raise_error(F.lit(f"a row is still going after {max_rounds} rounds")))
+        .otherwise(F.col("__last.s"))).drop("__last")
 
 
 def fibonacci_steps(df: DataFrame, first: str, second: str, bound: int = 100, test: str = "before", max_rounds: int = 200) -> DataFrame:

@@ -24,7 +24,7 @@ from tidepool.tables import exact_avg, exact_sum, fixed, load
 """)
 def returned_item_revenue(spark, folder):
     """Revenue lost to returned items per customer; no limit, as in the source program."""
-    orders = load(spark, folder, "orders").where(F.year("o_orderdate") > 1990)
+    orders = load(spark, folder, "orders").where(F.col("o_orderdate") >= F.lit("1991-01-01").cast("date"))
     items = load(spark, folder, "lineitem").where("l_returnflag = 'R'")
     revenue = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     per_customer = (
@@ -82,7 +82,7 @@ def weblog_analysis(spark, folder):
     ranks = load(spark, folder, "labels").where("quality > 0").select("doc_id")
     visits = (
         load(spark, folder, "events")
-        .where((F.year("ts") == 2024) & (F.col("event_type") == "view"))
+        .where("ts >= TIMESTAMP_NTZ '2024-01-01 00:00:00' AND ts < TIMESTAMP_NTZ '2025-01-01 00:00:00' AND event_type = 'view'")
         .select(F.col("event_id").alias("doc_id"))
     )
     return anti(docs.select("doc_id", "source", "n_chars").join(ranks, "doc_id"), visits, ["doc_id"])
@@ -214,7 +214,8 @@ def semi_in_subquery(spark, folder):
     WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND year(o_orderdate) = 1997)
 """)
 def anti_join(spark, folder):
-    visited = load(spark, folder, "orders").where(F.year("o_orderdate") == 1997)
+    visited = load(spark, folder, "orders").where(
+        "o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '1998-01-01'")
     return anti(load(spark, folder, "customer").select("c_custkey", "c_name"),
                 visited.select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 

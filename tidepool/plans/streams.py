@@ -15,15 +15,16 @@ from tidepool.streaming.carried import (
     PAIR_STATE, alerts_step, count_windows_step, next_then_followed_by_step, run_carried, running_sum_step, sum_changes_step,
 )
 from tidepool.streaming.joins import stream_interval_join
-from tidepool.streaming.runs import land, land_latest, stream_table
+from tidepool.streaming.runs import land, land_latest, replay_table
 from tidepool.tables import fixed, load, with_event_time, zoneless
 
-# How far a replayed table's rows may lie apart in arrival: longer than the table, so none is dropped.
-REPLAY_DELAY = "60 days"
+# How late a row may be against the newest one read before it. Replayed parts come in time order, so any
+# delay keeps all rows; it bounds the state, which holds a delay's worth of windows.
+DELAY = "10 minutes"
 
 
-def _events(spark, folder, delay=REPLAY_DELAY):
-    return with_event_time(stream_table(spark, folder, "events"), "ts", delay)
+def _events(spark, folder, delay=DELAY):
+    return with_event_time(replay_table(spark, folder, "events", "ts"), "ts", delay)
 
 
 def _cents(value):
@@ -54,7 +55,7 @@ def stream_slide(spark, folder):
 def stream_session(spark, folder):
     """The stream keeps slots of gap width; neighbouring slots are joined into sessions on read."""
     aggs = {"n": Agg("count"), "total": Agg("sum", fixed("value"))}
-    slots = session_slots(stream_table(spark, folder, "events"), "ts", 6 * HOUR, ["user_id"], **aggs)
+    slots = session_slots(replay_table(spark, folder, "events", "ts"), "ts", 6 * HOUR, ["user_id"], **aggs)
     kept = land_latest(slots, ["user_id", "__slot"])
     return stitch_sessions(kept, 6 * HOUR, ["user_id"], **aggs).withColumn("total", F.col("total").cast("double"))
 
@@ -62,8 +63,8 @@ def stream_session(spark, folder):
 @query("stream_interval_join", INTERVAL_SQL.format(how="", before="10 MINUTE", after="0 MINUTE"))
 def stream_interval(spark, folder):
     side = lambda kind, name: with_event_time(
-        stream_table(spark, folder, "events").where(F.col("event_type") == kind).select(
-            "user_id", F.col("event_id").alias(f"{name}_id"), F.col("ts").alias(f"{name}_ts")), f"{name}_ts", REPLAY_DELAY)
+        replay_table(spark, folder, "events", "ts").where(F.col("event_type") == kind).select(
+            "user_id", F.col("event_id").alias(f"{name}_id"), F.col("ts").alias(f"{name}_ts")), f"{name}_ts", DELAY)
     joined = stream_interval_join(side("click", "click"), side("view", "show"), ["user_id"], "click_ts", "show_ts", -10 * MINUTE_US, 0)
     lag = (F.unix_micros("click_ts") - F.unix_micros("show_ts")).alias("lag_us")
     return land(joined.select("user_id", "click_id", "show_id", lag))
@@ -75,8 +76,8 @@ def stream_interval(spark, folder):
 """)
 def stream_history_join(spark, folder):
     """Inner join of two unbounded streams that keeps all history."""
-    clicks = stream_table(spark, folder, "events").where("event_type = 'click'").select("user_id", F.col("event_id").alias("click_id"))
-    orders = stream_table(spark, folder, "orders").select("o_orderkey")
+    clicks = replay_table(spark, folder, "events", "ts").where("event_type = 'click'").select("user_id", F.col("event_id").alias("click_id"))
+    orders = replay_table(spark, folder, "orders", "o_orderkey").select("o_orderkey")
     return land(clicks.join(orders, F.col("click_id") == F.col("o_orderkey")))
 
 
@@ -84,18 +85,18 @@ def stream_history_join(spark, folder):
 def stream_lookup_join(spark, folder):
     profiles = load(spark, folder, "customer").where("c_acctbal > 0").select(
         F.col("c_custkey").alias("user_id"), "c_mktsegment", "c_nationkey")
-    return land(lookup_join(stream_table(spark, folder, "events").select("event_id", "user_id"), profiles, ["user_id"]))
+    return land(lookup_join(replay_table(spark, folder, "events", "ts").select("event_id", "user_id"), profiles, ["user_id"]))
 
 
 @query("stream_dedupe", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedupe(spark, folder):
-    return land(stream_table(spark, folder, "events").select("user_id", "event_type").dropDuplicates())
+    return land(replay_table(spark, folder, "events", "ts").select("user_id", "event_type").dropDuplicates())
 
 
 @query("stream_group_count", "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY event_type")
 def stream_group_count(spark, folder):
     """Grouping without a window; distinct users are counted from a deduplicating inner level."""
-    per_user = stream_table(spark, folder, "events").groupBy("event_type", "user_id").agg(F.count("*").alias("n"))
+    per_user = replay_table(spark, folder, "events", "ts").groupBy("event_type", "user_id").agg(F.count("*").alias("n"))
     kept = land_latest(per_user, ["event_type", "user_id"])
     return kept.groupBy("event_type").agg(F.sum("n").alias("n"), F.count("*").alias("users"))
 
@@ -118,7 +119,7 @@ def stream_cascade(spark, folder):
     FROM events
 """)
 def stream_running_sum(spark, folder):
-    rows = stream_table(spark, folder, "events").select("user_id", "ts", F.col("event_id").alias("seq"), _cents("value").alias("value"))
+    rows = replay_table(spark, folder, "events", "ts").select("user_id", "ts", F.col("event_id").alias("seq"), _cents("value").alias("value"))
     step = running_sum_step(["user_id"], ["ts", "seq"], time_chunk("ts", MINUTE_US), "value")
     out = run_carried(rows, step, "user_id bigint, total bigint")
     return out.select("seq", "user_id", (F.col("total") / 100).alias("total"))
@@ -126,7 +127,7 @@ def stream_running_sum(spark, folder):
 
 @query("stream_count_window", REGISTRY["count_window"].sql)
 def stream_count_window(spark, folder):
-    rows = stream_table(spark, folder, "events").select("user_id", "ts", "event_id", _cents("value").alias("value"))
+    rows = replay_table(spark, folder, "events", "ts").select("user_id", "ts", "event_id", _cents("value").alias("value"))
     step = count_windows_step(["user_id"], ["ts", "event_id"], time_chunk("ts", MINUTE_US), "value", 10, 5)
     out = run_carried(rows, step, "user_id bigint, __n bigint, value bigint")
     return out.withColumn("total", F.col("total") / 100)
@@ -134,7 +135,7 @@ def stream_count_window(spark, folder):
 
 @query("stream_state_machine", REGISTRY["state_machine_alerts"].sql)
 def stream_state_machine(spark, folder):
-    rows = lettered(stream_table(spark, folder, "events")).select("user_id", "ts", "event_id", "letter")
+    rows = lettered(replay_table(spark, folder, "events", "ts")).select("user_id", "ts", "event_id", "letter")
     step = alerts_step(["user_id"], ["ts", "event_id"], time_chunk("ts", MINUTE_US), "letter")
     return run_carried(rows, step, "user_id bigint, state int").select("user_id", "event_id", "letter", "state")
 
@@ -142,7 +143,7 @@ def stream_state_machine(spark, folder):
 @query("stream_cep", REGISTRY["cep_next_followed_by"].sql)
 def stream_cep(spark, folder):
     is_kind = lambda kind: F.col("event_type") == kind
-    rows = stream_table(spark, folder, "events").select(
+    rows = replay_table(spark, folder, "events", "ts").select(
         "user_id", F.col("event_id").alias("seq"), F.col("ts").alias("t"),
         is_kind("signup").alias("first"), is_kind("view").alias("second"), is_kind("purchase").alias("third"))
     step = next_then_followed_by_step(["user_id"], time_chunk("t", MINUTE_US))
@@ -152,7 +153,7 @@ def stream_cep(spark, folder):
 @query("stream_changelog", REGISTRY["changelog_emit"].sql)
 def stream_changelog(spark, folder):
     op = F.when(F.col("o_orderstatus") == "F", "-U").when(F.col("o_orderstatus") == "P", "+U").otherwise("+I")
-    rows = stream_table(spark, folder, "orders").select(
+    rows = replay_table(spark, folder, "orders", "o_orderkey").select(
         "o_custkey", F.col("o_orderkey").alias("seq"), op.alias("op"), _cents("o_totalprice").alias("value"))
     step = sum_changes_step(["o_custkey"], ["seq"], seq_chunk("seq", 1_000_000), "value")
     out = run_carried(rows, step, "o_custkey bigint, total bigint, n bigint")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from tidepool.functions.text import token_rows
@@ -337,12 +339,33 @@ def incremental_model(spark, folder):
     """Each event is scored with the model of the last window closed before it; windows span the whole stream."""
     events = load(spark, folder, "events")
     models = tumble(events, "ts", "1 hour", [], mean=exact_avg("value")).select(F.col("window_end").alias("trained_at"), "mean")
-    scored = asof_join(events.select("event_id", "ts"), models, [], "ts", "trained_at")
-    return scored.select("event_id", F.col("mean").alias("prediction"))
+    # Models change on the hour, so an hour's events share one: only the distinct hours are ordered.
+    hours = events.select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).distinct()
+    by_hour = asof_join(hours, models, [], "hour", "trained_at").select("hour", F.col("mean").alias("prediction"))
+    placed = events.select("event_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
+    return placed.join(by_hour, "hour", "left").select("event_id", "prediction")
+
+
+# Of the looked-up customers one in 23 is unknown to the service, one in 97 answers too late.
+UNKNOWN_EVERY, SLOW_EVERY = 23, 97
 
 
-@query("async_enrichment", "SELECT event_id, user_id, 'profile-' || user_id::VARCHAR AS found, NULL::VARCHAR AS error FROM events")
+def _profile(customer: int) -> str:
+    if customer % UNKNOWN_EVERY == 0:
+        raise LookupError("unknown")
+    if customer % SLOW_EVERY == 0:
+        time.sleep(3)
+    return f"profile-{customer % 10}"
+
+
+@query("async_enrichment", f"""
+    SELECT found, error, count(*) AS n FROM (
+        SELECT CASE WHEN c_custkey % {UNKNOWN_EVERY} = 0 OR c_custkey % {SLOW_EVERY} = 0 THEN NULL ELSE 'profile-' || (c_custkey % 10)::VARCHAR END AS found,
+               CASE WHEN c_custkey % {UNKNOWN_EVERY} = 0 THEN 'unknown' WHEN c_custkey % {SLOW_EVERY} = 0 THEN 'timeout' END AS error
+        FROM customer) GROUP BY ALL
+""")
 def async_enrichment(spark, folder):
-    """Every event looked up through a bounded pool of concurrent calls per task; order is kept."""
-    keys = load(spark, folder, "events").select("event_id", "user_id")
-    return async_enrich(keys, lambda user: f"profile-{user}", "user_id", "string", capacity=20)
+    """Every customer looked up by concurrent calls, some failing, some too late; results are then counted."""
+    keys = load(spark, folder, "customer").select("c_custkey")
+    found = async_enrich(keys, _profile, "c_custkey", "string", capacity=40, timeout_s=1.0, ordered=False)
+    return found.groupBy("found", "error").agg(F.count("*").alias("n"))

@@ -2,14 +2,15 @@
 
 A stateful processor sees a key's rows of a micro-batch in one worker.  The steps here treat a
 micro-batch as a table instead: the batch operators (chunked scans, folds) work on it in parallel
-and a small state table carries each key into the next batch.  State is a full snapshot per batch in
-its own folder, so repeating a batch reads the same snapshot and overwrites the same output.
+and a small state table carries each key into the next batch.  State is a full snapshot per batch, so
+repeating a batch reads the same snapshot and overwrites the same output.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,33 +19,44 @@ from tidepool.operators.patterns import STATES, fold_states, next_then_followed_
 from tidepool.operators.scan import HEAVY_ROWS, running_count, running_sum, scan
 from tidepool.operators.windows import Agg, fire_count_windows
 from tidepool.session import run_dir, stage_table
-from tidepool.streaming.runs import counted, run_all
+from tidepool.streaming.runs import run_all
 
 Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
 
 class StateTable:
-    """Snapshots of keyed state, one folder per micro-batch."""
+    """Keyed state after each micro-batch, in three folders used in turn.
+
+    A batch reads the folder of the batch before it and overwrites one that nobody reads any more, so a
+    repeated batch finds the same state and old states do not pile up.
+    """
+
+    FOLDERS = 3
 
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark, self.path, self.schema = spark, path, schema
 
+    def _after(self, batch_id: int) -> str:
+        return f"{self.path}/after={batch_id % self.FOLDERS}"
+
     def before(self, batch_id: int) -> DataFrame:
         if batch_id == 0:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/after={batch_id - 1}")
+        return self.spark.read.schema(self.schema).parquet(self._after(batch_id - 1))
 
     def save(self, state: DataFrame, batch_id: int) -> None:
-        state.write.mode("overwrite").parquet(f"{self.path}/after={batch_id}")
+        state.write.mode("overwrite").parquet(self._after(batch_id))
 
 
 def run_carried(stream: DataFrame, step: Step, state_schema: str, checkpoint: str | None = None) -> DataFrame:
-    """Rows that ``step(batch, state) -> (rows, new state)`` gives over all available micro-batches.
+    """Rows that ``step(batch, state) -> (rows, new state)`` gives over all micro-batches so far.
 
-    ``stream`` is a stateless projection of a replayable source.
+    ``stream`` is a stateless projection of a replayable source. Rows and state lie beside the
+    checkpoint: a run that goes on from it carries the state on and returns the rows of all runs.
     """
     spark = stream.sparkSession
-    folder = run_dir(spark, "carried")
+    checkpoint = checkpoint or run_dir(spark, "carried")
+    folder = f"{checkpoint}-carried"
     table = StateTable(spark, f"{folder}/state", state_schema)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -53,10 +65,11 @@ def run_carried(stream: DataFrame, step: Step, state_schema: str, checkpoint: st
         out.write.mode("overwrite").parquet(f"{folder}/out/commit={batch_id}")
         table.save(state, batch_id)
 
-    run_all(stream, counted(sink, batches := []), checkpoint=checkpoint)
-    if not batches:  # the source had nothing to read
+    run_all(stream, sink, checkpoint=checkpoint)
+    try:
+        return spark.read.parquet(f"{folder}/out").drop("commit")
+    except AnalysisException:  # no run has had anything to read
         return step(spark.createDataFrame([], stream.schema), table.before(0))[0]
-    return spark.read.parquet(f"{folder}/out").drop("commit")
 
 
 def running_sum_step(keys: Sequence[str], order: Sequence[str], chunk: Column, value: str, heavy_rows: int = HEAVY_ROWS) -> Step:

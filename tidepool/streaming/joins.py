@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import threading
+import time
+from collections import deque
 from collections.abc import Callable, Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from concurrent.futures import TimeoutError as LookupTimeout
+from concurrent.futures import FIRST_COMPLETED, Future, wait
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidepool.streaming.runs import Sink
 
@@ -43,40 +47,66 @@ def versions_as_of_sink(
     return lambda batch, batch_id: sink(join(batch, versions()), batch_id)
 
 
+class _Call:
+    """One lookup on a thread of its own, so that a call that hangs holds no place of the others."""
+
+    def __init__(self, place: int, lookup: Callable[[object], object], key: object):
+        self.place, self.began, self.future = place, time.monotonic(), Future()
+        threading.Thread(target=self._run, args=(lookup, key), daemon=True).start()
+
+    def _run(self, lookup: Callable[[object], object], key: object) -> None:
+        try:
+            self.future.set_result(lookup(key))
+        except Exception as problem:  # the service's own failure belongs to the row
+            self.future.set_exception(problem)
+
+
+def _call_all(lookup: Callable, keys: list, capacity: int, timeout_s: float) -> Iterator[tuple[int, object, str | None]]:
+    """(place, found, error) of each key in order of completion; at most ``capacity`` calls are waited for."""
+    waiting = deque((i, k) for i, k in enumerate(keys) if k is not None)
+    yield from ((i, None, None) for i, k in enumerate(keys) if k is None)
+    running: dict[Future, _Call] = {}
+    while waiting or running:
+        while waiting and len(running) < capacity:
+            place, key = waiting.popleft()
+            call = _Call(place, lookup, key)
+            running[call.future] = call
+        oldest = min(c.began for c in running.values())
+        done, _ = wait(running, max(0.0, oldest + timeout_s - time.monotonic()), FIRST_COMPLETED)
+        for future in done:
+            call, problem = running.pop(future), future.exception()
+            yield call.place, None if problem else future.result(), str(problem) if problem else None
+        late = [f for f, c in running.items() if time.monotonic() - c.began >= timeout_s and not f.done()]
+        for future in late:
+            yield running.pop(future).place, None, "timeout"
+
+
 def async_enrich(
     df: DataFrame, lookup: Callable[[object], object], key: str, out_type: str, capacity: int = 20,
-    timeout_s: float = 10.0, out: str = "found",
+    timeout_s: float = 10.0, out: str = "found", ordered: bool = True,
 ) -> DataFrame:
     """Call an outside service for each row, at most ``capacity`` calls at a time per task.
 
-    Row order is kept; a failed or late call leaves the value null and sets ``error``.  Works on
-    batch and stream input; each call runs once per task attempt, so lookups should be repeatable.
+    A call is late ``timeout_s`` after its own start. A failed or late call leaves the value null and
+    sets ``error``; a null key is not looked up. Rows keep their order, or with ``ordered=False`` come
+    in order of completion within an Arrow batch. Works on batch and stream input; each call runs once
+    per task attempt, so lookups should be repeatable.
     """
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields),
-                        f"{out} {out_type}", "error string"])
-
-    def enrich(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pool = ThreadPoolExecutor(capacity)
-        try:
-            for pdf in batches:
-                found, errors = [], []
-                calls = [pool.submit(lookup, k) for k in pdf[key]]
-                for call in calls:
-                    try:
-                        found.append(call.result(timeout=timeout_s))
-                        errors.append(None)
-                    except LookupTimeout:
-                        call.cancel()
-                        found.append(None)
-                        errors.append("timeout")
-                    except Exception as problem:  # the service's own failure belongs to the row
-                        found.append(None)
-                        errors.append(str(problem))
-                yield pdf.assign(**{out: found, "error": errors})
-        finally:
-            pool.shutdown(wait=False, cancel_futures=True)
-
-    return df.mapInPandas(enrich, schema)
+    found_type = T.StructType.fromDDL(f"{out} {out_type}").fields[0]
+    schema = T.StructType([*df.schema.fields, found_type, T.StructField("error", T.StringType())])
+
+    def enrich(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(schema)
+        for batch in batches:
+            answers = list(_call_all(lookup, batch.column(key).to_pylist(), capacity, timeout_s))
+            if ordered:
+                answers.sort(key=lambda a: a[0])
+            rows = batch.take(pa.array([a[0] for a in answers], pa.int64()))
+            columns = [*rows.columns, pa.array([a[1] for a in answers], arrow.field(out).type),
+                       pa.array([a[2] for a in answers], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=arrow.names)
+
+    return df.mapInArrow(enrich, schema)
 
 
 def model_sink(update: Callable[[DataFrame, DataFrame | None], DataFrame], read: Callable[[], DataFrame | None],

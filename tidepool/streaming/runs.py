@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidepool.operators.lake import KeyTable
 from tidepool.session import ROCKSDB_PROVIDER, run_dir
+from tidepool.tables import micros
 
 Sink = Callable[[DataFrame, int], None]
+#: Commit number of the empty commit that gives a landed table its columns.
+NO_BATCH = -1
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, max_files: int | None = None) -> DataFrame:
@@ -22,6 +27,30 @@ def stream_table(spark: SparkSession, folder: str, name: str, max_files: int | N
     return reader.parquet(path[:-1] + "[t]")
 
 
+def replay_table(
+    spark: SparkSession, folder: str, name: str, order: str, parts: int = 3, files: int = 2
+) -> DataFrame:
+    """A supplied table as a stream of at least ``parts`` micro-batches in ``order``.
+
+    The table is cut at quantiles of ``order`` (equal values stay together) and the parts are written one
+    after another; a file stream takes files by age, ``files`` at a time. For a large table raise both.
+    """
+    table = spark.read.parquet(f"{folder}/{name}.parquet")
+    place = micros(order) if isinstance(table.schema[order].dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(order)
+    shares = [i / parts for i in range(1, parts)]
+    cuts = table.agg(F.percentile_approx(place, shares, 1000)).first()[0] or []
+    path = run_dir(spark, f"replay-{name}")
+    before = None
+    for cut in [*cuts, None]:
+        part = table if before is None else table.where(place > before)
+        part = part if cut is None else part.where(place <= cut)
+        if cut is None and before is not None:
+            part = table.where((place > before) | place.isNull())
+        part.repartition(files).write.mode("append").parquet(path)
+        before = cut
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
 def start(
     stream: DataFrame, sink: Sink, mode: str = "append", checkpoint: str | None = None, every: str | None = None
 ) -> StreamingQuery:
@@ -46,31 +75,31 @@ def append_sink(path: str) -> Sink:
     return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/commit={batch_id}")
 
 
-def counted(sink: Sink, batches: list[int]) -> Sink:
-    """Note the ids of the micro-batches a sink has written."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        sink(batch, batch_id)
-        batches.append(batch_id)
-
-    return write
-
-
 def land(stream: DataFrame, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """All rows a stream emits, as a table."""
+    """All rows a stream has emitted, as a table.
+
+    Rows lie beside the checkpoint, one folder per micro-batch, so a run that goes on from a checkpoint
+    adds to what earlier runs landed.
+    """
     spark = stream.sparkSession
-    path = run_dir(spark, "landed")
-    run_all(stream, counted(append_sink(path), batches := []), mode, checkpoint)
-    if not batches:  # the source had nothing to read
-        return spark.createDataFrame([], stream.schema)
+    checkpoint = checkpoint or run_dir(spark, "stream")
+    path = f"{checkpoint}-rows"
+    append_sink(path)(spark.createDataFrame([], stream.schema), NO_BATCH)  # so that there is a table to read
+    run_all(stream, append_sink(path), mode, checkpoint)
     return spark.read.schema(stream.schema).parquet(path).select(*stream.columns)
 
 
 def land_latest(stream: DataFrame, keys: Sequence[str], checkpoint: str | None = None) -> DataFrame:
-    """Final row per key of a stream in update mode: increments are upserted, the read takes the last."""
+    """Final row per key of a stream in update mode: increments are upserted, the read takes the last.
+
+    The table lies beside the checkpoint, as for ``land``.
+    """
     spark = stream.sparkSession
-    table = KeyTable(spark, run_dir(spark, "upserted"), keys, "commit", evolving=False)
-    run_all(stream, counted(table.append, batches := []), "update", checkpoint)
-    return table.read() if batches else spark.createDataFrame([], stream.schema)
+    checkpoint = checkpoint or run_dir(spark, "stream")
+    table = KeyTable(spark, f"{checkpoint}-latest", keys, "commit", evolving=False)
+    table.append(spark.createDataFrame([], stream.schema), NO_BATCH)
+    run_all(stream, table.append, "update", checkpoint)
+    return table.read()
 
 
 def fan_out(*sinks: Sink) -> Sink:
