@@ -98,3 +98,15 @@ def test_catalog_tables_and_views(spark, tmp_path):
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
         spark.sql("USE default")
         spark.sql("DROP DATABASE shop CASCADE")
+
+
+def test_narrowing_is_refused_and_commits_repeat(spark, tmp_path):
+    table = EvolvingTable.create(spark, str(tmp_path / "evolving"), T.StructType.fromDDL("id bigint, n int"))
+    with pytest.raises(ValueError, match="does not hold"):
+        table.alter(("update_type", "id", "int"))
+    rows = spark.createDataFrame([(1, 2)], "id bigint, n int")
+    table.append(rows, commit=0)
+    table.append(rows, commit=0)
+    assert [tuple(r) for r in table.read().collect()] == [(1, 2)]
+    table.append(rows)
+    assert table.read().count() == 2

@@ -35,6 +35,15 @@ def test_followed_by_any(spark, heavy_rows):
     assert m.match == {"start": 2, "middle": 6, "end": 8} and m.stages == 3 and set(m["names"]) == {"start", "middle", "end"}
 
 
+def test_sequences_with_equal_times(spark):
+    rows = spark.createDataFrame([(0, i, n) for i, n in enumerate("abc")], "k int, id int, n string").withColumn(
+        "ts", from_micros(F.lit(5).cast("bigint")))
+    kinds = [F.col("n") == x for x in "abc"]
+    found = any_sequences_within(rows, ["k"], "ts", "id", *kinds, 1_000)
+    assert [tuple(r) for r in found.select("start_id", "middle_id", "end_id").collect()] == [(0, 1, 2)]
+    assert any_sequence_counts(rows, ["k"], ["ts", "id"], F.lit(0).cast("bigint"), *kinds).first().matches == 1
+
+
 @pytest.mark.parametrize("heavy_rows", [0, 1000])
 def test_next_then_followed_by(spark, heavy_rows):
     found = next_then_followed_by(events(spark), ["k"], ["seq"], seq_chunk("seq", 3), "id", F.col("id") > 2,

@@ -47,8 +47,11 @@ def canonical(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame
     ).distinct()
 
 
-def hash_salt(columns: Sequence[str], buckets: int) -> Column:
-    """Stable bucket number of a row."""
+def hash_salt(columns: Sequence[str], buckets: int, portable: bool = False) -> Column:
+    """Stable bucket number of a row; ``portable`` takes it from a digest that other engines have too."""
+    if portable:
+        digest = F.md5(F.concat_ws("-", *[F.col(c).cast("string") for c in columns]))
+        return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets).cast("int")
     return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
 
 

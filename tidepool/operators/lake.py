@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -73,6 +74,13 @@ class KeyTable:
         return out
 
 
+#: Types that hold every value of a type; any type can become a string.
+WIDER = {
+    "tinyint": ("smallint", "int", "bigint", "float", "double"), "smallint": ("int", "bigint", "float", "double"),
+    "int": ("bigint", "double"), "float": ("double",), "date": ("timestamp_ntz", "timestamp"),
+}
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions present in ``df``."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
@@ -140,7 +148,10 @@ class TableSpec:
         self.columns.remove(self._find(name))
 
     def update_type(self, name: str, kind: str) -> None:
+        """Change to a type that holds every value of the present one; others would read back as null."""
         c = self._find(name)
+        if kind != c.kind and kind not in WIDER.get(c.kind, ()) and kind != "string":
+            raise ValueError(f"{name}: {kind} does not hold every {c.kind}")
         c.kind = kind
         c.stored.append([self._new_file_column(name), kind])
 
@@ -196,7 +207,8 @@ class EvolvingTable:
     def _save(self, spec: TableSpec, version: int) -> None:
         text = json.dumps(asdict(spec))
         row = self.spark.range(1).select(F.lit(version).alias("version"), F.lit(text).alias("spec"))
-        row.coalesce(1).write.mode("overwrite").json(f"{self.path}/spec/v={version}")
+        # A version is written once: of two writers that start from the same one, the second fails.
+        row.coalesce(1).write.mode("errorifexists").json(f"{self.path}/spec/v={version}")
 
     def _latest(self) -> tuple[TableSpec, int]:
         specs = self.spark.read.schema("version int, spec string, v int").json(f"{self.path}/spec")
@@ -216,8 +228,10 @@ class EvolvingTable:
             getattr(spec, name)(*args, **kwargs)
         self._save(spec, version + 1)
 
-    def append(self, df: DataFrame) -> None:
-        self.spec().to_files(df).write.mode("append").parquet(f"{self.path}/data")
+    def append(self, df: DataFrame, commit: str | int | None = None) -> None:
+        """Add rows as one commit folder; repeating a commit number replaces what it wrote before."""
+        name = uuid.uuid4().hex if commit is None else commit
+        self.spec().to_files(df).write.mode("overwrite").parquet(f"{self.path}/data/commit={name}")
 
     def read(self) -> DataFrame:
         spec = self.spec()

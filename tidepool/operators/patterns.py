@@ -36,14 +36,20 @@ def any_sequences_within(
 ) -> DataFrame:
     """Every (first, second, third) sequence no longer than ``within_us``: (keys, start, middle, end ids).
 
-    Both steps are time-bucketed interval joins, so rows meet only if they are near in time.
+    Rows follow one another by (time, id), as in ``any_sequence_counts``.  Both steps are time-bucketed
+    interval joins, so rows meet only if they are near in time.
     """
     def stage(cond: Column, name: str) -> DataFrame:
         return df.where(cond).select(*keys, F.col(row_id).alias(f"{name}_id"), F.col(time).alias(f"{name}_time"))
 
-    two = interval_join(stage(first, "start"), stage(second, "middle"), keys, "start_time", "middle_time", 1, within_us)
-    three = interval_join(two, stage(third, "end"), keys, "start_time", "end_time", 1, within_us)
-    return three.where(F.col("end_time") > F.col("middle_time"))
+    def after(later: str, earlier: str) -> Column:
+        at = lambda name: F.struct(F.col(f"{name}_time").alias("t"), F.col(f"{name}_id").alias("i"))
+        return at(later) > at(earlier)
+
+    two = interval_join(stage(first, "start"), stage(second, "middle"), keys, "start_time", "middle_time", 0, within_us)
+    two = two.where(after("middle", "start"))
+    three = interval_join(two, stage(third, "end"), keys, "start_time", "end_time", 0, within_us)
+    return three.where(after("end", "middle"))
 
 
 def next_then_followed_by(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidepool.functions.registry import SplitWords
@@ -15,8 +17,8 @@ from tidepool.plans.jobs import gateway_latency, gateway_records, keyed_log_coun
 from tidepool.plans.registry import query
 from tidepool.session import run_dir
 from tidepool.sources.broker import decode_json, upsert_records
-from tidepool.sources.files import delimited
-from tidepool.sources.sinks import write_delimited
+from tidepool.sources.files import delimited, text_lines
+from tidepool.sources.sinks import write_delimited, write_text
 from tidepool.tables import load, micros
 
 
@@ -192,7 +194,43 @@ def keyed_log_counts_query(spark, folder):
     return parsed.select("r.*")
 
 
-@query("salt_balance")
+@query("salt_balance", """
+    SELECT (('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT % 16)::INTEGER AS salt, count(*) AS n FROM events GROUP BY 1
+""")
 def salt_balance(spark, folder):
     """Rows per hash salt: how evenly a busy key would be spread."""
-    return load(spark, folder, "events").groupBy(hash_salt(["event_id"], 16).alias("salt")).agg(F.count("*").alias("n"))
+    salt = hash_salt(["event_id"], 16, portable=True)
+    return load(spark, folder, "events").groupBy(salt.alias("salt")).agg(F.count("*").alias("n"))
+
+
+@query("text_round_trip", """
+    SELECT o_orderkey, o_custkey, o_orderpriority, length(o_orderkey::VARCHAR || ',' || o_custkey::VARCHAR || ',' || o_orderpriority) AS line_length
+    FROM orders
+""")
+def text_round_trip(spark, folder):
+    """Orders written as lines to two places, read back as one input of lines and parsed into typed fields."""
+    paths = [run_dir(spark, "orders-text") for _ in range(2)]
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    for odd, path in enumerate(paths):
+        write_text(orders.where(F.col("o_orderkey") % 2 == odd), path)
+    field = F.split("value", ",")
+    return text_lines(spark, *paths).select(
+        field[0].cast("bigint").alias("o_orderkey"), field[1].cast("bigint").alias("o_custkey"),
+        field[2].alias("o_orderpriority"), F.length("value").cast("bigint").alias("line_length"))
+
+
+@query("delimited_table", """
+    SELECT o_orderpriority, count(*) AS orders, count(DISTINCT o_custkey) AS customers, min(o_orderkey) AS first_order
+    FROM orders GROUP BY o_orderpriority
+""")
+def delimited_table(spark, folder):
+    """A filesystem CSV table: created, filled by INSERT and read back in SQL."""
+    name, path = f"orders_{uuid.uuid4().hex}", run_dir(spark, "orders-table")
+    spark.sql(f"CREATE TABLE {name} (o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING) USING csv LOCATION '{path}'")
+    load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority").createOrReplaceTempView(f"{name}_rows")
+    spark.sql(f"INSERT INTO {name} SELECT * FROM {name}_rows")
+    out = spark.sql(f"""SELECT o_orderpriority, count(*) AS orders, count(DISTINCT o_custkey) AS customers,
+                               min(o_orderkey) AS first_order FROM {name} GROUP BY o_orderpriority""")
+    spark.catalog.dropTempView(f"{name}_rows")
+    spark.sql(f"DROP TABLE {name}")  # the files stay for the result to read
+    return out

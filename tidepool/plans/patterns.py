@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepool.operators.patterns import (
-    any_sequence_counts, match_map, next_then_followed_by, protocol_alerts,
+    any_sequence_counts, any_sequences_within, match_map, next_then_followed_by, protocol_alerts,
 )
 from tidepool.operators.scan import MINUTE_US, time_chunk
 from tidepool.plans.registry import REGISTRY, query
@@ -82,3 +82,15 @@ def cep_match_map(spark, folder):
     matched = match_map(cep_next_followed_by(spark, folder), {"start": "start_id", "next": "next_id", "end": "end_id"})
     return matched.select("user_id", "stages", F.array_join(F.sort_array("names"), ",").alias("names"),
                           F.col("match")["start"].alias("start_id"), F.col("match")["end"].alias("end_id"))
+
+
+@query("cep_any_within", """
+    SELECT a.user_id, a.event_id AS start_id, b.event_id AS middle_id, c.event_id AS end_id
+    FROM events a JOIN events b ON a.user_id = b.user_id AND (b.ts, b.event_id) > (a.ts, a.event_id) AND b.ts <= a.ts + INTERVAL 12 HOUR
+    JOIN events c ON a.user_id = c.user_id AND (c.ts, c.event_id) > (b.ts, b.event_id) AND c.ts <= a.ts + INTERVAL 12 HOUR
+    WHERE a.event_type = 'signup' AND b.event_type = 'view' AND c.event_type = 'purchase'
+""")
+def cep_any_within(spark, folder):
+    """Every signup .. view .. purchase sequence of at most twelve hours, listed."""
+    found = any_sequences_within(load(spark, folder, "events"), ["user_id"], "ts", "event_id", *_kinds(), 12 * 60 * MINUTE_US)
+    return found.select("user_id", "start_id", "middle_id", "end_id")

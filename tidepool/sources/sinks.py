@@ -45,11 +45,27 @@ def database_options(url: str, table: str, driver: str | None = None, user: str
 
 
 def database_sink(**options) -> Sink:
-    """Append each micro-batch to a database table in buffered inserts."""
+    """Append each micro-batch in buffered inserts; a repeated batch appends again (see ``keyed_database_sink``)."""
     settings = database_options(**options)
     return lambda batch, batch_id: batch.write.format("jdbc").options(**settings).mode("append").save()
 
 
+def keyed_database_sink(merge: Callable[[str, int], None], **options) -> Sink:
+    """Upsert each micro-batch by key: a repeated batch leaves the same rows.
+
+    The batch replaces the staging table ``<table>_batch``; ``merge(staging table, batch id)`` then runs the
+    database's own keyed merge, which is safe to repeat.
+    """
+    settings = database_options(**options)
+    staging = f"{settings['dbtable']}_batch"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.format("jdbc").options(**{**settings, "dbtable": staging}).mode("overwrite").save()
+        merge(staging, batch_id)
+
+    return write
+
+
 def read_database(spark, partition_column: str, lower: int, upper: int, partitions: int, **options) -> DataFrame:
     """Parallel read split by ranges of a numeric column."""
     return (spark.read.format("jdbc").options(**database_options(**options))
