@@ -80,3 +80,10 @@ def test_computed_column_round_trip(spark):
 def test_materialise_in_blocks(spark):
     df = spark.range(200_000).select(F.lit("+I").alias("op"), F.when(F.col("id") < 150_000, "hot").otherwise("cold").alias("k"))
     assert sorted(tuple(r) for r in materialise(df).groupBy("k").count().collect()) == [("cold", 50_000), ("hot", 150_000)]
+
+
+def test_sum_of_nulls_is_null(spark):
+    rows = [(1, 1, "+I", None), (1, 2, "+I", None), (1, 3, "+I", 4), (1, 4, "-D", 4), (2, 5, "+I", 7)]
+    df = spark.createDataFrame(rows, "k int, seq bigint, op string, v bigint")
+    got = sorted(((r.seq, r.pos, r.op, r.total) for r in emit_sum_changes(df, ["k"], "v", ["seq"]).collect()))
+    assert got == [(1, 0, "+I", None), (3, 0, "-U", None), (3, 1, "+U", 4), (4, 0, "-U", 4), (4, 1, "+U", None), (5, 0, "+I", 7)]

@@ -216,7 +216,7 @@ def test_changelog_both_ways(spark, feed, size):
     one = land(ST.run_processor(feed(schema, *batched(data, size)), ["k"], ST.SumChanges(), ST.SumChanges.schema), "update")
     assert [(r.op, r.key, r.total) for r in one.orderBy("seq", "pos").collect()] == RETRACT_OUT
     step = sum_changes_step(["k"], ["seq"], seq_chunk("seq", 2), "value", heavy_rows=0)
-    two = run_carried(feed(schema, *batched(data, size)), step, "k bigint, total bigint, n bigint")
+    two = run_carried(feed(schema, *batched(data, size)), step, "k bigint, total bigint, n bigint, valued bigint")
     assert [(r.op, r.k, r.total) for r in two.orderBy("seq", "pos").collect()] == RETRACT_OUT
 
 

@@ -72,10 +72,14 @@ def exact_percentiles(
     covers = lambda rank: (F.col("__upto") - F.col("__n") <= rank) & (rank < F.col("__upto"))
     upper_rank = F.col("below") + F.when(F.col("rest") > 0, 1).otherwise(0)
     picked = ranked.groupBy(*keys, "i").agg(
-        F.max(F.when(covers(F.col("below")), F.col("__v"))).cast("decimal(20,6)").alias("lower"),
-        F.max(F.when(covers(upper_rank), F.col("__v"))).cast("decimal(20,6)").alias("upper"),
+        F.max(F.when(covers(F.col("below")), F.col("__v"))).cast("decimal(28,6)").alias("lower"),
+        F.max(F.when(covers(upper_rank), F.col("__v"))).cast("decimal(28,6)").alias("upper"),
         F.first("rest").cast("decimal(6,0)").alias("rest"), F.first("whole").cast("decimal(6,0)").alias("whole"),
     )
+    # The sketch promises that the rank lies inside its bracket; a broken promise is an error, not a null.
+    lost = F.col("lower").isNull() | F.col("upper").isNull()
+    picked = picked.withColumn("lower", F.when(lost, F.raise_error(F.lit("a percentile's rank lies outside its bracket")))
+                               .otherwise(F.col("lower")))
     mixed = (F.col("lower") * (F.col("whole") - F.col("rest")) + F.col("upper") * F.col("rest")) / F.col("whole")
     found = picked.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("i", F.round(mixed, digits).cast("double").alias("p")))).alias("__ps")

@@ -71,29 +71,32 @@ def emit_sum_changes(
 ) -> DataFrame:
     """Changelog of ``SUM(value) GROUP BY keys``: what each input row makes the aggregate emit.
 
-    First value +I; a changed one -U then +U; an unchanged one nothing; the last retraction -D.
-    The state before and after a row are two prefix sums, so the replay is one chunked scan.
-    ``start`` (keys, total, n) continues from earlier rows.
+    First value +I; a changed one -U then +U; an unchanged one nothing; the last retraction -D.  The
+    sum of nothing but nulls is null.  The state before and after a row are prefix sums, so the replay
+    is one chunked scan.  ``start`` (keys, total, n, valued) continues from earlier rows.
     """
     chunk = seq_chunk(seq[0], 1_000_000) if chunk is None else chunk
     delta = F.coalesce(F.col(value) * sign(op), F.col(value) * 0, F.lit(0))
+    given = F.when(F.col(value).isNotNull(), sign(op)).otherwise(0)
     runs = scan(
         df, keys, list(seq), chunk,
         {"__sum": running_sum(delta), "__n": running_sum(sign(op)),
-         "__sum0": running_sum(delta, inclusive=False), "__n0": running_sum(sign(op), inclusive=False)},
+         "__sum0": running_sum(delta, inclusive=False), "__n0": running_sum(sign(op), inclusive=False),
+         "__m": running_sum(given), "__m0": running_sum(given, inclusive=False)},
         heavy_rows=heavy_rows,
     )
-    offset_sum = offset_n = F.lit(0)
+    offset_sum = offset_n = offset_m = F.lit(0)
     if start is not None:
-        runs = runs.join(start.select(*keys, F.col("total").alias("__from"), F.col("n").alias("__fromn")), list(keys), "left")
-        offset_sum, offset_n = F.coalesce("__from", F.lit(0)), F.coalesce("__fromn", F.lit(0))
+        known = start.select(*keys, F.col("total").alias("__from"), F.col("n").alias("__fromn"), F.col("valued").alias("__fromm"))
+        runs = runs.join(known, list(keys), "left")
+        offset_sum, offset_n, offset_m = (F.coalesce(c, F.lit(0)) for c in ("__from", "__fromn", "__fromm"))
     had = F.coalesce(F.col("__n0"), F.lit(0)) + offset_n > 0
     has = F.col("__n") + offset_n > 0
-    before = F.coalesce(F.col("__sum0"), F.lit(0)) + offset_sum
-    after = F.col("__sum") + offset_sum
+    before = F.when(F.coalesce(F.col("__m0"), F.lit(0)) + offset_m > 0, F.coalesce(F.col("__sum0"), F.lit(0)) + offset_sum)
+    after = F.when(F.col("__m") + offset_m > 0, F.col("__sum") + offset_sum)
     change = lambda kind, total: F.struct(F.lit(kind).alias("op"), total.alias("total"))
     changes = (
-        F.when(had & has & (before == after), F.slice(F.array(change("+U", after)), 1, 0))
+        F.when(had & has & before.eqNullSafe(after), F.slice(F.array(change("+U", after)), 1, 0))
         .when(had & has, F.array(change("-U", before), change("+U", after)))
         .when(had, F.array(change("-D", before)))
         .when(has, F.array(change("+I", after)))
@@ -103,9 +106,11 @@ def emit_sum_changes(
 
 
 def sum_state(df: DataFrame, keys: Sequence[str], value: str, op: str = "op") -> DataFrame:
-    """(keys, total, n): what the rows of a changelog add up to, for continuing later."""
+    """(keys, total, n, valued): what the rows of a changelog add up to, for continuing later."""
+    valued = F.coalesce(F.sum(F.when(F.col(value).isNotNull(), sign(op))), F.lit(0))
     return df.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.col(value) * sign(op)), F.lit(0)).alias("total"), F.sum(sign(op)).alias("n"))
+        F.coalesce(F.sum(F.col(value) * sign(op)), F.lit(0)).alias("total"), F.sum(sign(op)).alias("n"),
+        valued.cast("bigint").alias("valued"))
 
 
 def upsert_only(changes: DataFrame, op: str = "op") -> DataFrame:

@@ -176,6 +176,37 @@ def classify_late(
     return rows.withColumns({"late": late, "refires": fired & ~late}).drop("__t", "__seen")
 
 
+def late_firings(
+    classified: DataFrame, keys: Sequence[str], seq: str, chunk: Column, value: Column, heavy_rows: int = HEAVY_ROWS
+) -> DataFrame:
+    """What a window with allowed lateness emits: its on-time result, then an update per late row it still takes.
+
+    ``classified`` has the flags of :func:`classify_late` and ``keys`` name the window.  Rows:
+    (keys, ``seq`` of the late row or null, n, total); rows that came too late are left out.
+    """
+    kept = scan(classified.where("NOT late"), keys, [seq], chunk,
+                {"n": running_count(), "total": running_sum(value)}, heavy_rows=heavy_rows)
+    on_time = kept.where("NOT refires").groupBy(*keys).agg(F.max_by(F.struct("n", "total"), seq).alias("__r")).select(
+        *keys, F.lit(None).cast("bigint").alias(seq), "__r.*")
+    return on_time.unionByName(kept.where("refires").select(*keys, F.col(seq).cast("bigint").alias(seq), "n", "total"))
+
+
+def count_or_end_windows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, size: int, heavy_rows: int = HEAVY_ROWS,
+    **aggs: Agg
+) -> DataFrame:
+    """A window that fires and empties at every ``size`` rows, and at its end for the rest.
+
+    ``keys`` name the window.  Rows: (keys, fired_at, aggregates, reason), where ``fired_at`` counts the
+    window's rows so far and ``reason`` is ``count`` or ``window_end``.
+    """
+    numbered = scan(df, keys, order, chunk, {"__n": running_count()}, heavy_rows=heavy_rows)
+    fired = numbered.groupBy(*keys, F.floor((F.col("__n") - 1) / size).alias("__part")).agg(
+        F.max("__n").alias("fired_at"), F.count("*").alias("__rows"), *[a.partial().alias(n) for n, a in aggs.items()])
+    reason = F.when(F.col("__rows") == size, "count").otherwise("window_end")
+    return fired.withColumn("reason", reason).drop("__part", "__rows")
+
+
 def delta_fires(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, position: str, every: float
 ) -> DataFrame:

@@ -37,7 +37,7 @@ def lettered(events):
 """)
 def state_machine_alerts(spark, folder):
     """Events that break the protocol, with the state they met; an invalid event changes nothing."""
-    events = lettered(load(spark, folder, "events"))
+    events = lettered(load(spark, folder, "events")).select("user_id", "ts", "event_id", "letter")
     alerts = protocol_alerts(events, ["user_id"], ["ts", "event_id"], time_chunk("ts", MINUTE_US), "letter")
     return alerts.select("user_id", "event_id", "letter", "state")
 

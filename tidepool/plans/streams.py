@@ -156,5 +156,5 @@ def stream_changelog(spark, folder):
     rows = replay_table(spark, folder, "orders", "o_orderkey").select(
         "o_custkey", F.col("o_orderkey").alias("seq"), op.alias("op"), _cents("o_totalprice").alias("value"))
     step = sum_changes_step(["o_custkey"], ["seq"], seq_chunk("seq", 1_000_000), "value")
-    out = run_carried(rows, step, "o_custkey bigint, total bigint, n bigint")
+    out = run_carried(rows, step, "o_custkey bigint, total bigint, n bigint, valued bigint")
     return out.withColumn("total", F.col("total") / 100)

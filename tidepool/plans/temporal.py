@@ -10,9 +10,10 @@ from tidepool.functions.text import token_rows
 from tidepool.operators.joins import asof_join, interval_join, lookup_join, window_join, window_join_totals
 from tidepool.operators.scan import MINUTE_US, running_count, running_sum, scan, seq_chunk, time_chunk
 from tidepool.operators.windows import (
-    Agg, classify_late, count_windows, delta_fires, evict_before_last, sessions, slide_panes, tumble,
+    Agg, classify_late, count_or_end_windows, count_windows, delta_fires, evict_before_last, late_firings, sessions,
+    slide_panes, tumble,
 )
-from tidepool.plans.registry import query
+from tidepool.plans.registry import REGISTRY, query
 from tidepool.streaming.joins import async_enrich
 from tidepool.tables import exact_avg, exact_sum, fixed, load, micros
 
@@ -132,6 +133,22 @@ def late_classifier(spark, folder):
     return _late(spark, folder).select("event_id", "late", "refires")
 
 
+@query("late_refires", LATE_SQL + """,
+    k AS (SELECT *, time_bucket(INTERVAL 1 HOUR, t, TIMESTAMP '1970-01-01') AS window_start FROM c WHERE NOT late),
+    r AS (SELECT user_id, window_start, event_id, fired, count(*) OVER w AS n,
+                 CAST(sum(CAST(value AS DECIMAL(18,2))) OVER w AS DOUBLE) AS total
+          FROM k WINDOW w AS (PARTITION BY user_id, window_start ORDER BY event_id))
+    SELECT user_id, window_start, NULL::BIGINT AS event_id, max(n) AS n, arg_max(total, event_id) AS total
+    FROM r WHERE NOT fired GROUP BY user_id, window_start
+    UNION ALL SELECT user_id, window_start, event_id, n, total FROM r WHERE fired
+""")
+def late_refires(spark, folder):
+    """Hourly windows per user: the on-time result, then one update for every late row still taken."""
+    windows = _late(spark, folder).withColumn("window_start", F.window("t", "1 hour")["start"])
+    out = late_firings(windows, ["user_id", "window_start"], "event_id", seq_chunk("event_id", 100_000), fixed("value"))
+    return out.withColumn("total", F.col("total").cast("double"))
+
+
 @query("late_side_output", LATE_SQL + "SELECT event_id, user_id, t, event_type, value FROM c WHERE late")
 def late_side_output(spark, folder):
     return _late(spark, folder).where("late").select("event_id", "user_id", "t", "event_type", "value")
@@ -258,11 +275,21 @@ def window_join_totals_query(spark, folder):
 """)
 def running_sum_query(spark, folder):
     """A new total for every input row."""
-    out = scan(load(spark, folder, "events"), ["user_id"], ["ts", "event_id"], time_chunk("ts", MINUTE_US),
-               {"running_total": running_sum(fixed("value")), "running_n": running_count()})
+    return _running_totals(spark, folder)
+
+
+def _running_totals(spark, folder, width_us=MINUTE_US, **options):
+    out = scan(load(spark, folder, "events"), ["user_id"], ["ts", "event_id"], time_chunk("ts", width_us),
+               {"running_total": running_sum(fixed("value")), "running_n": running_count()}, **options)
     return out.select("event_id", "user_id", F.col("running_total").cast("double").alias("running_total"), "running_n")
 
 
+@query("running_sum_split", REGISTRY["running_sum"].sql)
+def running_sum_split(spark, folder):
+    """The same totals with every user counted as heavy: days as chunks, full days split again."""
+    return _running_totals(spark, folder, DAY, heavy_rows=4)
+
+
 @query("nested_key_window", """
     SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) // 10 AS k_group,
            time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') AS window_start, count(*) AS n
@@ -316,6 +343,21 @@ def count_trigger_running(spark, folder):
     return out.where("fired_at % 2 = 0").select("user_id", "window_start", "fired_at", F.col("total").cast("double").alias("total"))
 
 
+@query("count_or_time_trigger", """
+    WITH r AS (SELECT user_id, time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') AS window_start, CAST(value AS DECIMAL(18,2)) AS v,
+                      row_number() OVER (PARTITION BY user_id, time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') ORDER BY ts, event_id) AS n
+               FROM events)
+    SELECT user_id, window_start, max(n) AS fired_at, CAST(sum(v) AS DOUBLE) AS total,
+           CASE WHEN count(*) = 2 THEN 'count' ELSE 'window_end' END AS reason
+    FROM r GROUP BY user_id, window_start, (n - 1) // 2
+""")
+def count_or_time_trigger(spark, folder):
+    """A window fires and empties at every second row; what is left fires at its end."""
+    out = count_or_end_windows(_daily(spark, folder), ["user_id", "window_start"], ["ts", "event_id"],
+                               time_chunk("ts", MINUTE_US), 2, total=Agg("sum", fixed("value")))
+    return out.withColumn("total", F.col("total").cast("double"))
+
+
 @query("delta_trigger_grid", """
     WITH p AS (SELECT user_id, event_id, ts, sum(CAST(value AS DECIMAL(18,2))) OVER w AS position FROM events
                WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),

@@ -85,11 +85,11 @@ def running_sum_step(keys: Sequence[str], order: Sequence[str], chunk: Column, v
 
 
 def sum_changes_step(keys: Sequence[str], seq: Sequence[str], chunk: Column, value: str, heavy_rows: int = HEAVY_ROWS) -> Step:
-    """State (keys, total, n); emits the changelog of SUM(value)."""
+    """State (keys, total, n, valued); emits the changelog of SUM(value)."""
     def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
         out = emit_sum_changes(batch, keys, value, seq, chunk=chunk, heavy_rows=heavy_rows, start=state)
         added = state.unionByName(sum_state(batch, keys, value))
-        return out, added.groupBy(*keys).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+        return out, added.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("total", "n", "valued")])
 
     return step
 
