@@ -32,7 +32,7 @@ from tidepool.llm.rows import map_rows, utf8
 
 EDITS = 0.2
 RECALL = 0.995
-BLOCK_WORDS = 500_000
+BLOCK_WORDS = 100_000
 ANCHORS = 8
 STEPS = (2, 6, 12, 24)
 PLACES, KEYS_PER_WALK, MAX_WALKS = 5, 6, 12
