@@ -16,6 +16,7 @@ from tidepool.streaming.carried import (
 )
 from tidepool.streaming.joins import stream_interval_join
 from tidepool.streaming.runs import land, land_latest, replay_table
+from tidepool.streaming.stateful import DeltaWindow, run_processor
 from tidepool.tables import fixed, load, with_event_time, zoneless
 
 # How late a row may be against the newest one read before it. Replayed parts come in time order, so any
@@ -158,3 +159,27 @@ def stream_changelog(spark, folder):
     step = sum_changes_step(["o_custkey"], ["seq"], seq_chunk("seq", 1_000_000), "value")
     out = run_carried(rows, step, "o_custkey bigint, total bigint, n bigint, valued bigint")
     return out.withColumn("total", F.col("total") / 100)
+
+
+@query("delta_window_topspeed", """
+    WITH RECURSIVE e AS MATERIALIZED (
+        SELECT user_id, epoch_us(ts) // 1000 AS t, CAST(round(value * 100) AS BIGINT) AS speed,
+               row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+    m AS (SELECT user_id, rn, t, t AS mark, false AS fired FROM e WHERE rn = 1
+          UNION ALL
+          SELECT e.user_id, e.rn, e.t, CASE WHEN e.t - m.mark > 43200000 THEN e.t ELSE m.mark END, e.t - m.mark > 43200000
+          FROM m JOIN e ON e.user_id = m.user_id AND e.rn = m.rn + 1),
+    f AS (SELECT m.user_id, m.rn AS fired_at, e.speed, e.t,
+                 row_number() OVER (PARTITION BY m.user_id, m.rn ORDER BY e.speed DESC, e.rn) AS place
+          FROM m JOIN e ON e.user_id = m.user_id AND e.rn <= m.rn AND e.t > m.t - 86400000 WHERE m.fired)
+    SELECT user_id, speed, t FROM f WHERE place = 1
+""")
+def delta_window_topspeed(spark, folder):
+    """Fires when a user has moved on by more than half a day (in event time) since the last firing, measured from
+    that firing; rows older than a day are evicted, and the row of the largest value is emitted."""
+    t = F.unix_micros(F.col("ts").cast("timestamp"))
+    rows = replay_table(spark, folder, "events", "ts").select(
+        F.col("user_id").alias("key"), _cents("value").alias("speed"), (t / 1_000_000).alias("position"),
+        F.floor(t / 1000).cast("bigint").alias("t"))
+    fired = run_processor(rows, ["key"], DeltaWindow(43_200, 86_400_000), DeltaWindow.schema)
+    return land(fired, "update").select(F.col("key").alias("user_id"), "speed", "t")
