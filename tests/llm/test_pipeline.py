@@ -83,11 +83,10 @@ def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "n-gram Jaccard join", "benchmark decontamination", "secret scans", "byte-level BPE"]
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+#: The queries on pairs and pages have whole-result tests of their own.
+ROW_WISE = sorted(n for n in queries() if n.split("_")[0] in ("op1", "op5", "op6", "op7", "op9", "op10"))
+
+
+@pytest.mark.parametrize("name", ROW_WISE)
 def test_queries_cover_their_table(spark, name):
-    table = "pages" if name.startswith("op3_") else "documents"
-    result = queries()[name](spark, FOLDER)
-    if name.startswith("op8_"):  # only hits
-        assert result.columns == ["doc_id", "item_id", "start_word", "end_word", "edits"]
-        return
-    assert result.count() == spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
+    assert queries()[name](spark, FOLDER).count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()

@@ -25,22 +25,20 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
+from tidepool.llm.hashing import Ranges, hash_words
 from tidepool.llm.rows import map_rows, sorted_groups, utf8
 from tidepool.session import stage_table
 
 LENGTH, GRAM, HOT = 13, 6, 2_000
-CACHED_WORDS = 300_000
-BASE = np.uint64(0x9E3779B97F4A7C15)
-BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+PIECES = LENGTH - GRAM + 1
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_word_hashes: dict[bytes, int] = {}
 
 
 @contextmanager
@@ -54,54 +52,34 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(CLEANUP, before)
 
 
-def _scramble(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return values ^ (values >> np.uint64(31))
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    cache = _word_hashes
-    if len(cache) > CACHED_WORDS:
-        cache.clear()
-    new = set(words).difference(cache)
-    cache.update(zip(new, map(xxh64_intdigest, new)))
-    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-
-
-def _ranges(hashes: np.ndarray):
-    """A function that hashes word ranges [start, stop) of a document."""
-    n = len(hashes)
-    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, BASE)]))
-    back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, BASE_INVERSE)]))
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * powers[:n])])
-
-    def of(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return _scramble((sums[stop] - sums[start]) * back[start] + (stop - start).astype(np.uint64))
-
-    return of
-
-
 class Runs:
     """The runs of a document: first word, number of windows, anchor and content hash of each."""
 
-    def __init__(self, words: list[bytes]):
-        self.hashes = word_hashes(words)
-        n = len(words) - LENGTH + 1
+    def __init__(self, data: bytes):
+        self.hashes = hash_words(data)
+        n = len(self.hashes) - LENGTH + 1
         if n < 1:
             empty = np.zeros(0, dtype=np.int64)
             self.start, self.windows, self.anchor, self.content = empty, empty, empty, empty
             return
-        self.range_hash = _ranges(self.hashes)
-        at = np.arange(len(words) - GRAM + 1)
-        grams = self.range_hash(at, at + GRAM)
-        views = np.lib.stride_tricks.sliding_window_view(grams, LENGTH - GRAM + 1)
-        place = views.argmin(1) + np.arange(n)
-        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        self.ranges = Ranges(self.hashes)
+        at = np.arange(len(self.hashes) - GRAM + 1)
+        least, width = self.ranges.of(at, at + GRAM), 1
+        while width < PIECES:  # minima over 1, 2, 4, .. neighbouring pieces
+            step = min(width, PIECES - width)
+            least = np.minimum(least[:-step], least[step:])
+            width += step
+        first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
         self.start = first
         self.windows = np.diff(np.concatenate([first, [n]]))
-        self.anchor = grams[place[first]].view(np.int64)
-        self.content = self.range_hash(first, first + self.windows + LENGTH - 1).view(np.int64)
+        self.anchor = least[first].view(np.int64)
+        self.content = self.ranges.of(first, first + self.windows + LENGTH - 1).view(np.int64)
+
+    def places(self, contents: list[int]) -> dict[int, tuple[int, int, int]]:
+        """(first word, windows, anchor) of the first run of each of these contents."""
+        at = np.flatnonzero(np.isin(self.content, np.array(contents, dtype=np.int64)))[::-1]
+        rows = zip(self.start[at].tolist(), self.windows[at].tolist(), self.anchor[at].tolist(), strict=True)
+        return dict(zip(self.content[at].tolist(), rows, strict=True))
 
 
 def _content_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +87,7 @@ def _content_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         anchors, contents, docs = [], [], []
         for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            runs = Runs(text.split())
+            runs = Runs(text)
             content, at = np.unique(runs.content, return_index=True)
             anchors.append(runs.anchor[at])
             contents.append(content)
@@ -237,17 +215,13 @@ def _read_contents(docs: DataFrame, contents: DataFrame) -> DataFrame:
         def run(values):
             out = []
             for value in values:
-                runs, rows = Runs(value["text"].split()), []
+                runs, rows = Runs(value["text"]), []
                 hot = {w["content"]: w["hot"] for w in value["wanted"]}
-                for start, windows, anchor, content in zip(
-                        runs.start.tolist(), runs.windows.tolist(), runs.anchor.tolist(), runs.content.tolist(), strict=True):
-                    is_hot = hot.pop(content, None)
-                    if is_hot is None:
-                        continue
+                for content, (start, windows, anchor) in runs.places(list(hot)).items():
                     row = {"anchor": anchor, "content": content, "words": None, "windows": None}
-                    if is_hot:
+                    if hot[content]:
                         at = np.arange(start, start + windows)
-                        row["windows"] = runs.range_hash(at, at + LENGTH).view(np.int64).tolist()
+                        row["windows"] = runs.ranges.of(at, at + LENGTH).view(np.int64).tolist()
                     else:
                         row["words"] = runs.hashes[start:start + windows + LENGTH - 1].tobytes()
                     rows.append(row)
@@ -284,17 +258,18 @@ def first_owners(docs: DataFrame, survivors: DataFrame) -> DataFrame:
         return stage_table(found.where(F.array_min("firsts") < F.col("last_doc")).select("content", "firsts"), "firsts")
 
 
-def _strip(words: list[bytes], masks: dict[int, list[bool]]) -> np.ndarray:
+def _strip(data: bytes, masks: dict[int, list[bool]]) -> np.ndarray:
     """Which words stay, given for each content which of its windows came first elsewhere."""
-    gone = np.zeros(len(words) + 1, dtype=np.int64)
-    runs = Runs(words)
-    for start, content in zip(runs.start.tolist(), runs.content.tolist(), strict=True):
-        mask = masks.get(content)
-        if mask is not None:
-            at = start + np.flatnonzero(mask)
-            gone[at] += 1  # windows of different runs start at different words
-            np.subtract.at(gone, at + LENGTH, 1)
-    return np.cumsum(gone)[:len(words)] <= 0
+    runs = Runs(data)
+    gone = np.zeros(len(runs.hashes) + 1, dtype=np.int64)
+    at = np.flatnonzero(np.isin(runs.content, np.fromiter(masks, np.int64, len(masks))))
+    starts = [start + np.flatnonzero(masks[content]) for start, content in
+              zip(runs.start[at].tolist(), runs.content[at].tolist(), strict=True)]
+    if starts:
+        found = np.concatenate(starts)
+        gone[found] = 1  # windows of different runs start at different words
+        np.subtract.at(gone, found + LENGTH, 1)
+    return np.cumsum(gone)[:-1] <= 0
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -324,8 +299,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                 words = value["text"].split() if value["text"] else []
                 kept = words
                 if words and value["masks"]:
-                    stay = _strip(words, {m["content"]: m["mask"] for m in value["masks"]})
-                    kept = [w for w, s in zip(words, stay.tolist(), strict=True) if s]
+                    stay = _strip(value["text"], {m["content"]: m["mask"] for m in value["masks"]})
+                    kept = list(compress(words, stay.tolist()))
                 out["n_words"].append(len(words))
                 out["n_removed"].append(len(words) - len(kept))
                 out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
