@@ -72,6 +72,7 @@ def test_line_parsers(spark):
 
 
 def test_log_groups(spark):
+    # Fixed value: a sample line with its known fields.
     log = ("2022-05-17T04:09:02.487660Z [Note] TransformInfo:20230201132710||201000042022039349092393||EXZCash||BR2580019||"
            "10000.00||27||0000||192.168.110.152||xyz")
     names = ["at", "trade_id", "kind", "branch", "amount", "n", "code", "ip", "rest", "none"]
@@ -81,12 +82,13 @@ def test_log_groups(spark):
                          "192.168.110.152", "xyz", None]
 
 
+# Two invented messages in the format that the parser reads; the type names are fixed values.
 GATEWAY = [
-    {"msgId": "up", "message": '2023-07-17 13:25:53.015798 msg : [msg_no:1]<Ext:<cust_id="1"|>currency="x"|>'
-     'PktUpIoReserve:<agw_seq_id=2825|agw_user="user133"|agw_user="last"|flag|>\n',
-     "@timestamp": "2023-07-17T13:25:54.457798Z", "offset": 109, "source": "/log/a.txt"},
-    {"msgId": "down", "message": '2023-07-17 13:25:56.622133 msg : [msg_no:2]<Ext:<a=1|>PktDownIo:<agw_seq_id=2825|n=2|>\n',
-     "@timestamp": "2023-07-17T13:25:56.857798Z", "offset": 110, "source": "/log/a.txt"},
+    {"msgId": "up", "message": '2024-03-02 08:10:20.500000 msg : [msg_no:7]<Ext:<shop="3"|>colour="red"|>'
+     'PktUpIoReserve:<agw_seq_id=4711|agw_user="first"|agw_user="last"|flag|>\n',
+     "@timestamp": "2024-03-02T08:10:21.750000Z", "offset": 109, "source": "/log/a.txt"},
+    {"msgId": "down", "message": '2024-03-02 08:10:24.100000 msg : [msg_no:8]<Ext:<a=1|>PktDownIo:<agw_seq_id=4711|n=2|>\n',
+     "@timestamp": "2024-03-02T08:10:24.350000Z", "offset": 110, "source": "/log/a.txt"},
 ]
 
 
@@ -94,10 +96,10 @@ def test_gateway_job(spark):
     lines = spark.createDataFrame([(json.dumps(GATEWAY),), (json.dumps(GATEWAY[0]),)], "value string")
     records = gateway_records(lines).orderBy("offset").collect()
     assert [(r.msg_type, r.collect_latency, r.agw_seq_id, r.offset, r.source) for r in records] == [
-        ("PktUpIoReserve", 1442000, "2825", 109, "/log/a.txt")] * 2 + [("PktDownIo", 235665, "2825", 110, "/log/a.txt")]
+        ("PktUpIoReserve", 1250000, "4711", 109, "/log/a.txt")] * 2 + [("PktDownIo", 250000, "4711", 110, "/log/a.txt")]
     assert records[0].others["agw_user"] == '"last"' and records[0].others["msgId"] == "up" and "offset" not in records[0].others
     out = gateway_latency(gateway_records(lines)).collect()
-    assert [(r.cnt, r.max_latency) for r in out] == [(3, 1442000)]
+    assert [(r.cnt, r.max_latency) for r in out] == [(3, 1250000)]
     lists = gateway_messages(gateway_records(lines), max_items=2).collect()
     assert sorted(m.msg_type for r in lists for m in r.messages) == ["PktDownIo", "PktUpIoReserve", "PktUpIoReserve"]
 
