@@ -90,6 +90,7 @@ def test_edits_encode_little(pair):
 def test_caches_stay_bounded(pair, monkeypatch):
     vocabulary, library = pair
     monkeypatch.setattr(bpe, "CACHED_PIECES", 5)
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 7)
     monkeypatch.setattr(bpe, "CACHED_PAIRS", 5)
     text = " ".join(f"word{i} other{i}," for i in range(50))
     assert vocabulary.encode(text) == library.encode_ordinary(text)

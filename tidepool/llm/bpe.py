@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from tidepool.llm.rows import map_rows
 
-CACHED_PIECES = 400_000
-CACHED_PAIRS = 1_000_000
+CACHED_WORDS = 300_000
+CACHED_PIECES = 150_000
+CACHED_PAIRS = 300_000
 NEVER = 1 << 60
 #: Longer pieces are not cached, so that the cache is bounded in bytes too.
 CACHED_LENGTH = 64
@@ -206,11 +207,11 @@ class Vocabulary:
         new = [w for w in words if w not in self.words]
         if not first or first[-1].isspace() or any(not w or w[0].isspace() or w[-1].isspace() for w in new):
             return False
-        if max(map(len, new), default=0) > CACHED_LENGTH or len(new) > CACHED_PIECES:
+        if max(map(len, new), default=0) > CACHED_LENGTH or len(new) > CACHED_WORDS:
             return False
-        if len(self.words) + len(new) > CACHED_PIECES:
+        if len(self.words) + len(new) > CACHED_WORDS:
             self.words.clear()
-            new = words if len(words) <= CACHED_PIECES else []
+            new = words if len(words) <= CACHED_WORDS else []
             if not new or max(map(len, new)) > CACHED_LENGTH:
                 return False
         for w in new:
