@@ -30,55 +30,36 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
+from tidepool.llm.hashing import hash_words, scramble
 from tidepool.llm.rows import map_rows, sorted_groups, utf8
 from tidepool.operators.graph import connected_components
 from tidepool.session import stage_table
 
 SIMILARITY, WIDTH = 0.8, 5
 COORDS, BITS, SLACK = 64, 256, 0.15
-LEAF, DEPTH, RECALL = 800, 3, 0.999
+LEAF, DEPTH, RECALL = 4_000, 3, 0.999
 BLOCK_RECORDS, BLOCK_SHINGLES = 1_000, 1_000_000
 SMALL_GROUP = 24
-CACHED_WORDS = 300_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
-_word_hashes: dict[bytes, int] = {}
-
-
-def _scramble(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return values ^ (values >> np.uint64(31))
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words, remembering the frequent ones."""
-    cache = _word_hashes
-    if len(cache) > CACHED_WORDS:
-        cache.clear()
-    new = set(words).difference(cache)
-    cache.update(zip(new, map(xxh64_intdigest, new)))
-    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 
 
 def shingles(data: bytes | None) -> np.ndarray:
     """Sorted distinct hashes of the word 5-grams."""
-    words = data.split() if data else []
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    hashes = word_hashes(words)
-    width = min(WIDTH, len(words))
-    code = np.full(len(words) - width + 1, width, dtype=np.uint64)
+    hashes = hash_words(data) if data else np.zeros(0, dtype=np.uint64)
+    if not len(hashes):
+        return hashes
+    width = min(WIDTH, len(hashes))
+    code = np.full(len(hashes) - width + 1, width, dtype=np.uint64)
     for k in range(width):
-        code = code * MIX + hashes[k: len(words) - width + 1 + k]
-    return np.unique(_scramble(code))
+        code = code * MIX + hashes[k: len(hashes) - width + 1 + k]
+    return np.unique(scramble(code))
 
 
 def set_id(found: np.ndarray) -> int:
     """Signed 64-bit identity of a set, from sums that do not depend on order."""
-    total = np.array([found.sum(dtype=np.uint64), _scramble(found + MIX).sum(dtype=np.uint64) ^ np.uint64(len(found))])
-    return int(_scramble(total * MIX)[0] ^ _scramble(total)[1]) - (1 << 63)
+    total = np.array([found.sum(dtype=np.uint64), scramble(found + MIX).sum(dtype=np.uint64) ^ np.uint64(len(found))])
+    return int(scramble(total * MIX)[0] ^ scramble(total)[1]) - (1 << 63)
 
 
 _rng = np.random.default_rng(20240229)
@@ -119,9 +100,9 @@ def first_choices() -> list[tuple[int, int]]:
 
 def _children(node: int, coords: np.ndarray) -> list[int]:
     """Nodes that a record in a node goes on to; the places depend on the node alone."""
-    draw = _scramble(np.arange(COORDS, dtype=np.uint64) * MIX + np.uint64(node & 0xFFFFFFFFFFFFFFFF))
+    draw = scramble(np.arange(COORDS, dtype=np.uint64) * MIX + np.uint64(node & 0xFFFFFFFFFFFFFFFF))
     places = np.flatnonzero(draw < np.uint64(int(2.0**64 / (SIMILARITY * COORDS))))
-    return _scramble((draw[places] ^ coords[places].astype(np.uint64)) * MIX).view(np.int64).tolist()
+    return scramble((draw[places] ^ coords[places].astype(np.uint64)) * MIX).view(np.int64).tolist()
 
 
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -149,12 +130,12 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
 def _root_children(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     choices = first_choices()
     places = np.array([i for _, i in choices])
-    salts = _scramble(np.array([run * COORDS + i + 1 for run, i in choices], dtype=np.uint64))
+    salts = scramble(np.array([run * COORDS + i + 1 for run, i in choices], dtype=np.uint64))
     for batch in batches:
         if not batch.num_rows:
             continue
         coords = np.frombuffer(b"".join(batch.column("coords").to_pylist()), np.uint32).reshape(-1, COORDS)
-        nodes = _scramble((coords[:, places].astype(np.uint64) ^ salts) * MIX).view(np.int64)
+        nodes = scramble((coords[:, places].astype(np.uint64) ^ salts) * MIX).view(np.int64)
         recs = np.repeat(batch.column("rec").to_numpy(), len(choices))
         yield pa.RecordBatch.from_arrays([pa.array(nodes.ravel()), pa.array(recs)], names=["node", "rec"])
 
