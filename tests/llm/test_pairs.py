@@ -213,3 +213,13 @@ def test_leak_edges(spark):
     assert decontaminate.find_leaks(docs, items.limit(0)).collect() == []
     assert decontaminate.find_leaks(docs.limit(0), items).collect() == []
     assert decontaminate.drop_contaminated(docs, items.limit(0)).count() == 6
+
+
+def test_items_that_differ_in_their_tail_are_found():
+    """A shared template and a tail of own words: the rarest words stand where no walk starts."""
+    template = [b"w%d" % i for i in range(42)]
+    items = [(k, template + [b"own%dx%d" % (k, i) for i in range(8)]) for k in range(30)]
+    index = decontaminate.Index(items)
+    docs = [b" ".join([b"before"] * 5 + words + [b"after"] * 5) for _, words in items]
+    for (k, _), found in zip(items, index.matches(docs), strict=True):
+        assert (k, 5, 55, 0) in found

@@ -7,7 +7,8 @@ The CGK embedding reads a word sequence with a pointer. At step j it writes the
 and moves on if a random bit of (step, word) says so; the same randomness is used everywhere, so two
 sequences that differ by a few edits fall into step again and their embeddings differ in few places.
 An LSH key is a few sampled places of the embedding. Both sides are embedded from the same anchors:
-words that are rare among the items, several per item, wherever they occur. At an anchor that lies
+words that are rare among the items, several per item from the part where walks start, wherever they
+occur. At an anchor that lies
 ``o`` words into an item, a hit opens the item-sized window that begins ``o`` words earlier in the
 document, and the window (with room for the allowed edits) is verified by exact edit distance. Walks
 and keys are repeated until edited copies of the items themselves are found with ``RECALL``.
@@ -107,9 +108,10 @@ class Index:
         for _, words in self.items:
             for w in set(words):
                 counts[w] += 1
-        for _, words in self.items:
-            self.anchors.update(sorted(set(words), key=lambda w: (counts[w], -len(w), w))[:ANCHORS])
         self.steps = [self._steps(len(w)) for _, w in self.items]
+        for (_, words), steps in zip(self.items, self.steps, strict=True):
+            first = set(words[:self._last(len(words), steps)])
+            self.anchors.update(sorted(first, key=lambda w: (counts[w], -len(w), w))[:ANCHORS])
         rng = np.random.default_rng(seed)
         trials = [(k, self._edited(words, rng)) for k, (_, words) in enumerate(self.items) for _ in range(TRIALS)]
         missed = trials
@@ -126,6 +128,11 @@ class Index:
         """Embedding steps for an item of n words: those that stay inside its second half."""
         return max([s for s in STEPS if s <= max(n // 2, STEPS[0])])
 
+    @staticmethod
+    def _last(n: int, steps: int) -> int:
+        """Walks of an item start before this word, so that most of their steps read words of the item."""
+        return max(n - steps // 2, 1)
+
     @staticmethod
     def _edited(words: list[bytes], rng: np.random.Generator) -> list[bytes]:
         """The item with as many random word edits as are allowed."""
@@ -149,10 +156,8 @@ class Index:
                 self.walks[walk].append((steps, places, salt))
         for k, (_, words) in enumerate(self.items):
             hashes = np.array([xxh64_intdigest(w) for w in words], dtype=np.uint64)
-            last = max(len(words) - self.steps[k] // 2, 1)
+            last = self._last(len(words), self.steps[k])
             starts = np.array([o for o in range(last) if words[o] in self.anchors], dtype=np.int64)
-            if not len(starts):
-                starts = np.arange(last)
             embedded = embed(hashes, starts, self.steps[k], walk)
             for steps, places, salt in self.walks[walk]:
                 if steps == self.steps[k]:
