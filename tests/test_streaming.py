@@ -371,6 +371,19 @@ def test_replayed_table_comes_in_ordered_batches(spark):
     assert all(a[1] < b[0] for a, b in zip(seen, seen[1:]))
 
 
+def test_replayed_table_with_one_crowded_time(spark, tmp_path):
+    """Half of the rows share one time: batches stay in order, though parts cannot be equal."""
+    from tidepool.streaming.runs import replay_table
+
+    times = [*range(100), *[100] * 200, *range(101, 201), None]
+    spark.createDataFrame([(t, i) for i, t in enumerate(times)], "t int, i int").write.parquet(str(tmp_path / "events.parquet"))
+    seen = []
+    run_all(replay_table(spark, str(tmp_path), "events", "t"), lambda b, i: seen.append([r.t for r in b.collect()]))
+    assert sorted(t for batch in seen for t in batch if t is not None) == times[:-1] and None in seen[-1]
+    known = [[t for t in batch if t is not None] for batch in seen]
+    assert len(seen) > 1 and all(max(a) < min(b) for a, b in zip(known, known[1:]))
+
+
 def test_incremental_learning(spark, feed, tmp_path):
     """The model is the mean seen so far; predictions use the newest one stored."""
     folder, out = str(tmp_path / "model"), str(tmp_path / "out")

@@ -30,24 +30,26 @@ def stream_table(spark: SparkSession, folder: str, name: str, max_files: int | N
 def replay_table(
     spark: SparkSession, folder: str, name: str, order: str, parts: int = 3, files: int = 2
 ) -> DataFrame:
-    """A supplied table as a stream of at least ``parts`` micro-batches in ``order``.
+    """A supplied table as a stream of ``parts`` micro-batches in ``order``.
 
-    The table is cut at quantiles of ``order`` (equal values stay together) and the parts are written one
-    after another; a file stream takes files by age, ``files`` at a time. For a large table raise both.
+    The table is cut at ``parts`` x ``files`` quantiles of ``order`` (equal values stay together, so there
+    are fewer cuts where values repeat much) and each range is written as one file, one after another. A
+    file stream takes files by age, ``files`` at a time, so whichever files a batch gets, its rows come
+    after those of all batches before it; nulls are in the last. For a large table raise both.
     """
     table = spark.read.parquet(f"{folder}/{name}.parquet")
     place = micros(order) if isinstance(table.schema[order].dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(order)
-    shares = [i / parts for i in range(1, parts)]
-    cuts = table.agg(F.percentile_approx(place, shares, 1000)).first()[0] or []
+    shares = [i / (parts * files) for i in range(1, parts * files)]
+    found, last = table.agg(F.percentile_approx(place, shares, 1000), F.max(place)).first()
+    cuts = sorted({c for c in found or [] if c < last})
     path = run_dir(spark, f"replay-{name}")
-    before = None
-    for cut in [*cuts, None]:
-        part = table if before is None else table.where(place > before)
-        part = part if cut is None else part.where(place <= cut)
-        if cut is None and before is not None:
-            part = table.where((place > before) | place.isNull())
-        part.repartition(files).write.mode("append").parquet(path)
-        before = cut
+    for before, cut in zip([None, *cuts], [*cuts, None], strict=True):
+        part = table
+        if before is not None:
+            part = part.where(place > before if cut is not None else (place > before) | place.isNull())
+        if cut is not None:
+            part = part.where(place <= cut)
+        part.repartition(1).write.mode("append").option("maxRecordsPerFile", 0).parquet(path)
     return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
