@@ -79,6 +79,18 @@ def test_wrappers_stay_bounded(monkeypatch):
     assert text_of("<x1-1><p>kept</p></x1-1>", total) == "kept"
 
 
+def test_deep_closed_nesting():
+    """End tags pair with their own start tags at any depth, and furniture is known there too."""
+    def page(i):
+        deep = "<div>" * 150 + f"deep {i}<nav>menu</nav><table><tr><td>cell</table>" + "</div>" * 150
+        return f"<html><body><div class=wrap><article><p>first {i}</p>{deep}<p>last {i}</p></article><p>outside</p></div></body></html>"
+
+    wrapper = wrapper_of(*map(page, range(4)))
+    assert text_of(page(1)) == text_of(page(1), wrapper) == "first 1 deep 1 cell last 1"
+    assert hw.Node.load(wrapper.dump()).dump() == wrapper.dump()
+    assert text_of("<div>" * 50_000 + "x" + "</div>" * 50_000 + "y") == "x y"
+
+
 def plain(page):
     inside = re.search(r"<article>(.*?)</article>", page, re.DOTALL)[1]
     return " ".join(html.unescape(re.sub(r"</?b>", "", re.sub(r"</?(p|br|h1)>", " ", inside))).split())

@@ -14,7 +14,8 @@ or more pages. Pages are read again with their host's wrapper; parts that it doe
 their own tags.
 
 Inference adds up partial wrappers per task, then per host and salt, then per host, so that a host
-with a third of all pages is spread over all tasks. Wrappers have at most ``MAX_NODES`` nodes: beyond
+with a third of all pages is spread over all tasks. Pages are read at any depth; a wrapper has
+``MAX_DEPTH`` levels and keeps the totals of what is below. Wrappers have at most ``MAX_NODES`` nodes: beyond
 that their deepest levels are forgotten (not the pages' text). The wrapper table is broadcast only if
 its measured size is below ``BROADCAST_BYTES``, and joined otherwise.
 
@@ -27,6 +28,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
@@ -70,22 +72,24 @@ SLOT, GROUP = "#", "()"
 class Node:
     """An element of a page, or of a wrapper: label, quantifier, children; slots carry counts."""
 
-    __slots__ = ("children", "label", "links", "pages", "repeated", "size", "optional", "mark", "varies", "texts")
+    __slots__ = ("article", "children", "cut", "label", "links", "pages", "repeated", "size", "optional", "mark", "varies", "texts")
 
     def __init__(self, label: str):
         self.label, self.children = label, []
         self.optional = self.repeated = self.varies = False
+        self.cut = self.article = False
         self.pages, self.size, self.links, self.mark = 1, 0, 0, ""
         self.texts: list[str] = []
 
     def dump(self) -> list:
-        flags = self.optional + 2 * self.repeated + 4 * self.varies
+        flags = self.optional + 2 * self.repeated + 4 * self.varies + 8 * self.cut + 16 * self.article
         return [self.label, flags, self.pages, self.size, self.links, self.mark, [c.dump() for c in self.children]]
 
     @staticmethod
     def load(data: list) -> Node:
         node = Node(data[0])
         node.optional, node.repeated, node.varies = bool(data[1] & 1), bool(data[1] & 2), bool(data[1] & 4)
+        node.cut, node.article = bool(data[1] & 8), bool(data[1] & 16)
         node.pages, node.size, node.links, node.mark = data[2:6]
         node.children = [Node.load(c) for c in data[6]]
         return node
@@ -144,6 +148,7 @@ class _Reader:
     def __init__(self):
         self.root = Node("")
         self.stack = [self.root]
+        self.open: Counter[str] = Counter()
         self.run: list[str] = []
         self.link_from: int | None = None
         self.linked = 0
@@ -162,10 +167,13 @@ class _Reader:
 
     def close(self, names: set[str], scopes: frozenset = SCOPES) -> None:
         """End the innermost open element of these names inside the scope, and what is in it."""
+        if not any(self.open[name] for name in names):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             tag = self.stack[i].label.partition(" ")[0]
             if tag in names:
                 self.flush()
+                self.open.subtract(n.label.partition(" ")[0] for n in self.stack[i:])
                 del self.stack[i:]
                 return
             if tag in scopes:
@@ -187,10 +195,10 @@ class _Reader:
         else:
             self.close({"p"})
         self.flush()
-        if len(self.stack) <= MAX_DEPTH:
-            node = Node(_label(tag, attributes))
-            self.stack[-1].children.append(node)
-            self.stack.append(node)
+        node = Node(_label(tag, attributes))
+        self.stack[-1].children.append(node)
+        self.stack.append(node)
+        self.open[tag] += 1
 
     def end(self, tag: str) -> None:
         if tag == "a" and self.link_from is not None:
@@ -230,13 +238,35 @@ def read_page(source: str | None) -> Node:
     return reader.root
 
 
-def as_wrapper(page: Node) -> Node:
+def _totals(node: Node) -> tuple[int, int]:
+    """Characters of text, and of those in links, in an element."""
+    size, links, todo = 0, 0, [node]
+    while todo:
+        n = todo.pop()
+        size, links = size + n.size, links + n.links
+        todo += n.children
+    return size, links
+
+
+def cut_below(node: Node) -> None:
+    """Forget what is in an element, but for its totals and whether an article with text is there."""
+    if node.children:
+        node.article = node.article or any(map(_has_article, node.children))
+        node.size, node.links = _totals(node)
+        node.children, node.cut = [], True
+
+
+def as_wrapper(page: Node, depth: int = 0) -> Node:
     """The expression of a single page: repeated neighbours folded, texts replaced by slots."""
     node = Node(page.label)
     node.size, node.links = page.size, page.links
     if page.label == SLOT:
         node.mark = blake2b(page.texts[0].encode("utf-8", "surrogatepass"), digest_size=6).hexdigest()
-    node.children = fold([as_wrapper(c) for c in page.children])
+    if depth == MAX_DEPTH:
+        node.children = page.children
+        cut_below(node)
+    else:
+        node.children = fold([as_wrapper(c, depth + 1) for c in page.children])
     return node
 
 
@@ -278,7 +308,12 @@ def join(a: Node, b: Node) -> Node:
     node.optional, node.repeated = a.optional or b.optional, a.repeated or b.repeated
     node.pages, node.size, node.links = a.pages + b.pages, a.size + b.size, a.links + b.links
     node.mark, node.varies = a.mark, a.varies or b.varies or a.mark != b.mark
-    node.children = align(a.children, b.children)
+    node.cut, node.article = a.cut or b.cut, a.article or b.article
+    if node.cut:
+        node.children = [*a.children, *b.children]
+        cut_below(node)
+    else:
+        node.children = align(a.children, b.children)
     return node
 
 
@@ -361,11 +396,14 @@ def shrink(wrapper: Node) -> Node:
 
 
 def _has_article(node: Node) -> bool:
-    return _inside_article(node.label) and _text_size(node) > 0 or any(_has_article(c) for c in node.children)
-
-
-def _text_size(node: Node) -> int:
-    return node.size if node.label == SLOT else sum(_text_size(c) for c in node.children)
+    todo = [(node, False)]
+    while todo:
+        n, inside = todo.pop()
+        inside = inside or _inside_article(n.label)
+        if n.article or inside and n.size > 0:
+            return True
+        todo += [(c, inside) for c in n.children]
+    return False
 
 
 def _is_template(node: Node) -> bool:
@@ -376,10 +414,8 @@ def _is_template(node: Node) -> bool:
 
 
 def _mostly_links(node: Node) -> bool:
-    def links(n: Node) -> int:
-        return n.links if n.label == SLOT else sum(links(c) for c in n.children)
-
-    return links(node) * 2 > _text_size(node) > 0
+    size, links = _totals(node)
+    return links * 2 > size > 0
 
 
 def _flat(nodes: list[Node]) -> list[Node]:
@@ -391,24 +427,30 @@ def main_text(page: Node, wrapper: Node | None) -> str:
     out: list[str] = []
     wanted = wrapper is not None and _has_article(wrapper) and _has_article(page) or wrapper is None and _has_article(page)
 
-    def walk(node: Node, places: list[Node], in_article: bool) -> None:
-        flat, at = _flat(places), 0
-        for child in node.children:
-            order = [*range(at, len(flat)), *range(at)]
-            found = next((i for i in order if flat[i].label == child.label), None)
-            place = None if found is None else flat[found]
-            if found is not None:
-                at = found
-            if child.label == SLOT:
-                if in_article or not wanted and not (place and _is_template(place)) and child.links * 2 <= child.size:
-                    out.extend(child.texts)
-                continue
-            inside = in_article or _inside_article(child.label)
-            if is_other(child.label, in_article) or not inside and place and _mostly_links(place):
-                continue
-            walk(child, place.children if place else [], inside)
-
-    walk(page, wrapper.children if wrapper else [], False)
+    def places_of(place: Node | None) -> list[Node]:
+        return _flat(place.children) if place else []
+
+    # open elements: the children to come, the wrapper's places for them, the last place met, inside an article or not
+    todo = [[iter(page.children), places_of(wrapper), 0, False]]
+    while todo:
+        children, flat, at, in_article = todo[-1]
+        child = next(children, None)
+        if child is None:
+            todo.pop()
+            continue
+        order = [*range(at, len(flat)), *range(at)]
+        found = next((i for i in order if flat[i].label == child.label), None)
+        place = None if found is None else flat[found]
+        if found is not None:
+            todo[-1][2] = found
+        if child.label == SLOT:
+            if in_article or not wanted and not (place and _is_template(place)) and child.links * 2 <= child.size:
+                out.extend(child.texts)
+            continue
+        inside = in_article or _inside_article(child.label)
+        if is_other(child.label, in_article) or not inside and place and _mostly_links(place):
+            continue
+        todo.append([iter(child.children), places_of(place), 0, inside])
     return " ".join(out)
 
 
