@@ -91,6 +91,20 @@ def test_deep_closed_nesting():
     assert text_of("<div>" * 50_000 + "x" + "</div>" * 50_000 + "y") == "x y"
 
 
+def test_equal_paragraphs_of_a_page_are_no_template():
+    page = "<body><div><p>so</p><p>so</p><p>so</p><h2>x</h2></div></body>"
+    assert text_of(page, wrapper_of(page)) == "so so so x"
+
+
+def test_copies_of_one_page_are_no_template():
+    page = "<body><div><h2>One</h2><p>Two</p></div></body>"
+    assert text_of(page, wrapper_of(*[page] * 5)) == "One Two"
+    others = [f"<body><div><h2>One</h2><p>Two {i}</p></div></body>" for i in "abc"]
+    assert text_of(others[0], wrapper_of(page, page, others[0])) == "One Two a"
+    pages = [f"<body><div><p>Head</p><h2>Story {i}</h2></div></body>" for i in "abc"]
+    assert text_of(pages[0], wrapper_of(*pages)) == "Story a"
+
+
 def plain(page):
     inside = re.search(r"<article>(.*?)</article>", page, re.DOTALL)[1]
     return " ".join(html.unescape(re.sub(r"</?b>", "", re.sub(r"</?(p|br|h1)>", " ", inside))).split())

@@ -10,7 +10,7 @@ have it, whether its text differs between pages, and how much of it is links.
 A slot is main text if it is inside the article or main element (where the wrapper has one with text),
 not under a menu, header, footer, sidebar, form, advert, notice, comment section or the like (by tag,
 role, class or id), and, outside an article element, neither mostly links nor the same on all of three
-or more pages. Pages are read again with their host's wrapper; parts that it does not have follow
+or more different pages (pages with the same texts are copies of one). Pages are read again with their host's wrapper; parts that it does not have follow
 their own tags.
 
 Inference adds up partial wrappers per task, then per host and salt, then per host, so that a host
@@ -78,7 +78,9 @@ class Node:
         self.label, self.children = label, []
         self.optional = self.repeated = self.varies = False
         self.cut = self.article = False
-        self.pages, self.size, self.links, self.mark = 1, 0, 0, ""
+        self.size, self.links, self.mark = 0, 0, ""
+        #: Of a slot: marks of different pages that have it, the FEW_PAGES smallest of them.
+        self.pages: tuple[int, ...] = ()
         self.texts: list[str] = []
 
     def dump(self) -> list:
@@ -90,7 +92,7 @@ class Node:
         node = Node(data[0])
         node.optional, node.repeated, node.varies = bool(data[1] & 1), bool(data[1] & 2), bool(data[1] & 4)
         node.cut, node.article = bool(data[1] & 8), bool(data[1] & 16)
-        node.pages, node.size, node.links, node.mark = data[2:6]
+        node.pages, node.size, node.links, node.mark = tuple(data[2]), *data[3:6]
         node.children = [Node.load(c) for c in data[6]]
         return node
 
@@ -256,17 +258,30 @@ def cut_below(node: Node) -> None:
         node.children, node.cut = [], True
 
 
-def as_wrapper(page: Node, depth: int = 0) -> Node:
+def page_mark(page: Node) -> int:
+    """Pages with the same texts are copies of one page."""
+    digest, todo = blake2b(digest_size=6), [page]
+    while todo:
+        node = todo.pop()
+        for text in node.texts:
+            digest.update(text.encode("utf-8", "surrogatepass") + b"\0")
+        todo += reversed(node.children)
+    return int.from_bytes(digest.digest())
+
+
+def as_wrapper(page: Node, depth: int = 0, mark: int | None = None) -> Node:
     """The expression of a single page: repeated neighbours folded, texts replaced by slots."""
+    mark = page_mark(page) if mark is None else mark
     node = Node(page.label)
     node.size, node.links = page.size, page.links
     if page.label == SLOT:
         node.mark = blake2b(page.texts[0].encode("utf-8", "surrogatepass"), digest_size=6).hexdigest()
+        node.pages = (mark,)
     if depth == MAX_DEPTH:
         node.children = page.children
         cut_below(node)
     else:
-        node.children = fold([as_wrapper(c, depth + 1) for c in page.children])
+        node.children = fold([as_wrapper(c, depth + 1, mark) for c in page.children])
     return node
 
 
@@ -306,7 +321,8 @@ def join(a: Node, b: Node) -> Node:
     """One element for two aligned ones."""
     node = Node(a.label)
     node.optional, node.repeated = a.optional or b.optional, a.repeated or b.repeated
-    node.pages, node.size, node.links = a.pages + b.pages, a.size + b.size, a.links + b.links
+    node.pages = a.pages if a.pages == b.pages else tuple(sorted({*a.pages, *b.pages})[:FEW_PAGES])
+    node.size, node.links = a.size + b.size, a.links + b.links
     node.mark, node.varies = a.mark, a.varies or b.varies or a.mark != b.mark
     node.cut, node.article = a.cut or b.cut, a.article or b.article
     if node.cut:
@@ -409,7 +425,7 @@ def _has_article(node: Node) -> bool:
 def _is_template(node: Node) -> bool:
     """Mostly links, or one and the same on every one of several pages."""
     if node.label == SLOT:
-        return node.links * 2 > node.size or not node.varies and node.pages >= FEW_PAGES
+        return node.links * 2 > node.size or not node.varies and len(node.pages) >= FEW_PAGES
     return False
 
 
