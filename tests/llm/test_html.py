@@ -105,6 +105,32 @@ def test_copies_of_one_page_are_no_template():
     assert text_of(pages[0], wrapper_of(*pages)) == "Story a"
 
 
+def test_cut_wrappers_know_articles(monkeypatch):
+    pages = [f"<body><div>Top {i}</div><div class=a><div class=b><article><p>Text {i}</p></article></div></div></body>" for i in range(5)]
+    wrapper = wrapper_of(*pages)
+    monkeypatch.setattr(hw, "MAX_NODES", 5)
+    assert [text_of(p, hw.shrink(wrapper)) for p in pages] == [f"Text {i}" for i in range(5)]
+
+
+def test_large_hosts_keep_their_rules(spark):
+    """A long page of sections cuts the wrapper of its host: templates and link blocks go all the same."""
+    def page(i, sections):
+        body = "".join(f"<h2>t{i} {j}</h2><p>a{i} {j}</p><ul><li>b{i} {j}</li></ul><p>c{i} {j}</p>" for j in range(sections))
+        links = "<section><p><a href=1>Go there or there</a> x</p><h3>more</h3></section>"
+        return f"<body><div><div><h1>Welcome</h1>{links}<div>{body}</div></div></div></body>"
+
+    def want(i, sections):
+        return " ".join(f"t{i} {j} a{i} {j} b{i} {j} c{i} {j}" for j in range(sections))
+
+    sizes = [1000, 2, 1, 3]
+    rows = [(i, f"http://{host}/{i}", page(i, n if host == "big" else min(n, 3))) for i, n in enumerate(sizes) for host in ("big", "small")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    wrappers = {r.host: r.cut for r in hw.infer_wrappers(pages.select(hw.host_of("url").alias("host"), "html")).collect()}
+    assert wrappers == {"big": True, "small": False}
+    got = {r.url: r.text for r in hw.extract_text(pages).collect()}
+    assert got == {f"http://{host}/{i}": want(i, n if host == "big" else min(n, 3)) for i, n in enumerate(sizes) for host in ("big", "small")}
+
+
 def plain(page):
     inside = re.search(r"<article>(.*?)</article>", page, re.DOTALL)[1]
     return " ".join(html.unescape(re.sub(r"</?b>", "", re.sub(r"</?(p|br|h1)>", " ", inside))).split())

@@ -15,8 +15,9 @@ their own tags.
 
 Inference adds up partial wrappers per task, then per host and salt, then per host, so that a host
 with a third of all pages is spread over all tasks. Pages are read at any depth; a wrapper has
-``MAX_DEPTH`` levels and keeps the totals of what is below. Wrappers have at most ``MAX_NODES`` nodes: beyond
-that their deepest levels are forgotten (not the pages' text). The wrapper table is broadcast only if
+``MAX_DEPTH`` levels and at most ``MAX_NODES`` nodes: what is deeper is cut, leaving its totals. Where a
+host's wrapper is cut, the same rules are decided by an aggregation over host and path (labels from the
+root, with the number of the run among its neighbours). The wrapper table is broadcast only if
 its measured size is below ``BROADCAST_BYTES``, and joined otherwise.
 
 Null or empty html gives the empty text. A page without a url belongs to the host "". Unclosed tags
@@ -29,13 +30,14 @@ import html as entities
 import json
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from tidepool.llm.rows import map_rows
 from tidepool.session import stage_table
@@ -389,28 +391,33 @@ def _common(x: list[Node], y: list[Node]) -> list[tuple[int, int]]:
 
 
 def shrink(wrapper: Node) -> Node:
-    """Forget the deepest levels until the wrapper is of bounded size."""
-
-    def level(nodes: list[Node], depth: int) -> list[Node]:
-        return nodes if not depth else [c for n in level(nodes, depth - 1) for c in n.children]
-
-    sizes, depth = [], 0
-    nodes = [wrapper]
+    """Cut the deepest levels until the wrapper is of bounded size; what was below is read from the spilled paths."""
+    levels, nodes = [], [wrapper]
     while nodes:
-        sizes.append(len(nodes))
-        nodes = [c for n in nodes for c in n.children]
-    if sum(sizes) <= MAX_NODES:
+        levels.append(nodes)
+        nodes = [c for n in nodes for c in _flat(n.children)]
+    if sum(map(len, levels)) <= MAX_NODES:
         return wrapper
     total = 0
-    for depth, size in enumerate(sizes):
-        total += size
+    for depth, nodes in enumerate(levels):
+        total += len(nodes)
         if total > MAX_NODES:
             break
-    for node in level([wrapper], max(depth - 1, 0)):
-        node.children = []
+    for node in levels[max(depth - 1, 0)]:
+        cut_below(node)
     return wrapper
 
 
+def _any_cut(wrapper: Node) -> bool:
+    todo = [wrapper]
+    while todo:
+        node = todo.pop()
+        if node.cut:
+            return True
+        todo += node.children
+    return False
+
+
 def _has_article(node: Node) -> bool:
     todo = [(node, False)]
     while todo:
@@ -438,35 +445,71 @@ def _flat(nodes: list[Node]) -> list[Node]:
     return [n for node in nodes for n in (_flat(node.children) if node.label == GROUP else [node])]
 
 
-def main_text(page: Node, wrapper: Node | None) -> str:
-    """The blocks of a page that its host's wrapper marks as main text, joined by one space."""
+def _path(parent: int, label: str, run: int) -> int:
+    """Place of an element or slot: its parent's, its label, and which run of that label it is in there."""
+    return xxh64_intdigest(f"{parent} {run} {label}".encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def _element_totals(page: Node) -> dict[int, tuple[int, int]]:
+    """By identity: characters of text, and of those in links, in every element and slot."""
+    order, todo = [], [page]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += node.children
+    out: dict[int, tuple[int, int]] = {}
+    for node in reversed(order):
+        inner = [out[id(c)] for c in node.children]
+        out[id(node)] = node.size + sum(s for s, _ in inner), node.links + sum(k for _, k in inner)
+    return out
+
+
+def main_text(page: Node, wrapper: Node | None, dropped: frozenset[int] | None = None,
+              record: Callable[[int, Node], None] | None = None) -> str:
+    """The blocks of a page that its host's wrapper marks as main text, joined by one space.
+
+    Where the wrapper is cut, the paths in ``dropped`` are template; ``record`` is told those met there.
+    """
     out: list[str] = []
     wanted = wrapper is not None and _has_article(wrapper) and _has_article(page) or wrapper is None and _has_article(page)
+    tracked = dropped is not None or record is not None
 
-    def places_of(place: Node | None) -> list[Node]:
-        return _flat(place.children) if place else []
+    def frame(node: Node, place: Node | None, inside: bool, path: int, lost: bool) -> list:
+        """Children to come, the wrapper's places for them, the last place met; runs of each label so far, the last label."""
+        flat = _flat(place.children) if place else []
+        return [iter(node.children), flat, 0, inside, path, lost or tracked and place is not None and place.cut, Counter(), None]
 
-    # open elements: the children to come, the wrapper's places for them, the last place met, inside an article or not
-    todo = [[iter(page.children), places_of(wrapper), 0, False]]
+    todo = [frame(page, wrapper, False, 0, False)]
     while todo:
-        children, flat, at, in_article = todo[-1]
+        children, flat, at, in_article, path, lost, runs, before = todo[-1]
         child = next(children, None)
         if child is None:
             todo.pop()
             continue
+        if tracked:
+            if child.label != before:
+                runs[child.label] += 1
+                todo[-1][7] = child.label
+            path = _path(path, child.label, runs[child.label])
         order = [*range(at, len(flat)), *range(at)]
         found = next((i for i in order if flat[i].label == child.label), None)
         place = None if found is None else flat[found]
         if found is not None:
             todo[-1][2] = found
+        inside = in_article or _inside_article(child.label)
+        if child.label != SLOT and is_other(child.label, in_article):
+            continue
+        if lost and not inside and record:
+            record(path, child)
+        template = lost and dropped is not None and path in dropped
         if child.label == SLOT:
-            if in_article or not wanted and not (place and _is_template(place)) and child.links * 2 <= child.size:
+            template = template or place and _is_template(place)
+            if in_article or not wanted and not template and child.links * 2 <= child.size:
                 out.extend(child.texts)
             continue
-        inside = in_article or _inside_article(child.label)
-        if is_other(child.label, in_article) or not inside and place and _mostly_links(place):
-            continue
-        todo.append([iter(child.children), places_of(place), 0, inside])
+        template = template or place and _mostly_links(place)
+        if inside or not template or record:
+            todo.append(frame(child, place, inside, path, lost))
     return " ".join(out)
 
 
@@ -493,6 +536,41 @@ def _partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+def _met(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sizes and text hashes by path, of what lies where a host's wrapper is cut."""
+    names = ["host", "page", "copy", "path", "size", "links", "text"]
+    types = [pa.string(), *[pa.int64()] * 6]
+
+    for batch in batches:
+        columns = (batch.column(n).to_pylist() for n in ("host", "page", "html", "wrapper"))
+        for host, number, source, wrapper in zip(*columns, strict=True):
+            page = read_page(source)
+            copy, totals, rows = page_mark(page), _element_totals(page), []
+
+            def record(path: int, node: Node) -> None:
+                text = xxh64_intdigest(node.texts[0].encode("utf-8", "surrogatepass")) - (1 << 63) if node.texts else None
+                rows.append((host, number, copy, path, *totals[id(node)], text))
+
+            main_text(page, _loaded(wrapper), None, record)
+            if rows:
+                arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def template_paths(pages: DataFrame) -> DataFrame:
+    """(__host, __page, dropped): paths of a page that are template, for pages (host, page, html, wrapper) whose wrapper is cut.
+
+    The rules are those for the wrapper's places, counted over all pages of a host.
+    """
+    met = stage_table(pages.mapInArrow(_met, "host string, page long, copy long, path long, size long, links long, text long"), "paths")
+    counts = met.groupBy("host", "path").agg(
+        F.sum("size").alias("size"), F.sum("links").alias("links"), F.min("text").alias("low"), F.max("text").alias("high"),
+        F.count_distinct("copy").alias("copies"))
+    template = counts.where((F.col("links") * 2 > F.col("size")) | (F.col("low") == F.col("high")) & (F.col("copies") >= FEW_PAGES))
+    own = met.select("host", "page", "path").distinct().join(template.select("host", "path"), ["host", "path"], "left_semi")
+    return own.groupBy(F.col("host").alias("__host"), F.col("page").alias("__page")).agg(F.collect_set("path").alias("dropped"))
+
+
 def _combined(rows):
     """One wrapper for the partial wrappers of a group."""
     import pandas as pd
@@ -501,17 +579,18 @@ def _combined(rows):
     for text in sorted(rows["wrapper"]):
         wrapper = Node.load(json.loads(text))
         total = wrapper if total is None else shrink(join(total, wrapper))
-    return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [_dumped(total)]})
+    text = _dumped(total)
+    return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [text], "cut": [_any_cut(total)]})
 
 
 def infer_wrappers(pages: DataFrame, host: str = "host", html: str = "html") -> DataFrame:
-    """(host, wrapper): the expression of each host as text."""
+    """(host, wrapper, cut): the expression of each host as text, and whether parts of it were cut."""
     schema = "host string, wrapper string"
     parts = (pages.where(F.col(html).isNotNull()).select(F.col(host).alias("host"), F.col(html).alias("html"))
              .mapInArrow(_partial, schema))
     salted = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
-    fewer = salted.groupBy("host", "salt").applyInPandas(_combined, schema)
-    return fewer.groupBy("host").applyInPandas(_combined, schema)
+    fewer = salted.groupBy("host", "salt").applyInPandas(_combined, f"{schema}, cut boolean")
+    return fewer.groupBy("host").applyInPandas(_combined, f"{schema}, cut boolean")
 
 
 @lru_cache(maxsize=256)
@@ -528,15 +607,21 @@ def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", html:
     """(key, url, text, n_chars): the main text of every page."""
     slim = pages.select(F.col(key), F.col(url), F.col(html).alias("__html"), host_of(url).alias("__host"))
     wrappers = stage_table(infer_wrappers(slim, "__host", "__html"), "wrappers").withColumnRenamed("host", "__host")
-    size = wrappers.agg(F.sum(F.length("wrapper") + 64)).first()[0] or 0
-    side = F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers
-    joined = slim.join(side, "__host", "left")
+    size, cut = wrappers.agg(F.sum(F.length("wrapper") + 64), F.max("cut")).first()
+    side = F.broadcast(wrappers) if (size or 0) <= BROADCAST_BYTES else wrappers
+    joined = slim.join(side, "__host", "left").withColumn("dropped", F.lit(None).cast("array<bigint>"))
+    if cut:
+        lost = joined.where("cut").drop("dropped").withColumn("__page", F.xxhash64("__html"))
+        paths = template_paths(lost.select(F.col("__host").alias("host"), F.col("__page").alias("page"), F.col("__html").alias("html"), "wrapper"))
+        lost = lost.join(paths, ["__host", "__page"], "left")
+        joined = joined.where("NOT coalesce(cut, false)").unionByName(lost.drop("__page"))
 
     def make():
         def run(values):
-            texts = [main_text(read_page(v["html"]), _loaded(v["wrapper"]) if v["wrapper"] else None) for v in values]
+            texts = [main_text(read_page(v["html"]), _loaded(v["wrapper"]) if v["wrapper"] else None,
+                               None if v["dropped"] is None else frozenset(v["dropped"])) for v in values]
             return {"text": texts, "n_chars": [len(t) for t in texts]}
         return run
 
-    both = F.struct(F.col("__html").alias("html"), F.col("wrapper").alias("wrapper")).alias("__both")
+    both = F.struct(F.col("__html").alias("html"), "wrapper", "dropped").alias("__both")
     return map_rows(joined.select(F.col(key), F.col(url), both), "__both", make, "text string, n_chars long")
