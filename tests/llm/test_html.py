@@ -131,6 +131,15 @@ def test_large_hosts_keep_their_rules(spark):
     assert got == {f"http://{host}/{i}": want(i, n if host == "big" else min(n, 3)) for i, n in enumerate(sizes) for host in ("big", "small")}
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p>\u0130</p><SCRIPT>no</SCRIPT><p>y</p>", "\u0130 y"), ("<p>x</p><Style>no</sTYLE>y", "x y"),
+    ("<div>x <svg class=a/> y</div>z", "x y z"), ("<div><math/>y <svg><path/></svg> z</div>", "y z"),
+    ("<script src=a/>no</script>x", "x"), ('<script src="a" /><p>x</p><script>no</script>', "x"), ("<svg/>x<svg>no</svg>y", "x y"),
+])
+def test_raw_elements_end(page, want):
+    assert text_of(page) == want
+
+
 def plain(page):
     inside = re.search(r"<article>(.*?)</article>", page, re.DOTALL)[1]
     return " ".join(html.unescape(re.sub(r"</?b>", "", re.sub(r"</?(p|br|h1)>", " ", inside))).split())

@@ -55,6 +55,8 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"""(?:^|[\s"'])(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe object svg math canvas select".split())
+RAW_ENDS = {tag: re.compile(f"</{tag}", re.IGNORECASE | re.ASCII) for tag in RAW}
+RAW_NEXT = {tag: re.compile(rf"<(/?){tag}\b", re.IGNORECASE | re.ASCII) for tag in RAW}
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s
 samp small span strike strong sub sup time tt u var""".split())
 IN_HEAD = frozenset("title meta link base script style noscript template".split())
@@ -212,10 +214,15 @@ class _Reader:
             self.close({tag}, frozenset() if tag in SCOPES else SCOPES)
 
 
+def _has_end(tag: str, text: str, at: int) -> bool:
+    """Whether the next tag of this name is an end tag."""
+    m = RAW_NEXT[tag].search(text, at)
+    return bool(m and m[1])
+
+
 def read_page(source: str | None) -> Node:
     """The tree of block elements and texts of a page."""
     reader, at, text = _Reader(), 0, source or ""
-    lower = None
     while True:
         m = TAG.search(text, at)
         reader.run.append(text[at:m.start() if m else len(text)])
@@ -228,11 +235,13 @@ def read_page(source: str | None) -> Node:
         tag, attributes = name.lower(), m[3] if m[2] else m[6]
         if m[1] or m[4]:
             reader.end(tag)
-        elif tag in RAW and not attributes.rstrip().endswith("/"):
+        elif tag in RAW:
             if tag in ("iframe", "svg", "math", "canvas", "object", "select"):
                 reader.flush()
-            lower = text.lower() if lower is None and len(text.lower()) == len(text) else lower
-            stop = (lower or text).find(f"</{tag}", at)
+            if attributes.rstrip().endswith("/") and (tag in ("svg", "math") or not _has_end(tag, text, at)):
+                continue  # it ends itself
+            end = RAW_ENDS[tag].search(text, at)
+            stop = end.start() if end else -1
             if stop < 0 and tag in ("title", "textarea"):
                 stop = text.find("<", at)  # left open: it ends at the next tag
             at = len(text) if stop < 0 else stop
