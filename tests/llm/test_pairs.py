@@ -6,6 +6,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tidepool.llm import decontaminate, jaccard_join, substring_dedup
@@ -223,3 +224,23 @@ def test_items_that_differ_in_their_tail_are_found():
     docs = [b" ".join([b"before"] * 5 + words + [b"after"] * 5) for _, words in items]
     for (k, _), found in zip(items, index.matches(docs), strict=True):
         assert (k, 5, 55, 0) in found
+
+
+def test_each_item_is_found_with_the_target_recall(monkeypatch):
+    """Walks alone miss items (one word, words that all repeat); those are found by their pieces."""
+    rng = random.Random(3)
+    items = [(0, [b"single"]), (1, [b"two", b"words"])]
+    items += [(k, [b"r%d" % rng.randint(0, 3) for _ in range(30)]) for k in range(2, 6)]
+    items += [(k, [b"c%d" % rng.randint(0, 400) for _ in range(rng.randint(3, 60))]) for k in range(6, 60)]
+    monkeypatch.setattr(decontaminate, "MAX_WALKS", 1)
+    index = decontaminate.Index(items)
+    edited = np.random.default_rng(1)
+    docs, want = [], []
+    for _ in range(8):
+        for k, words in items:
+            around = [b"z%d" % rng.randint(0, 99) for _ in range(9)]
+            docs.append(b" ".join(around + index._edited(words, edited) + around))
+            want.append(k)
+    found = [{m[0] for m in hits} for hits in index.matches(docs)]
+    assert all(k in hits for k, hits in zip(want, found, strict=True))
+    assert index.exact

@@ -10,8 +10,12 @@ An LSH key is a few sampled places of the embedding. Both sides are embedded fro
 words that are rare among the items, several per item from the part where walks start, wherever they
 occur. At an anchor that lies
 ``o`` words into an item, a hit opens the item-sized window that begins ``o`` words earlier in the
-document, and the window (with room for the allowed edits) is verified by exact edit distance. Walks
-and keys are repeated until edited copies of the items themselves are found with ``RECALL``.
+document, and the window (with room for the allowed edits) is verified by exact edit distance.
+
+Walks are added until each item is estimated to be found with ``RECALL``: edited copies of it, with
+random words around them, are looked up by each walk, and the share of walks that find a copy gives the
+chance that all of them miss it. Items that do not get there in ``MAX_WALKS`` are found exactly: of an item cut
+into one piece more than it may have edits, one piece at least stands unedited in the document.
 
 Items are a query set: they are read in blocks of at most ``BLOCK_WORDS`` words, each block's index is
 broadcast, and all documents pass each block. Nothing of the documents is shuffled with one block.
@@ -39,7 +43,7 @@ STEPS = (2, 6, 12, 24)
 PLACES, KEYS_PER_WALK, MAX_WALKS = 5, 6, 12
 #: Words of several documents that are embedded together.
 GROUP_WORDS = 100_000
-TRIALS = 4
+TRIALS = 16
 GOLDEN = 0x9E3779B97F4A7C15
 MIX = np.uint64(GOLDEN)
 
@@ -102,6 +106,10 @@ class Index:
         self.walks: list[list[tuple[int, np.ndarray]]] = []
         self.tables: dict[int, list[tuple[int, int]]] = {}
         self.recall = 1.0
+        #: Items that the walks do not find with the target recall, and their pieces by length: key -> (item, offset).
+        self.exact: list[int] = []
+        self.codes: dict[bytes, int] = {}
+        self.pieces: dict[int, dict[int, list[tuple[int, int]]]] = {}
         if not self.items:
             return
         counts: dict[bytes, int] = defaultdict(int)
@@ -113,14 +121,15 @@ class Index:
             first = set(words[:self._last(len(words), steps)])
             self.anchors.update(sorted(first, key=lambda w: (counts[w], -len(w), w))[:ANCHORS])
         rng = np.random.default_rng(seed)
-        trials = [(k, self._edited(words, rng)) for k, (_, words) in enumerate(self.items) for _ in range(TRIALS)]
-        missed = trials
-        while missed and len(self.walks) < MAX_WALKS:
-            self._add_walk(rng)
-            missed = [(k, w) for k, w in missed if k not in {h[0] for h in self._hits_of(w, len(self.walks) - 1)}]
-            self.recall = 1 - len(missed) / len(trials)
-            if self.recall >= recall:
+        trials = _Trials(self, rng)
+        while len(self.walks) < MAX_WALKS:
+            trials.count(self._add_walk(rng), len(self.walks) - 1)
+            estimates = trials.recalls()
+            if estimates.min() >= recall:
                 break
+        self.exact = np.flatnonzero(estimates < recall).tolist()
+        self.recall = float(estimates[estimates >= recall].min(initial=1.0))
+        self._cut_pieces()
         self._arrays()
 
     @staticmethod
@@ -145,8 +154,9 @@ class Index:
                 out.insert(at, b"\x00%d" % rng.integers(1 << 40))
         return out
 
-    def _add_walk(self, rng: np.random.Generator) -> None:
-        walk = len(self.walks)
+    def _add_walk(self, rng: np.random.Generator) -> dict[tuple[int, int], list[int]]:
+        """One more walk over all items; its keys by item, with their offsets."""
+        walk, own = len(self.walks), defaultdict(list)
         self.walks.append([])
         for steps in sorted(set(self.steps)):
             for number in range(KEYS_PER_WALK):
@@ -163,15 +173,49 @@ class Index:
                 if steps == self.steps[k]:
                     for key, o in zip(keys_of(embedded, places, salt).tolist(), starts.tolist(), strict=True):
                         self.tables.setdefault(key, []).append((k, o))
+                        own[key, k].append(o)
+        return own
+
+    def _cut_pieces(self) -> None:
+        for k in self.exact:
+            words = self.items[k][1]
+            parts = int(EDITS * len(words)) + 1
+            cuts = [i * len(words) // parts for i in range(parts + 1)]
+            for low, high in zip(cuts, cuts[1:]):
+                codes = np.array([self.codes.setdefault(w, len(self.codes) + 1) for w in words[low:high]], dtype=np.uint64)
+                key = int(self._piece_keys(codes, high - low)[0])
+                self.pieces.setdefault(high - low, {}).setdefault(key, []).append((k, low))
+        self.piece_keys = {n: np.array(sorted(t), dtype=np.uint64) for n, t in self.pieces.items()}
+
+    @staticmethod
+    def _piece_keys(codes: np.ndarray, length: int) -> np.ndarray:
+        """Key of the ``length`` words from each place."""
+        places = max(len(codes) - length + 1, 0)
+        key = np.full(places, length, dtype=np.uint64)
+        for i in range(length):
+            key = _scramble(key * MIX + codes[i:i + places])
+        return key
+
+    def _piece_hits(self, words: list[bytes]) -> Iterator[tuple[int, int, int]]:
+        """(item, window start, place) for every piece that stands in the words."""
+        if not self.pieces:
+            return
+        codes = np.fromiter((self.codes.get(w, 0) for w in words), dtype=np.uint64, count=len(words))
+        for length, table in self.pieces.items():
+            keys, known = self._piece_keys(codes, length), self.piece_keys[length]
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            for i in np.flatnonzero(known[at] == keys).tolist():
+                for item, offset in table[int(keys[i])]:
+                    yield item, i - offset, i
 
     def _arrays(self) -> None:
         self.known = np.array(sorted(self.tables), dtype=np.uint64)
         self.longest = max(self.steps)
 
-    def _hits_of(self, words: list[bytes], only: int | None = None) -> set[tuple[int, int, int]]:
-        """(item, window start, anchor) for every key of the words that is in the index."""
+    def _hits_of(self, words: list[bytes]) -> set[tuple[int, int, int]]:
+        """(item, window start, anchor) for every key or piece of the words that is in the index."""
         starts = np.array([i for i, w in enumerate(words) if w in self.anchors], dtype=np.int64)
-        found: set[tuple[int, int, int]] = set()
+        found = set(self._piece_hits(words))
         if not len(starts):
             return found
         # only the words that walks from anchors can reach are hashed
@@ -181,15 +225,12 @@ class Index:
         near = np.flatnonzero(np.cumsum(reached)[:-1])
         hashes = np.zeros(len(words), dtype=np.uint64)
         hashes[near] = [xxh64_intdigest(words[i]) for i in near]
-        for walk in range(len(self.walks)) if only is None else [only]:
+        for walk in range(len(self.walks)):
             embedded = embed(hashes, starts, max(self.steps), walk)
             for _, places, salt in self.walks[walk]:
                 keys = keys_of(embedded, places, salt)
-                if only is None:
-                    at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
-                    hit = np.flatnonzero(self.known[at] == keys)
-                else:
-                    hit = range(len(keys))
+                at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
+                hit = np.flatnonzero(self.known[at] == keys)
                 for i in hit:
                     for item, offset in self.tables.get(int(keys[i]), ()):
                         found.add((item, int(starts[i]) - offset, int(starts[i])))
@@ -241,6 +282,50 @@ class Index:
         return best
 
 
+class _Trials:
+    """Edited copies of each item between random words, and how many walks have found each."""
+
+    def __init__(self, index: Index, rng: np.random.Generator):
+        self.index, self.walks = index, 0
+        words: list[bytes] = []
+        self.item, self.begin, self.end = [], [], []
+        for k, (_, item) in enumerate(index.items):
+            for _ in range(TRIALS):
+                words += [b"\x00%d" % n for n in rng.integers(1 << 40, size=max(index.steps))]
+                self.begin.append(len(words))
+                words += index._edited(item, rng)
+                self.end.append(len(words))
+                self.item.append(k)
+        words += [b"\x00%d" % n for n in rng.integers(1 << 40, size=max(index.steps))]
+        self.found = np.zeros(len(self.item), dtype=np.int64)
+        self.starts = np.array([i for i, w in enumerate(words) if w in index.anchors], dtype=np.int64)
+        self.of = np.searchsorted(np.array(self.begin), self.starts, side="right") - 1
+        self.hashes = np.array([xxh64_intdigest(w) for w in words], dtype=np.uint64)
+
+    def count(self, own: dict[tuple[int, int], list[int]], walk: int) -> None:
+        """Add the copies that a walk finds, that is, opens a window on that holds the whole copy."""
+        self.walks += 1
+        items, hit = self.index.items, np.zeros(len(self.found), dtype=bool)
+        steps = np.array(self.index.steps)[np.array(self.item)[self.of]] if len(self.of) else np.zeros(0)
+        for size, places, salt in self.index.walks[walk]:
+            mine = np.flatnonzero((steps == size) & ~hit[self.of])
+            keys = keys_of(embed(self.hashes, self.starts[mine], size, walk), places, salt).tolist()
+            for i, key in zip(mine.tolist(), keys, strict=True):
+                t = int(self.of[i])
+                for offset in own.get((key, self.item[t]), ()):
+                    n = len(items[self.item[t]][1])
+                    low = int(self.starts[i]) - offset
+                    room = 2 * int(EDITS * n)
+                    if low - room <= self.begin[t] and self.end[t] <= low + n + room:
+                        hit[t] = True
+        self.found += hit
+
+    def recalls(self) -> np.ndarray:
+        """Estimate for each item: the mean over its copies of the chance that some walk finds it."""
+        miss = (1 - self.found / (self.walks + 1)) ** self.walks
+        return 1 - miss.reshape(-1, TRIALS).mean(axis=1)
+
+
 def item_blocks(items: DataFrame, key: str, text: str, block_words: int = BLOCK_WORDS) -> Iterator[list]:
     """Items in blocks of bounded size, one partition at a time."""
     block, size = [], 0
