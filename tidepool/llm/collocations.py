@@ -313,8 +313,11 @@ def mine(docs: DataFrame, staged: Callable[[DataFrame], DataFrame], least: int =
     longer = longer.groupBy("lang", "w1", "w2").agg(F.max("f").alias("longer"))
     two = two.join(longer, ["lang", "w1", "w2"], "left").where(F.col("longer").isNull() | (100 * F.col("longer") < cover * F.col("a")))
     phrases = three.unionByName(two.select("lang", F.concat_ws(" ", "w1", "w2").alias("phrase"), "a", "l", "r", "score"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = phrases.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    phrases = phrases.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(64)))
+    for group in (["lang", "part"], ["lang"]):  # a language's best are among the best of its parts
+        best = Window.partitionBy(*group).orderBy(*order)
+        phrases = phrases.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     words = counts.where("level = 0").select("lang", F.col("f").alias("n"))
-    return ranked.join(F.broadcast(words), "lang").select(
+    return phrases.join(F.broadcast(words), "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
