@@ -14,10 +14,12 @@ from tidepool.llm import (
     html_wrappers,
     jaccard_join,
     language_id,
+    personal_data,
     quality_gam,
     quality_rules,
     secret_scan,
     substring_dedup,
+    token_alignment,
     token_counts,
 )
 from tidepool.session import stage_table
@@ -69,10 +71,19 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_gam.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                 public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.mine(_table(spark, folder, "documents"), lambda counts: stage_table(counts, "phrase-counts"))
 
 
+def op13_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.find_private(_table(spark, folder, "documents"))
+
+
 OP12_SQL = r"""
     WITH pieces AS (
         SELECT row_number() OVER () AS id, lang, piece FROM (
