@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.operators.lake import EvolvingTable, KeyTable, create_table, overwrite_partitions
+from tidepool.operators.lake import AggregatedLog, KeyTable, create_table, overwrite_partitions, read_as
 from tidepool.sources.files import delimited
 
 
@@ -13,19 +13,16 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("buckets", [0, 4])
-def test_key_table(spark, tmp_path, buckets):
-    t = KeyTable(spark, str(tmp_path / "t"), ["name"], "seq", buckets)
+def test_key_table(spark, tmp_path):
+    t = KeyTable(spark, str(tmp_path / "t"), ["name"], "seq")
     schema = "name string, age int, seq bigint"
     t.append(spark.createDataFrame([("Alice", 12, 1), ("Bob", 5, 2)], schema), 1)
     t.append(spark.createDataFrame([("Alice", 100, 3)], schema), 2)
     t.append(spark.createDataFrame([("Alice", 100, 3)], schema), 2)  # repeated commit
     t.append(spark.createDataFrame([("Bob", 1, 0)], schema), 3)  # older row arriving later
     assert rows(t.read()) == [("Alice", 100, 3), ("Bob", 5, 2)]
-    assert rows(t.lookup(name="Alice")) == [("Alice", 100, 3)]
     assert t.log().count() == 4
     assert rows(t.changes().select("op", "name", "seq")) == [("+I", "Alice", 1), ("+I", "Bob", 0), ("+U", "Alice", 3), ("+U", "Bob", 2)]
-    assert rows(t.compact_to(str(tmp_path / "c")).read()) == rows(t.read())
 
 
 def test_schema_evolution_by_new_field(spark, tmp_path):
@@ -42,30 +39,44 @@ def test_partition_overwrite(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == [(1, "a"), (9, "b")]
 
 
-def test_schema_changes(spark, tmp_path):
-    inner = T.StructType([T.StructField("f", T.StringType(), False)])
-    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("a", T.IntegerType()),
-                           T.StructField("b", T.StringType()), T.StructField("s", inner)])
-    t = EvolvingTable.create(spark, str(tmp_path / "e"), schema, bucket="2")
-    t.append(spark.createDataFrame([(1, 10, "x", ("p",))], schema))
-    t.alter(("add_column", "c", "int", {"after": "id"}), ("rename_column", "a", "amount"), ("drop_column", "b"),
-            ("update_type", "amount", "bigint"), ("update_comment", "amount", "money"), ("update_nullable", "id", False),
-            ("set_option", "bucket", "4"), ("set_option", "x", "y"), ("remove_option", "x"), ("set_comment", "orders"),
-            ("update_comment", "s.f", "inner"), ("update_nullable", "s.f", True), ("move_column", "s", {"first": True}))
-    out = t.read()
-    assert out.columns == ["s", "id", "c", "amount"]
-    assert out.schema["amount"].dataType == T.LongType() and out.schema["amount"].metadata["comment"] == "money"
-    t.append(spark.createDataFrame([(2, 5, 20_000_000_000)], "id int, c int, amount bigint"))
-    assert sorted((r.id, r.c, r.amount) for r in t.read().collect()) == [(1, None, 10), (2, 5, 20_000_000_000)]
-    spec = t.spec()
-    assert spec.options == {"bucket": "4"} and spec.comment == "orders"
-    assert spec.nested["s.f"] == {"comment": "inner", "nullable": True}
-    t.alter(("add_column", "b", "string"))  # a new column never shows the dropped one's data
-    assert {r.b for r in t.read().collect()} == {None}
-    with pytest.raises(ValueError):
-        t.alter(("add_column", "b", "int"))
-    with pytest.raises(KeyError):
-        t.alter(("drop_column", "nope"))
+def test_rows_of_several_schemas(spark):
+    """Two changes: a rename with a wider type and a dropped column, then an added column in front."""
+    first = spark.createDataFrame([(1, 10, "x")], "id int, a int, b string")
+    second = spark.createDataFrame([(2, 20_000_000_000)], "id int, amount bigint")
+    third = spark.createDataFrame([("c", 3, 30)], "b string, id int, amount bigint")
+    out = read_as([first, second, third], [
+        lambda rows: rows.select("id", F.col("a").cast("bigint").alias("amount")),
+        lambda rows: rows.select(F.lit(None).cast("string").alias("b"), "id", "amount")])
+    assert out.columns == ["b", "id", "amount"] and out.schema["amount"].dataType == T.LongType()
+    assert rows(out) == [("c", 3, 30), (None, 1, 10), (None, 2, 20_000_000_000)]
+
+
+def test_table_changes_in_the_catalog(spark, tmp_path):
+    create_table(spark, "altered", "id INT, a INT COMMENT 'old'", comment="c", x="1")
+    try:
+        spark.sql("ALTER TABLE altered SET TBLPROPERTIES ('bucket' = '4', 'x' = '2')")
+        spark.sql("ALTER TABLE altered UNSET TBLPROPERTIES ('x')")
+        spark.sql("ALTER TABLE altered ADD COLUMNS (b STRING COMMENT 'new')")
+        spark.sql("ALTER TABLE altered ALTER COLUMN a COMMENT 'money'")
+        spark.sql("COMMENT ON TABLE altered IS 'orders'")
+        properties = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES altered").collect()}
+        assert properties["bucket"] == "4" and "x" not in properties
+        assert {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED altered").collect()}["Comment"] == "orders"
+        schema = spark.table("altered").schema
+        assert schema.names == ["id", "a", "b"] and schema["a"].metadata["comment"] == "money"
+    finally:
+        spark.sql("DROP TABLE altered")
+
+
+def test_aggregated_log_folds_and_repeats(spark, tmp_path):
+    log = AggregatedLog(spark, str(tmp_path / "agg"), ["k"], {
+        "n": ("count", F.col("v")), "total": ("sum", F.col("v")), "low": ("min", F.col("v")), "high": ("max", F.col("v"))})
+    make = lambda *values: spark.createDataFrame(list(values), "k string, v bigint")
+    log.append(make(("a", 1), ("a", None), ("b", 5)), 0)
+    log.append(make(("a", 100)), 1)
+    log.append(make(("a", 7), (None, 2)), 1)  # repeated with other rows
+    log.append(make(), 2)
+    assert rows(log.read()) == [("a", 2, 8, 1, 7), ("b", 1, 5, 5, 5), (None, 1, 2, 2, 2)]
 
 
 def test_catalog_tables_and_views(spark, tmp_path):
@@ -98,15 +109,3 @@ def test_catalog_tables_and_views(spark, tmp_path):
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
         spark.sql("USE default")
         spark.sql("DROP DATABASE shop CASCADE")
-
-
-def test_narrowing_is_refused_and_commits_repeat(spark, tmp_path):
-    table = EvolvingTable.create(spark, str(tmp_path / "evolving"), T.StructType.fromDDL("id bigint, n int"))
-    with pytest.raises(ValueError, match="does not hold"):
-        table.alter(("update_type", "id", "int"))
-    rows = spark.createDataFrame([(1, 2)], "id bigint, n int")
-    table.append(rows, commit=0)
-    table.append(rows, commit=0)
-    assert [tuple(r) for r in table.read().collect()] == [(1, 2)]
-    table.append(rows)
-    assert table.read().count() == 2

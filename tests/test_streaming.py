@@ -19,7 +19,8 @@ from tidepool.sources.files import table_stream, watch_delimited, watch_text
 from tidepool.sources.sinks import print_rows, rolling_files
 from tidepool.streaming import stateful as ST
 from tidepool.streaming.carried import (
-    PAIR_STATE, alerts_step, count_windows_step, next_then_followed_by_step, run_carried, running_sum_step, sum_changes_step,
+    PAIR_STATE, alerts_step, count_windows_step, latest_model_step, next_then_followed_by_step, run_carried, running_sum_step,
+    sum_changes_step,
 )
 from tidepool.streaming.joins import async_enrich, model_sink, prediction_sink, stream_interval_join, versions_as_of_sink
 from tidepool.streaming.runs import append_sink, fan_out, land, land_latest, run_all, split_sink, start
@@ -204,6 +205,41 @@ def test_idle_timeout_reports_watermark(spark, feed):
     assert [(r[0], r[1]) for r in out if r[0] < 3] == [(1, 3), (2, 2)] and all(r[3] >= r[2] + 3000 for r in out)
 
 
+@pytest.mark.parametrize("size", [17, 50])
+def test_idle_keys_equal_a_walk(spark, feed, size):
+    rng = random.Random(9)
+    data, t = [], 0
+    for i in range(150):
+        t += rng.choice([0, 5, 40, 400])
+        data.append((rng.randint(1, 4), i, t))
+    src = with_event_time(feed("key bigint, seq bigint, t bigint", *batched(data, size)).withColumn("ts", F.timestamp_millis("t")), "ts", "0 seconds")
+    got = rows(land(ST.run_processor(src, ["key"], ST.IdleKeys(300), ST.IdleKeys.schema, "EventTime"), "update"))
+    want = []
+    for key in range(1, 5):
+        mine = [(t, s) for k, s, t in data if k == key]
+        want += [(key, s, t) for (t, s), (after, _) in zip(mine, mine[1:], strict=False) if after - t > 300]
+        want += [(key, s, t) for t, s in mine[-1:] if t + 301 <= data[-1][2]]
+    assert got == sorted(want, key=str)
+
+
+def test_connected_model_stream(spark, feed):
+    """The newest model of a key before each row, over several batches, from an initial table."""
+    rng = random.Random(3)
+    data = [(rng.choice("ab"), i, rng.random() < 0.2) for i in range(120)]
+    data = [(k, i, m, float(i) if m else None) for k, i, m in data] + [("c", 200, False, None)]
+    step = latest_model_step(["k"], ["seq"], seq_chunk("seq", 10), "is_model", ["model"], heavy_rows=15)
+    initial = spark.createDataFrame([("a", -1.0)], "k string, model double")
+    src = feed("k string, seq bigint, is_model boolean, model double", *batched(data, 31))
+    got = {r.seq: r.model for r in run_carried(src, step, "k string, model double", initial=initial).collect()}
+    newest, want = {"a": -1.0}, {}
+    for k, i, is_model, x in data:
+        if is_model:
+            newest[k] = x
+        else:
+            want[i] = newest.get(k)
+    assert got == want
+
+
 RETRACT = [("+I", 1, 0), ("-U", 1, 0), ("+U", 1, 1), ("+I", 2, 1), ("+I", 2, 1), ("-U", 2, 1), ("+U", 2, 2), ("-U", 2, 2), ("+U", 2, 100)]
 RETRACT_OUT = [("+I", 1, 0), ("-D", 1, 0), ("+I", 1, 1), ("+I", 2, 1), ("-U", 2, 1), ("+U", 2, 2), ("-U", 2, 2), ("+U", 2, 1),
                ("-U", 2, 1), ("+U", 2, 3), ("-U", 2, 3), ("+U", 2, 1), ("-U", 2, 1), ("+U", 2, 101)]
@@ -356,32 +392,60 @@ def test_restart_goes_on(spark, feed, tmp_path):
     assert all_runs() == both  # nothing new to read
 
 
-def test_replayed_table_comes_in_ordered_batches(spark):
-    from tidepool.streaming.runs import replay_table
-
-    seen = []
+def test_ranges_of_rows_in_order(spark, tmp_path):
+    """Several files and row groups, batches that cut through them, a restart, and a file that comes later."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
 
-    def note(batch, batch_id):
-        r = batch.agg(F.min("ts"), F.max("ts"), F.count("*")).first()
-        seen.append(tuple(r))
+    from tidepool.sources.ranges import range_stream
 
-    folder = "/root/testdata/sf0.001"
-    run_all(replay_table(spark, folder, "events", "ts", parts=4), note)
-    assert len(seen) == 4 and sum(s[2] for s in seen) == spark.read.parquet(f"{folder}/events.parquet").count()
-    assert all(a[1] < b[0] for a, b in zip(seen, seen[1:]))
-
-
-def test_replayed_table_with_one_crowded_time(spark, tmp_path):
-    """Half of the rows share one time: batches stay in order, though parts cannot be equal."""
-    from tidepool.streaming.runs import replay_table
-
-    times = [*range(100), *[100] * 200, *range(101, 201), None]
-    spark.createDataFrame([(t, i) for i, t in enumerate(times)], "t int, i int").write.parquet(str(tmp_path / "events.parquet"))
-    seen = []
-    run_all(replay_table(spark, str(tmp_path), "events", "t"), lambda b, i: seen.append([r.t for r in b.collect()]))
-    assert sorted(t for batch in seen for t in batch if t is not None) == times[:-1] and None in seen[-1]
-    known = [[t for t in batch if t is not None] for batch in seen]
-    assert len(seen) > 1 and all(max(a) < min(b) for a, b in zip(known, known[1:]))
+    folder = tmp_path / "t.parquet"
+    folder.mkdir()
+    table = pa.table({"i": pa.array(range(100), pa.int64()), "s": [None if i % 5 == 0 else f"s{i}" for i in range(100)]})
+    pq.write_table(table.slice(0, 40), folder / "a.parquet", row_group_size=16)
+    pq.write_table(table.slice(40, 0), folder / "b.parquet")
+    pq.write_table(table.slice(40, 50), folder / "c.parquet", row_group_size=50)
+    (folder / "_SUCCESS").touch()
+    seen, checkpoint = [], run_dir(spark, "ranges")
+
+    def run(fail_at=None, columns=None):
+        def note(batch, batch_id):
+            seen.append([r.i for r in batch.orderBy("i").collect()])
+            if batch_id == fail_at:
+                raise ValueError("stopped on purpose")
+        run_all(range_stream(spark, str(folder), 23, 7, columns), note, checkpoint=checkpoint)
+
+    with pytest.raises(Exception, match="stopped on purpose"):
+        run(fail_at=1)
+    assert seen == [list(range(23)), list(range(23, 46))]
+    run()
+    assert seen[2:] == [list(range(23, 46)), list(range(46, 69)), list(range(69, 90))]
+    pq.write_table(table.slice(90, 10), folder / "d.parquet")
+    run()
+    assert seen[5:] == [list(range(90, 100))]
+    got = land(range_stream(spark, str(folder), 1000, columns=["s"]))
+    assert got.columns == ["s"] and got.where("s is null").count() == 20 and got.count() == 100
+
+
+def test_delivery_of_a_repeated_batch(spark, tmp_path):
+    """The batch that failed after its write is repeated: overwritten, or there twice."""
+    from tidepool.sources.ranges import range_stream
+
+    spark.range(50).repartition(1).write.parquet(str(tmp_path / "t.parquet"))
+    for exactly_once, total in ((True, 50), (False, 60)):
+        out, checkpoint = run_dir(spark, "out"), run_dir(spark, "restart")
+        sink = append_sink(out, exactly_once)
+
+        def failing(batch, batch_id, sink=sink):
+            sink(batch, batch_id)
+            if batch_id == 2:
+                raise ValueError("after the write")
+
+        with pytest.raises(Exception, match="after the write"):
+            run_all(range_stream(spark, str(tmp_path / "t.parquet"), 10), failing, checkpoint=checkpoint)
+        run_all(range_stream(spark, str(tmp_path / "t.parquet"), 10), sink, checkpoint=checkpoint)
+        got = spark.read.parquet(out)
+        assert got.count() == total and got.select("id").distinct().count() == 50
 
 
 def test_incremental_learning(spark, feed, tmp_path):

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +28,7 @@ def register_sql_functions(spark: SparkSession, names: list[str] | None = None)
 
 @F.udtf(returnType="pos int, second_half boolean, word string, word_length int")
 class SplitWords:
-    """Table function twin of :func:`tidepool.functions.text.split_rows`."""
+    """Row-wise table function for lateral joins in SQL text; over a table, ``SplitTexts`` works on batches."""
 
     def eval(self, text: str, delimiter: str = " ") -> Iterator[tuple]:
         if text:
@@ -34,8 +37,25 @@ class SplitWords:
                 yield i, i * 2 > len(parts), part, len(part)
 
 
+@F.arrow_udtf(returnType="id bigint, pos int, second_half boolean, word string, word_length int")
+class SplitTexts:
+    """Table function over Arrow batches of (id, text): the parts of each text, cut at a blank."""
+
+    def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
+        rows = rows.filter(pc.greater(pc.fill_null(pc.utf8_length(rows.column(1)), 0), 0))
+        parts = pc.split_pattern(rows.column(1), " ")
+        counts = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+        words = parts.flatten()
+        pos = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
+        yield pa.table({
+            "id": rows.column(0).take(pa.array(np.repeat(np.arange(len(rows)), counts))).cast(pa.int64()),
+            "pos": pa.array(pos, pa.int32()), "second_half": pa.array(pos * 2 > np.repeat(counts, counts)),
+            "word": words.cast(pa.string()), "word_length": pc.utf8_length(words).cast(pa.int32())})
+
+
 def register_table_functions(spark: SparkSession) -> None:
     spark.udtf.register("split_words", SplitWords)
+    spark.udtf.register("split_texts", SplitTexts)
 
 
 def user_aggregate(fn: Callable[[pd.Series], float], result: str = "double"):

@@ -1,15 +1,11 @@
-"""Keyed and evolving tables over plain parquet folders: commits, latest rows, schema changes, partitions."""
+"""Keyed tables over plain parquet folders: commits, latest rows, folded sums, schema changes, partitions."""
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidepool.operators.changelog import latest_per_key
 from tidepool.operators.joins import join_groups
@@ -20,23 +16,15 @@ class KeyTable:
 
     A commit is one folder, written in overwrite mode, so repeating a commit after a lost executor
     or a restarted stream leaves the same rows.  ``seq`` decides which row of a key is latest, the
-    commit number breaks ties.  With ``buckets`` every commit is split by a hash of the key, so that
-    a lookup or a rewrite of some keys reads only their buckets.  Unless ``evolving``, all commits have
-    the same columns and the read skips merging their schemas.
+    commit number breaks ties.  Unless ``evolving``, all commits have the same columns and the read
+    skips merging their schemas.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], seq: str, buckets: int = 0,
-                 evolving: bool = True):
-        self.spark, self.path, self.keys, self.seq, self.buckets = spark, path, list(keys), seq, buckets
-        self.evolving = evolving
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], seq: str, evolving: bool = True):
+        self.spark, self.path, self.keys, self.seq, self.evolving = spark, path, list(keys), seq, evolving
 
     def append(self, df: DataFrame, commit: int) -> None:
-        rows = df.withColumn("bucket", self._bucket()) if self.buckets else df
-        parts = ["bucket"] if self.buckets else []
-        rows.write.mode("overwrite").partitionBy(*parts).parquet(f"{self.path}/commit={commit}")
+        df.write.mode("overwrite").parquet(f"{self.path}/commit={commit}")
 
     def log(self) -> DataFrame:
         """Every row written, with its ``commit``; columns added by later commits are null in earlier ones."""
@@ -46,39 +34,37 @@ class KeyTable:
         return list(dict.fromkeys([self.seq, "commit"]))
 
     def read(self) -> DataFrame:
-        latest = latest_per_key(self.log(), self.keys, self._order(), op=None)
-        return latest.drop("commit", "bucket")
+        return latest_per_key(self.log(), self.keys, self._order(), op=None).drop("commit")
 
     def changes(self) -> DataFrame:
         """The log read as an upsert changelog: ``op`` is +I for a key's first row and +U afterwards."""
         first = self.log().groupBy(*self.keys).agg(F.min(F.struct(*self._order())).alias("__first"))
         rows = join_groups(self.log(), first, self.keys)
         op = F.when(F.struct(*self._order()) == F.col("__first"), "+I").otherwise("+U")
-        return rows.select(op.alias("op"), *[c for c in rows.columns if c not in ("__first", "bucket")])
+        return rows.select(op.alias("op"), *[c for c in rows.columns if c != "__first"])
 
-    def lookup(self, **key) -> DataFrame:
-        """Latest row of one key; reads a single bucket per commit when the table has buckets."""
-        rows = self.log()
-        if self.buckets:
-            probe = self.spark.range(1).select(*[
-                F.lit(key[k]).cast(rows.schema[k].dataType).alias(k) for k in self.keys]).select(self._bucket())
-            rows = rows.where(F.col("bucket") == probe.first()[0])
-        for k in self.keys:
-            rows = rows.where(F.col(k) == key[k])
-        return latest_per_key(rows, self.keys, self._order(), op=None).drop("commit", "bucket")
 
-    def compact_to(self, path: str) -> KeyTable:
-        """Rewrite the latest rows as the first commit of a new table; readers switch by path."""
-        out = KeyTable(self.spark, path, self.keys, self.seq, self.buckets, self.evolving)
-        out.append(self.read(), commit=0)
-        return out
+class AggregatedLog:
+    """Commits of partial sums per key, folded when read.
 
+    A commit holds, for each key of its rows, the aggregates of those rows alone, in a folder named by its number; a
+    repeated commit replaces what it wrote before, so counts and sums stay right after a restart. Reading adds
+    the states up; nothing is rewritten by a commit. Aggregates are sums and counts (and least and greatest values).
+    """
 
-#: Types that hold every value of a type; any type can become a string.
-WIDER = {
-    "tinyint": ("smallint", "int", "bigint", "float", "double"), "smallint": ("int", "bigint", "float", "double"),
-    "int": ("bigint", "double"), "float": ("double",), "date": ("timestamp_ntz", "timestamp"),
-}
+    FOLDS = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], aggregates: dict[str, tuple[str, Column]]):
+        self.spark, self.path, self.keys, self.aggregates = spark, path, list(keys), aggregates
+
+    def append(self, df: DataFrame, commit: int) -> None:
+        plain = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+        states = df.groupBy(*self.keys).agg(*[plain[kind](value).alias(n) for n, (kind, value) in self.aggregates.items()])
+        states.write.mode("overwrite").parquet(f"{self.path}/commit={commit}")
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.path).groupBy(*self.keys).agg(
+            *[self.FOLDS[kind](n).alias(n) for n, (kind, _) in self.aggregates.items()])
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -86,156 +72,17 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
-@dataclass
-class ColumnSpec:
-    name: str
-    kind: str  # current SQL type
-    stored: list[list[str]]  # [file column, SQL type] per type the column has had, oldest first
-    nullable: bool = True
-    comment: str | None = None
-
-
-@dataclass
-class TableSpec:
-    """Logical columns over stable file column names, so that files never need rewriting."""
-
-    columns: list[ColumnSpec]
-    options: dict[str, str] = field(default_factory=dict)
-    comment: str | None = None
-    next_id: int = 0
-    nested: dict[str, dict] = field(default_factory=dict)  # "col.field" -> {comment, nullable}
-
-    @staticmethod
-    def of(schema: T.StructType) -> TableSpec:
-        spec = TableSpec([])
-        for f in schema.fields:
-            spec.add_column(f.name, f.dataType.simpleString(), nullable=f.nullable)
-        return spec
-
-    def _find(self, name: str) -> ColumnSpec:
-        for c in self.columns:
-            if c.name == name:
-                return c
-        raise KeyError(f"no column {name}")
-
-    def _new_file_column(self, name: str) -> str:
-        self.next_id += 1
-        return f"{name}__{self.next_id}"
-
-    def set_option(self, key: str, value: str) -> None:
-        self.options[key] = value
-
-    def remove_option(self, key: str) -> None:
-        self.options.pop(key, None)
-
-    def set_comment(self, comment: str | None) -> None:
-        self.comment = comment
-
-    def add_column(self, name: str, kind: str, after: str | None = None, first: bool = False, **extra) -> None:
-        if any(c.name == name for c in self.columns):
-            raise ValueError(f"column {name} exists")
-        spec = ColumnSpec(name, kind, [[self._new_file_column(name), kind]], **extra)
-        self.columns.append(spec)
-        if after or first:
-            self.move_column(name, after=after, first=first)
-
-    def rename_column(self, name: str, new_name: str) -> None:
-        if any(c.name == new_name for c in self.columns):
-            raise ValueError(f"column {new_name} exists")
-        self._find(name).name = new_name
-
-    def drop_column(self, name: str) -> None:
-        self.columns.remove(self._find(name))
-
-    def update_type(self, name: str, kind: str) -> None:
-        """Change to a type that holds every value of the present one; others would read back as null."""
-        c = self._find(name)
-        if kind != c.kind and kind not in WIDER.get(c.kind, ()) and kind != "string":
-            raise ValueError(f"{name}: {kind} does not hold every {c.kind}")
-        c.kind = kind
-        c.stored.append([self._new_file_column(name), kind])
-
-    def update_comment(self, path: str, comment: str) -> None:
-        if "." in path:
-            self.nested.setdefault(path, {})["comment"] = comment
-        else:
-            self._find(path).comment = comment
-
-    def update_nullable(self, path: str, nullable: bool) -> None:
-        if "." in path:
-            self.nested.setdefault(path, {})["nullable"] = nullable
-        else:
-            self._find(path).nullable = nullable
-
-    def move_column(self, name: str, after: str | None = None, first: bool = False) -> None:
-        c = self._find(name)
-        self.columns.remove(c)
-        at = 0 if first else self.columns.index(self._find(after)) + 1 if after else len(self.columns)
-        self.columns.insert(at, c)
-
-    def to_files(self, df: DataFrame) -> DataFrame:
-        """Logical rows to file columns; columns the writer does not have are left out."""
-        present = [c for c in self.columns if c.name in df.columns]
-        return df.select(*[F.col(c.name).cast(c.kind).alias(c.stored[-1][0]) for c in present])
-
-    def file_schema(self) -> T.StructType:
-        return T.StructType([
-            T.StructField(n, T._parse_datatype_string(k)) for c in self.columns for n, k in c.stored])
-
-    def from_files(self, df: DataFrame) -> DataFrame:
-        """File columns to the logical rows of today: newest type first, older ones cast."""
-        return df.select(*[
-            F.coalesce(*[F.col(n).try_cast(c.kind) for n, _ in reversed(c.stored)]).alias(
-                c.name, metadata={"comment": c.comment} if c.comment else None)
-            for c in self.columns])
-
-
-class EvolvingTable:
-    """Parquet folder plus a versioned :class:`TableSpec`; rename, drop, retype never rewrite files."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    @staticmethod
-    def create(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> EvolvingTable:
-        table = EvolvingTable(spark, path)
-        spec = TableSpec.of(schema)
-        spec.options.update(options)
-        table._save(spec, 0)
-        return table
-
-    def _save(self, spec: TableSpec, version: int) -> None:
-        text = json.dumps(asdict(spec))
-        row = self.spark.range(1).select(F.lit(version).alias("version"), F.lit(text).alias("spec"))
-        # A version is written once: of two writers that start from the same one, the second fails.
-        row.coalesce(1).write.mode("errorifexists").json(f"{self.path}/spec/v={version}")
-
-    def _latest(self) -> tuple[TableSpec, int]:
-        specs = self.spark.read.schema("version int, spec string, v int").json(f"{self.path}/spec")
-        version, text = specs.agg(F.max_by(F.struct("version", "spec"), "version").alias("s")).select("s.*").first()
-        raw = json.loads(text)
-        raw["columns"] = [ColumnSpec(**c) for c in raw["columns"]]
-        return TableSpec(**raw), version
-
-    def spec(self) -> TableSpec:
-        return self._latest()[0]
-
-    def alter(self, *changes: tuple) -> None:
-        """Apply changes as one new version: ("rename_column", "a", "b"), ("add_column", "c", "int"), .."""
-        spec, version = self._latest()
-        for name, *args in changes:
-            kwargs = args.pop() if args and isinstance(args[-1], dict) else {}
-            getattr(spec, name)(*args, **kwargs)
-        self._save(spec, version + 1)
-
-    def append(self, df: DataFrame, commit: str | int | None = None) -> None:
-        """Add rows as one commit folder; repeating a commit number replaces what it wrote before."""
-        name = uuid.uuid4().hex if commit is None else commit
-        self.spec().to_files(df).write.mode("overwrite").parquet(f"{self.path}/data/commit={name}")
+def read_as(folders: Sequence[DataFrame], changes: Sequence[Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """Rows written under different schemas as one table of today's columns.
 
-    def read(self) -> DataFrame:
-        spec = self.spec()
-        return spec.from_files(self.spark.read.schema(spec.file_schema()).parquet(f"{self.path}/data"))
+    ``folders`` are the reads of what was written before each change and after the last one; ``changes`` turn the
+    columns before a change into those after it (rename, cast, drop, add), as plain selects, so files are never
+    rewritten. Columns that came later are null in earlier rows.
+    """
+    out = folders[0]
+    for change, later in zip(changes, folders[1:], strict=True):
+        out = change(out).unionByName(later, allowMissingColumns=True)
+    return out
 
 
 def create_table(

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidepool.functions.registry import SplitWords
+from tidepool.functions.registry import register_table_functions
 from tidepool.functions.scalar import divide_or_null, element, from_epoch_ms, to_timestamp_or_null
 from tidepool.functions.text import normalise_address, split_rows
 from tidepool.operators.changelog import latest_per_key
@@ -56,11 +56,10 @@ def udtf_split(spark, folder):
 
 @query("udtf_lateral", SPLIT_SQL)
 def udtf_lateral(spark, folder):
-    """The same through a registered Python table function and a lateral join."""
-    spark.udtf.register("split_words", SplitWords)
-    return spark.sql(
-        "SELECT p.p_partkey, s.pos, s.second_half, s.word, s.word_length FROM {part} p, LATERAL split_words(p.p_name, ' ') s",
-        part=load(spark, folder, "part"))
+    """The same through a registered table function that works on Arrow batches of a table argument."""
+    register_table_functions(spark)
+    found = spark.sql("SELECT * FROM split_texts(TABLE(SELECT p_partkey, p_name FROM {part}))", part=load(spark, folder, "part"))
+    return found.select(F.col("id").alias("p_partkey"), "pos", "second_half", "word", "word_length")
 
 
 @query("event_time_and_window", """

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepool.operators.changelog import retract_sum
-from tidepool.operators.lake import EvolvingTable, KeyTable, overwrite_partitions
+from tidepool.operators.lake import AggregatedLog, KeyTable, overwrite_partitions, read_as
 from tidepool.plans.registry import query
 from tidepool.session import run_dir
 from tidepool.sources.changelog_text import decode_changelog
 from tidepool.sources.files import table_scan
-from tidepool.tables import load
+from tidepool.tables import fixed, load
 
 
 def _orders_table(spark, folder):
     orders = load(spark, folder, "orders").select("o_custkey", F.col("o_orderkey").alias("seq"), "o_orderstatus", "o_totalprice")
-    table = KeyTable(spark, run_dir(spark, "orders-by-customer"), ["o_custkey"], "seq", buckets=8, evolving=False)
+    table = KeyTable(spark, run_dir(spark, "orders-by-customer"), ["o_custkey"], "seq", evolving=False)
     table.append(orders.where("o_orderstatus = 'F'"), commit=1)
     table.append(orders.where("o_orderstatus <> 'F'"), commit=2)
     return table
@@ -35,7 +35,27 @@ def upsert_table_latest(spark, folder):
         SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders) WHERE rn = 1
 """)
 def upsert_table_compacted(spark, folder):
-    return _orders_table(spark, folder).compact_to(run_dir(spark, "orders-compacted")).read()
+    """The latest rows written as the first commit of a new table, which readers then use."""
+    compacted = KeyTable(spark, run_dir(spark, "orders-compacted"), ["o_custkey"], "seq", evolving=False)
+    compacted.append(_orders_table(spark, folder).read(), commit=0)
+    return compacted.read()
+
+
+@query("aggregated_upsert", """
+    SELECT l_partkey, l_suppkey, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total, max(l_quantity) AS largest
+    FROM lineitem GROUP BY ALL
+""")
+def aggregated_upsert(spark, folder):
+    """Counts and sums per key over three commits, one of which first wrote other rows and was then repeated."""
+    lines = load(spark, folder, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", fixed("l_extendedprice").alias("price"),
+                                                   F.pmod("l_orderkey", F.lit(3)).alias("part"))
+    table = AggregatedLog(spark, run_dir(spark, "parts-by-supplier"), ["l_partkey", "l_suppkey"], {
+        "n": ("count", F.lit(1)), "total": ("sum", F.col("price")), "largest": ("max", F.col("l_quantity"))})
+    table.append(lines.where("part = 0"), commit=0)
+    table.append(lines.where("part = 2"), commit=1)  # an attempt that is repeated with its full rows below
+    table.append(lines.where("part = 1"), commit=1)
+    table.append(lines.where("part = 2"), commit=2)
+    return table.read().withColumn("total", F.col("total").cast("double"))
 
 
 @query("upsert_table_changes", """
@@ -66,14 +86,12 @@ def evolving_upserts(spark, folder):
 def schema_changes(spark, folder):
     """Rows written before and after a rename, a wider type, an added and a dropped column."""
     part = load(spark, folder, "part")
-    even, odd = part.where("p_partkey % 2 = 0"), part.where("p_partkey % 2 = 1")
-    table = EvolvingTable.create(spark, run_dir(spark, "parts"), even.select("p_partkey", "p_size", "p_type").schema)
-    table.append(even.select("p_partkey", "p_size", "p_type"))
-    table.alter(("rename_column", "p_partkey", "part_id"), ("rename_column", "p_size", "size"), ("update_type", "size", "bigint"),
-                ("drop_column", "p_type"), ("add_column", "brand", "string", {"after": "size"}))
-    table.append(odd.select(F.col("p_partkey").alias("part_id"), (F.col("p_size") + F.lit(10_000_000_000)).alias("size"),
-                            F.col("p_brand").alias("brand")))
-    return table.read()
+    before, after = run_dir(spark, "parts-before"), run_dir(spark, "parts-after")
+    part.where("p_partkey % 2 = 0").select("p_partkey", "p_size", "p_type").write.parquet(before)
+    part.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("part_id"), (F.col("p_size") + F.lit(10_000_000_000)).alias("size"),
+                                           F.col("p_brand").alias("brand")).write.parquet(after)
+    renamed = lambda rows: rows.select(F.col("p_partkey").alias("part_id"), F.col("p_size").cast("bigint").alias("size"))
+    return read_as([spark.read.parquet(before), spark.read.parquet(after)], [renamed]).select("part_id", "size", "brand")
 
 
 @query("partition_overwrite", """

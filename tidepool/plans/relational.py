@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidepool.functions.accumulators import Percentile, aggregate_user
 from tidepool.functions.text import contains_all, token_rows
+from tidepool.operators.cogroup import cogroup_rows
 from tidepool.operators.expand import blank_counts, column_range, nonblank_rows
 from tidepool.operators.joins import anti, join_huge, join_tiny, semi_in
 from tidepool.operators.ranking import top_n, top_share
 from tidepool.plans.registry import query
+from tidepool.session import run_dir
+from tidepool.sources.sinks import insert_all
 from tidepool.tables import exact_avg, exact_sum, fixed, load
 
 
@@ -399,3 +403,58 @@ def mixed_sort_limit(spark, folder):
     return load(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderdate").orderBy(
         F.desc("o_totalprice"), F.asc("o_orderdate"), F.asc("o_orderkey")
     ).limit(10)
+
+
+@query("cogroup_paths", """
+    SELECT DISTINCT l_partkey, l_suppkey, count(*) OVER (PARTITION BY l_partkey, l_suppkey) AS steps FROM lineitem n
+    WHERE NOT EXISTS (SELECT 1 FROM lineitem p WHERE p.l_partkey = n.l_partkey AND p.l_suppkey = n.l_suppkey AND p.l_returnflag = 'R')
+""")
+def cogroup_paths(spark, folder):
+    """Paths part to supplier that were not among the earlier ones, by user code over both sides of a part.
+
+    Both sides come sorted by supplier, so the code compares them row by row and keeps one supplier at a time.
+    """
+    lines = load(spark, folder, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag")
+
+    def fresh(key, rows):
+        end, known, steps = None, False, 0
+        for side, row in rows:
+            if row["l_suppkey"] != end:
+                if steps and not known:
+                    yield (*key, end, steps)
+                end, known, steps = row["l_suppkey"], False, 0
+            known, steps = known or side == 0, steps + side
+        if steps and not known:
+            yield (*key, end, steps)
+
+    return cogroup_rows(lines.where("l_returnflag = 'R'"), lines, ["l_partkey"], fresh, "l_partkey bigint, l_suppkey bigint, steps bigint",
+                        order=["l_suppkey"], merged=True)
+
+
+@query("user_percentile_agg", """
+    SELECT l_returnflag, l_linestatus, round(quantile_cont(l_quantity, 0.95), 3) AS p95 FROM lineitem WHERE l_linenumber <> 2 GROUP BY ALL
+""")
+def user_percentile_agg(spark, folder):
+    """A user's accumulator over a changelog: all lines come, the second line of each order is taken back."""
+    lines = load(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_linenumber")
+    ops = F.when(F.col("l_linenumber") == 2, F.array(F.lit("+I"), F.lit("-D"))).otherwise(F.array(F.lit("+I")))
+    changes = lines.select("l_returnflag", "l_linestatus", "l_quantity", F.explode(ops).alias("op"))
+    return aggregate_user(changes, ["l_returnflag", "l_linestatus"], ["l_quantity"], lambda: Percentile(95), "p95", "double", op="op")
+
+
+@query("statement_set", """
+    SELECT 'clicks' AS target, event_id, user_id::VARCHAR AS detail FROM events WHERE event_type = 'click'
+    UNION ALL SELECT 'large', event_id, CAST(round(value * 100) AS BIGINT)::VARCHAR FROM events WHERE value > 50
+    UNION ALL SELECT 'all', event_id, event_type FROM events
+""")
+def statement_set(spark, folder):
+    """Three INSERTs with different conditions and columns from one scan of the events."""
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    tables = insert_all(load(spark, folder, "events"), {
+        "clicks": (F.col("event_type") == "click", {"event_id": F.col("event_id"), "user_id": F.col("user_id")}),
+        "large": (F.col("value") > 50, {"event_id": F.col("event_id"), "cents": cents}),
+        "all": (F.lit(True), {"event_id": F.col("event_id"), "kind": F.col("event_type")}),
+    }, run_dir(spark, "statement-set"))
+    parts = [rows.select(F.lit(name).alias("target"), "event_id", F.col(rows.columns[1]).cast("string").alias("detail"))
+             for name, rows in tables.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.text import token_rows
 from tidepool.operators.joins import asof_join, interval_join, lookup_join, window_join, window_join_totals
+from tidepool.operators.marks import delta_windows, periodic_watermark, punctuated_watermark
 from tidepool.operators.scan import MINUTE_US, running_count, running_sum, scan, seq_chunk, time_chunk
 from tidepool.operators.windows import (
     Agg, classify_late, count_or_end_windows, count_windows, delta_fires, evict_before_last, late_firings, sessions,
@@ -411,3 +412,66 @@ def async_enrichment(spark, folder):
     keys = load(spark, folder, "customer").select("c_custkey")
     found = async_enrich(keys, _profile, "c_custkey", "string", capacity=40, timeout_s=1.0, ordered=False)
     return found.groupBy("found", "error").agg(F.count("*").alias("n"))
+
+
+SHIFTED_SQL = """
+    WITH RECURSIVE e AS MATERIALIZED (
+        SELECT event_id, user_id, event_type, ts, epoch_us(ts - INTERVAL 1 MINUTE * (event_id % 7 * 37)) AS us,
+               row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
+"""
+
+
+def _shifted(spark, folder):
+    """Events arriving in id order, with event times up to some hours before their arrival."""
+    return load(spark, folder, "events").withColumn(
+        "t", F.timestamp_add("MINUTE", -(F.col("event_id") % 7) * 37, F.col("ts"))).select("event_id", "user_id", "event_type", "ts", "t")
+
+
+@query("punctuated_late", SHIFTED_SQL + """,
+    m AS (SELECT user_id, rn, event_id, us, NULL::BIGINT AS mark, us AS after FROM e WHERE rn = 1
+          UNION ALL
+          SELECT e.user_id, e.rn, e.event_id, e.us, m.after, CASE WHEN e.us > m.after + 100000 THEN e.us ELSE m.after END
+          FROM m JOIN e ON e.user_id = m.user_id AND e.rn = m.rn + 1)
+    SELECT event_id, user_id, make_timestamp(mark) AS watermark, coalesce(us < mark, false) AS late FROM m
+""")
+def punctuated_late(spark, folder):
+    """The watermark of each user moves to an event's time only if that is more than 100 ms ahead of it."""
+    marked = punctuated_watermark(_shifted(spark, folder), ["user_id"], "event_id", "t", 100_000, seq_chunk("event_id", 5_000))
+    return marked.select("event_id", "user_id", "watermark", "late")
+
+
+@query("periodic_late", """
+    WITH e AS (SELECT event_id, event_type, epoch_us(ts) // 1800000000 AS tick, epoch_us(ts - INTERVAL 1 MINUTE * (event_id % 7 * 37)) AS us FROM events),
+    s AS (SELECT event_type, tick, max(us) AS us FROM e GROUP BY ALL),
+    k AS (SELECT DISTINCT tick FROM e),
+    g AS (SELECT k.tick, t.event_type, (SELECT max(s.us) FROM s WHERE s.event_type = t.event_type AND s.tick < k.tick) AS us
+          FROM k, (SELECT DISTINCT event_type FROM e) t),
+    w AS (SELECT tick, CASE WHEN count(us) = count(*) THEN min(us) - 60000000 END AS mark FROM g GROUP BY tick)
+    SELECT event_id, event_type, make_timestamp(mark) AS watermark, coalesce(us < mark, false) AS late FROM e JOIN w USING (tick)
+""")
+def periodic_late(spark, folder):
+    """Every half hour each kind of event sends its largest time so far less a minute; the least of them is the watermark."""
+    kinds = ["click", "error", "purchase", "signup", "view"]
+    marked = periodic_watermark(_shifted(spark, folder), "event_type", kinds, "ts", "t", 1_800_000_000, 60_000_000)
+    return marked.select("event_id", "event_type", "watermark", "late")
+
+
+@query("delta_windows", """
+    WITH RECURSIVE e AS MATERIALIZED (
+        SELECT user_id, event_id, epoch_us(ts) AS us, CAST(round(value * 100) AS BIGINT) AS speed,
+               row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+    m AS (SELECT user_id, rn, event_id, us, us AS mark, false AS fired FROM e WHERE rn = 1
+          UNION ALL
+          SELECT e.user_id, e.rn, e.event_id, e.us, CASE WHEN e.us - m.mark > 43200000000 THEN e.us ELSE m.mark END, e.us - m.mark > 43200000000
+          FROM m JOIN e ON e.user_id = m.user_id AND e.rn = m.rn + 1),
+    f AS (SELECT m.user_id, m.event_id AS fired_at, e.event_id, e.speed,
+                 row_number() OVER (PARTITION BY m.user_id, m.rn ORDER BY e.speed DESC, e.rn) AS place
+          FROM m JOIN e ON e.user_id = m.user_id AND e.rn <= m.rn AND e.us > m.us - 86400000000 WHERE m.fired)
+    SELECT user_id, fired_at, event_id, speed FROM f WHERE place = 1
+""")
+def delta_windows_query(spark, folder):
+    """Fires when a user has moved on by more than half a day since the last firing; the largest value of the last day."""
+    rows = load(spark, folder, "events").select("user_id", micros("ts").alias("us"), "event_id", F.round(F.col("value") * 100).cast("bigint").alias("speed"))
+    fired = delta_windows(rows, ["user_id"], ["us", "event_id"], "us", 43_200_000_000, 86_400_000_000, "speed",
+                          F.floor(F.col("us") / F.lit(86_400_000_000)).cast("bigint"))
+    return fired.select("user_id", F.col("fired_event_id").alias("fired_at"), "event_id", "speed")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidepool.operators.changelog import add_retract_flag
@@ -88,6 +89,25 @@ def write_all(source: DataFrame, *writes: Callable[[DataFrame], None]) -> None:
         kept.unpersist()
 
 
+def insert_all(source: DataFrame, targets: dict[str, tuple[Column, dict[str, Column]]], path: str) -> dict[str, DataFrame]:
+    """Several INSERT .. SELECT of one source as one job: the source is scanned once and nothing is kept in between.
+
+    ``targets`` maps a table to its row condition and its columns. Each row is tagged with the tables it goes to, with
+    that table's columns; one write deals the tags to folders. Returns the written tables.
+    """
+    entry = lambda name, columns: F.struct(
+        F.lit(name).alias("target"), *[(F.struct(*[c.alias(n) for n, c in columns.items()]) if other == name else F.lit(None)).alias(other)
+                                       for other, (_, columns) in targets.items()])
+    kinds = {n: source.select(F.struct(*[c.alias(m) for m, c in columns.items()]).alias(n)).schema[0].dataType
+             for n, (_, columns) in targets.items()}
+    whole = T.StructType([T.StructField("target", T.StringType()), *[T.StructField(n, k) for n, k in kinds.items()]])
+    tagged = F.array_compact(F.array(*[F.when(condition, entry(n, columns).cast(whole)) for n, (condition, columns) in targets.items()]))
+    source.select(F.inline(tagged)).write.mode("overwrite").partitionBy("target").parquet(path)
+    spark = source.sparkSession
+    stored = spark.read.schema(T.StructType([*whole.fields[1:], whole.fields[0]])).parquet(path)
+    return {n: stored.where(F.col("target") == n).select(f"{n}.*") for n in targets}
+
+
 def rows(df: DataFrame) -> Iterator[Row]:
     """Result rows on the driver, one partition at a time."""
     return df.toLocalIterator(prefetchPartitions=True)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidepool.operators.changelog import emit_sum_changes, latest_per_key, sum_state
 from tidepool.operators.patterns import STATES, fold_states, next_then_followed_by, not_allowed, step_function
-from tidepool.operators.scan import HEAVY_ROWS, running_count, running_sum, scan
+from tidepool.operators.scan import HEAVY_ROWS, last_seen, running_count, running_sum, scan
 from tidepool.operators.windows import Agg, fire_count_windows
 from tidepool.session import run_dir, stage_table
 from tidepool.streaming.runs import run_all
@@ -33,31 +33,33 @@ class StateTable:
 
     FOLDERS = 3
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path, schema
+    def __init__(self, spark: SparkSession, path: str, schema: str, initial: DataFrame | None = None):
+        self.spark, self.path, self.schema, self.initial = spark, path, schema, initial
 
     def _after(self, batch_id: int) -> str:
         return f"{self.path}/after={batch_id % self.FOLDERS}"
 
     def before(self, batch_id: int) -> DataFrame:
         if batch_id == 0:
-            return self.spark.createDataFrame([], self.schema)
+            return self.spark.createDataFrame([], self.schema) if self.initial is None else self.initial
         return self.spark.read.schema(self.schema).parquet(self._after(batch_id - 1))
 
     def save(self, state: DataFrame, batch_id: int) -> None:
         state.write.mode("overwrite").parquet(self._after(batch_id))
 
 
-def run_carried(stream: DataFrame, step: Step, state_schema: str, checkpoint: str | None = None) -> DataFrame:
+def run_carried(stream: DataFrame, step: Step, state_schema: str, checkpoint: str | None = None,
+                initial: DataFrame | None = None) -> DataFrame:
     """Rows that ``step(batch, state) -> (rows, new state)`` gives over all micro-batches so far.
 
     ``stream`` is a stateless projection of a replayable source. Rows and state lie beside the
     checkpoint: a run that goes on from it carries the state on and returns the rows of all runs.
+    ``initial`` is the state before the first micro-batch, none by default.
     """
     spark = stream.sparkSession
     checkpoint = checkpoint or run_dir(spark, "carried")
     folder = f"{checkpoint}-carried"
-    table = StateTable(spark, f"{folder}/state", state_schema)
+    table = StateTable(spark, f"{folder}/state", state_schema, initial)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # Not persisted: a batch is a scan of its files, and each pass reads only the columns it needs.
@@ -147,3 +149,23 @@ def next_then_followed_by_step(keys: Sequence[str], chunk: Column, heavy_rows: i
         return closed, newest.unionByName(still, allowMissingColumns=True)
 
     return step
+
+
+def latest_model_step(keys: Sequence[str], order: Sequence[str], chunk: Column, is_model: str, model: Sequence[str],
+                      heavy_rows: int = HEAVY_ROWS) -> Step:
+    """Two connected inputs as tagged rows: each data row gets the ``model`` columns of the last model row before it.
+
+    State (keys, model columns): the newest model per key. Rows without any model yet have nulls. All data rows of a
+    key share a scan, so a key that fills a batch is still read in parallel.
+    """
+    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+        payload = F.when(F.col(is_model), F.struct(*model))
+        seen = scan(batch, keys, order, chunk, {"__seen": last_seen(payload)}, heavy_rows=heavy_rows)
+        before = state.select(*keys, F.struct(*model).alias("__before"))
+        data = seen.where(~F.col(is_model)).drop(*model, is_model).join(before, list(keys), "left")
+        known = F.coalesce("__seen", "__before")
+        out = data.select(*[c for c in data.columns if c not in ("__seen", "__before")], *[known[m].alias(m) for m in model])
+        newest = batch.where(is_model).groupBy(*keys).agg(F.max_by(F.struct(*model), F.struct(*order)).alias("__m")).select(*keys, "__m.*")
+        return out, newest.unionByName(state.join(newest, list(keys), "left_anti"))
+
+    return step

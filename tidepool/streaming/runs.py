@@ -5,13 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidepool.operators.lake import KeyTable
 from tidepool.session import ROCKSDB_PROVIDER, run_dir
-from tidepool.tables import micros
+from tidepool.sources.ranges import range_stream
 
 Sink = Callable[[DataFrame, int], None]
 #: Commit number of the empty commit that gives a landed table its columns.
@@ -27,36 +25,19 @@ def stream_table(spark: SparkSession, folder: str, name: str, max_files: int | N
     return reader.parquet(path[:-1] + "[t]")
 
 
-def replay_table(
-    spark: SparkSession, folder: str, name: str, order: str, parts: int = 3, files: int = 2
-) -> DataFrame:
-    """A supplied table as a stream of ``parts`` micro-batches in ``order``.
+def ranged_table(spark: SparkSession, folder: str, name: str, batches: int = 3) -> DataFrame:
+    """A supplied table as a stream of about ``batches`` micro-batches of neighbouring rows, in file order.
 
-    The table is cut at ``parts`` x ``files`` quantiles of ``order`` (equal values stay together, so there
-    are fewer cuts where values repeat much) and each range is written as one file, one after another. A
-    file stream takes files by age, ``files`` at a time, so whichever files a batch gets, its rows come
-    after those of all batches before it; nulls are in the last. For a large table raise both.
+    Nothing is copied: positions are rows of files (``sources.ranges``). A live job gives rows per batch instead.
     """
-    table = spark.read.parquet(f"{folder}/{name}.parquet")
-    place = micros(order) if isinstance(table.schema[order].dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(order)
-    shares = [i / (parts * files) for i in range(1, parts * files)]
-    found, last = table.agg(F.percentile_approx(place, shares, 1000), F.max(place)).first()
-    cuts = sorted({c for c in found or [] if c < last})
-    path = run_dir(spark, f"replay-{name}")
-    for before, cut in zip([None, *cuts], [*cuts, None], strict=True):
-        part = table
-        if before is not None:
-            part = part.where(place > before if cut is not None else (place > before) | place.isNull())
-        if cut is not None:
-            part = part.where(place <= cut)
-        part.repartition(1).write.mode("append").option("maxRecordsPerFile", 0).parquet(path)
-    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
+    path = f"{folder}/{name}.parquet"
+    return range_stream(spark, path, max(1, -(-spark.read.parquet(path).count() // batches)))
 
 
 def start(
     stream: DataFrame, sink: Sink, mode: str = "append", checkpoint: str | None = None, every: str | None = None
 ) -> StreamingQuery:
-    """Run ``sink`` for each micro-batch; without ``every`` all available input is read, then it stops.
+    """Run ``sink`` for each micro-batch; without ``every`` one run over the input that is there, then it stops.
 
     Processors in processing-time mode always ask for another batch, so they need ``every``.
     """
@@ -69,11 +50,18 @@ def start(
 
 
 def run_all(stream: DataFrame, sink: Sink, mode: str = "append", checkpoint: str | None = None) -> None:
-    start(stream, sink, mode, checkpoint).awaitTermination()
-
-
-def append_sink(path: str) -> Sink:
-    """One folder per micro-batch, overwritten when the batch is repeated."""
+    """Run until all input has been read, one micro-batch after another, and stop."""
+    running = start(stream, sink, mode, checkpoint, "0 seconds")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+
+
+def append_sink(path: str, exactly_once: bool = True) -> Sink:
+    """One folder per micro-batch, overwritten when the batch is repeated; otherwise a repeated batch is added again."""
+    if not exactly_once:
+        return lambda batch, batch_id: batch.write.mode("append").parquet(f"{path}/commit={batch_id}")
     return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/commit={batch_id}")
 
 

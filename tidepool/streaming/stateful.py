@@ -308,3 +308,37 @@ class IdleTimeout(KeyedProcessor):
         self.last.clear()
         yield pd.DataFrame([(key[0], seq, t, timerValues.getCurrentWatermarkInMs())],
                            columns=["key", "seq", "t", "watermark"])
+
+
+class IdleKeys(KeyedProcessor):
+    """Emits (key, seq, t) of a key's last row before each pause of more than ``idle_ms`` of event time.
+
+    A pause that a later row of the key shows is found in the rows themselves; the one still open is found by an
+    event-time timer, which also lets the key's state go. So a key without rows holds no state.
+    """
+
+    schema = "key bigint, seq bigint, t bigint"
+    order = ["t", "seq"]
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "seq bigint, t bigint")
+
+    def process(self, key, rows, timers):
+        known = self.last.get()
+        seq, t = rows["seq"].to_numpy(), rows["t"].to_numpy()
+        if known is not None:
+            self.handle.deleteTimer(known[1] + self.idle_ms + 1)
+            seq, t = np.concatenate([[known[0]], seq]), np.concatenate([[known[1]], t])
+        paused = np.flatnonzero(np.diff(t) > self.idle_ms)
+        self.last.update((int(seq[-1]), int(t[-1])))
+        self.handle.registerTimer(int(t[-1]) + self.idle_ms + 1)
+        return pd.DataFrame({"key": key[0], "seq": seq[paused], "t": t[paused]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        seq, t = self.last.get()
+        self.last.clear()
+        yield pd.DataFrame([(key[0], seq, t)], columns=["key", "seq", "t"])
