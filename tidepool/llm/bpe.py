@@ -16,9 +16,11 @@ from __future__ import annotations
 import base64
 import hashlib
 from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import ahocorasick
+import numpy as np
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +28,16 @@ from pyspark.sql import functions as F
 
 from tidepool.llm.rows import map_rows
 
-CACHED_WORDS = 300_000
-CACHED_PIECES = 150_000
-CACHED_PAIRS = 300_000
+CACHED_WORDS = 150_000
+CACHED_PIECES = 100_000
+CACHED_PAIRS = 600_000
 NEVER = 1 << 60
+#: Texts are encoded together up to about this many characters.
+BLOCK = 1 << 20
+#: A pair of tokens as one number; NONE stands on the left of a piece's first token.
+PAIR, NONE = 1 << 31, -1
+#: Stands between pieces that are searched together; no byte is written so.
+BORDER = chr(256)
 #: Longer pieces are not cached, so that the cache is bounded in bytes too.
 CACHED_LENGTH = 64
 
@@ -95,13 +103,18 @@ class Vocabulary:
         self.longest = max(map(len, ranks), default=1)
         self.ends = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            self.ends.add_word(token.decode("latin-1"), (len(token), rank))
+            self.ends.add_word(token.decode("latin-1"), rank)
         self.ends.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
         self.alone: dict[int, bool] = {}
         self.spines: tuple[dict, dict] = ({}, {})
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.words: dict[str, tuple[int, ...]] = {}
+        self.older_pieces, self.older_words = dict(self.pieces), dict(self.words)
+        self.lengths = np.zeros(max(self.bytes_of, default=0) + 1, np.int64)
+        for rank, token in self.bytes_of.items():
+            self.lengths[rank] = len(token)
+        self.known, self.fit = np.array([-1], np.int64), np.zeros(1, bool)  # checked pairs as sorted numbers
 
     def reachable(self, token: int) -> bool:
         """Whether merging a token's own bytes gives the token."""
@@ -147,7 +160,7 @@ class Vocabulary:
                 known = merge_by_rank(joined, self.ranks) == [left, right]
             else:
                 known = self._apart(a, b)
-            if len(self.pairs) >= CACHED_PAIRS:
+            if len(self.pairs) >= CACHED_PIECES:
                 self.pairs.clear()
             self.pairs[left, right] = known
         return known
@@ -171,12 +184,12 @@ class Vocabulary:
     def extend(self, data: bytes, last: list[int], start: int) -> None:
         """Fill ``last`` from byte ``start`` on, given its entries before that."""
         back = max(0, start - self.longest + 1)  # tokens that end later begin after this
-        pairs, found = self.pairs, len(last)
-        for end, (length, token) in self.ends.iter(data[back:].decode("latin-1")):
+        pairs, found, bytes_of = self.pairs, len(last), self.bytes_of
+        for end, token in self.ends.iter(data[back:].decode("latin-1")):
             end += back
             if end < found:
                 continue  # its last token is known
-            at = end - length
+            at = end - len(bytes_of[token])
             if at < 0:
                 fits = self.reachable(token)
             else:
@@ -191,47 +204,156 @@ class Vocabulary:
         whole = self.ranks.get(piece)
         return (whole,) if whole is not None else tuple(Prefixes(self, piece).tokens())
 
+    def encode_pieces(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """The tokens of many pieces: one pass of the recurrence over all of them, prefix length by prefix length.
+
+        All tokens that end somewhere are found at once; at each prefix length, the candidates of all pieces
+        are checked together against the last tokens of the shorter prefixes.
+        """
+        out: list = [None] * len(pieces)
+        todo = []
+        for i, piece in enumerate(pieces):
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                out[i] = (whole,)
+            elif len(piece) > CACHED_LENGTH:
+                out[i] = tuple(Prefixes(self, piece).tokens())
+            else:
+                todo.append(i)
+        if todo:
+            for i, ids in zip(todo, self._recurrence([pieces[i] for i in todo]), strict=True):
+                out[i] = ids
+        return out
+
+    def _recurrence(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        text = BORDER.join([p.decode("latin-1") for p in pieces])
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        stop = np.cumsum(size + 1) - 1  # of each piece in the text
+        begin = stop - size
+        hits = np.fromiter(chain.from_iterable(self.ends.iter(text)), np.int64)
+        end, token = hits[::2], hits[1::2]
+        first = np.repeat(begin, size + 1)[: len(text)][end]  # where the hit's piece begins
+        back = end - self.lengths[token]
+        reach = end - first
+        order = np.argsort(reach.astype(np.int16), kind="stable")
+        end, token, back, first = end[order], token[order], back[order], first[order]
+        bounds = np.searchsorted(reach[order], np.arange(int(size.max()) + 1))
+        last = np.full(len(text), -1, np.int64)
+        for low, high in zip(bounds, bounds[1:], strict=False):
+            e, t, at = end[low:high], token[low:high], back[low:high]
+            left = np.where(at < first[low:high], NONE, last[at])
+            fits = self._fits(left, t)
+            last[e[fits]] = t[fits]
+        flat, counts = self._walk_back(last, begin, stop)
+        cuts = np.concatenate([[0], np.cumsum(counts)]).tolist()
+        ids = flat.tolist()
+        return [tuple(ids[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _walk_back(self, last: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of all pieces, one after another, and how many each has."""
+        rows, at, steps = np.arange(len(stop)), stop - 1, []
+        while len(rows):
+            found = last[at]
+            steps.append((rows, found))
+            at = at - self.lengths[found]
+            more = at >= begin[rows]
+            rows, at = rows[more], at[more]
+        counts = np.zeros(len(stop), np.int64)
+        for rows, _ in steps:
+            counts[rows] += 1
+        ends, flat = np.cumsum(counts), np.zeros(int(counts.sum()), np.int64)
+        for step, (rows, found) in enumerate(steps):
+            flat[ends[rows] - 1 - step] = found
+        return flat, counts
+
+    def _fits(self, left: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Whether each token may follow the one on its left; with none there, whether it is reachable."""
+        keys, place = np.unique((left + 1) * PAIR + token, return_inverse=True)
+        spot = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
+        known = self.known[spot] == keys
+        answer = self.fit[spot] & known
+        fresh = np.flatnonzero(~known)
+        if len(fresh):
+            for i, (a, b) in zip(fresh.tolist(), zip((keys[fresh] // PAIR - 1).tolist(), (keys[fresh] % PAIR).tolist(), strict=True), strict=True):
+                answer[i] = self.reachable(b) if a == NONE else self.may_follow(a, b)
+            if len(self.known) + len(fresh) > CACHED_PAIRS:
+                self.known, self.fit = self.known[:1], self.fit[:1]
+            merged = np.concatenate([self.known, keys[fresh]])
+            order = np.argsort(merged, kind="stable")
+            self.known, self.fit = merged[order], np.concatenate([self.fit, answer[fresh]])[order]
+        return answer[place]
+
     def encode(self, text: str) -> list[int]:
-        """Tokens of a text.
+        return self.encode_texts([text])[0]
+
+    def encode_texts(self, texts: list[str]) -> list[list[int]]:
+        """Tokens of each text.
 
         A space between two characters that are not white space always begins a piece, so what
-        follows it up to the next such space is encoded by itself and remembered.
+        follows it up to the next such space is encoded by itself and remembered. New words and pieces
+        of all texts are encoded together. Words and pieces are kept for two generations: when the newer
+        one is full it becomes the older one, whose entries come back as they are met again.
         """
-        first, *words = text.split(" ")
-        if not words or not self._remember(first, words):
-            return self._by_piece(text)
-        return list(chain(self._by_piece(first), chain.from_iterable(map(self.words.__getitem__, words))))
-
-    def _remember(self, first: str, words: list[str]) -> bool:
-        """Encode the words not met yet; False if some space does not stand between other characters."""
-        new = [w for w in words if w not in self.words]
-        if not first or first[-1].isspace() or any(not w or w[0].isspace() or w[-1].isspace() for w in new):
-            return False
-        if max(map(len, new), default=0) > CACHED_LENGTH or len(new) > CACHED_WORDS:
-            return False
-        if len(self.words) + len(new) > CACHED_WORDS:
-            self.words.clear()
-            new = words if len(words) <= CACHED_WORDS else []
-            if not new or max(map(len, new)) > CACHED_LENGTH:
-                return False
-        for w in new:
-            self.words[w] = tuple(self._by_piece(" " + w))
-        return True
-
-    def _by_piece(self, text: str) -> list[int]:
-        out: list[int] = []
-        cache = self.pieces
-        for piece in self.pattern.findall(text):
-            ids = cache.get(piece)
-            if ids is None:
-                ids = self.encode_piece(piece.encode())
-                if len(piece) <= CACHED_LENGTH:
-                    if len(cache) >= CACHED_PIECES:
-                        cache.clear()
-                    cache[piece] = ids
-            out.extend(ids)
+        cut = [t.split(" ") for t in texts]
+        words = dict.fromkeys(w for parts in cut for w in parts[1:])
+        if len(self.words) > CACHED_WORDS:
+            self.words, self.older_words = {}, self.words
+        fresh = []
+        for w in words:
+            if w not in self.words:
+                ids = self.older_words.get(w)
+                if ids is None:
+                    fresh.append(w)
+                else:
+                    self.words[w] = ids
+        plain = [w for w in fresh if w and len(w) <= CACHED_LENGTH and not w[0].isspace() and not w[-1].isspace()]
+        self._add_words(plain)
+        strange = set(fresh).difference(plain)
+        whole, out = [], []
+        for k, parts in enumerate(cut):
+            first = parts[0]
+            if len(parts) > 1 and (not first or first[-1].isspace() or (strange and not strange.isdisjoint(parts[1:]))):
+                whole.append(k)
+            out.append(None)
+        odd = set(whole)
+        heads = [k for k in range(len(cut)) if k not in odd]
+        for k, ids in zip(heads, self._by_piece([cut[k][0] for k in heads]), strict=True):
+            out[k] = list(chain(ids, chain.from_iterable(map(self.words.__getitem__, cut[k][1:]))))
+        for k, ids in zip(whole, self._by_piece([texts[k] for k in whole]), strict=True):
+            out[k] = ids
         return out
 
+    def _add_words(self, words: list[str]) -> None:
+        """Encode words that a space precedes; joined by spaces they are cut just as each alone."""
+        if not words:
+            return
+        found = self.pattern.findall(" " + " ".join(words))
+        pieces = self._pieces(found)
+        ends = set(np.cumsum([len(w) + 1 for w in words]).tolist())
+        at, held, spelled = 0, [], []
+        for piece in found:
+            held.append(pieces[piece])
+            at += len(piece)
+            if at in ends:
+                spelled.append(held[0] if len(held) == 1 else tuple(chain.from_iterable(held)))
+                held = []
+        self.words.update(zip(words, spelled, strict=True))
+
+    def _pieces(self, found: Iterable[str]) -> dict[str, tuple[int, ...]]:
+        """The tokens of each different piece."""
+        if len(self.pieces) > CACHED_PIECES:
+            self.pieces, self.older_pieces = {}, self.pieces
+        known = {p: self.pieces.get(p) or self.older_pieces.get(p) for p in dict.fromkeys(found)}
+        fresh = [p for p, ids in known.items() if ids is None]
+        known.update(zip(fresh, self.encode_pieces([p.encode() for p in fresh]), strict=True))
+        self.pieces.update((p, ids) for p, ids in known.items() if len(p) <= CACHED_LENGTH)
+        return known
+
+    def _by_piece(self, texts: list[str]) -> list[list[int]]:
+        found = [self.pattern.findall(t) for t in texts]
+        pieces = self._pieces(p for cut in found for p in cut)
+        return [list(chain.from_iterable(map(pieces.__getitem__, cut))) for cut in found]
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -274,6 +396,19 @@ class EditableText:
         return [t for ids in self.ids for t in ids]
 
 
+def blocks(texts: list[str | None]) -> Iterator[list[str]]:
+    """Neighbouring texts, about ``BLOCK`` characters at a time; null is the empty text."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text or "")
+        size += len(held[-1])
+        if size >= BLOCK:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 _built: dict[tuple[int, str], Vocabulary] = {}
 
 
@@ -301,8 +436,8 @@ def encode_texts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     vocabulary = shared_vocabulary(docs.sparkSession, path, pattern)
 
     def make():
-        encode = vocabulary().encode
-        return lambda values: {"ids": [encode(v) if v else [] for v in values]}
+        encode = vocabulary().encode_texts
+        return lambda values: {"ids": [ids for block in blocks(values) for ids in encode(block)]}
 
     return map_rows(docs.select(F.col(key), F.col(text).alias("__text")), "__text", make, "ids array<int>")
 
@@ -330,8 +465,7 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
 
         def run(values):
             out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-            for value in values:
-                ids = vocab.encode(value) if value else []
+            for ids in (ids for block in blocks(values) for ids in vocab.encode_texts(block)):
                 out["n_tokens"].append(len(ids))
                 out["ids_sha256"].append(
                     hashlib.sha256(",".join(map(numerals.__getitem__, ids)).encode()).hexdigest())
