@@ -94,6 +94,19 @@ def test_links_edges(spark):
     assert jaccard_join.link_classes(docs.limit(0)).collect() == []
 
 
+def test_rows_without_an_id_stay(spark):
+    """Equal rows without an id are all kept and never met with one another; near copies of them are linked."""
+    words = [f"w{i}" for i in range(60)]
+    text, near = " ".join(words), " ".join([*words[:-1], "last"])
+    rows = [(None, text)] * 3 + [(None, None)] * 2 + [(None, near)] * 2 + [(7, near), (7, near), (9, text)] + [(7, "other words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(tuple(r) for r in jaccard_join.link_classes(docs).collect())
+    # text 4 and near 4 link; every row of both has 7 others
+    assert got == Counter({(None, 7, 7): 5, (None, None, 0): 2, (7, 7, 7): 2, (9, 7, 7): 1, (7, 7, 0): 1})
+    kept = Counter(tuple(r) for r in jaccard_join.keep_one(docs).collect())
+    assert kept == Counter({(None, text): 3, (None, None): 2, (None, near): 2, (7, near): 1, (7, "other words"): 1})
+
+
 def test_intersections_equal_sets():
     rng = random.Random(5)
     import numpy as np

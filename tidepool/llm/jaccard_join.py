@@ -106,7 +106,7 @@ def _children(node: int, coords: np.ndarray) -> list[int]:
 
 
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, rec, n, bits, coords) of each row; rec is null where there is no word."""
+    """(key, text hash, rec, n, bits, coords) of each row; rec is null where there is no word."""
 
     def make():
         def run(values):
@@ -123,8 +123,8 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
             return out
         return run
 
-    return map_rows(docs.select(F.col(key).alias("__key"), utf8(text).alias("__text")), "__text", make,
-                    "rec long, n int, bits binary, coords binary")
+    rows = docs.select(F.col(key).alias("__key"), F.xxhash64(text).alias("__hash"), utf8(text).alias("__text"))
+    return map_rows(rows, "__text", make, "rec long, n int, bits binary, coords binary")
 
 
 def _root_children(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,8 +310,10 @@ def _roots(n: int, edges: list[tuple[int, int]], names: list[int]) -> list[int]:
 def _with_shingles(docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
     """The members with their shingles, read again from one document of each."""
     wanted = members.withColumnRenamed("rec", "__rec")
-    texts = docs.select(F.col(key).alias("__id"), utf8(text).alias("__text"))
-    both = texts.join(wanted, F.col("__id").eqNullSafe(F.col("first_key")))
+    texts = docs.select(F.col(key).alias("__id"), F.xxhash64(text).alias("__hash"), utf8(text).alias("__text"))
+    # By text as well: rows without an id, or with one id, meet only the members that have their text.
+    same = (F.col("__hash") == F.col("first_hash")) & F.col("__id").eqNullSafe(F.col("first_key"))
+    both = texts.join(wanted, same).drop("__hash", "first_hash")
 
     def make():
         def run(values):
@@ -333,7 +335,8 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     rows = stage_table(sketches(docs, key, text), "sketches")
     reps = stage_table(
         rows.where(F.col("rec").isNotNull()).groupBy("rec").agg(
-            F.count("*").alias("copies"), F.min("__key").alias("first_key"), F.first("n").alias("n"),
+            F.count("*").alias("copies"), F.min("__key").alias("first_key"),
+            F.min_by("__hash", F.struct(F.col("__key").isNull(), "__key", "__hash")).alias("first_hash"), F.first("n").alias("n"),
             F.first("bits").alias("bits"), F.first("coords").alias("coords")), "records")
     edges = stage_table(candidate_edges(reps), "candidates")
     ends = edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id"))).distinct()
@@ -342,7 +345,7 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         F.count("*").alias("m"), F.sum("n").alias("tokens"))
     parts = F.greatest(F.ceil(F.col("m") / BLOCK_RECORDS), F.ceil(F.col("tokens") / BLOCK_SHINGLES)).cast("long")
     members = (groups.join(sizes.select("component", parts.alias("parts")), "component")
-               .join(reps.select("rec", "copies", "first_key"), F.col("id") == F.col("rec")).drop("id"))
+               .join(reps.select("rec", "copies", "first_key", "first_hash"), F.col("id") == F.col("rec")).drop("id"))
     found = _with_shingles(docs, members, key, text)
     blocks = _blocks(found, "component", F.col("parts"), "rec", "copies", "parts", "shingles")
     grouped = (blocks.withColumn("part", F.xxhash64("component", "low", "high")).drop("component")
@@ -371,10 +374,9 @@ def _classes(exact: DataFrame, reps: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The document with the smallest id of each class, with all columns; repeated rows of it go.
 
-    Rows without an id stay.
+    Rows without an id stay, all of them.
     """
     classes = link_classes(docs, key, text)
-    first = classes.where(F.col(key).eqNullSafe(F.col("class_id")) | F.col(key).isNull()).select(
-        F.col(key).alias("__first")).distinct()
-    kept = docs.join(first, F.col(key).eqNullSafe(F.col("__first")), "left_semi")
-    return kept.dropDuplicates([key, text])
+    first = classes.where(F.col(key) == F.col("class_id")).select(F.col(key).alias("__first")).distinct()
+    named = docs.where(F.col(key).isNotNull()).join(first, F.col(key) == F.col("__first"), "left_semi")
+    return named.dropDuplicates([key, text]).unionByName(docs.where(F.col(key).isNull()))
