@@ -50,6 +50,36 @@ def test_furniture_goes():
     assert text_of(page) == text_of(page, wrapper_of(page)) == "Title é x One two Three four"
 
 
+def test_article_text_stays_whatever_its_names():
+    page = """<body><article><h1>T</h1><section class="related-work"><p>One.</p></section><p class="legal">Two.</p>
+    <div class="comment-analysis">Three.</div><p>End.</p><div class="comments"><p>Nice!</p></div></article>"""
+    assert text_of(page) == text_of(page, wrapper_of(page)) == "T One. Two. Three. End."
+    page = """<main><h1>T</h1><div class="ad-hoc">One.</div><table class="widget-sizes"><tr><td>Two.</table><p>End.</p>
+    <div class="ad">Buy</div></main>"""
+    assert text_of(page) == text_of(page, wrapper_of(page)) == "T One. Two. End."
+
+
+def test_the_wrapper_decides_on_suspected_names():
+    """The same kind of name is furniture where its text never changes, and text where it does."""
+    same = [f"<article><h1>T{i}</h1><p>Text {i}</p><div class='share-box'>Tell your friends</div></article>" for i in range(5)]
+    assert text_of(same[0]) == "T0 Text 0 Tell your friends"
+    assert text_of(same[0], wrapper_of(*same)) == "T0 Text 0"
+    other = [f"<article><h1>T{i}</h1><p>Text {i}</p><div class='share-box'>A share of {i}</div></article>" for i in range(5)]
+    assert text_of(other[0], wrapper_of(*other)) == "T0 Text 0 A share of 0"
+    links = "<article><p>Text</p><div class='related-links'><a>More of this</a> <a>and this</a></div></article>"
+    assert text_of(links) == "Text"
+
+
+def test_a_form_around_the_page_is_its_body():
+    page = """<body><form action=x><div id=top><nav>Home</nav><article><h1>T</h1><p>Some longer text of the page.</p></article></div>
+    <input>Search</form></body>"""
+    assert text_of(page) == "T Some longer text of the page."
+    plain = "<body><form><h1>T</h1><p>Text in a form.</p></form><footer>(c)</footer></body>"
+    assert text_of(plain) == text_of(plain, wrapper_of(plain)) == "T Text in a form."
+    assert text_of("<body><p>Before the form all text</p><form><p>Your name</p></form></body>") == "Before the form all text"
+    assert text_of("<body><form><label>Name</label><input></form></body>") == ""
+
+
 def test_article_wins_over_the_rest():
     page = "<body><div>Top line of the site</div><article><header><h1>H</h1></header><p>a &lt;b&gt; c</p><nav>n</nav></article><div>More</div></body>"
     assert text_of(page) == "H a <b> c"

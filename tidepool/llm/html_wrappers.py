@@ -9,7 +9,8 @@ have it, whether its text differs between pages, and how much of it is links.
 
 A slot is main text if it is inside the article or main element (where the wrapper has one with text),
 not under a menu, header, footer, sidebar, form, advert, notice, comment section or the like (by tag,
-role, class or id), and, outside an article element, neither mostly links nor the same on all of three
+role, class or id; inside an article a word of a longer name decides only if the wrapper shows the place to be
+the same on all pages or links; a form that holds most of a page's text is its body), and, outside an article element, neither mostly links nor the same on all of three
 or more different pages (pages with the same texts are copies of one). Pages are read again with their host's wrapper; parts that it does not have follow
 their own tags.
 
@@ -70,6 +71,12 @@ OTHER_NAMES = frozenset("""nav navbar navigation menu masthead footer sidebar as
 banner promo promoted sponsor sponsored cookie cookies consent notice notices gdpr comment comments disqus replies share
 sharing social related recommended breadcrumb breadcrumbs pager pagination popup modal overlay newsletter subscribe
 subscription signup login toolbar widget widgets copyright legal""".split())
+#: Names that are enough inside an article if they are the whole name; others are only suspected there.
+SURE_NAMES = frozenset("""nav navbar navigation masthead footer sidebar ad ads advert adverts advertisement cookie cookies gdpr
+comments disqus breadcrumb breadcrumbs pager pagination newsletter popup modal promoted sponsored""".split())
+KEPT, SUSPECTED, OTHER = 0, 1, 2
+#: A form with one of these and most of a page's text is the page's body.
+BODY_TAGS = frozenset("article main h1 p".split())
 SLOT, GROUP = "#", "()"
 
 
@@ -132,20 +139,26 @@ def _inside_article(label: str) -> bool:
 
 
 @lru_cache(maxsize=100_000)
-def is_other(label: str, in_article: bool) -> bool:
-    """Whether an element is page furniture by its own tag, role, class or id."""
+def kind_of(label: str, in_article: bool) -> int:
+    """Whether an element is page furniture by its own tag, role, class or id, or only suspected of it.
+
+    Inside an article a word in a longer name, or a word that articles use themselves, decides nothing alone.
+    """
     tag, *names = label.split(" ")
     if tag in OTHER_TAGS or tag == "header" and not in_article:
-        return True
+        return OTHER
+    found = KEPT
     for name in names:
         if name.startswith("@"):
             if name[1:] in OTHER_ROLES or name == "@hidden":
-                return True
+                return OTHER
         elif tag not in ("html", "body", "article", "main"):
             parts = re.split(r"[-_]+", name)
-            if not OTHER_NAMES.isdisjoint(parts) or not in_article and "header" in parts:
-                return True
-    return False
+            if not in_article and ("header" in parts or not OTHER_NAMES.isdisjoint(parts)) or name in SURE_NAMES:
+                return OTHER
+            if not OTHER_NAMES.isdisjoint(parts):
+                found = SUSPECTED
+    return found
 
 
 class _Reader:
@@ -450,6 +463,33 @@ def _mostly_links(node: Node) -> bool:
     return links * 2 > size > 0
 
 
+def _is_furniture(node: Node, place: Node | None) -> bool:
+    """Whether a suspected element is furniture by what the wrapper knows of its place: the same on all pages, or links."""
+    if _mostly_links(node) or place is not None and _mostly_links(place):
+        return True
+    todo, slots = [place] if place is not None else [], []
+    while todo:
+        n = todo.pop()
+        if n.cut:
+            return False
+        slots += [n] if n.label == SLOT else []
+        todo += n.children
+    return bool(slots) and all(map(_is_template, slots))
+
+
+def _is_body(form: Node, totals: dict[int, tuple[int, int]], page: Node) -> bool:
+    """Whether a form holds most of a page's text, with paragraphs or an article: then it is no form to fill in."""
+    if form.label.split(" ")[0] != "form" or totals[id(form)][0] * 2 <= totals[id(page)][0]:
+        return False
+    todo = [form]
+    while todo:
+        n = todo.pop()
+        if n.label.split(" ")[0] in BODY_TAGS:
+            return True
+        todo += n.children
+    return False
+
+
 def _flat(nodes: list[Node]) -> list[Node]:
     return [n for node in nodes for n in (_flat(node.children) if node.label == GROUP else [node])]
 
@@ -482,6 +522,7 @@ def main_text(page: Node, wrapper: Node | None, dropped: frozenset[int] | None =
     out: list[str] = []
     wanted = wrapper is not None and _has_article(wrapper) and _has_article(page) or wrapper is None and _has_article(page)
     tracked = dropped is not None or record is not None
+    totals: dict[int, tuple[int, int]] = {}
 
     def frame(node: Node, place: Node | None, inside: bool, path: int, lost: bool) -> list:
         """Children to come, the wrapper's places for them, the last place met; runs of each label so far, the last label."""
@@ -506,7 +547,11 @@ def main_text(page: Node, wrapper: Node | None, dropped: frozenset[int] | None =
         if found is not None:
             todo[-1][2] = found
         inside = in_article or _inside_article(child.label)
-        if child.label != SLOT and is_other(child.label, in_article):
+        kind = KEPT if child.label == SLOT else kind_of(child.label, in_article)
+        if kind == OTHER and child.label.startswith("form"):
+            totals = totals or _element_totals(page)
+            kind = KEPT if _is_body(child, totals, page) else OTHER
+        if kind == OTHER or kind == SUSPECTED and _is_furniture(child, place):
             continue
         if lost and not inside and record:
             record(path, child)
