@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from tidepool.llm.rows import map_rows
 
-CACHED_WORDS = 150_000
-CACHED_PIECES = 100_000
-CACHED_PAIRS = 600_000
+CACHED_WORDS = 300_000
+CACHED_PIECES = 200_000
+CACHED_PAIRS = 1_000_000
 NEVER = 1 << 60
 #: Texts are encoded together up to about this many characters.
 BLOCK = 1 << 20
