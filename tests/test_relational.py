@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidepool.functions.scalar import merge_rows
@@ -172,6 +173,24 @@ def test_percentiles(spark):
     assert out == {"x": [38.726, 46.985, 51.795, 53.399, 54.681], "none": None}
 
 
+@pytest.mark.parametrize("accuracy", [20, 10_000])
+def test_percentiles_of_odd_numbers(spark, accuracy):
+    """Infinite values, NaN and very large numbers, in groups above and below the sketch's size."""
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "nan": [float(i) for i in range(300)] + [nan] * 40, "inf": [-inf] * 30 + [float(i % 7) for i in range(200)] + [inf] * 50,
+        "large": [i * 1e22 for i in range(150)], "only": [nan], "mixed": [inf, nan, -inf], "wide": [-1.5e308, 1.5e308, 0.0] * 40}
+    rows = spark.createDataFrame([(k, v) for k, values in groups.items() for v in values], "k string, v double")
+    percents = [0, 25, 50, 90, 99, 100]
+    for r in exact_percentiles(rows, ["k"], "v", percents, accuracy=accuracy, heavy_rows=30).collect():
+        values = sorted(groups[r.k], key=lambda v: (v != v, v))
+        for p, got in zip(percents, r.percentiles, strict=True):
+            low, rest = divmod(p * (len(values) - 1), 100)
+            a, b = values[low], values[min(low + 1, len(values) - 1)]
+            want = a if not rest or a == b or (a != a and b != b) else a + (b - a) * (rest / 100)
+            assert (got != got and want != want) or got == want or abs(got - want) <= max(6e-4, abs(want) * 1e-12), (r.k, p, got, want)
+
+
 def test_percentile_brackets_match_builtin(spark):
     """A low sketch accuracy forces bracketing, chunked ranks and the counted rows below the bracket."""
     df = spark.range(20_000).select(

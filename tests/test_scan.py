@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidepool.operators import scan as scan_module
 from tidepool.operators.aggregates import bounded_lists
 from tidepool.operators.graph import adjacency
 from tidepool.operators.scan import (
@@ -73,6 +74,32 @@ def test_busy_chunk_is_split(spark):
     assert sum(sizes) == 4000 and max(sizes) <= 300
 
 
+@pytest.mark.parametrize("sent", [0, 1 << 24])
+def test_one_key_in_one_chunk_far_beyond_the_bound(spark, monkeypatch, sent):
+    """A thousand times ``heavy_rows`` in one chunk, samples broadcast or joined."""
+    monkeypatch.setattr(scan_module, "SENT_BYTES", sent)
+    rows = spark.range(100_000).select(F.lit("hot").alias("k"), F.col("id").alias("seq"), (F.col("id") % 5).alias("v"))
+    got = scan(rows, ["k"], ["seq"], F.lit(0).cast("bigint"), {"total": running_sum(F.col("v"))}, heavy_rows=100)
+    wrong = got.where(F.expr("total <> (seq div 5) * 10 + CASE seq % 5 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 3 WHEN 3 THEN 6 ELSE 10 END"))
+    assert got.count() == 100_000 and wrong.count() == 0
+    inputs = rows.withColumns({"__heavy": F.lit(True), "__chunk": F.lit(0).cast("bigint")})
+    sizes = [r["count"] for r in _split_overfull(inputs, ["k", "__chunk"], ["seq"], 100).groupBy("__sub").count().collect()]
+    assert sum(sizes) == 100_000 and max(sizes) <= 600
+
+
+def test_plan_without_heavy_keys_is_the_plain_window(rows):
+    got = scan(rows, ["k"], ["seq"], seq_chunk("seq", 37), {"n": running_count()})
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Window") == 1
+
+
+def test_more_heavy_keys_than_the_driver_lists(spark, monkeypatch):
+    monkeypatch.setattr(scan_module, "MAX_LISTED", 5)
+    rows = spark.range(900).select((F.col("id") % 30).alias("k"), F.col("id").alias("seq"))
+    got = scan(rows, ["k"], ["seq"], seq_chunk("seq", 100), {"n": running_count()}, heavy_rows=10)
+    assert all(r.n == r.seq // 30 + 1 for r in got.collect()) and got.count() == 900
+
+
 def test_lists_never_exceed_their_bound(spark):
     strided = spark.range(4000).select(F.lit(1).alias("k"), (F.col("id") * 40).alias("id"))
     repeated = spark.range(5000).select(F.lit(1).alias("k"), F.lit(9).cast("bigint").alias("id"))

@@ -369,6 +369,24 @@ def test_async_enrichment_keeps_keys_and_times_each_call(spark):
         assert {r.error for r in fine} == {None} and all(r.found == str(r.id) for r in fine)
 
 
+def test_hanging_calls_are_bounded(monkeypatch):
+    import threading
+
+    from tidepool.streaming import joins
+
+    release, calls = threading.Event(), []
+
+    def hang(key):
+        calls.append(key)
+        release.wait(20)
+
+    monkeypatch.setattr(joins, "HUNG_PER_CALL", 2)
+    got = list(joins._call_all(hang, list(range(20)), 3, 0.05))
+    release.set()
+    assert sorted(p for p, _, _ in got) == list(range(20)) and len(calls) <= 3 * 2 + 3
+    assert {e for _, _, e in got} == {"timeout", "not called: earlier calls hang"}
+
+
 def test_restart_goes_on(spark, feed, tmp_path):
     """With one checkpoint a second run adds to the first, in each kind of landing."""
     schema = "k bigint, seq bigint, value bigint"
@@ -427,6 +445,16 @@ def test_ranges_of_rows_in_order(spark, tmp_path):
     assert got.columns == ["s"] and got.where("s is null").count() == 20 and got.count() == 100
 
 
+def test_stores_without_an_arrow_driver(spark, tmp_path):
+    from tidepool.sources.ranges import can_open
+    from tidepool.streaming.runs import ranged_table
+
+    spark.range(20).repartition(2).write.parquet(str(tmp_path / "t.parquet"))
+    assert can_open(str(tmp_path / "t.parquet")) and can_open(f"file://{tmp_path}/t.parquet")
+    assert not can_open("viewfs://store/t.parquet") and not can_open(str(tmp_path / "none"))
+    assert land(ranged_table(spark, f"file://{tmp_path}", "t")).count() == 20
+
+
 def test_delivery_of_a_repeated_batch(spark, tmp_path):
     """The batch that failed after its write is repeated: overwritten, or there twice."""
     from tidepool.sources.ranges import range_stream

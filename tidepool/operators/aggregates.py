@@ -18,6 +18,20 @@ LINE_SHARES = (0.5, 0.25, 0.1, 0.05, 0.01, 0.001, 0.0001)
 LAST_BUCKET = 16
 
 
+# What stands for infinity and NaN where a sketch needs finite numbers.
+TOP, ABOVE_TOP = 1.796e308, 1.797e308
+
+
+def _finite(value: str) -> Column:
+    v = F.col(value)
+    return F.when(F.isnan(v), ABOVE_TOP).when(F.abs(v) > TOP, F.signum(v) * TOP).otherwise(v)
+
+
+def _as_given(c: Column) -> Column:
+    infinite = F.lit(float("inf"))
+    return F.when(c >= ABOVE_TOP, F.lit(float("nan"))).when(c >= TOP, infinite).when(c <= -TOP, -infinite).otherwise(c)
+
+
 def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -33,7 +47,9 @@ def exact_percentiles(
     bounded-size sketch brackets each wanted rank (its rank error is at most rows / ``accuracy``),
     rows below a bracket are only counted, and the rank is resolved among the rows inside it by a
     chunked scan.  Groups too small for the bracket to matter keep all rows.  Nulls are ignored and a
-    group without values gives null.
+    group without values gives null.  Infinite values and NaN are values like others, NaN above all; between
+    a number and one of them interpolation gives what doubles give.  Values below 1e15 are interpolated and
+    rounded as decimals.
     """
     exact = [Fraction(str(p)) / 100 for p in percents]
     margin = 2.0 / accuracy
@@ -42,7 +58,7 @@ def exact_percentiles(
     counted = valued.where("__v IS NOT NULL").groupBy(*keys, "__v").agg(F.count("*").alias("__n"))
     sketch = valued.groupBy(*keys).agg(
         F.count("__v").alias("__total"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
-        F.percentile_approx("__v", probes, accuracy).alias("__probe"),
+        F.transform(F.percentile_approx(_finite("__v"), probes, accuracy), _as_given).alias("__probe"),
     )
     # One row per group, written so that its real size decides whether the joins below broadcast it.
     sketch = stage_table(sketch, "sketch")
@@ -64,25 +80,32 @@ def exact_percentiles(
         for i in range(len(exact))
     ])
     near = placed.select(*keys, "__v", "__n", F.inline("__targets")).where("__v BETWEEN lo AND hi")
-    step = F.when(F.col("hi") > F.col("lo"), (F.col("__v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * 4096)
-    chunk = F.floor(F.coalesce(step, F.lit(0.0))).cast("bigint")
+    finite = lambda c: F.abs(F.col(c)) < F.lit(float("inf"))  # noqa: E731  (false for NaN, which is above infinity)
+    step = F.when(finite("lo") & finite("hi") & (F.col("hi") > F.col("lo")),
+                  F.floor((F.col("__v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * 4096).cast("bigint"))
+    chunk = F.when(finite("__v"), F.coalesce(step, F.lit(0))).when(F.col("__v") < 0, -1).otherwise(5000).cast("bigint")
     ranked = scan(near, [*keys, "i"], ["__v"], chunk, {"__upto": running_sum(F.col("__n"))}, heavy_rows=heavy_rows)
     offset = F.element_at(F.array(*[F.col(f"__b{i}") for i in range(len(exact))]), F.col("i") + 1)
     ranked = join_groups(ranked, base, keys).withColumn("__upto", F.col("__upto") + offset)
     covers = lambda rank: (F.col("__upto") - F.col("__n") <= rank) & (rank < F.col("__upto"))
     upper_rank = F.col("below") + F.when(F.col("rest") > 0, 1).otherwise(0)
     picked = ranked.groupBy(*keys, "i").agg(
-        F.max(F.when(covers(F.col("below")), F.col("__v"))).cast("decimal(28,6)").alias("lower"),
-        F.max(F.when(covers(upper_rank), F.col("__v"))).cast("decimal(28,6)").alias("upper"),
+        F.max(F.when(covers(F.col("below")), F.col("__v"))).alias("lower"),
+        F.max(F.when(covers(upper_rank), F.col("__v"))).alias("upper"),
         F.first("rest").cast("decimal(6,0)").alias("rest"), F.first("whole").cast("decimal(6,0)").alias("whole"),
     )
     # The sketch promises that the rank lies inside its bracket; a broken promise is an error, not a null.
     lost = F.col("lower").isNull() | F.col("upper").isNull()
     picked = picked.withColumn("lower", F.when(lost, F.raise_error(F.lit("a percentile's rank lies outside its bracket")))
                                .otherwise(F.col("lower")))
-    mixed = (F.col("lower") * (F.col("whole") - F.col("rest")) + F.col("upper") * F.col("rest")) / F.col("whole")
+    share = F.col("rest").cast("double") / F.col("whole").cast("double")
+    plain = F.when((F.col("rest") == 0) | (F.col("lower") == F.col("upper")), F.col("lower")).otherwise(
+        F.col("lower") + (F.col("upper") - F.col("lower")) * share)
+    small = (F.abs("lower") < 1e15) & (F.abs("upper") < 1e15)
+    low, high = (F.when(small, F.col(c)).cast("decimal(28,6)") for c in ("lower", "upper"))
+    mixed = F.round((low * (F.col("whole") - F.col("rest")) + high * F.col("rest")) / F.col("whole"), digits).cast("double")
     found = picked.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("i", F.round(mixed, digits).cast("double").alias("p")))).alias("__ps")
+        F.sort_array(F.collect_list(F.struct("i", F.when(small, mixed).otherwise(plain).alias("p")))).alias("__ps")
     ).withColumn("percentiles", F.col("__ps")["p"]).drop("__ps")
     return join_groups(sketch.select(*keys), found, keys, "left") if keys else found
 

@@ -30,8 +30,10 @@ def join_tiny(left: DataFrame, right: DataFrame, on, how: str = "inner") -> Data
 
 
 def join_huge(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Both sides large: sort-merge, whose skewed partitions AQE splits at run time."""
-    return left.join(right.hint("merge"), on, how)
+    """Both sides large: sort-merge, whose skewed partitions AQE splits at run time; no hint where a side proves small."""
+    sizes = [plan_bytes(side) for side in (left, right)]
+    small = any(size is not None and size <= TINY_BYTES for size in sizes)
+    return left.join(right if small else right.hint("merge"), on, how)
 
 
 def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidepool.operators.joins import join_groups
 from tidepool.operators.scan import (
-    HEAVY_ROWS, last_seen, running_count, running_max, running_sum, scan, seq_chunk,
+    HEAVY_ROWS, heavy_keys, last_seen, running_count, running_max, running_sum, scan, seq_chunk,
 )
 from tidepool.tables import micros
 
@@ -83,10 +83,11 @@ def stitch_sessions(
     both passes over a key's slots are chunked scans.
     """
     chunk = seq_chunk("__slot", SLOTS_PER_CHUNK)
-    lagged = scan(slots, keys, ["__slot"], chunk, {"__before": last_seen(F.col("__to"), inclusive=False)}, heavy_rows=heavy_rows)
+    heavy = heavy_keys(slots, keys, heavy_rows)
+    lagged = scan(slots, keys, ["__slot"], chunk, {"__before": last_seen(F.col("__to"), inclusive=False)}, heavy_rows=heavy_rows, heavy=heavy)
     apart = micros(F.col("__from")) - micros(F.col("__before"))
     opened = lagged.withColumn("__new", F.when(apart <= gap_us, 0).otherwise(1)).drop("__before")
-    numbered = scan(opened, keys, ["__slot"], chunk, {"__session": running_sum(F.col("__new"))}, heavy_rows=heavy_rows)
+    numbered = scan(opened, keys, ["__slot"], chunk, {"__session": running_sum(F.col("__new"))}, heavy_rows=heavy_rows, heavy=heavy)
     out = numbered.groupBy(*keys, "__session").agg(
         F.min("__from").alias("session_start"), F.max("__to").alias("last_event"),
         *[a.merged(F.col(f"__{n}")).alias(n) for n, a in aggs.items()],

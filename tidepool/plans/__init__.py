@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tidepool.plans.registry import REGISTRY, Query
 
-MODULES = ("relational", "expressions", "temporal", "measures", "lake_jobs", "patterns", "iterative", "streams")
+MODULES = ("relational", "expressions", "temporal", "measures", "lake_jobs", "patterns", "iterative", "streams", "rows")
 
 
 def all_queries() -> dict[str, Query]:

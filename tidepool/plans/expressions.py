@@ -163,6 +163,16 @@ def versioned_left_joins(spark, folder):
     return joined.select("c_custkey", "o_totalprice", "n")
 
 
+def gateway_lines(spark, folder):
+    """Events written as gateway records, one JSON array per line."""
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    collected = F.date_format(F.timestamp_add("MICROSECOND", (F.col("event_id") % 1000) * 1000, F.col("ts")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    message = F.concat(stamp, F.lit(" msg : [msg_no:"), F.col("event_id").cast("string"), F.lit("]<Ext:<a=1|>PktUpIoReserve:<agw_seq_id="),
+                       (F.col("user_id") % 50).cast("string"), F.lit("|flag|>\n"))
+    record = F.to_json(F.struct(message.alias("message"), collected.alias("@timestamp"), F.col("event_id").alias("offset"), F.lit("f").alias("source")))
+    return load(spark, folder, "events").select(F.concat(F.lit("["), record, F.lit("]")).alias("value"))
+
+
 @query("gateway_latency", """
     SELECT time_bucket(INTERVAL 10 SECOND, ts, TIMESTAMP '1970-01-01') AS window_start, (user_id % 50)::VARCHAR AS agw_seq_id,
            count(*) AS cnt, max((event_id % 1000) * 1000) AS max_latency
@@ -170,13 +180,7 @@ def versioned_left_joins(spark, folder):
 """)
 def gateway_latency_query(spark, folder):
     """Events written as gateway records, parsed back, latency per window and sequence id."""
-    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    collected = F.date_format(F.timestamp_add("MICROSECOND", (F.col("event_id") % 1000) * 1000, F.col("ts")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    message = F.concat(stamp, F.lit(" msg : [msg_no:1]<Ext:<a=1|>PktUpIoReserve:<agw_seq_id="), (F.col("user_id") % 50).cast("string"),
-                       F.lit("|flag|>\n"))
-    record = F.to_json(F.struct(message.alias("message"), collected.alias("@timestamp"), F.col("event_id").alias("offset"), F.lit("f").alias("source")))
-    lines = load(spark, folder, "events").select(F.concat(F.lit("["), record, F.lit("]")).alias("value"))
-    out = gateway_latency(gateway_records(lines))
+    out = gateway_latency(gateway_records(gateway_lines(spark, folder)))
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "agw_seq_id", "cnt", "max_latency")
 
 

@@ -27,9 +27,22 @@ from pyspark.sql.pandas.types import to_arrow_schema
 ROWS_PER_BATCH, ROWS_PER_TASK = 50_000_000, 1_000_000
 
 
+def _store(path: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(path) if ":/" in path else (pafs.LocalFileSystem(), path)
+
+
+def can_open(path: str) -> bool:
+    """Whether Arrow has a file system for the path."""
+    try:
+        store, inner = _store(path)
+        return store.get_file_info(inner).type != pafs.FileType.NotFound
+    except (pa.ArrowException, OSError):
+        return False
+
+
 def open_files(path: str) -> tuple[pafs.FileSystem, list[str]]:
     """The file system of a path and its Parquet files by name; hidden files are left out."""
-    store, inner = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+    store, inner = _store(path)
     return store, sorted(ds.dataset(inner, filesystem=store, format="parquet").files)
 
 
@@ -93,7 +106,7 @@ class RangeReader(DataSourceStreamReader):
         return pieces
 
     def read(self, partition: Piece) -> Iterator[pa.RecordBatch]:
-        store, _ = pafs.FileSystem.from_uri(self.path) if "://" in self.path or self.path.startswith("file:") else (pafs.LocalFileSystem(), "")
+        store, _ = _store(self.path)
         arrow = to_arrow_schema(self.schema)
         at = 0
         with store.open_input_file(partition.file) as handle:

@@ -47,6 +47,10 @@ def versions_as_of_sink(
     return lambda batch, batch_id: sink(join(batch, versions()), batch_id)
 
 
+#: Late calls that may still run in a task, as a multiple of its capacity.
+HUNG_PER_CALL = 4
+
+
 class _Call:
     """One lookup on a thread of its own, so that a call that hangs holds no place of the others."""
 
@@ -62,15 +66,26 @@ class _Call:
 
 
 def _call_all(lookup: Callable, keys: list, capacity: int, timeout_s: float) -> Iterator[tuple[int, object, str | None]]:
-    """(place, found, error) of each key in order of completion; at most ``capacity`` calls are waited for."""
+    """(place, found, error) of each key in order of completion; at most ``capacity`` calls are waited for.
+
+    Late calls that still run keep their threads. While ``HUNG_PER_CALL`` times the capacity of them do, no call is
+    started; if none ends within another timeout, the keys whose turn it is are answered without a call.
+    """
+    hung: set[Future] = set()
     waiting = deque((i, k) for i, k in enumerate(keys) if k is not None)
     yield from ((i, None, None) for i, k in enumerate(keys) if k is None)
     running: dict[Future, _Call] = {}
     while waiting or running:
-        while waiting and len(running) < capacity:
+        hung = {f for f in hung if not f.done()}
+        while waiting and len(running) < capacity and len(hung) < HUNG_PER_CALL * capacity:
             place, key = waiting.popleft()
             call = _Call(place, lookup, key)
             running[call.future] = call
+        if not running:
+            if not wait(hung, timeout_s, FIRST_COMPLETED).done:
+                for place, _ in [waiting.popleft() for _ in range(min(capacity, len(waiting)))]:
+                    yield place, None, "not called: earlier calls hang"
+            continue
         oldest = min(c.began for c in running.values())
         done, _ = wait(running, max(0.0, oldest + timeout_s - time.monotonic()), FIRST_COMPLETED)
         for future in done:
@@ -78,6 +93,7 @@ def _call_all(lookup: Callable, keys: list, capacity: int, timeout_s: float) ->
             yield call.place, None if problem else future.result(), str(problem) if problem else None
         late = [f for f, c in running.items() if time.monotonic() - c.began >= timeout_s and not f.done()]
         for future in late:
+            hung.add(future)
             yield running.pop(future).place, None, "timeout"
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidepool.operators.lake import KeyTable
 from tidepool.session import ROCKSDB_PROVIDER, run_dir
-from tidepool.sources.ranges import range_stream
+from tidepool.sources.ranges import can_open, range_stream
 
 Sink = Callable[[DataFrame, int], None]
 #: Commit number of the empty commit that gives a landed table its columns.
@@ -29,8 +29,11 @@ def ranged_table(spark: SparkSession, folder: str, name: str, batches: int = 3)
     """A supplied table as a stream of about ``batches`` micro-batches of neighbouring rows, in file order.
 
     Nothing is copied: positions are rows of files (``sources.ranges``). A live job gives rows per batch instead.
+    Where Arrow has no driver for the table's store, Spark's own file stream reads it, with files as positions.
     """
     path = f"{folder}/{name}.parquet"
+    if not can_open(path):
+        return stream_table(spark, folder, name)
     return range_stream(spark, path, max(1, -(-spark.read.parquet(path).count() // batches)))
 
 
