@@ -98,3 +98,12 @@ def test_long_text_statistics():
     base, features = text_stats.measure(b"alpha beta gamma\n" * 300_000)
     assert base == [900_000, 14 * 300_000, 0, 299_999, 900_000]
     assert all(np.isfinite(features))
+
+
+def test_sample_is_bounded_where_ids_repeat(spark):
+    """One id with far more documents than the sample: the rows gathered stay bounded, whatever the order of the files."""
+    docs = spark.createDataFrame([(1, f"text number {i} of many") for i in range(500)] + [(2, "other words")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (1, 0)], "doc_id long, quality int")
+    first, y = quality_rules.labelled_sample(docs.repartition(3), labels, 40)
+    again, z = quality_rules.labelled_sample(docs.repartition(7), labels, 40)
+    assert len(y) == 40 and (y == z).all() and all((first[k] == again[k]).all() for k in first)

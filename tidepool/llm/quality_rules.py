@@ -156,13 +156,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int, key: str = "
     """Features and labels of at most ``limit`` labelled rows, in order of a hash of the key.
 
     Only ids and labels of the sample are gathered first, and broadcast (a bounded list), so that only
-    the sample's texts are read by Python.
+    the sample's texts are read by Python. An id that many documents share brings them all; of the measured
+    rows, the first ``limit`` in the same order are gathered.
     """
     chosen = (labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(key, F.col(label).alias("__label"))
               .orderBy(F.xxhash64(key), key, "__label").limit(limit))
+    order = ["__h", key, "__label", *text_stats.FEATURES]
     rows = (with_stats(docs.select(key, "text").join(F.broadcast(chosen), key), key, "__label")
-            .select("__label", F.xxhash64(key).alias("__h"), key, "__f.*").toPandas())
-    rows = rows.sort_values(["__h", key, "__label", *text_stats.FEATURES], kind="stable")
+            .select("__label", F.xxhash64(key).alias("__h"), key, "__f.*").orderBy(*order).limit(limit).toPandas())
+    rows = rows.sort_values(order, kind="stable")
     return {n: rows[n].to_numpy(dtype=float) for n in text_stats.FEATURES}, rows["__label"].to_numpy(dtype=int)
 
 
