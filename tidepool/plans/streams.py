@@ -184,7 +184,7 @@ def delta_window_topspeed(spark, folder):
     t = F.unix_micros(F.col("ts").cast("timestamp"))
     rows = ranged_table(spark, folder, "events").select(
         F.col("user_id").alias("key"), _cents("value").alias("speed"), (t / 1_000_000).alias("position"),
-        F.floor(t / 1000).cast("bigint").alias("t"))
+        F.floor(t / 1000).cast("bigint").alias("t"), t.alias("us"), F.col("event_id").alias("seq"))
     fired = run_processor(rows, ["key"], DeltaWindow(43_200, 86_400_000), DeltaWindow.schema)
     return land(fired, "update").select(F.col("key").alias("user_id"), "speed", "t")
 

@@ -23,7 +23,8 @@ class KeyedProcessor(StatefulProcessor):
     order: list[str] = ["seq"]
 
     def ordered(self, rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-        return pd.concat(list(rows), ignore_index=True).sort_values(self.order, ignore_index=True)
+        rows = pd.concat(list(rows), ignore_index=True)
+        return rows.sort_values([c for c in self.order if c in rows], kind="stable", ignore_index=True)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         out = self.process(key, self.ordered(rows), timerValues)
@@ -89,10 +90,13 @@ class CountWindow(KeyedProcessor):
 
 class DeltaWindow(KeyedProcessor):
     """Delta trigger with a time evictor: when ``position`` has grown by more than ``every`` since the
-    last firing, emit the buffered row of largest ``speed`` among those at most ``keep_ms`` old."""
+    last firing, emit the buffered row of largest ``speed`` among those at most ``keep_ms`` old.
+
+    Rows of one millisecond are put in order by ``us`` and ``seq`` where the input has them.
+    """
 
     schema = "key bigint, speed bigint, position double, t bigint"
-    order = ["t"]
+    order = ["t", "us", "seq"]
 
     def __init__(self, every: float, keep_ms: int):
         self.every, self.keep_ms = every, keep_ms
