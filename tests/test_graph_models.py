@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidepool.operators.graph import adjacency, connected_components, delta_pagerank, pagerank, transitive_closure, triangles
 from tidepool.operators.models import fibonacci_steps, kmeans, linear_regression, matrix_vector, nearest, pi_estimate
+from tidepool.session import run_dir
 
 # Small graphs.
 COMPONENT_EDGES = [(1, 2), (2, 3), (2, 4), (3, 5), (6, 7), (8, 9), (8, 10), (5, 11), (11, 12), (10, 13), (9, 14), (13, 14), (1, 15), (16, 1)]
@@ -51,6 +52,21 @@ def test_triangles_equal_brute_force(spark):
     assert sorted(tuple(r) for r in triangles(edges(spark, sorted(pairs))).collect()) == want
 
 
+def test_triangles_in_parts_leave_no_shuffle_files(spark, monkeypatch):
+    """Lists beyond ``part_bytes`` travel in parts: the same triangles, each part written by itself."""
+    from tidepool.operators import graph
+
+    rng = random.Random(2)
+    pairs = sorted({tuple(sorted(rng.sample(range(40), 2))) for _ in range(300)})
+    want = sorted((a, b, c) for a, b in pairs for c in range(b + 1, 40) if (b, c) in pairs and (a, c) in pairs)
+    opened = []
+    monkeypatch.setattr(graph, "run_dir", lambda s, label: opened.append(label) or run_dir(s, label))
+    got = triangles(edges(spark, pairs + [(b, a) for a, b in pairs] + [(None, 1)]), part_bytes=200)
+    assert sorted(tuple(r) for r in got.collect()) == want and opened == ["triangles"]
+    assert {f.split("part=")[1][0] for f in got.inputFiles()} == set("01234567")
+    assert triangles(edges(spark, [(1, 2)])).collect() == []
+
+
 def test_closure(spark):
     got = {tuple(r) for r in transitive_closure(edges(spark, [(1, 2), (2, 3), (3, 4), (5, 6), (4, 2)])).collect()}
     assert got == {(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (2, 2), (3, 4), (3, 2), (3, 3), (4, 2), (4, 3), (4, 4), (5, 6)}

@@ -24,32 +24,19 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.hashing import Ranges, hash_words
 from tidepool.llm.rows import map_rows, sorted_groups, utf8
-from tidepool.session import stage_table
+from tidepool.session import shuffles_dropped, stage_table
 
 LENGTH, GRAM, HOT = 13, 6, 2_000
 PIECES = LENGTH - GRAM + 1
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of a finished write are removed at once; the staged table replaces them."""
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(CLEANUP, before)
 
 
 class Runs:

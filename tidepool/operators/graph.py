@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from tidepool.operators.aggregates import bounded_lists
 from tidepool.operators.expand import canonical, undirected
-from tidepool.session import cut_lineage, stage_table
+from tidepool.session import cut_lineage, run_dir, shuffles_dropped, stage_table
 
 LIST_LIMIT = 4096
+#: Triangles: bytes of lists that travel at once, and the most parts they travel in.
+PART_BYTES, PARTS = 1 << 30, 8
 
 
 def adjacency(edges: DataFrame, max_items: int = LIST_LIMIT) -> DataFrame:
@@ -119,28 +121,49 @@ def _fingerprint(pairs: DataFrame) -> tuple:
     return tuple(pairs.agg(F.count("*"), F.bit_xor(h), F.sum(h.cast("decimal(20,0)"))).first())
 
 
-def triangles(edges: DataFrame) -> DataFrame:
+def triangles(edges: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """(a, b, c) with a < b < c for every triangle, each once.
 
     Edges point from the vertex of lower degree to the higher, so no vertex keeps more than about
     sqrt(2 * edges) neighbours, however many it has; a triangle is a common out-neighbour of an
     edge's ends, found by intersecting lists instead of forming all pairs at a vertex.
+
+    What crosses the network is bounded three ways. Lists are in the order of the pointing, and an edge takes
+    along only the neighbours behind its end, as no others can close a triangle. Ends without
+    out-neighbours get no list. Lists of more than ``part_bytes`` in all travel in up to ``PARTS``
+    parts by a hash of the end, each written before the next, whose shuffle files then go.
     """
-    pairs = canonical(edges)
-    degree = undirected(pairs).groupBy("src").agg(F.count("*").alias("__d"))
-    ranked = (
-        pairs.join(degree.select(F.col("src"), F.struct("__d", "src").alias("rs")), "src")
-        .join(degree.select(F.col("src").alias("dst"), F.struct("__d", "src").alias("rd")), "dst")
-    )
-    forward = F.col("rs") < F.col("rd")
-    pointed = ranked.select(F.when(forward, F.col("src")).otherwise(F.col("dst")).alias("u"),
-                            F.when(forward, F.col("dst")).otherwise(F.col("src")).alias("v"))
-    out = pointed.groupBy("u").agg(F.collect_list("v").alias("ns"))
-    spread = out.select("u", F.col("ns").alias("un"), F.explode("ns").alias("v"))
-    met = spread.join(out.select(F.col("u").alias("v"), F.col("ns").alias("vn")), "v")
+    spark = edges.sparkSession
+    with shuffles_dropped(spark):
+        pairs = stage_table(canonical(edges), "pairs")
+        degree = undirected(pairs).groupBy("src").agg(F.count("*").alias("__d"))
+        ranked = (
+            pairs.join(degree.select(F.col("src"), F.struct("__d", "src").alias("rs")), "src")
+            .join(degree.select(F.col("src").alias("dst"), F.struct("__d", "src").alias("rd")), "dst")
+        )
+        lower, higher = F.least("rs", "rd"), F.greatest("rs", "rd")
+        pointed = stage_table(ranked.select(lower["src"].alias("u"), higher["src"].alias("v"), higher["__d"].alias("d")), "pointed")
+        opens = pointed.select(F.col("u").alias("v")).distinct().withColumn("open", F.lit(True))
+        ends = F.sort_array(F.collect_list(F.struct("d", "v", F.coalesce("open", F.lit(False)).alias("open"))))
+        lists = stage_table(pointed.join(opens, "v", "left").groupBy("u").agg(ends.alias("ends")).select(
+            "u", F.col("ends.v").alias("ns"), F.col("ends.open").alias("open")), "out-lists")
+    moved = lists.agg(F.sum(F.size("ns").cast("bigint") * F.size("ns") * 4)).first()[0] or 0
+    parts = min(PARTS, 1 + int(moved) // part_bytes)
+    hops = lists.select("u", "ns", F.posexplode(F.arrays_zip(F.col("ns").alias("v"), "open")).alias("at", "end")).select(
+        "u", F.col("end.v").alias("v"), "ns", "at").where(F.col("end.open") & (F.col("at") + 1 < F.size("ns")))
+    behind = hops.select("u", "v", F.slice("ns", F.col("at") + 2, F.size("ns")).alias("un"))
+    met = behind.join(lists.select(F.col("u").alias("v"), F.col("ns").alias("vn")), "v")
     closed = met.select("u", "v", F.explode(F.array_intersect("un", "vn")).alias("w"))
     t = F.sort_array(F.array("u", "v", "w"))
-    return closed.select(t[0].alias("a"), t[1].alias("b"), t[2].alias("c"))
+    found = closed.select(t[0].alias("a"), t[1].alias("b"), t[2].alias("c"), "v")
+    if parts == 1:
+        return found.drop("v")
+    path = run_dir(spark, "triangles")
+    with shuffles_dropped(spark):
+        for part in range(parts):
+            mine = F.pmod(F.xxhash64("v", F.lit(7)), F.lit(parts)) == part
+            found.where(mine).drop("v").write.parquet(f"{path}/part={part}")
+    return spark.read.schema(found.drop("v").schema).parquet(*[f"{path}/part={part}" for part in range(parts)])
 
 
 def transitive_closure(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,9 @@ SESSION_CONF = {
 }
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def build_session(app: str = "tidepool", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the library's settings; ``extra`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -72,3 +77,14 @@ def stage_table(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     path = run_dir(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a finished write are removed at once; the staged table replaces them."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
