@@ -63,6 +63,29 @@ def test_rows_equal_a_walk(spark, kind, first_fires):
             assert [got[s] for s, _ in mine] == [(m, v and (first_fires or s != first)) for (s, _), (m, v) in zip(mine, marks, strict=True)]
 
 
+@pytest.mark.parametrize("heavy_rows", [1, 60, 10_000])
+def test_light_and_heavy_sources_equal_a_walk(spark, heavy_rows):
+    """Sources up to ``heavy_rows`` are walked in one pass, larger ones by chunks: the same rows either way."""
+    rng = random.Random(9)
+    data = [(rng.choice("aaaaaaab") if i % 9 else f"u{i % 70}", i, None if rng.random() < 0.1 else rng.randint(0, 400)) for i in range(900)]
+    rows = spark.createDataFrame([*data, (None, 5000, 7)], "k string, seq bigint, p bigint")
+    got = chained_marks(rows.repartition(3), ["k"], ["seq"], "p", 10, seq_chunk("seq", 40), heavy_rows=heavy_rows)
+    found = {r.seq: (r.mark, r.moved) for r in got.collect()}
+    want = {}
+    for key in {k for k, _, _ in data}:
+        mine = [(s, p) for k, s, p in data if k == key]
+        want |= dict(zip((s for s, _ in mine), walk([p for _, p in mine], 10)[0], strict=True))
+    assert found == want
+
+
+def test_light_sources_shuffle_once(spark):
+    """Many small sources: one exchange and one pass, whatever the number of chunks."""
+    rows = spark.range(3000).select((F.col("id") % 500).alias("k"), F.col("id").alias("seq"), (F.col("id") * 7 % 400).alias("p"))
+    marked = chained_marks(rows, ["k"], ["seq"], "p", 10, seq_chunk("seq", 10))
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("MapInArrow") == 1 and marked.count() == 3000
+
+
 def test_rows_without_source_and_empty(spark):
     rows = spark.createDataFrame([(i, v) for i, v in enumerate([5, 1, 9, 30, 29, 31])], "seq bigint, p bigint")
     got = chained_marks(rows, [], ["seq"], "p", 3, seq_chunk("seq", 2)).orderBy("seq").collect()

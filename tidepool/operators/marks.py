@@ -12,7 +12,9 @@ stay parallel:
 2. the functions of a source are applied in order, which gives the mark before each group;
 3. each group is read again with that mark, and its rows get theirs.
 
-A group holds its record highs in memory, so chunks should have at most some 100,000 rows.
+Sources with at most ``heavy_rows`` rows are a single group each, which needs step 3 only; which sources have more
+is counted first. A group of a heavy source holds its record highs in memory, so chunks should have at most some
+100,000 rows. Tasks walk whole Arrow batches, however many groups lie in one.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidepool.operators.scan import running_max, scan
+from tidepool.operators.scan import HEAVY_ROWS, heavy_keys, running_max, scan, sent_if_small
 from tidepool.tables import from_micros, micros
 
 #: Positions below every real one.
@@ -66,17 +68,11 @@ def mark_rows(mark, positions: np.ndarray, step: float) -> tuple[list[int], list
         marks.append(mark)
 
 
-def _runs(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[tuple, bool, pa.RecordBatch]]:
-    """(group, whether it starts here, rows) for neighbouring rows with equal first ``width`` columns."""
-    known = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        keys = list(zip(*(batch.column(i).to_pylist() for i in range(width)), strict=True))
-        cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            yield keys[a], keys[a] != known, batch.slice(a, b - a)
-            known = keys[a]
+def _runs(batch: pa.RecordBatch, width: int) -> Iterator[tuple[tuple, int, int]]:
+    """(group, from, to) of neighbouring rows with equal first ``width`` columns."""
+    keys = list(zip(*(batch.column(i).to_pylist() for i in range(width)), strict=True))
+    cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+    return ((keys[a], a, b) for a, b in zip(cuts, cuts[1:], strict=False) if a < b)
 
 
 def _positions(rows: pa.RecordBatch, column: int) -> np.ndarray:
@@ -87,18 +83,51 @@ def _positions(rows: pa.RecordBatch, column: int) -> np.ndarray:
 
 
 def chained_marks(df: DataFrame, source: Sequence[str], order: Sequence[str], position: str, step: float, chunk: Column,
-                  first_fires: bool = True) -> DataFrame:
+                  first_fires: bool = True, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Add ``mark``, the mark before each row (null before the first), and ``moved``, whether the row moves it.
 
     ``position`` is a whole or floating number; ``order`` must be total within a source, and ``chunk`` must not
     decrease along it. The first row always sets the mark, and counts as a move if ``first_fires``. Rows with
-    a null position never move the mark. Sources must not be null; without sources all rows are one.
+    a null position never move the mark. Rows with a null source or chunk are left out; without sources all rows
+    are one. Sources with more than ``heavy_rows`` rows go through step functions.
     """
     number = df.schema[position].dataType.simpleString()
     keys = list(source)
     group = [*keys, "__chunk"]
-    rows = df.withColumn("__chunk", chunk.cast("bigint"))
     width = len(group)
+    kind = df.schema[position].dataType
+    out_schema = T.StructType([*df.schema.fields, T.StructField("mark", kind), T.StructField("moved", T.BooleanType())])
+
+    def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields, known, mark = to_arrow_schema(out_schema), None, None
+        for batch in batches:
+            carries, values, before, moved = batch.column(width + 1), _positions(batch, width).tolist(), [], []
+            for key, a, b in _runs(batch, width):
+                if key != known:
+                    known, mark = key, carries[a].as_py()
+                for value in values[a:b]:
+                    before.append(mark)
+                    rises = value > LOWEST and (mark is None or value > mark + step)
+                    moved.append(rises and (first_fires or mark is not None))
+                    if rises:
+                        mark = value
+            rows_out = batch.select([f.name for f in fields][:-2])
+            yield pa.RecordBatch.from_arrays([*rows_out.columns, pa.array(before, fields.field("mark").type), pa.array(moved, pa.bool_())], schema=fields)
+
+    def walked(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        placed = rows.withColumn("__p", F.col(position))
+        return placed.repartition(*by).sortWithinPartitions(*group, *order).select(*group, "__p", "__carry", *[c for c in df.columns if c not in keys]).mapInArrow(finish, out_schema)
+
+    rows, light = df.withColumn("__chunk", chunk.cast("bigint")), None
+    if keys:
+        rows = rows.dropna(subset=group)
+        heavy = heavy_keys(rows, keys, heavy_rows)
+        whole = rows.withColumns({"__chunk": F.lit(0).cast("bigint"), "__carry": F.lit(None).cast(kind)})
+        if heavy.isEmpty():
+            return walked(whole, keys)
+        listed = sent_if_small(heavy)
+        light = walked(whole.join(listed, keys, "left_anti"), keys)
+        rows = rows.join(listed, keys, "left_semi")
 
     def functions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def closed(key, first, highs):
@@ -108,20 +137,22 @@ def chained_marks(df: DataFrame, source: Sequence[str], order: Sequence[str], po
 
         fields = to_arrow_schema(function_schema)
         key, first, highs, top = None, None, [], None
-        for run, starts, part in _runs(batches, width):
-            if starts:
-                if key is not None:
-                    yield closed(key, first, highs)
-                key, first, highs, top = run, None, [], None
-            values = _positions(part, width)
-            values = values[values > LOWEST]
-            if not len(values):
-                continue
-            first = values[0] if first is None else first
-            peaks = np.maximum.accumulate(values if top is None else np.append(top, values))
-            risen = peaks[1:][peaks[1:] > peaks[:-1]] if top is not None else np.unique(peaks)
-            highs.append(risen)
-            top = peaks[-1]
+        for batch in batches:
+            places = _positions(batch, width)
+            for run, a, b in _runs(batch, width):
+                if run != key:
+                    if key is not None:
+                        yield closed(key, first, highs)
+                    key, first, highs, top = run, None, [], None
+                values = places[a:b]
+                values = values[values > LOWEST]
+                if not len(values):
+                    continue
+                first = values[0] if first is None else first
+                peaks = np.maximum.accumulate(values if top is None else np.append(top, values))
+                risen = peaks[1:][peaks[1:] > peaks[:-1]] if top is not None else np.unique(peaks)
+                highs.append(risen)
+                top = peaks[-1]
         if key is not None:
             yield closed(key, first, highs)
 
@@ -147,38 +178,11 @@ def chained_marks(df: DataFrame, source: Sequence[str], order: Sequence[str], po
                     mark = mark.item() if hasattr(mark, "item") else mark
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(marks, fields.field("__carry").type)], schema=fields)
 
-    carry_schema = T.StructType([*[plain.schema[c] for c in group], T.StructField("__carry", df.schema[position].dataType)])
+    carry_schema = T.StructType([*[plain.schema[c] for c in group], T.StructField("__carry", kind)])
     ordered = (steps.repartition(*keys) if keys else steps.repartition(1)).sortWithinPartitions(*group)
     carried = ordered.mapInArrow(fold, carry_schema)
-
-    out_schema = T.StructType([*df.schema.fields, T.StructField("mark", df.schema[position].dataType), T.StructField("moved", T.BooleanType())])
-
-    def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fields, mark = to_arrow_schema(out_schema), None
-        for _, starts, part in _runs(batches, width):
-            if starts:
-                mark = part.column("__carry")[0].as_py()
-            values = _positions(part, width)
-            known = np.flatnonzero(values > LOWEST)
-            moved, fired = [], []
-            begin, skip = mark, 0
-            if mark is None and len(known):  # the source's first row with a position
-                skip, begin = int(known[0]) + 1, values[known[0]]
-                moved, fired = [skip - 1], [begin]
-            if begin is not None:
-                at, marks = mark_rows(begin, values[skip:], step)
-                moved, fired = moved + [skip + i for i in at], fired + marks
-            last = np.searchsorted(np.array(moved, np.int64), np.arange(len(values)), side="left") - 1
-            kind = fields.field("mark").type
-            before = pa.array([mark, *(v.item() for v in fired)], kind).take(pa.array(last + 1))
-            flags = np.zeros(len(values), bool)
-            flags[moved[1:] if mark is None and not first_fires else moved] = True
-            rows_out = part.select([f.name for f in fields][:-2])
-            yield pa.RecordBatch.from_arrays([*rows_out.columns, before, pa.array(flags)], schema=fields)
-            mark = fired[-1].item() if fired else mark
-
-    joined = rows.join(carried, group).withColumn("__p", F.col(position)).repartition(*group).sortWithinPartitions(*group, *order)
-    return joined.select(*group, "__p", "__carry", *[c for c in df.columns if c not in keys]).mapInArrow(finish, out_schema)
+    marked = walked(rows.join(carried, group), group)
+    return marked if light is None else marked.unionByName(light)
 
 
 def punctuated_watermark(df: DataFrame, source: Sequence[str], seq: str, ts: str, step_us: int, chunk: Column) -> DataFrame:

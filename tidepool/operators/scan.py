@@ -92,7 +92,7 @@ def _written_size(table: DataFrame) -> int:
     return SENT_BYTES + 1 if plan is None else int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _sent_if_small(table: DataFrame) -> DataFrame:
+def sent_if_small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if _written_size(table) <= SENT_BYTES else table
 
 
@@ -108,10 +108,10 @@ def _split_overfull(inputs: DataFrame, group: Sequence[str], order: Sequence[str
     starts = F.sequence(F.lit(1), F.greatest(F.size("__cuts"), F.lit(1)), F.lit(CUT_BLOCK))
     blocks = cuts.select(*group, F.posexplode(F.transform(starts, lambda i: F.slice("__cuts", i, F.lit(CUT_BLOCK)))).alias("__block", "__near"))
     heads = blocks.groupBy(*group).agg(F.array_sort(F.collect_list(F.get("__near", F.lit(0)))).alias("__heads"))
-    placed = inputs.join(_sent_if_small(heads), list(group), "left")
+    placed = inputs.join(sent_if_small(heads), list(group), "left")
     block = F.greatest(F.size(F.filter("__heads", lambda c: c <= order_key)) - 1, F.lit(0))
     placed = placed.withColumn("__block", F.when(F.col("__heads").isNotNull(), block)).drop("__heads")
-    found = placed.join(_sent_if_small(blocks), [*group, "__block"], "left")
+    found = placed.join(sent_if_small(blocks), [*group, "__block"], "left")
     passed = F.col("__block") * CUT_BLOCK + F.size(F.filter("__near", lambda c: c <= order_key))
     return found.withColumn("__sub", F.when(F.col("__near").isNull(), 0).otherwise(passed)).drop("__block", "__near")
 
@@ -144,7 +144,7 @@ def scan(
             return valued.withColumns({
                 n: _prefix(m, F.col(f"__v_{n}"), rows=True).over(whole.rowsBetween(Window.unboundedPreceding, 0 if m.inclusive else -1))
                 for n, m in measures.items()}).drop(*[f"__v_{n}" for n in names])
-        inputs = valued.join(_sent_if_small(heavy), list(keys), "left")
+        inputs = valued.join(sent_if_small(heavy), list(keys), "left")
     else:
         inputs = valued.withColumn("__heavy", F.lit(True))
     inputs = inputs.withColumn("__chunk", F.when(F.col("__heavy"), chunk).otherwise(F.lit(0).cast("bigint")))
