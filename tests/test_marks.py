@@ -141,3 +141,10 @@ def test_delta_windows_equal_a_walk(spark):
                     best = max((s for s in seen if s[0] > p - 40), key=lambda s: (s[2], -s[0], -s[1]))
                     want.append((key, p, seq, best[1], best[2]))
     assert found == sorted(want)
+
+
+def test_delta_windows_read_light_sources_once(spark):
+    """Marks of small sources take one pass; there are no step functions per day and source to make and join."""
+    rows = spark.range(600).select((F.col("id") % 100).alias("k"), (F.col("id") * 3).alias("p"), F.col("id").alias("seq"), (F.col("id") % 7).alias("v"))
+    fired = delta_windows(rows, ["k"], ["p", "seq"], "p", 50, 40, "v", F.floor(F.col("p") / 100))
+    assert fired._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1 and fired.count() == 500
