@@ -369,6 +369,32 @@ def test_async_enrichment_keeps_keys_and_times_each_call(spark):
         assert {r.error for r in fine} == {None} and all(r.found == str(r.id) for r in fine)
 
 
+def test_async_enrichment_deals_rows_to_tasks(spark, tmp_path):
+    """One small file, read by one task, is looked up by as many as asked for."""
+    spark.range(200).coalesce(1).write.parquet(str(tmp_path / "keys"))
+    keys = spark.read.parquet(str(tmp_path / "keys"))
+    found = async_enrich(keys, str, "id", "string", ordered=False, tasks=6)
+    assert found.rdd.getNumPartitions() == 6
+    assert sorted((r.id, r.found) for r in found.collect()) == [(i, str(i)) for i in range(200)]
+    with pytest.raises(ValueError, match="order"):
+        async_enrich(keys, str, "id", "string", tasks=6)
+
+
+def test_customers_are_looked_up_by_many_tasks(spark, tmp_path):
+    from tidepool.plans import temporal
+
+    spark.range(1, 95).select(F.col("id").alias("c_custkey")).coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    seen = []
+    plain = temporal.async_enrich
+    temporal.async_enrich = lambda *a, **k: seen.append(plain(*a, **k)) or seen[-1]
+    try:
+        rows = temporal.async_enrichment(spark, str(tmp_path)).collect()
+    finally:
+        temporal.async_enrich = plain
+    assert seen[0].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert sum(r.n for r in rows) == 94 and {r.error: r.n for r in rows if r.error} == {"unknown": 4}
+
+
 def test_hanging_calls_are_bounded(monkeypatch):
     import threading
 

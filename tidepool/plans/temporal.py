@@ -391,6 +391,8 @@ def incremental_model(spark, folder):
 
 # Of the looked-up customers one in 23 is unknown to the service, one in 97 answers too late.
 UNKNOWN_EVERY, SLOW_EVERY = 23, 97
+#: Tasks per core that look customers up.
+CALL_TASKS = 2
 
 
 def _profile(customer: int) -> str:
@@ -410,7 +412,8 @@ def _profile(customer: int) -> str:
 def async_enrichment(spark, folder):
     """Every customer looked up by concurrent calls, some failing, some too late; results are then counted."""
     keys = load(spark, folder, "customer").select("c_custkey")
-    found = async_enrich(keys, _profile, "c_custkey", "string", capacity=40, timeout_s=1.0, ordered=False)
+    tasks = CALL_TASKS * spark.sparkContext.defaultParallelism
+    found = async_enrich(keys, _profile, "c_custkey", "string", capacity=40, timeout_s=1.0, ordered=False, tasks=tasks)
     return found.groupBy("found", "error").agg(F.count("*").alias("n"))
 
 

@@ -99,7 +99,7 @@ def _call_all(lookup: Callable, keys: list, capacity: int, timeout_s: float) ->
 
 def async_enrich(
     df: DataFrame, lookup: Callable[[object], object], key: str, out_type: str, capacity: int = 20,
-    timeout_s: float = 10.0, out: str = "found", ordered: bool = True,
+    timeout_s: float = 10.0, out: str = "found", ordered: bool = True, tasks: int | None = None,
 ) -> DataFrame:
     """Call an outside service for each row, at most ``capacity`` calls at a time per task.
 
@@ -107,7 +107,14 @@ def async_enrich(
     sets ``error``; a null key is not looked up. Rows keep their order, or with ``ordered=False`` come
     in order of completion within an Arrow batch. Works on batch and stream input; each call runs once
     per task attempt, so lookups should be repeatable.
+
+    Calls wait far more than they compute, and a small file is read by a single task: ``tasks`` deals unordered rows
+    to that many first, so that the calls under way grow with the cluster.
     """
+    if tasks:
+        if ordered:
+            raise ValueError("rows dealt to tasks lose their order")
+        df = df.repartition(tasks)
     found_type = T.StructType.fromDDL(f"{out} {out_type}").fields[0]
     schema = T.StructType([*df.schema.fields, found_type, T.StructField("error", T.StringType())])
 
