@@ -28,7 +28,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.llm.hashing import Ranges, hash_words
@@ -265,11 +265,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     read = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(
         F.col(key).cast("long").alias("doc"), utf8(text).alias("text"))
     rows = read.mapInArrow(_content_rows, "anchor long, content long, doc long")
-    with shuffles_dropped(spark):
-        repeated = stage_table(
-            rows.groupBy("anchor").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("anchor"),
-            "anchors")
-        survivors = stage_table(rows.join(repeated, "anchor"), "survivors")
+    holders = Window.partitionBy("anchor")
+    with shuffles_dropped(spark):  # documents are cut into contents once, and contents cross the network once
+        met = rows.withColumns({"__a": F.min("doc").over(holders), "__b": F.max("doc").over(holders)})
+        survivors = stage_table(met.where("__a < __b").select("anchor", "content", "doc"), "survivors")
     firsts = first_owners(read, survivors)
     hits = survivors.select("content", "doc").join(firsts, "content").where(F.array_min("firsts") < F.col("doc"))
     masks = hits.groupBy(F.col("doc").alias("__doc")).agg(F.collect_list(F.struct(
