@@ -157,3 +157,37 @@ def test_base_of_supplied_documents(spark):
         found = got[row.doc_id]
         assert found.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
         assert [found.n_email, found.n_ip, found.n_card, found.n_phone] == [sum(s[0] == k for s in base) for k in pd_.KINDS]
+
+
+def test_training_takes_every_window(spark):
+    """No text is left out of training, and no window of one, however many there are."""
+    text = "; ".join(f"call +1 (234) 555-{1000 + i} at {i % 9}{i:04d}" for i in range(40))
+    assert [k for k, *_ in pd_.windows_of(text.encode())].count("phone") == 40
+    docs = spark.createDataFrame([(f"mail a{i}@b{i % 7}.org, tel +1 (234) 555-{1000 + i}",) for i in range(4000)], "text string").repartition(4)
+    seen = spark.createDataFrame(
+        [(pd_._number(*w) % 3 == 2, len(list(pd_.examples(*w)))) for r in docs.collect() for w in pd_.windows_of(r.text.encode())], "held boolean, n int")
+    want = {r.held: r.n for r in seen.groupBy("held").agg(F.sum("n").alias("n")).collect()}
+    got, plain = {}, pd_.stage_table
+
+    def kept(frame, label, *by):
+        table = plain(frame, label, *by)
+        if label == "span-cases":
+            got.update({r.held: r.n for r in table.groupBy("held").agg(F.sum(F.expr("hits + alone + beside")).alias("n")).collect()})
+        return table
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pd_, "stage_table", kept)
+        patch.setattr(pd_, "ROUNDS", 3)
+        assert pd_.learn(docs) is not None
+    assert got == want
+
+
+def test_spread_training_gives_the_same_detector(spark, monkeypatch):
+    monkeypatch.setattr(pd_, "ROUNDS", 6)
+    monkeypatch.setattr(pd_, "WRITTEN_ROUNDS", 2)
+    docs = spark.read.parquet(f"{FOLDER}/../sf0.1/documents.parquet").where("doc_id % 5 = 0")
+    here, spread = pd_.learn(docs), pd_.learn(docs.repartition(3), local_cases=0)
+    assert here.least == spread.least and here.trees.start == spread.trees.start
+    for a, b in zip([*here.trees.leaves, here.margins, here.probabilities], [*spread.trees.leaves, spread.margins, spread.probabilities], strict=True):
+        assert a.tolist() == b.tolist()
+    assert all(f.tolist() == g.tolist() and c.tolist() == d.tolist() for (f, c), (g, d) in zip(here.trees.nodes, spread.trees.nodes, strict=True))

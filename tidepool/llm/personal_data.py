@@ -9,18 +9,21 @@ number without its country code, a written-out address.
   7 to 15 (phone) digits. Proposals overlap; their number is linear in the text.
 * **Trees** (depth 3, logistic loss, histograms) score a proposal from its format (digits, groups,
   separators, checksums) and its context (neighbouring characters, cue words before it).
-* **Training** needs no labels: windows around base spans of a bounded sample are the true cases, proposals
+* **Training** needs no labels: windows around all base spans of all texts are the true cases, proposals
   in the windows that differ from the base span, and proposals far from any pattern, are the false ones. True
   spans are also set beside other digits, or rewritten in forms that no pattern takes, and replaced by
-  look-alikes (failing checksums, dates, identifiers), so that the trees learn borders and forms.
+  look-alikes (failing checksums, dates, identifiers), so that the trees learn borders and forms. Equal
+  windows count once. Spark adds up equal cases (a row of whole-number features each); a tree needs only sums
+  per node, feature and bin, which are whole numbers, so any order of adding gives the same trees. Up to
+  ``LOCAL_CASES`` different cases are fitted on the driver; beyond that each level's sums are one Spark job.
 * **Thresholds** are set per kind on a third of the windows that the trees did not see: the lowest calibrated
   probability, one half or more, at which the precision is at least ``PRECISION``; a kind that never reaches
   it adds nothing.
 
 Of chosen proposals that overlap, the most probable stays (then the longer, then the first); proposals
 that overlap a base span are left out. Text is scanned as UTF-8, as all patterns are ASCII; spans are in code
-points, end exclusive. Null and empty texts have no spans; repeated rows are equal; without any base span in
-the sample no model is trained and only base spans are returned.
+points, end exclusive. Null and empty texts have no spans; repeated rows are equal; without any base span
+no model is trained and only base spans are returned.
 """
 
 from __future__ import annotations
@@ -28,14 +31,21 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidepool.llm.rows import map_rows, utf8
+from tidepool.session import stage_table
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -51,8 +61,12 @@ SPELLED = re.compile(
     rb"[A-Za-z0-9._%+-]{1,64}+(?:\x20?(?:\[at\]|\(at\)|\{at\})\x20?" + LABEL + rb"(?:(?:" + DOT + rb"|\.)" + LABEL + rb")++"
     rb"|\x20at\x20" + LABEL + rb"(?:" + DOT + LABEL + rb")++)", re.IGNORECASE)
 ANY = re.compile(rb"[0-9@]")
-#: Documents sampled for training, windows kept of them, windows of one document, and bytes around a span.
-SAMPLE_DOCS, SAMPLE_WINDOWS, DOC_WINDOWS, AROUND = 100_000, 6_000, 6, 64
+#: Bytes around a span in its window; windows written, and windows turned into cases, at a time.
+AROUND, WRITTEN, TURNED = 64, 5_000, 500
+#: Different training cases that are fitted on the driver, and rounds after which margins are written anew in Spark.
+LOCAL_CASES, WRITTEN_ROUNDS = 50_000, 10
+#: Gradients are added up in whole steps, margins are calibrated in whole ones, and features are cut to two bytes.
+GRADIENT_STEP, MARGIN_STEP, MARGIN_MOST, VALUES = 1 << 20, 1 << 10, 32, 1 << 16
 ROUNDS, RATE, DEPTH, BINS, RIDGE, LEAST_IN_LEAF = 80, 0.25, 3, 32, 2.0, 12
 PRECISION, LEAST_SUPPORT = 0.995, 40
 #: Proposals scored at a time.
@@ -206,55 +220,131 @@ class Trees:
     nodes: list[tuple[np.ndarray, np.ndarray]]
     leaves: list[np.ndarray]
 
-    def margin(self, x: np.ndarray) -> np.ndarray:
-        total, rows = np.full(len(x), self.start), np.arange(len(x))
-        for (feature, cut), leaf in zip(self.nodes, self.leaves, strict=True):
-            node = np.zeros(len(x), np.int64)
-            for _ in range(DEPTH):
-                node = 2 * node + 1 + (x[rows, feature[node]] > cut[node])
-            total += leaf[node - (1 << DEPTH) + 1]
+    def margin(self, x: np.ndarray, total: np.ndarray | None = None, done: int = 0) -> np.ndarray:
+        """The margin of each row; ``total`` is that of the first ``done`` trees."""
+        total = np.full(len(x), self.start) if total is None else total
+        for (feature, cut), leaf in zip(self.nodes[done:], self.leaves[done:], strict=True):
+            total = total + leaf[_node(x, feature, cut, DEPTH) - (1 << DEPTH) + 1]
         return total
 
 
-def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Trees:
-    """Fit trees to the logistic loss; each level takes every node's best cut from per-bin sums."""
-    n, width = x.shape
-    cuts = [np.unique(np.quantile(x[:, j], np.arange(1, BINS) / BINS, method="lower")) for j in range(width)]
-    bins = np.column_stack([np.searchsorted(c, x[:, j]) for j, c in enumerate(cuts)])
-    share = np.clip((weight * y).sum() / weight.sum(), 1e-3, 1 - 1e-3)
-    start = float(np.log(share / (1 - share)))
-    margin, nodes, leaves = np.full(n, start), [], []
+def _node(x: np.ndarray, feature: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
+    """The node of a tree that each row reaches after some levels."""
+    node, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+    for _ in range(levels):
+        node = 2 * node + 1 + (x[rows, feature[node]] > cut[node])
+    return node
+
+
+Sums = tuple[np.ndarray, np.ndarray]
+
+
+@dataclass
+class Cases:
+    """Training cases in memory: features, weight of true ones, weight, number, and margin so far."""
+
+    x: np.ndarray
+    right: np.ndarray
+    weight: np.ndarray
+    count: np.ndarray
+    margin: np.ndarray | None = None
+    done: int = 0
+
+    def advance(self, trees: Trees) -> None:
+        self.margin, self.done = trees.margin(self.x, self.margin, self.done), len(trees.nodes)
+
+    def summed(self, measure: Callable[[Cases], Sums], trees: Trees | None = None) -> Sums:
+        if trees:
+            self.advance(trees)
+        return measure(self)
+
+
+def _by_place(place: np.ndarray, sums: Iterable[np.ndarray]) -> Sums:
+    """Whole sums per place; floating sums of them are exact below 2**53."""
+    places, at = np.unique(place, return_inverse=True)
+    return places, np.array([np.bincount(at, s, len(places)) for s in sums]).astype(np.int64)
+
+
+def value_counts(cases: Cases) -> Sums:
+    """The number of cases per feature and value."""
+    width = cases.x.shape[1]
+    place = np.arange(width) * VALUES + cases.x.astype(np.int64) + VALUES // 2
+    count = np.repeat(cases.count, width)
+    return _by_place(place.ravel(), (count, count, count))
+
+
+def level_sums(cases: Cases, cuts: list[np.ndarray], feature: np.ndarray, cut: np.ndarray, level: int) -> Sums:
+    """Gradients, their derivatives and cases per node of a level, feature and bin."""
+    p = 1 / (1 + np.exp(-cases.margin))
+    g, h = (np.rint(v * GRADIENT_STEP) for v in (cases.right - cases.weight * p, cases.weight * p * (1 - p)))
+    code = (_node(cases.x, feature, cut, level) - (1 << level) + 1) * len(cuts)
+    size = (1 << level) * len(cuts) * (BINS + 1)
+    total = np.zeros((3, size))
+    for j, c in enumerate(cuts):
+        place = (code + j) * (BINS + 1) + np.searchsorted(c, cases.x[:, j])
+        total += [np.bincount(place, v, size) for v in (g, h, cases.count)]
+    some = np.flatnonzero(total[2])
+    return some, total[:, some].astype(np.int64)
+
+
+def margin_sums(cases: Cases) -> Sums:
+    """Cases, true ones, and twice the weight per kind and whole step of the margin."""
+    step = _steps(cases.margin) + MARGIN_MOST * MARGIN_STEP
+    kind = cases.x[:, : len(KINDS)].argmax(1)
+    return _by_place(step * len(KINDS) + kind, (cases.count, cases.right, 2 * cases.weight))
+
+
+def _steps(margin: np.ndarray) -> np.ndarray:
+    return np.rint(np.clip(margin, -MARGIN_MOST, MARGIN_MOST) * MARGIN_STEP).astype(np.int64)
+
+
+def quantile_cuts(place: np.ndarray, count: np.ndarray, width: int) -> list[np.ndarray]:
+    """Lower quantiles of each feature from the numbers of its values."""
+    out = []
+    for j in range(width):
+        mine = place // VALUES == j
+        ends = np.cumsum(count[mine])
+        at = np.floor(np.arange(1, BINS) / BINS * (ends[-1] - 1))
+        out.append(np.unique(place[mine][np.searchsorted(ends, at, side="right")] % VALUES - VALUES // 2))
+    return out
+
+
+def grow(cases, share: float, cuts: list[np.ndarray]) -> Trees:
+    """Fit trees to the logistic loss; each level takes every node's best cut from per-bin sums of all cases."""
+    share = min(max(share, 1e-3), 1 - 1e-3)
+    trees = Trees(float(np.log(share / (1 - share))), [], [])
     for _ in range(ROUNDS):
-        p = 1 / (1 + np.exp(-margin))
-        g, h = weight * (y - p), weight * p * (1 - p)
         feature, cut = np.zeros((1 << DEPTH) - 1, np.int64), np.full((1 << DEPTH) - 1, np.inf)
-        node = np.zeros(n, np.int64)
         for level in range(DEPTH):
             first, many = (1 << level) - 1, 1 << level
-            best = np.full(many, 1e-6)
-            code = node - first
-            for j in range(width):
-                place = code * (BINS + 1) + bins[:, j]
-                sums = [np.bincount(place, w, many * (BINS + 1)).reshape(many, -1) for w in (g, h, None)]
-                below = [s.cumsum(1) for s in sums]
-                (lg, lh, ln), (tg, th, tn) = [b[:, :-1] for b in below], [b[:, -1:] for b in below]
+            place, sums = cases.summed(partial(level_sums, cuts=cuts, feature=feature, cut=cut, level=level), trees)
+            total = np.zeros((3, many * len(cuts) * (BINS + 1)))
+            total[:, place] = sums
+            total[:2] /= GRADIENT_STEP
+            below = total.reshape(3, many, len(cuts), BINS + 1).cumsum(3)
+            whole = below[:, :, 0, -1]
+            best, left = np.full(many, 1e-6), whole[:2].copy()
+            for j, c in enumerate(cuts):
+                (lg, lh, ln), (tg, th, tn) = below[:, :, j, : len(c)], whole[:, :, None]
                 gain = lg**2 / (lh + RIDGE) + (tg - lg)**2 / (th - lh + RIDGE) - tg**2 / (th + RIDGE)
                 gain[(ln < LEAST_IN_LEAF) | (tn - ln < LEAST_IN_LEAF)] = 0
-                gain = gain[:, :len(cuts[j])]
-                if not gain.size:
-                    continue
                 at = gain.argmax(1)
                 better = gain[np.arange(many), at] > best
                 best[better] = gain[np.arange(many), at][better]
                 feature[first:first + many][better] = j
-                cut[first:first + many][better] = cuts[j][at[better]]
-            node = 2 * node + 1 + (x[np.arange(n), feature[node]] > cut[node])
-        code = node - (1 << DEPTH) + 1
-        value = RATE * np.bincount(code, g, 1 << DEPTH) / (np.bincount(code, h, 1 << DEPTH) + RIDGE)
-        margin += value[code]
-        nodes.append((feature, cut))
-        leaves.append(value)
-    return Trees(start, nodes, leaves)
+                cut[first:first + many][better] = c[at[better]]
+                left[:, better] = below[:2, better, j, at[better]]
+        sides = np.stack([left, whole[:2] - left], 2).reshape(2, -1)
+        trees.nodes.append((feature, cut))
+        trees.leaves.append(RATE * sides[0] / (sides[1] + RIDGE))
+    return trees
+
+
+def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Trees:
+    """Trees fitted to rows of whole-number features in memory."""
+    cases = Cases(x, weight * y, weight, np.ones(len(x)))
+    place, sums = cases.summed(value_counts)
+    return grow(cases, (weight * y).sum() / weight.sum(), quantile_cuts(place, sums[0], x.shape[1]))
 
 
 @dataclass(frozen=True)
@@ -267,7 +357,7 @@ class Detector:
     least: dict[str, float]
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        return np.interp(self.trees.margin(x), self.margins, self.probabilities)
+        return np.interp(_steps(self.trees.margin(x)) / MARGIN_STEP, self.margins, self.probabilities)
 
 
 def isotonic(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -319,89 +409,155 @@ def _variants(kind: str, window: bytes, a: int, b: int, rng: random.Random) -> l
     return out + [(left + fake + right, None) for fake in rng.sample(fakes, 2)]
 
 
-def examples(windows: list[tuple[str, bytes, int, int]], seed: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Features, labels, weights and window numbers of the proposals in the sampled windows."""
-    rng = random.Random(seed)
-    x, y, weight, origin = [], [], [], []
-    for number, (kind, window, a, b) in enumerate(windows):
-        cases = [(window, None)] if kind == "none" else _variants(kind, window, a, b, rng)
-        for text, truth in cases:
-            shift = len(text) - len(window)
-            near = (truth[1], truth[2]) if truth else (a, max(a + 1, b + shift))
-            for span in proposals(text):
-                if span[2] <= near[0] or span[1] >= near[1]:
-                    continue
-                right = span == truth
-                if truth and not right and truth[1] <= span[1] and span[2] <= truth[2] and kind == span[0] == "phone":
-                    continue  # a phone number without its country code, inside one with it: neither true nor false
-                x.append(features(text, span))
-                y.append(float(right))
-                weight.append(1.0 if truth is None or right else 0.5)
-                origin.append(number)
-    return np.array(x).reshape(len(x), len(FEATURES)), np.array(y), np.array(weight), np.array(origin, np.int64)
-
-
-def train(windows: list[tuple[str, bytes, int, int]]) -> Detector | None:
-    """The detector learned from windows (kind or ``none``, text, start, end); None without true cases."""
-    x, y, weight, origin = examples(windows)
-    if not len(y) or y.min() == y.max():
-        return None
-    held = origin % 3 == 2
-    if not y[held].any() or not y[~held].any():
-        return None
-    trees = boost(x[~held], y[~held], weight[~held])
-    margin = trees.margin(x[held])
-    places, probabilities = isotonic(margin, y[held], weight[held])
-    score = np.interp(margin, places, probabilities)
-    least = {}
-    for k, kind in enumerate(KINDS):
-        rows = x[held][:, k] == 1
-        order = np.argsort(-score[rows], kind="stable")
-        s, hits = score[rows][order], y[held][rows][order].cumsum()
-        precision = hits / np.arange(1, len(s) + 1)
-        ends = np.append(s[1:] != s[:-1], True) if len(s) else np.zeros(0, bool)
-        good = np.flatnonzero(ends & (precision >= PRECISION) & (hits >= LEAST_SUPPORT))
-        least[kind] = max(0.5, float(s[good[-1]])) if len(good) else 2.0
-    return Detector(trees, places, probabilities, least)
+def examples(kind: str, window: bytes, a: int, b: int) -> Iterator[tuple[list[float], int]]:
+    """Features of the proposals in a window and its variants, and which each is: true, false, or false beside a true one."""
+    rng = random.Random(_number(kind, window, a, b))
+    for text, truth in [(window, None)] if kind == "none" else _variants(kind, window, a, b, rng):
+        shift = len(text) - len(window)
+        near = (truth[1], truth[2]) if truth else (a, max(a + 1, b + shift))
+        for span in proposals(text):
+            if span[2] <= near[0] or span[1] >= near[1]:
+                continue
+            right = span == truth
+            if truth and not right and truth[1] <= span[1] and span[2] <= truth[2] and kind == span[0] == "phone":
+                continue  # a phone number without its country code, inside one with it: neither true nor false
+            yield features(text, span), 0 if right else 1 if truth is None else 2
 
 
-def sample_windows(data: bytes | None) -> list[dict]:
-    """Some windows of a text: around base spans, and around proposals far from any pattern."""
+def _number(kind: str, window: bytes, a: int, b: int) -> int:
+    return zlib.crc32(window, zlib.crc32(f"{kind} {a} {b} ".encode()))
+
+
+def windows_of(data: bytes | None) -> list[tuple[str, bytes, int, int]]:
+    """All windows of a text: around base spans, and around proposals far from any pattern."""
     if not data:
         return []
     kept, dropped = base_spans(data)
-    spans = [(k, a, b) for k, a, b in kept]
-    taken = sorted([(a, b) for _, a, b in kept] + dropped)
-    found = proposals(data) if len(kept) < DOC_WINDOWS else []
+    spans = list(kept)
+    starts, stops = [], []
+    for a, b in sorted([(a, b) for _, a, b in kept] + dropped):
+        starts.append(a)
+        stops.append(max(b, stops[-1]) if stops else b)  # the furthest end so far
     seen = -1
-    for _, a, b in sorted(found, key=lambda s: s[1:]):
-        if a >= seen and not any(a < d and c < b for c, d in taken):
+    for _, a, b in sorted(proposals(data), key=lambda s: s[1:]):
+        i = bisect_left(starts, b)
+        if a >= seen and (i == 0 or stops[i - 1] <= a):
             spans.append(("none", a, b))
             seen = b
-    rng = random.Random(len(data))
-    spans = rng.sample(spans, DOC_WINDOWS) if len(spans) > DOC_WINDOWS else spans
-    return [{"kind": k, "window": data[max(0, a - AROUND):b + AROUND], "a": min(a, AROUND), "b": min(a, AROUND) + b - a}
-            for k, a, b in spans if b - a <= AROUND]
-
-
-def learn(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS, sample_windows_: int = SAMPLE_WINDOWS) -> Detector | None:
-    """Train on windows of a bounded sample of texts, chosen by a hash of the text."""
-    total = docs.count()
-    if not total:
+    return [(k, data[max(0, a - AROUND):b + AROUND], min(a, AROUND), min(a, AROUND) + b - a) for k, a, b in spans]
+
+
+WINDOW = T.StructType().add("kind", "string").add("window", "binary").add("a", "integer").add("b", "integer")
+CASE = T.StructType().add("x", "binary").add("held", "boolean").add("hits", "long").add("alone", "long").add("beside", "long")
+SUMS = T.StructType().add("place", "long").add("s0", "long").add("s1", "long").add("s2", "long")
+
+
+def _window_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    fields, found = to_arrow_schema(WINDOW), {}
+    for batch in batches:
+        for value in batch.column(0):
+            for window in windows_of(value.as_py()):
+                found[window] = None
+                if len(found) >= WRITTEN:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), fields, strict=True)], schema=fields)
+                    found = {}
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), fields, strict=True)], schema=fields)
+
+
+def _case_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Different cases of some windows with their numbers; a third of the windows is held out."""
+    fields = to_arrow_schema(CASE)
+    for batch in batches:
+        for at in range(0, len(batch), TURNED):
+            windows = list(zip(*(c.to_pylist() for c in batch.slice(at, TURNED).columns), strict=True))
+            found: dict[tuple[bytes, bool], list[int]] = {}
+            for window in windows:
+                held = _number(*window) % 3 == 2
+                for x, which in examples(*window):
+                    row = np.clip(x, -VALUES // 2, VALUES // 2 - 1).astype("<i2").tobytes()
+                    found.setdefault((row, held), [0, 0, 0])[which] += 1
+            columns = [*zip(*found, strict=True), *zip(*found.values(), strict=True)] if found else [()] * len(fields)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields)
+
+
+def _cases(table: pa.Table | pa.RecordBatch) -> Cases:
+    hits, alone, beside = (table.column(c).to_numpy().astype(float) for c in ("hits", "alone", "beside"))
+    x = np.frombuffer(b"".join(table.column("x").to_pylist()), "<i2").reshape(len(hits), len(FEATURES))
+    margin = table.column("margin").to_numpy() if "margin" in table.schema.names else None
+    return Cases(x, hits, hits + alone + beside / 2, hits + alone + beside, margin)
+
+
+class SpreadCases:
+    """Training cases in a Spark table; each measure is one job, and only its sums reach the driver."""
+
+    def __init__(self, table: DataFrame):
+        self.table, self.done = table, 0
+
+    def advance(self, trees: Trees) -> None:
+        """Write the margins of the trees so far, so that a job adds few trees."""
+        done, written = self.done, T.StructType([*CASE.fields, T.StructField("margin", T.DoubleType())])
+
+        def run(batches):
+            for batch in batches:
+                cases = _cases(batch)
+                cases.done = done
+                cases.advance(trees)
+                yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in CASE), pa.array(cases.margin)], schema=to_arrow_schema(written))
+
+        self.table, self.done = stage_table(self.table.mapInArrow(run, written), "span-margins"), len(trees.nodes)
+
+    def summed(self, measure: Callable[[Cases], Sums], trees: Trees | None = None) -> Sums:
+        if trees and len(trees.nodes) - self.done >= WRITTEN_ROUNDS:
+            self.advance(trees)
+        done = self.done
+
+        def run(batches):
+            for batch in batches:
+                cases = _cases(batch)
+                cases.done = done
+                place, sums = cases.summed(measure, trees)
+                yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), *map(pa.array, sums)], schema=to_arrow_schema(SUMS))
+
+        names = [f.name for f in SUMS][1:]
+        table = self.table.mapInArrow(run, SUMS).groupBy("place").agg(*(F.sum(n).alias(n) for n in names)).orderBy("place").toArrow()
+        return table["place"].to_numpy(), np.array([table[n].to_numpy() for n in names])
+
+
+def learn(docs: DataFrame, text: str = "text", local_cases: int = LOCAL_CASES) -> Detector | None:
+    """Train on the windows of all texts; None without true and false cases on both sides."""
+    texts = docs.select(utf8(text).alias("__text")).where(F.col("__text").isNotNull())
+    parts = 4 * docs.sparkSession.sparkContext.defaultParallelism  # windows are small and cases cost time, so they are not left in few tasks
+    windows = texts.mapInArrow(_window_rows, WINDOW).repartition(parts, *WINDOW.names).dropDuplicates()
+    numbers = ("hits", "alone", "beside")
+    table = stage_table(windows.mapInArrow(_case_rows, CASE).groupBy("x", "held").agg(*(F.sum(n).alias(n) for n in numbers)), "span-cases")
+    total = {r.held: r for r in table.groupBy("held").agg(F.count("*").alias("cases"), *(F.sum(n).alias(n) for n in numbers)).collect()}
+    if len(total) < 2 or not all(r.hits for r in total.values()) or not any(r.alone + r.beside for r in total.values()):
         return None
-    share = min(1_000_000, round(1_000_000 * sample_docs / total) + 1)
-    texts = docs.select(utf8(text).alias("__text")).where(
-        F.col("__text").isNotNull() & (F.pmod(F.xxhash64("__text", F.lit(5)), F.lit(1_000_000)) < share))
-
-    def make():
-        return lambda values: {"w": [sample_windows(v) for v in values]}
-
-    found = map_rows(texts, "__text", make, "w array<struct<kind: string, window: binary, a: int, b: int>>")
-    rows = found.select(F.inline("w")).dropDuplicates().withColumn("h", F.xxhash64("window", "kind", "a"))
-    base, rest = (rows.where((F.col("kind") != "none") == side).orderBy("h", "kind", "window", "a", "b").limit(sample_windows_ // 2)
-                  for side in (True, False))
-    picked = base.unionByName(rest).orderBy("h", "kind", "window", "a", "b").collect()
-    return train([(r.kind, bytes(r.window), r.a, r.b) for r in picked])
+    fit, held = (table.where(F.col("held") == side) for side in (False, True))
+    fit, held = (_cases(t.toArrow()) if total[side].cases <= local_cases else SpreadCases(t) for side, t in ((False, fit), (True, held)))
+    place, sums = fit.summed(value_counts)
+    of = total[False]
+    trees = grow(fit, of.hits / (of.hits + of.alone + of.beside / 2), quantile_cuts(place, sums[0], len(FEATURES)))
+    return calibrated(trees, *held.summed(margin_sums, trees))
+
+
+def calibrated(trees: Trees, place: np.ndarray, sums: np.ndarray) -> Detector:
+    """The detector from sums of held-out cases per kind and step of the margin."""
+    margin, of_kind = (place // len(KINDS) - MARGIN_MOST * MARGIN_STEP) / MARGIN_STEP, place % len(KINDS)
+    count, right, weight = sums[0], sums[1], sums[2] / 2
+    places, probabilities = isotonic(margin, right / weight, weight)
+    score = np.interp(margin, places, probabilities)
+    least = {}
+    for k, kind in enumerate(KINDS):
+        rows = of_kind == k
+        order = np.argsort(-score[rows], kind="stable")
+        s, hits = score[rows][order], right[rows][order].cumsum()
+        precision = hits / count[rows][order].cumsum()
+        ends = np.append(s[1:] != s[:-1], True) if len(s) else np.zeros(0, bool)
+        good = np.flatnonzero(ends & (precision >= PRECISION) & (hits >= LEAST_SUPPORT))
+        least[kind] = max(0.5, float(s[good[-1]])) if len(good) else 2.0
+    return Detector(trees, places, probabilities, least)
 
 
 def chosen_spans(data: bytes, detector: Detector | None) -> tuple[list[Span], list[Span]]:
@@ -465,9 +621,9 @@ def _listed(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def find_private(docs: DataFrame, key: str = "doc_id", text: str = "text", **sample: int) -> DataFrame:
+def find_private(docs: DataFrame, key: str = "doc_id", text: str = "text", local_cases: int = LOCAL_CASES) -> DataFrame:
     """(key, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) for each row."""
-    sent = docs.sparkSession.sparkContext.broadcast(learn(docs, text, **sample))
+    sent = docs.sparkSession.sparkContext.broadcast(learn(docs, text, local_cases))
 
     def make():
         detector = sent.value
@@ -486,9 +642,9 @@ def find_private(docs: DataFrame, key: str = "doc_id", text: str = "text", **sam
     return map_rows(docs.select(F.col(key), utf8(text).alias("__text")), "__text", make, fields)
 
 
-def redact_private(docs: DataFrame, text: str = "text", **sample: int) -> DataFrame:
+def redact_private(docs: DataFrame, text: str = "text", local_cases: int = LOCAL_CASES) -> DataFrame:
     """The rows with every span in ``text`` replaced by its kind; null texts stay null."""
-    sent = docs.sparkSession.sparkContext.broadcast(learn(docs, text, **sample))
+    sent = docs.sparkSession.sparkContext.broadcast(learn(docs, text, local_cases))
 
     def make():
         detector = sent.value
