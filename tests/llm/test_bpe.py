@@ -114,3 +114,27 @@ def test_rows(spark, pair):
     decoded = {r.doc_id: bytes(r.decoded) for r in bpe.decode_ids(encoded, PATHS[0]).collect()}
     assert decoded == {(i if i else None): (t or "").encode() for i, t in enumerate(texts)}
     assert bpe.round_trip(docs.limit(0), PATHS[0]).collect() == []
+
+
+def test_tables_equal_dicts():
+    rng = random.Random(4)
+    table, plain = bpe.Table(300), {}
+    for _ in range(30):
+        new = [k for k in dict.fromkeys(rng.randrange(1 << 50) for _ in range(10)) if k not in plain]
+        table.put(bpe.np.array(new), bpe.np.arange(len(new)))
+        plain.update(zip(new, range(len(new)), strict=True))
+        asked = [*plain, *(rng.randrange(1 << 50) for _ in range(50))]
+        assert table.get(bpe.np.array(asked)).tolist() == [plain.get(k, -1) for k in asked]
+
+
+def test_texts_together_equal_each_alone(pair, monkeypatch):
+    """Whatever the caches hold, tokens of a block of texts come in one array, in order."""
+    vocabulary, library = pair
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 40)
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 30)
+    rng = random.Random(6)
+    for _ in range(60):
+        texts = [random_text(rng) + " " + "ab" * rng.choice((0, 2, 90)) for _ in range(rng.randint(1, 6))]
+        flat, counts = vocabulary.encode_together(texts)
+        want = [library.encode_ordinary(t) for t in texts]
+        assert counts.tolist() == [len(ids) for ids in want] and flat.tolist() == [i for ids in want for i in ids]

@@ -17,11 +17,12 @@ import base64
 import hashlib
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import ahocorasick
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,10 +37,11 @@ NEVER = 1 << 60
 BLOCK = 1 << 20
 #: A pair of tokens as one number; NONE stands on the left of a piece's first token.
 PAIR, NONE = 1 << 31, -1
-#: Stands between pieces that are searched together; no byte is written so.
-BORDER = chr(256)
-#: Longer pieces are not cached, so that the cache is bounded in bytes too.
-CACHED_LENGTH = 64
+#: Longer pieces are not cached, and caches keep this many tokens per entry at most, so that they are bounded in bytes too.
+CACHED_LENGTH, CACHED_TOKENS = 64, 16
+#: Tokens of a text that are spelled out for a digest at a time.
+SPELLED = 1 << 22
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -94,6 +96,99 @@ class Prefixes:
         return out[::-1]
 
 
+def _gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The ranges of an array that begin at ``first``, one after another."""
+    before = np.cumsum(size) - size
+    return flat[np.repeat(first - before, size) + np.arange(int(size.sum()))]
+
+
+class Table:
+    """Whole numbers by keys that are whole numbers too, looked up many at a time; -1 where there is none."""
+
+    def __init__(self, room: int):
+        bits = max(4, (2 * room).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        self.count = 0
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * MIX) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        place = self._places(keys)
+        found = self.keys[place]
+        out = np.where(found == keys, self.values[place], -1)
+        todo = np.flatnonzero((found != keys) & (found != -1))
+        while len(todo):
+            at = place[todo] = (place[todo] + 1) & self.mask
+            found = self.keys[at]
+            hit = found == keys[todo]
+            out[todo[hit]] = self.values[at[hit]]
+            todo = todo[~hit & (found != -1)]
+        return out
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Add keys that are not there yet, each once."""
+        place, todo = self._places(keys), np.arange(len(keys))
+        while len(todo):
+            at = place[todo]
+            free = self.keys[at] == -1
+            self.keys[at[free]] = keys[todo[free]]  # of several, one stays
+            mine = self.keys[at] == keys[todo]
+            self.values[at[mine]] = values[todo[mine]]
+            todo = todo[~mine]
+            place[todo] = (place[todo] + 1) & self.mask
+        self.count += len(keys)
+
+
+class Kept(dict):
+    """Numbers of strings met before, and their tokens by number (size -1: none of its own).
+
+    A string met for the first time gets the next number; ``fill`` then adds the tokens of all such.
+    """
+
+    def __init__(self):
+        self.new: list[str] = []
+        self.flat, self.first, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self.first) + len(self.new)
+        self.new.append(key)
+        return number
+
+    def full(self, most: int) -> bool:
+        return len(self.first) > most or len(self.flat) > CACHED_TOKENS * most
+
+    def numbers(self, keys: Iterable[str], count: int) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, count)
+
+    def fill(self, older: Kept, encode) -> None:
+        """Tokens of the new strings: those of the older generation, or encoded ones."""
+        new = self.new
+        if not new:
+            return
+        known = np.fromiter(map(older.get, new, repeat(-1)), np.int64, len(new))
+        fresh = np.flatnonzero(known < 0)
+        met = np.flatnonzero(known >= 0)
+        flat, sizes = encode([new[i] for i in fresh.tolist()])
+        first, size = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        size[fresh], size[met] = sizes, older.size[known[met]]
+        held = np.maximum(sizes, 0)
+        first[fresh], first[met] = len(older.flat) + np.cumsum(held) - held, older.first[known[met]]
+        held = np.maximum(size, 0)
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(held) - held])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, _gather(np.concatenate([older.flat, flat.astype(np.int32)]), first, held)])
+        for key in new:
+            if len(key) > CACHED_LENGTH:
+                del self[key]
+        self.new = []
+
+    def tokens(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = self.size[numbers]
+        return _gather(self.flat, self.first[numbers], size), size
+
+
 class Vocabulary:
     """Ranks with what encoding and decoding need; building it reads the ranks once."""
 
@@ -108,13 +203,52 @@ class Vocabulary:
         self.pairs: dict[tuple[int, int], bool] = {}
         self.alone: dict[int, bool] = {}
         self.spines: tuple[dict, dict] = ({}, {})
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older_pieces, self.older_words = dict(self.pieces), dict(self.words)
+        self.pieces, self.older_pieces, self.words, self.older_words = Kept(), Kept(), Kept(), Kept()
         self.lengths = np.zeros(max(self.bytes_of, default=0) + 1, np.int64)
         for rank, token in self.bytes_of.items():
             self.lengths[rank] = len(token)
-        self.known, self.fit = np.array([-1], np.int64), np.zeros(1, bool)  # checked pairs as sorted numbers
+        self.known = Table(CACHED_PAIRS)  # checked pairs
+        self._grow_trie()
+
+    def _grow_trie(self) -> None:
+        """Tokens as paths of bytes from a root, the first two bytes of a path by plain place."""
+        steps: dict[int, int] = {}
+        token_of = [NONE]
+        for token, rank in self.ranks.items():
+            node = 0
+            for octet in token:
+                step = node << 8 | octet
+                node = steps.get(step)
+                if node is None:
+                    node = steps[step] = len(token_of)
+                    token_of.append(NONE)
+            token_of[node] = rank
+        self.token_of = np.array(token_of, np.int64)
+        self.one, self.two, self.steps = np.full(256, NONE), np.full(1 << 16, NONE), Table(max(1, len(steps)))
+        keys, nodes = np.array(list(steps), np.int64), np.array(list(steps.values()), np.int64)
+        root = keys < 256
+        self.one[keys[root]] = nodes[root]
+        for octet, node in zip(keys[root].tolist(), nodes[root].tolist(), strict=True):
+            below = keys >> 8 == node
+            self.two[octet << 8 | keys[below] & 255] = nodes[below]
+        self.steps.put(keys[~root], nodes[~root])
+
+    def _found(self, data: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first byte, last byte, token) of all tokens that lie in the data without passing the stop of their first byte."""
+        at, out, depth = np.arange(len(data)), [], 0
+        node = self.one[data]
+        while len(at):
+            alive = node >= 0
+            at, node = at[alive], node[alive]
+            token = self.token_of[node]
+            hit = token >= 0
+            out.append((at[hit], at[hit] + depth, token[hit]))
+            depth += 1
+            more = at + depth < stop[at]
+            at, node = at[more], node[more]
+            octet = data[at + depth].astype(np.int64)
+            node = self.two[data[at].astype(np.int64) << 8 | octet] if depth == 1 else self.steps.get(node << 8 | octet)
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
     def reachable(self, token: int) -> bool:
         """Whether merging a token's own bytes gives the token."""
@@ -204,50 +338,45 @@ class Vocabulary:
         whole = self.ranks.get(piece)
         return (whole,) if whole is not None else tuple(Prefixes(self, piece).tokens())
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """The tokens of many pieces: one pass of the recurrence over all of them, prefix length by prefix length.
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of many pieces, one after another, and how many each has.
 
-        All tokens that end somewhere are found at once; at each prefix length, the candidates of all pieces
-        are checked together against the last tokens of the shorter prefixes.
+        One pass of the recurrence over all of them, prefix length by prefix length: all tokens that end
+        somewhere are found at once; at each prefix length, the candidates of all pieces are checked together
+        against the last tokens of the shorter prefixes.
         """
-        out: list = [None] * len(pieces)
-        todo = []
-        for i, piece in enumerate(pieces):
-            whole = self.ranks.get(piece)
-            if whole is not None:
-                out[i] = (whole,)
-            elif len(piece) > CACHED_LENGTH:
-                out[i] = tuple(Prefixes(self, piece).tokens())
-            else:
-                todo.append(i)
-        if todo:
-            for i, ids in zip(todo, self._recurrence([pieces[i] for i in todo]), strict=True):
-                out[i] = ids
-        return out
-
-    def _recurrence(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        text = BORDER.join([p.decode("latin-1") for p in pieces])
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        stop = np.cumsum(size + 1) - 1  # of each piece in the text
+        whole = np.fromiter(map(self.ranks.get, pieces, repeat(NONE)), np.int64, len(pieces))
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        long = np.flatnonzero((whole < 0) & (lengths > CACHED_LENGTH))
+        todo = np.flatnonzero((whole < 0) & (lengths <= CACHED_LENGTH))
+        spelled = [np.array(Prefixes(self, pieces[i]).tokens(), np.int64) for i in long.tolist()]
+        ids, counts = self._recurrence([pieces[i] for i in todo.tolist()], lengths[todo])
+        flat = np.concatenate([whole, ids, *spelled])
+        size, first = np.ones(len(pieces), np.int64), np.arange(len(pieces))
+        size[todo], size[long] = counts, [len(x) for x in spelled]
+        first[todo] = len(pieces) + np.cumsum(counts) - counts
+        first[long] = len(pieces) + len(ids) + np.cumsum(size[long]) - size[long]
+        return _gather(flat, first, size), size
+
+    def _recurrence(self, pieces: list[bytes], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not pieces:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        stop = np.cumsum(size)  # of each piece in the data
         begin = stop - size
-        hits = np.fromiter(chain.from_iterable(self.ends.iter(text)), np.int64)
-        end, token = hits[::2], hits[1::2]
-        first = np.repeat(begin, size + 1)[: len(text)][end]  # where the hit's piece begins
-        back = end - self.lengths[token]
-        reach = end - first
-        order = np.argsort(reach.astype(np.int16), kind="stable")
-        end, token, back, first = end[order], token[order], back[order], first[order]
+        start, end, token = self._found(data, np.repeat(stop, size))
+        first = np.repeat(begin, size)[start]  # where the token's piece begins
+        reach = (end - first).astype(np.int16)
+        order = np.argsort(reach, kind="stable")
+        start, end, token, first = start[order], end[order], token[order], first[order]
         bounds = np.searchsorted(reach[order], np.arange(int(size.max()) + 1))
-        last = np.full(len(text), -1, np.int64)
+        last = np.full(len(data), -1, np.int64)
         for low, high in zip(bounds, bounds[1:], strict=False):
-            e, t, at = end[low:high], token[low:high], back[low:high]
-            left = np.where(at < first[low:high], NONE, last[at])
+            e, t, s = end[low:high], token[low:high], start[low:high]
+            left = np.where(s == first[low:high], NONE, last[s - 1])
             fits = self._fits(left, t)
             last[e[fits]] = t[fits]
-        flat, counts = self._walk_back(last, begin, stop)
-        cuts = np.concatenate([[0], np.cumsum(counts)]).tolist()
-        ids = flat.tolist()
-        return [tuple(ids[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        return self._walk_back(last, begin, stop)
 
     def _walk_back(self, last: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of all pieces, one after another, and how many each has."""
@@ -268,91 +397,83 @@ class Vocabulary:
 
     def _fits(self, left: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Whether each token may follow the one on its left; with none there, whether it is reachable."""
-        keys, place = np.unique((left + 1) * PAIR + token, return_inverse=True)
-        spot = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
-        known = self.known[spot] == keys
-        answer = self.fit[spot] & known
-        fresh = np.flatnonzero(~known)
-        if len(fresh):
-            for i, (a, b) in zip(fresh.tolist(), zip((keys[fresh] // PAIR - 1).tolist(), (keys[fresh] % PAIR).tolist(), strict=True), strict=True):
-                answer[i] = self.reachable(b) if a == NONE else self.may_follow(a, b)
-            if len(self.known) + len(fresh) > CACHED_PAIRS:
-                self.known, self.fit = self.known[:1], self.fit[:1]
-            merged = np.concatenate([self.known, keys[fresh]])
-            order = np.argsort(merged, kind="stable")
-            self.known, self.fit = merged[order], np.concatenate([self.fit, answer[fresh]])[order]
-        return answer[place]
+        keys = (left + 1) * PAIR + token
+        answer = self.known.get(keys)
+        unknown = np.flatnonzero(answer < 0)
+        if len(unknown):
+            fresh, place = np.unique(keys[unknown], return_inverse=True)
+            found = np.fromiter((self.reachable(b) if a == NONE else self.may_follow(a, b) for a, b in zip(
+                (fresh // PAIR - 1).tolist(), (fresh % PAIR).tolist(), strict=True)), np.int32, len(fresh))
+            if self.known.count + len(fresh) > CACHED_PAIRS:
+                self.known = Table(max(CACHED_PAIRS, len(fresh)))
+            self.known.put(fresh, found)
+            answer[unknown] = found[place]
+        return answer == 1
 
     def encode(self, text: str) -> list[int]:
         return self.encode_texts([text])[0]
 
     def encode_texts(self, texts: list[str]) -> list[list[int]]:
-        """Tokens of each text.
+        """Tokens of each text."""
+        flat, counts = self.encode_together(texts)
+        ids, ends = flat.tolist(), np.cumsum(counts).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def encode_together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all texts, one after another, and how many each has.
 
         A space between two characters that are not white space always begins a piece, so what
         follows it up to the next such space is encoded by itself and remembered. New words and pieces
         of all texts are encoded together. Words and pieces are kept for two generations: when the newer
         one is full it becomes the older one, whose entries come back as they are met again.
         """
-        cut = [t.split(" ") for t in texts]
-        words = dict.fromkeys(w for parts in cut for w in parts[1:])
-        if len(self.words) > CACHED_WORDS:
-            self.words, self.older_words = {}, self.words
-        fresh = []
-        for w in words:
-            if w not in self.words:
-                ids = self.older_words.get(w)
-                if ids is None:
-                    fresh.append(w)
-                else:
-                    self.words[w] = ids
-        plain = [w for w in fresh if w and len(w) <= CACHED_LENGTH and not w[0].isspace() and not w[-1].isspace()]
-        self._add_words(plain)
-        strange = set(fresh).difference(plain)
-        whole, out = [], []
-        for k, parts in enumerate(cut):
-            first = parts[0]
-            if len(parts) > 1 and (not first or first[-1].isspace() or (strange and not strange.isdisjoint(parts[1:]))):
-                whole.append(k)
-            out.append(None)
-        odd = set(whole)
-        heads = [k for k in range(len(cut)) if k not in odd]
-        for k, ids in zip(heads, self._by_piece([cut[k][0] for k in heads]), strict=True):
-            out[k] = list(chain(ids, chain.from_iterable(map(self.words.__getitem__, cut[k][1:]))))
-        for k, ids in zip(whole, self._by_piece([texts[k] for k in whole]), strict=True):
-            out[k] = ids
-        return out
-
-    def _add_words(self, words: list[str]) -> None:
-        """Encode words that a space precedes; joined by spaces they are cut just as each alone."""
-        if not words:
-            return
-        found = self.pattern.findall(" " + " ".join(words))
-        pieces = self._pieces(found)
-        ends = set(np.cumsum([len(w) + 1 for w in words]).tolist())
-        at, held, spelled = 0, [], []
-        for piece in found:
-            held.append(pieces[piece])
-            at += len(piece)
-            if at in ends:
-                spelled.append(held[0] if len(held) == 1 else tuple(chain.from_iterable(held)))
-                held = []
-        self.words.update(zip(words, spelled, strict=True))
-
-    def _pieces(self, found: Iterable[str]) -> dict[str, tuple[int, ...]]:
-        """The tokens of each different piece."""
-        if len(self.pieces) > CACHED_PIECES:
-            self.pieces, self.older_pieces = {}, self.pieces
-        known = {p: self.pieces.get(p) or self.older_pieces.get(p) for p in dict.fromkeys(found)}
-        fresh = [p for p, ids in known.items() if ids is None]
-        known.update(zip(fresh, self.encode_pieces([p.encode() for p in fresh]), strict=True))
-        self.pieces.update((p, ids) for p, ids in known.items() if len(p) <= CACHED_LENGTH)
-        return known
-
-    def _by_piece(self, texts: list[str]) -> list[list[int]]:
+        if self.words.full(CACHED_WORDS):
+            self.words, self.older_words = Kept(), self.words
+        words, cut = self.words, [t.split(" ") for t in texts]
+        behind = np.fromiter(map(len, cut), np.int64, len(cut)) - 1
+        numbers = words.numbers(chain.from_iterable(parts[1:] for parts in cut), int(behind.sum()))
+        words.fill(self.older_words, self._new_words)
+        text = np.repeat(np.arange(len(cut)), behind)
+        whole = np.array([len(parts) > 1 and (not parts[0] or parts[0][-1].isspace()) for parts in cut], bool)
+        whole[text[words.size[numbers] < 0]] = True
+        heads, head_counts = self._by_piece([texts[k] if odd else cut[k][0] for k, odd in enumerate(whole.tolist())])
+        numbers, behind = numbers[~whole[text]], np.where(whole, 0, behind)
+        at = np.cumsum(behind + 1) - behind - 1  # of the heads among heads and words
+        head = np.zeros(len(cut) + len(numbers), bool)
+        head[at] = True
+        first, size = np.zeros(len(head), np.int64), np.zeros(len(head), np.int64)
+        first[head], size[head] = len(words.flat) + np.cumsum(head_counts) - head_counts, head_counts
+        first[~head], size[~head] = words.first[numbers], words.size[numbers]
+        ends = np.cumsum(size)
+        return (_gather(np.concatenate([words.flat, heads.astype(np.int32)]), first, size),
+                np.diff(np.concatenate([[0], ends[at + behind]])))
+
+    def _new_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of words that a space precedes; joined by spaces they are cut just as each alone. Size -1: not such a word."""
+        size = np.full(len(words), -1, np.int64)
+        plain = [i for i, w in enumerate(words) if w and len(w) <= CACHED_LENGTH and not w[0].isspace() and not w[-1].isspace()]
+        if not plain:
+            return np.zeros(0, np.int64), size
+        found = self.pattern.findall(" " + " ".join([words[i] for i in plain]))
+        tokens, counts = self._pieces(found)
+        ends = np.cumsum(np.fromiter((len(words[i]) + 1 for i in plain), np.int64, len(plain)))
+        word = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, found), np.int64, len(found))))
+        size[plain] = np.bincount(word, counts, len(plain))
+        return tokens, size
+
+    def _pieces(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of pieces, one after another, and how many each has."""
+        if self.pieces.full(CACHED_PIECES):
+            self.pieces, self.older_pieces = Kept(), self.pieces
+        numbers = self.pieces.numbers(found, len(found))
+        self.pieces.fill(self.older_pieces, lambda new: self.encode_pieces([p.encode() for p in new]))
+        return self.pieces.tokens(numbers)
+
+    def _by_piece(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [self.pattern.findall(t) for t in texts]
-        pieces = self._pieces(p for cut in found for p in cut)
-        return [list(chain.from_iterable(map(pieces.__getitem__, cut))) for cut in found]
+        tokens, counts = self._pieces(list(chain.from_iterable(found)))
+        text = np.repeat(np.arange(len(texts)), np.fromiter(map(len, found), np.int64, len(found)))
+        return tokens, np.bincount(text, counts, len(texts)).astype(np.int64)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -461,17 +582,32 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
 
     def make():
         vocab = vocabulary()
-        numerals = {r: str(r) for r in vocab.bytes_of}
+        some = range(len(vocab.lengths))
+        numerals = pa.array([f"{r}," if r in vocab.bytes_of else "" for r in some], pa.string())
+        spelled = pa.array([vocab.bytes_of.get(r, b"") for r in some], pa.binary())
 
         def run(values):
             out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-            for ids in (ids for block in blocks(values) for ids in vocab.encode_texts(block)):
-                out["n_tokens"].append(len(ids))
-                out["ids_sha256"].append(
-                    hashlib.sha256(",".join(map(numerals.__getitem__, ids)).encode()).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(vocab.decode(ids)).hexdigest())
+            for block in blocks(values):
+                flat, counts = vocab.encode_together(block)
+                ends = np.cumsum(counts).tolist()
+                out["n_tokens"] += counts.tolist()
+                for a, b in zip([0, *ends], ends, strict=False):
+                    out["ids_sha256"].append(_digest(numerals, flat[a:b], 1))
+                    out["decoded_sha256"].append(_digest(spelled, flat[a:b]))
             return out
         return run
 
     return map_rows(docs.select(F.col(key), F.col(text).alias("__text")), "__text", make,
                     "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def _digest(strings: pa.Array, ids: np.ndarray, less: int = 0) -> str:
+    """SHA-256 of what the ids stand for, joined, without the last ``less`` bytes."""
+    digest = hashlib.sha256()
+    for at in range(0, len(ids), SPELLED):
+        some = ids[at:at + SPELLED]
+        _, ends, data = strings.take(pa.array(some)).buffers()
+        size = int(np.frombuffer(ends, np.int32, len(some) + 1)[-1])
+        digest.update(memoryview(data)[: size if at + SPELLED < len(ids) else size - less])
+    return digest.hexdigest()
