@@ -6,6 +6,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -114,3 +115,24 @@ def test_groups_as_text_and_empty_table(spark):
     want = plain(["the cat"])[0]
     assert hashlib.sha256(row.groups.encode()).hexdigest() == want[-1]
     assert ta.align(docs.limit(0), A_PATH, B_PATH).collect() == []
+
+
+def test_overlaps_come_once_and_in_order():
+    """Pairs found from both sides are told apart by their starts, without sorting all of them anew."""
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        length = int(rng.integers(1, 60))
+        sides = [np.unique(np.concatenate([[0], rng.integers(0, length, rng.integers(0, 30))])) for _ in range(2)]
+        part = np.zeros(length, np.int64)
+        got = list(zip(*(v.tolist() for v in ta.overlaps(part[: len(sides[0])], sides[0], part[: len(sides[1])], sides[1])), strict=True))
+        stops = [[*s[1:].tolist(), length] for s in sides]
+        want = [(i, j) for i, a in enumerate(sides[0]) for j, b in enumerate(sides[1]) if a < stops[1][j] and b < stops[0][i]]
+        assert got == want
+
+
+def test_numbers_are_given_in_one_pass():
+    known = ta.Numbers({"a": 4})
+    assert [known[w] for w in "abcba"] == [4, -2, -3, -2, 4] and known.new == ["b", "c"]
+    parts = [str(i) * 900 for i in range(300)]
+    runs = list(ta._runs(parts))
+    assert [p for run in runs for p in run] == parts and 2 < len(runs) < 30 and list(ta._runs([])) == []

@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -107,23 +108,38 @@ def overlaps(part_a: np.ndarray, start_a: np.ndarray, part_b: np.ndarray, start_
     b = pd.DataFrame({"part": part_b, "start": start_b, "j": np.arange(len(start_b))})
     of_a = pd.merge_asof(a, b, on="start", by="part")
     of_b = pd.merge_asof(b, a, on="start", by="part")
-    width = len(b) + 1
-    pairs = np.unique(np.concatenate([of_a["i"].to_numpy() * width + of_a["j"].to_numpy(),
-                                      of_b["i"].to_numpy() * width + of_b["j"].to_numpy()]))
-    return pairs // width, pairs % width
+    i, j = of_b["i"].to_numpy(), of_b["j"].to_numpy()
+    later = start_a[i] < start_b[j]  # tokens that start together are found from both sides
+    i, j = np.concatenate([of_a["i"].to_numpy(), i[later]]), np.concatenate([of_a["j"].to_numpy(), j[later]])
+    order = np.argsort(i * (len(b) + 1) + j, kind="stable")  # merges two rising runs
+    return i[order], j[order]
+
+
+def _among(values: np.ndarray, rising: np.ndarray) -> np.ndarray:
+    """Whether each value is one of the rising ones."""
+    at = np.minimum(np.searchsorted(rising, values), len(rising) - 1)
+    return rising[at] == values if len(rising) else np.zeros(len(values), bool)
+
+
+class Numbers(dict):
+    """Numbers of strings; one met for the first time gets a running negative number, until it has its own."""
+
+    def __init__(self, known: dict[str, int] | None = None):
+        super().__init__(known or {})
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self.new.append(key)
+        number = self[key] = -1 - len(self.new)
+        return number
 
 
 def _runs(parts: list[str]) -> Iterator[list[str]]:
     """Neighbouring parts, about ``RUN`` characters at a time."""
-    held, size = [], 0
-    for part in parts:
-        held.append(part)
-        size += len(part) + 1
-        if size >= RUN:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+    cuts = np.flatnonzero(np.diff(np.concatenate([[-1], ends // RUN]))).tolist()
+    for start, stop in zip(cuts, [*cuts[1:], len(parts)], strict=False):
+        yield parts[start:stop]
 
 
 def _joined(strings: pa.Array, starts: np.ndarray, by: str) -> pa.Array:
@@ -140,25 +156,33 @@ class Parts:
         self.clear()
 
     def clear(self) -> None:
-        self.regular: dict[str, int] = {}  # -1: white space at its start or end, so no part of its own
+        self.regular = Numbers()  # -1: white space at its start or end, so no part of its own
         self.odd: dict[str, int] = {}
         self.groups: list[str] = []
         self.counts = np.zeros((0, 5), np.int64)  # n_a, n_b, n_groups, n_links, whether the bytes fit
         self.pairs, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
         self.uses = np.zeros(0, np.int64)
 
-    def number(self, texts: list[str]) -> list[list[int]]:
-        """The part numbers of each text, new parts aligned first."""
+    def number(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The part numbers of the texts, one after another, and how many each has; new parts are aligned first."""
         if len(self.groups) > KEPT_PARTS:
             self._forget()
         cut = [t.split(" ") for t in texts]
-        fresh = [w for w in dict.fromkeys(w for words in cut for w in words) if w not in self.regular]
-        plain = [w for w in fresh if w and not w[0].isspace() and not w[-1].isspace()]
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        flat = np.fromiter(map(self.regular.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+        fresh, self.regular.new = self.regular.new, []
+        plain = [w for w in fresh if w and w == w.strip()]
         self.regular.update(dict.fromkeys(fresh, -1))
         self.regular.update(zip(plain, range(len(self.groups), len(self.groups) + len(plain)), strict=True))
+        place = np.fromiter(map(self.regular.__getitem__, fresh), np.int64, len(fresh))
+        flat[flat < -1] = place[-2 - flat[flat < -1]]
         self._align([(run, True) for run in _runs(plain)])
-        out = [list(map(self.regular.__getitem__, words)) for words in cut]
-        strange = [k for k, ids in enumerate(out) if -1 in ids]
+        row = np.repeat(np.arange(len(cut)), sizes)
+        strange = np.unique(row[flat < 0]).tolist()
+        if not strange:
+            return flat, sizes
+        ends = np.cumsum(sizes)
+        out = [flat[e - n:e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
         pieces = {k: BORDER.split(" " + texts[k]) for k in strange}
         for k, found in pieces.items():
             pieces[k] = [found[0][1:], *found[1:]]
@@ -166,8 +190,8 @@ class Parts:
         self.odd.update(zip(fresh, range(len(self.groups), len(self.groups) + len(fresh)), strict=True))
         self._align([([p], False) for p in fresh])
         for k, found in pieces.items():
-            out[k] = [self.odd[p] for p in found]
-        return out
+            out[k] = np.array([self.odd[p] for p in found], np.int64)
+        return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
 
     def _forget(self) -> None:
         """Keep the short parts used most, half the room at most."""
@@ -175,7 +199,7 @@ class Parts:
         keep = keep[self.uses[keep] > 1]
         place = np.full(len(self.groups), -1, np.int64)
         place[keep] = np.arange(len(keep))
-        self.regular = {w: int(place[i]) for w, i in self.regular.items() if i >= 0 and place[i] >= 0 and len(w) <= KEPT_LENGTH}
+        self.regular = Numbers({w: int(place[i]) for w, i in self.regular.items() if i >= 0 and place[i] >= 0 and len(w) <= KEPT_LENGTH})
         self.odd = {w: int(place[i]) for w, i in self.odd.items() if place[i] >= 0 and len(w) <= KEPT_LENGTH}
         self.groups = [self.groups[i] for i in keep]
         self.pairs, sizes = self.links(keep)
@@ -215,20 +239,20 @@ class Parts:
                 lengths.append(0)
             else:
                 right += [True] * len(run)
-                lengths += [1 + len(part.encode()) for part in run]
+                lengths += pc.add(pc.binary_length(pa.array(run, pa.large_string())), 1).to_pylist()
         n = len(lengths)
         stops = np.cumsum(lengths)
         begins = stops - lengths
         token, stop, part = [], [], []
         for side, found in zip((self.a, self.b), ids, strict=True):
-            flat = np.fromiter((t for run in found for t in run), np.int64)
+            flat = np.fromiter(chain.from_iterable(found), np.int64, sum(map(len, found)))
             end = np.cumsum(side.lengths[flat])
             token.append(flat)
             stop.append(end)
             part.append(np.searchsorted(begins, end - side.lengths[flat], side="right") - 1)
-        if any(len(np.setdiff1d(stops, np.concatenate([[0], end]))) for end in stop):
+        if not all(_among(stops[stops > 0], end).all() for end in stop):
             raise ValueError("a token reaches over the border of a part")
-        both = np.intersect1d(*stop, assume_unique=True)
+        both = stop[0][_among(stop[0], stop[1])]
         of_group = np.searchsorted(begins, both - 1, side="right") - 1
         sides = []
         for side, flat, end in zip((self.a, self.b), token, stop, strict=True):
@@ -255,21 +279,20 @@ class Parts:
 def align_block(parts: Parts, texts: list[str | None], digest: bool = True) -> list:
     """Columns of ``PASS`` for some texts."""
     good = [k for k, t in enumerate(texts) if t and MARK not in t]
-    numbers = parts.number([texts[k] for k in good])
-    sizes = np.fromiter(map(len, numbers), np.int64, len(numbers))
-    flat = np.fromiter((p for found in numbers for p in found), np.int64, int(sizes.sum()))
+    flat, sizes = parts.number([texts[k] for k in good])
+    names = list(map(parts.groups.__getitem__, flat.tolist()))
+    ends = np.cumsum(sizes).tolist()
     row = np.repeat(np.array(good, np.int64), sizes)
     parts.uses += np.bincount(flat, minlength=len(parts.uses))
     wrong = np.zeros(len(texts), bool)
     wrong[row[parts.counts[flat, 4] == 0]] = True
     fine = ~wrong[row]
     flat, row = flat[fine], row[fine]
-    counts = np.zeros((len(texts), 4), np.int64)
-    np.add.at(counts, row, parts.counts[flat, :4])
+    counts = np.column_stack([np.bincount(row, c, len(texts)) for c in parts.counts[flat, :4].T]).astype(np.int64)
     groups = [""] * len(texts)
-    for k, found in zip(good, numbers, strict=True):
+    for k, begin, end in zip(good, [0, *ends], ends, strict=False):
         if not wrong[k]:
-            groups[k] = ";".join([parts.groups[p] for p in found])
+            groups[k] = ";".join(names[begin:end])
             if digest:
                 groups[k] = hashlib.sha256(groups[k].encode()).hexdigest()
     codes, n = parts.links(flat)
