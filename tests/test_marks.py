@@ -148,3 +148,21 @@ def test_delta_windows_read_light_sources_once(spark):
     rows = spark.range(600).select((F.col("id") % 100).alias("k"), (F.col("id") * 3).alias("p"), F.col("id").alias("seq"), (F.col("id") % 7).alias("v"))
     fired = delta_windows(rows, ["k"], ["p", "seq"], "p", 50, 40, "v", F.floor(F.col("p") / 100))
     assert fired._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1 and fired.count() == 500
+
+
+@pytest.mark.parametrize("batch", [10_000, 7])
+def test_delta_windows_walked_or_met_are_equal(spark, batch):
+    """Light keys need one pass without a join; heavy ones give the same rows, with repeats and nulls."""
+    rng = random.Random(9)
+    data = [(rng.choice(["a", "b", "c", None]), rng.choice([None, *range(0, 900, 3)]), rng.randint(0, 40), rng.choice([None, 1, 2, 3]), rng.choice("xyz")) for _ in range(500)]
+    rows = spark.createDataFrame(data + data[:200] + [("d", 1, 1, 1, "x"), ("e", 1, 1, None, "x"), ("e", 90, 1, None, "y"), ("e", 95, None, 1, "y")],
+                                 "k string, p bigint, seq bigint, v bigint, note string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = [delta_windows(rows, ["k"], ["p", "seq"], "p", 50, 40, "v", F.floor(F.col("p") / 100), heavy_rows=n) for n in (10_000, 200, 0)]
+        found = [sorted(map(repr, g.collect())) for g in got]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert "Join" not in got[0]._jdf.queryExecution().executedPlan().toString()
+    assert len(found[0]) > 20 and found[0] == found[1] == found[2]

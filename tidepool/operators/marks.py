@@ -217,14 +217,87 @@ def periodic_watermark(df: DataFrame, source: str, names: Sequence, arrival: str
 
 
 def delta_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], position: str, step: float, keep: float, value: str,
-                  chunk: Column) -> DataFrame:
+                  chunk: Column, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Rows (keys, ``fired_*`` order columns, and the row of largest ``value``) of a delta trigger with an evictor.
 
     The trigger fires when ``position`` has moved on by more than ``step`` since the last firing (or the key's
     first row); of the rows so far, those within ``keep`` of the firing row's position stay, and the one with
     the largest ``value``, the first of equal ones, is returned. ``position`` must not decrease along the order.
-    Firings and rows meet by key and range of positions, so a heavy key is spread.
+    Keys of ordinary size are walked once, firings and windows together, each key's rows in one task. Rows of heavy
+    keys (and all rows if position or value is not a whole number) are marked in chunks, and firings and rows then
+    meet by key and range of positions, so that a heavy key is spread.
     """
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    if not keys or not all(isinstance(df.schema[c].dataType, whole) for c in (position, value)):
+        return _met_windows(df, keys, order, position, step, keep, value, chunk)
+    rows = df.dropna(subset=list(keys))
+    heavy = heavy_keys(rows, keys, heavy_rows)
+    if heavy.isEmpty():
+        return _walked_windows(rows, keys, order, position, step, keep, value)
+    listed = sent_if_small(heavy)
+    light = _walked_windows(rows.join(listed, list(keys), "left_anti"), keys, order, position, step, keep, value)
+    return light.unionByName(_met_windows(rows.join(listed, list(keys), "left_semi"), keys, order, position, step, keep, value, chunk))
+
+
+def _walked_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], position: str, step: float, keep: float, value: str) -> DataFrame:
+    """The windows of keys that fit into a task's memory, in one pass over their sorted rows."""
+    payload = [c for c in df.columns if c not in keys]
+    rows = df.where(F.col(position).isNotNull()).select(*keys, *payload)  # rows without a position neither fire nor lie in a window
+    fields = rows.schema
+    out_schema = T.StructType([*(fields[c] for c in keys), *(T.StructField(f"fired_{c}", fields[c].dataType) for c in order),
+                               *(T.StructField(c, fields[c].dataType) for c in payload)])
+    width = len(keys)
+
+    def windows(table: pa.Table, starts: Sequence[int]) -> pa.RecordBatch:
+        """Firings of whole keys, which begin at the given rows."""
+        places = table.column(position).to_numpy().astype(np.int64)
+        values = table.column(value)
+        known = values.is_valid().to_numpy()
+        numbers = values.fill_null(0).to_numpy().astype(np.int64)
+        same = np.ones(max(0, len(table) - 1), bool)  # whether the next row has the same place in the order
+        for c in order:
+            column = table.column(c)
+            same &= np.array(column.slice(1).to_pylist(), object) == np.array(column.slice(0, len(table) - 1).to_pylist(), object)
+        fired, best = [], []
+        for a, b in zip(starts, [*starts[1:], len(table)], strict=True):
+            held = places[a:b]
+            for i in mark_rows(held[0], held, step)[0]:
+                end = a + i + 1
+                while end < b and same[end - 1]:
+                    end += 1
+                begin = a + int(np.searchsorted(held, held[i] - keep, side="right"))
+                some = np.flatnonzero(known[begin:end])
+                fired.append(a + i)
+                best.append(begin + int(some[numbers[begin:end][some].argmax()]) if len(some) else None)
+        at, row = table.take(pa.array(fired, pa.int64())), table.take(pa.array(best, pa.int64()))
+        columns = [at.column(c) for c in keys] + [at.column(c) for c in order] + [row.column(c) for c in payload]
+        arrow = to_arrow_schema(out_schema)
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(c.chunks).cast(f.type) if c.num_chunks else pa.array([], f.type)
+                                           for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, known = [], None  # batches of the last key so far
+        for batch in batches:
+            runs = list(_runs(batch, width))
+            starts = [a for _, a, _ in runs if a or runs[0][0] != known]
+            if not runs or not starts:
+                held += [batch] if runs else []
+                continue
+            if held:
+                yield windows(pa.Table.from_batches([*held, batch.slice(0, starts[0])]), [0])
+            if len(starts) > 1:
+                yield windows(pa.Table.from_batches([batch.slice(starts[0], starts[-1] - starts[0])]), [a - starts[0] for a in starts[:-1]])
+            held, known = [batch.slice(starts[-1])], runs[-1][0]
+        if held:
+            yield windows(pa.Table.from_batches(held), [0])
+
+    ordered = list(dict.fromkeys([*keys, *order, *payload]))  # rows of one place and value: the smallest comes first
+    return rows.repartition(*keys).sortWithinPartitions(*ordered).mapInArrow(run, out_schema)
+
+
+def _met_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], position: str, step: float, keep: float, value: str,
+                 chunk: Column) -> DataFrame:
+    """Marks first, then firings and rows joined by key and range of positions."""
     marked = chained_marks(df, keys, order, position, step, chunk, first_fires=False)
     payload = [c for c in df.columns if c not in keys]
     slot = lambda c: F.floor(c / F.lit(keep)).cast("bigint")
