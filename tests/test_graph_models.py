@@ -124,6 +124,59 @@ def test_delta_pagerank(spark):
     assert got.keys() == ranks.keys() and all(abs(got[p] - ranks[p]) < 1e-12 for p in ranks)
 
 
+def plain_delta(pairs, n, rounds, threshold):
+    out = {}
+    for s, d in pairs:
+        if s is not None:
+            out.setdefault(s, []).append(d)
+
+    def spread(values):
+        got = {}
+        for p, x in values.items():
+            for d in out.get(p, []) if p is not None else []:
+                got[d] = got.get(d, 0) + 0.85 * x / len(out[p])
+        return got
+
+    ranks = spread(dict.fromkeys(out, 1 / n))
+    for p in out:
+        ranks[p] = ranks.get(p, 0) + 0.15 / n
+    delta = {p: r - 1 / n for p, r in ranks.items()}
+    for _ in range(rounds):
+        delta = {p: x for p, x in spread(delta).items() if abs(x) > threshold}
+        for p, x in delta.items():
+            ranks[p] += x if p is not None else 0
+    return ranks
+
+
+def test_ranks_travel_in_blocks(spark, monkeypatch):
+    """A round's tables have a row per block, not per page or edge; repeats, sinks and edges to or from null are kept."""
+    from tidepool.operators.blocks import GraphBlocks
+
+    rng = random.Random(5)
+    pairs = [(rng.randrange(60), rng.randrange(70)) for _ in range(400)]
+    pairs += pairs[:30] + [(0, d) for d in range(70)] + [(3, None), (4, None), (None, 5)]
+    rows, settled = [], GraphBlocks.settled
+
+    def counted(self, *args):
+        found = settled(self, *args)
+        rows.append((found.count(), self.blocks))
+        return found
+
+    monkeypatch.setattr(GraphBlocks, "settled", counted)
+    limits = {"cell_edges": 60, "block_pages": 30, "row_edges": 16}
+    n = len({s for s, _ in pairs})
+    got = {r.page: r["rank"] for r in delta_pagerank(edges(spark, pairs), n, max_rounds=3, **limits).collect()}
+    want = plain_delta(pairs, n, 3, 1e-4 / n)
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-12 for p in want)
+    assert rows == [(3, 3)] * 6
+    linked = [p for p in pairs if None not in p]
+    pages = spark.range(80).withColumnRenamed("id", "page")
+    got = {r.page: r["rank"] for r in pagerank(pages, edges(spark, linked), max_rounds=3, epsilon=0.0, **limits).collect()}
+    want = plain_pagerank(linked, range(80), 3, 0.0)
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-12 for p in want)
+    assert delta_pagerank(edges(spark, []), 1).collect() == []
+
+
 def test_adjacency(spark):
     got = {r.src: (r.degree, sorted(r.neighbours)) for r in adjacency(edges(spark, DELTA_LINKS)).collect()}
     assert got[1] == (3, [2, 3, 4]) and got[3] == (1, [5])

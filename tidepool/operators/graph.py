@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.operators.aggregates import bounded_lists
+from tidepool.operators.blocks import DEGREE, FORMER, SUMS, TIMES, GraphBlocks
 from tidepool.operators.expand import canonical, undirected
 from tidepool.session import cut_lineage, run_dir, shuffles_dropped, stage_table
 
@@ -23,70 +25,78 @@ def adjacency(edges: DataFrame, max_items: int = LIST_LIMIT) -> DataFrame:
     return lists.join(degrees, "src")
 
 
-def _shares(ranks: DataFrame, lists: DataFrame, value: str) -> DataFrame:
-    """(page, share): each vertex hands ``value`` in equal parts to its out-neighbours."""
-    return ranks.join(lists, ranks["page"] == lists["src"]).select(
-        F.explode("neighbours").alias("page"), (F.col(value) / F.col("degree")).alias("share"))
-
-
-def _spread(ranks: DataFrame, lists: DataFrame, value: str) -> DataFrame:
-    return _shares(ranks, lists, value).groupBy("page").agg(F.sum("share").alias("__got"))
-
-
 def pagerank(
-    pages: DataFrame, edges: DataFrame, damping: float = 0.85, max_rounds: int = 10, epsilon: float = 1e-4
+    pages: DataFrame, edges: DataFrame, damping: float = 0.85, max_rounds: int = 10, epsilon: float = 1e-4, **limits: int
 ) -> DataFrame:
     """(page, rank).  Pages without in-links leave after the first round; stops when no rank moves by epsilon.
 
-    A page's former rank travels to its new one as one more row of the same aggregation, so
-    measuring the movement needs no further join.
+    Ranks are positive for a ``damping`` from 0 to 1, so a page that gets nothing is one without a page left that links to it.
     """
     n = pages.count()
-    lists = stage_table(adjacency(edges), "adjacency")
     ranks = pages.select("page", F.lit(1.0 / n).alias("rank"))
+    if max_rounds < 1:
+        return ranks
+
+    def begin(own: dict) -> tuple:
+        return np.where(own[TIMES] > 0, 1.0 / n, np.nan), own[TIMES] * (1.0 / n), None
+
+    def settle(own: dict) -> tuple:
+        rank = np.where(own[SUMS] > 0, own[SUMS] * damping + (1 - damping) / n, np.nan)
+        moved = np.abs(rank - own[FORMER])
+        moved = moved[~np.isnan(moved)]
+        return rank, np.nan_to_num(rank), float(moved.max()) if len(moved) else None
+
+    graph = GraphBlocks(edges, pages, **limits)
+    blocks = graph.settled(graph.arrays(DEGREE, TIMES), begin)
     for _ in range(max_rounds):
-        shares = _shares(ranks, lists, "rank")
-        former = ranks.select("page", F.col("rank").alias("former"))
-        summed = shares.unionByName(former, allowMissingColumns=True).groupBy("page").agg(
-            F.sum("share").alias("__got"), F.max("former").alias("__former")).where("__got IS NOT NULL")
-        new = summed.select("page", (F.col("__got") * damping + (1 - damping) / n).alias("rank"), "__former")
-        moved = cut_lineage(new.withColumn("__moved", F.abs(F.col("rank") - F.col("__former"))).drop("__former"))
-        largest = moved.agg(F.max("__moved")).first()[0]
-        ranks = moved.drop("__moved")
+        former = blocks.select("block", F.lit(FORMER).alias("kind"), F.col("kept").alias("vector"))
+        blocks = graph.settled(graph.arrays(DEGREE).unionByName(former).unionByName(graph.handed(blocks)), settle)
+        largest = blocks.agg(F.max("moved")).first()[0]
         if largest is None or largest <= epsilon:
             break
-    return ranks
+    graph.release()
+    return graph.values(blocks, "rank").where(~F.isnan("rank"))
 
 
 def delta_pagerank(
-    edges: DataFrame, n: int, damping: float = 0.85, threshold: float | None = None, max_rounds: int = 100
+    edges: DataFrame, n: int, damping: float = 0.85, threshold: float | None = None, max_rounds: int = 100, **limits: int
 ) -> DataFrame:
     """(page, rank), passing on only changes above ``threshold``; vertices are the sources of edges.
 
-    Each round's changes are kept as their own table and added up once at the end, so a round
-    costs what still moves, not the whole vertex set.
+    Each round's changes are kept as their own table and added up once at the end; a block in which
+    nothing moves is not handed on.
     """
     threshold = 1e-4 / n if threshold is None else threshold
     start, jump = 1.0 / n, (1 - damping) / n
-    lists = stage_table(adjacency(edges), "adjacency")
-    sources = lists.select(F.col("src").alias("page")).distinct()
-    first = _spread(sources.withColumn("v", F.lit(start * damping)), lists, "v").withColumnRenamed("__got", "v")
-    initial = cut_lineage(
-        first.unionByName(sources.withColumn("v", F.lit(jump))).groupBy("page").agg(F.sum("v").alias("rank")))
-    delta = initial.select("page", (F.col("rank") - start).alias("delta"))
-    moves = []
+
+    def begin(own: dict) -> tuple:
+        return own[DEGREE], np.full(len(own[DEGREE]), start * damping), None
+
+    def first(own: dict) -> tuple:
+        rank = own[SUMS] + np.where(own[DEGREE] > 0, jump, 0.0)
+        return rank, (rank - start) * damping, None
+
+    def settle(own: dict) -> tuple:
+        delta = np.where(np.abs(own[SUMS]) > threshold, own[SUMS], 0.0)
+        return delta, delta * damping, float(np.abs(delta).max())
+
+    graph = GraphBlocks(edges, **limits)
+    degrees = graph.arrays(DEGREE)
+    initial = graph.settled(degrees.unionByName(graph.handed(graph.settled(degrees, begin))), first)
+    delta, moves = initial, []
     for _ in range(max_rounds):
-        scaled = delta.withColumn("v", F.col("delta") * damping)
-        delta = cut_lineage(_spread(scaled, lists, "v").withColumnRenamed("__got", "delta")
-                            .where(F.abs("delta") > threshold))
-        if delta.isEmpty():
+        delta = graph.settled(degrees.unionByName(graph.handed(delta)), settle)
+        if delta.where("moved > 0").isEmpty():
             break
-        moves.append(delta)
+        moves.append(delta.select("block", F.lit(SUMS).alias("kind"), F.col("kept").alias("vector")))
+    graph.release()
+    ranks = graph.values(initial, "rank")
     if not moves:
-        return initial
-    total = reduce(DataFrame.unionByName, moves).groupBy("page").agg(F.sum("delta").alias("__d"))
-    return initial.join(total, "page", "left").select(
-        "page", (F.col("rank") + F.coalesce("__d", F.lit(0.0))).alias("rank"))
+        return ranks
+    total = graph.settled(reduce(DataFrame.unionByName, moves, degrees), lambda own: (own[SUMS], own[SUMS], None))
+    # Edges to null give a row of their own, which no later change reaches.
+    moved = graph.values(total, "moved")
+    return ranks.join(moved, "page", "left").select("page", (F.col("rank") + F.coalesce("moved", F.lit(0.0))).alias("rank"))
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
